@@ -42,4 +42,5 @@ def _load() -> None:
     from engram.plans import (  # noqa: F401
         catalog_graph,
         catalog_temporal,
+        catalog_text,
     )
