@@ -26,12 +26,12 @@ md AS (SELECT doc_id, source || '/' || CAST(doc_id AS VARCHAR) || '.md' AS rel_p
          '# ' || source || ' ' || CAST(doc_id AS VARCHAR) || chr(10) || substring(text, 1, 200)
          || chr(10) || '## body' || chr(10) || substring(text, 201) AS text
        FROM documents),
-msplit AS (SELECT rel_path, string_split(regexp_replace(text, '(?m)^(#{{1,2}} )', chr(1) || '\\1', 'g'), chr(1)) AS l
+msplit AS (SELECT doc_id, rel_path, string_split(regexp_replace(text, '(?m)^(#{{1,2}} )', chr(1) || '\\1', 'g'), chr(1)) AS l
            FROM md),
-mparts AS (SELECT rel_path, unnest(l) AS part, unnest(range(1, len(l) + 1)) AS i FROM msplit),
-mkept AS (SELECT rel_path, i, trim(part, {WS}) AS p FROM mparts WHERE length(trim(part, {WS})) > 0),
-mslices AS (SELECT rel_path, i, p, unnest(generate_series(0, (length(p) - 1) // 6000)) AS k FROM mkept),
-chunks AS (SELECT rel_path,
+mparts AS (SELECT doc_id, rel_path, unnest(l) AS part, unnest(range(1, len(l) + 1)) AS i FROM msplit),
+mkept AS (SELECT doc_id, rel_path, i, trim(part, {WS}) AS p FROM mparts WHERE length(trim(part, {WS})) > 0),
+mslices AS (SELECT doc_id, rel_path, i, p, unnest(generate_series(0, (length(p) - 1) // 6000)) AS k FROM mkept),
+chunks AS (SELECT doc_id, rel_path,
                   CAST(row_number() OVER (PARTITION BY rel_path ORDER BY i, k) - 1 AS INTEGER) AS pos,
                   substring(p, k * 6000 + 1, 6000) AS episode_body FROM mslices)
 """

@@ -41,6 +41,7 @@ def _load() -> None:
     # importing the catalog modules fills the registry
     from engram.plans import (  # noqa: F401
         catalog_graph,
+        catalog_search,
         catalog_temporal,
         catalog_text,
     )
