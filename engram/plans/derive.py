@@ -120,7 +120,11 @@ def access_log(t: Tables) -> DataFrame:
         F.struct(F.concat(F.lit("h:"), port).alias("host")).alias("request"),
         F.when(F.col("event_type") == "error", F.lit(401)).otherwise(F.lit(200)).alias("status"),
     )
-    return e.select("event_id", F.col("ts").alias("event_ts"), F.to_json(rec).alias("line"))
+    # sign-ups are logged as plain text lines: junk the parser must skip (they still count toward N)
+    line = F.when(F.col("event_type") == "signup",
+                  F.concat(F.lit("INFO signup user "), F.col("user_id").cast("string"))
+                  ).otherwise(F.to_json(rec))
+    return e.select("event_id", F.col("ts").alias("event_ts"), line.alias("line"))
 
 
 def queue_events(t: Tables) -> DataFrame:

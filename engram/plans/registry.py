@@ -40,6 +40,7 @@ def all_sql() -> dict[str, str]:
 def _load() -> None:
     # importing the catalog modules fills the registry
     from engram.plans import (  # noqa: F401
+        catalog_activity,
         catalog_graph,
         catalog_search,
         catalog_temporal,
