@@ -42,6 +42,7 @@ def _load() -> None:
     from engram.plans import (  # noqa: F401
         catalog_activity,
         catalog_graph,
+        catalog_ontology,
         catalog_search,
         catalog_temporal,
         catalog_text,
