@@ -95,7 +95,11 @@ def markdown_texts(t: Tables) -> DataFrame:
 
 def write_requests(t: Tables) -> DataFrame:
     """add_memory calls made from documents."""
-    d = t.documents
+    return requests_from_documents(t.documents)
+
+
+def requests_from_documents(d: DataFrame) -> DataFrame:
+    """Row-local mapping documents -> write requests (works on batch and stream)."""
     src_num = F.regexp_extract(F.col("source"), r"(\d+)", 1).cast("long")
     return d.select(
         F.col("doc_id"),
@@ -113,7 +117,11 @@ def write_requests(t: Tables) -> DataFrame:
 
 def access_log(t: Tables) -> DataFrame:
     """Gateway JSON access-log lines made from events, with their order key."""
-    e = t.events
+    return log_lines_from_events(t.events)
+
+
+def log_lines_from_events(e: DataFrame) -> DataFrame:
+    """Row-local mapping events -> access-log lines (works on batch and stream)."""
     port = (F.lit(8000) + F.col("user_id") % 3).cast("string")
     rec = F.struct(
         F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").alias("ts"),

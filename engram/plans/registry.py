@@ -44,6 +44,7 @@ def _load() -> None:
         catalog_graph,
         catalog_ontology,
         catalog_search,
+        catalog_stream,
         catalog_temporal,
         catalog_text,
     )
