@@ -21,9 +21,14 @@ LINE_BREAKS = r"\r\n|[\n\x0B\f\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 NON_WORD = r"[^\p{L}\p{N}]+"
 
 
+# The same set as literal characters, for btrim (a character-set trim, no regex).
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200b))
+            + "\u2028\u2029\u202f\u205f\u3000")
+
+
 def py_strip(c: Column) -> Column:
     """``str.strip()`` with Python's whitespace set (SQL ``trim`` strips only spaces)."""
-    return F.regexp_replace(c, f"^{WS_CLASS}+|{WS_CLASS}+\\z", "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def py_strip_sql(expr: str) -> str:

@@ -42,34 +42,54 @@ def postings(corpus: DataFrame, id_col="doc_id", text_col: str = "text") -> Data
 
 
 def bm25_scores(corpus: DataFrame, queries: DataFrame, id_col="doc_id", text_col: str = "text",
-                k1: float = BM25_K1, b: float = BM25_B, post: DataFrame | None = None) -> DataFrame:
+                k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
     """BM25 of every (query, unit) sharing a term -> (query_id, ids..., score).
 
     idf = ln(1 + (N - df + 0.5) / (df + 0.5)); distinct query terms; the score
     is rounded to SCORE_DIGITS so ties are ties in every engine.
+
+    One pass over the corpus: tokens are matched against the (broadcast,
+    size-checked) query vocabulary *before* the shuffle, and every other token
+    of a unit collapses into one null-term row that still carries the unit's
+    length. Those pruned postings (query-term occurrences plus one row per
+    unit) are checkpointed once and feed the corpus statistics (N, avgdl), the
+    document frequencies and the scores; the full vocabulary never shuffles.
     """
     ids = _ids(id_col)
-    post = post if post is not None else postings(corpus, ids, text_col)
-    stats = corpus.select(F.size(tokens(F.col(text_col))).alias("dl")).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-    n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
-    qterms = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
-    df_t = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    q_idf = qterms.join(df_t, "term").withColumn(
-        "idf", F.log(1 + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    # broadcast the query side only behind a size check; else a shuffle join
-    side = F.broadcast(q_idf) if q_idf.count() <= MAX_BROADCAST_QUERY_TERMS else q_idf
-    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))
+    qtok = queries.select("query_id", F.array_distinct(tokens(F.col("text"))).alias("_qt"))
+    vocab = qtok.select(F.explode("_qt").alias("term")).distinct().withColumn("_q", F.lit(True))
+    n_vocab_bound = queries.select(F.size(tokens(F.col("text"))).alias("n")).agg(F.sum("n")).first()[0] or 0
+    vocab_side = F.broadcast(vocab) if n_vocab_bound <= MAX_BROADCAST_QUERY_TERMS else vocab
+
+    toks = corpus.select(*ids, tokens(F.col(text_col)).alias("_t"))
+    occ = toks.select(*ids, F.size("_t").alias("dl"), F.explode_outer("_t").alias("term"))
+    occ = occ.join(vocab_side, "term", "left").select(
+        *ids, "dl", F.when(F.col("_q"), F.col("term")).alias("term"))
+    # materialised once into the shared checkpoint folder: the three consumers
+    # below would otherwise each re-tokenize the corpus (Catalyst prunes and
+    # filters them differently, so their exchanges cannot be reused)
+    post = occ.groupBy(*ids, "dl", "term").agg(F.count(F.lit(1)).alias("tf")).checkpoint()
+
+    stats = (post.select(*ids, "dl").distinct()
+             .agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg("dl").alias("avgdl"))
+             .withColumn("_one", F.lit(1)))
+    df_t = (post.filter(F.col("term").isNotNull()).groupBy("term")
+            .agg(F.count(F.lit(1)).alias("df")).withColumn("_one", F.lit(1)))
+    qterms = qtok.select("query_id", F.explode("_qt").alias("term"))
+    q_idf = (qterms.join(df_t, "term").join(F.broadcast(stats), "_one")
+             .withColumn("idf", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)))
+             .select("query_id", "term", "idf", "avgdl"))
+    side = F.broadcast(q_idf) if n_vocab_bound <= MAX_BROADCAST_QUERY_TERMS else q_idf
+    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / F.col("avgdl"))
     contrib = F.col("idf") * F.col("tf") * F.lit(k1 + 1) / (F.col("tf") + norm)
-    return (post.join(side, "term").groupBy("query_id", *ids)
-            .agg(rounded_score(F.sum(contrib)).alias("score")))
+    return (post.filter(F.col("term").isNotNull()).join(side, "term")
+            .groupBy("query_id", *ids).agg(rounded_score(F.sum(contrib)).alias("score")))
 
 
 def bm25_search(corpus: DataFrame, queries: DataFrame, k: int, id_col: str = "doc_id",
-                text_col: str = "text", k1: float = BM25_K1, b: float = BM25_B,
-                post: DataFrame | None = None) -> DataFrame:
+                text_col: str = "text", k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
     """OP-31: top-k documents per query by BM25 -> (query_id, doc_id, score, rank)."""
-    scored = bm25_scores(corpus, queries, id_col, text_col, k1, b, post)
+    scored = bm25_scores(corpus, queries, id_col, text_col, k1, b)
     if id_col != "doc_id":
         scored = scored.withColumnRenamed(id_col, "doc_id")
     return leg_rank(scored, k)

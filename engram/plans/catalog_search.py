@@ -30,14 +30,20 @@ def _queries(t):
     return t.benchmark.select(F.col("item_id").alias("query_id"), "text")
 
 
-def _legs(spark, d):
+def _doc_leg(spark, d):
+    t = Tables(spark, d)
+    return S.bm25_search(t.documents.select("doc_id", "text"), _queries(t), DEPTH)
+
+
+def _episode_leg(spark, d):
     t = Tables(spark, d)
-    q = _queries(t)
-    doc_leg = S.bm25_search(t.documents.select("doc_id", "text"), q, DEPTH)
     chunks = C.chunk_markdown(derive.markdown_texts(t).select("doc_id", "text"))
-    chunk_scores = S.bm25_scores(chunks, q, ["doc_id", "pos"], "episode_body")
-    ep_leg = S.leg_rank(S.best_unit_per_doc(chunk_scores), DEPTH)
-    return {"document": doc_leg, "episode": ep_leg}
+    chunk_scores = S.bm25_scores(chunks, _queries(t), ["doc_id", "pos"], "episode_body")
+    return S.leg_rank(S.best_unit_per_doc(chunk_scores), DEPTH)
+
+
+def _legs(spark, d):
+    return {"document": _doc_leg(spark, d), "episode": _episode_leg(spark, d)}
 
 
 def _fused(spark, d, k):
@@ -96,12 +102,12 @@ def fused_top_sql(k: int, name: str = "top") -> str:
 # ---------------------------------------------------------------- queries
 @register("bm25_search", sql=f"WITH {LEGS_CTE} SELECT query_id, doc_id, score, rank FROM leg_document")
 def q_bm25_search(spark, d):
-    return _legs(spark, d)["document"].select("query_id", "doc_id", "score", "rank")
+    return _doc_leg(spark, d).select("query_id", "doc_id", "score", "rank")
 
 
 @register("leg_rank", sql=f"WITH {LEGS_CTE} SELECT query_id, doc_id, score, rank FROM leg_episode")
 def q_leg_rank(spark, d):
-    return _legs(spark, d)["episode"].select("query_id", "doc_id", "score", "rank")
+    return _episode_leg(spark, d).select("query_id", "doc_id", "score", "rank")
 
 
 @register("leg_union", sql=f"WITH {LEGS_CTE} SELECT leg, query_id, doc_id, rank FROM legs")
