@@ -131,7 +131,7 @@ def remove_episode_cascade(deleted: DataFrame, mentions: DataFrame, facts: DataF
         (F.col("n_mentions") == F.col("n_deleted")) & (F.col("n_deleted") > 0)
     ).select("graph", F.col("entity_uuid").alias("uuid"))
 
-    first = facts.withColumn("episode_uuid", F.element_at("episodes", 1))
+    first = facts.withColumn("episode_uuid", F.try_element_at("episodes", F.lit(1)))
     gone_facts = first.join(deleted.select("graph", "episode_uuid"), ["graph", "episode_uuid"],
                             "left_semi").drop("episode_uuid")
     if fact_endpoints:
