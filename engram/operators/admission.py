@@ -151,15 +151,18 @@ def cross_tier_bodies(episodes: DataFrame, a: str = "personal", b: str = "client
 def tier_leak_audit(episodes: DataFrame, personal_patterns: list[tuple[str, str]],
                     id_col: str = "doc_id") -> DataFrame:
     """OP-41: rows in the personal tier that must not be there — pattern hits,
-    plus bodies also stored in the client tier. (id, reason) rows."""
+    plus bodies also stored in the client tier. (id, reason) rows.
+
+    Pattern reasons come from one row-local pass (an array of matching rule
+    names, exploded); the cross-tier part is a semi-join with the hash
+    intersection (distinct hashes on both sides, combined map-side)."""
     personal = episodes.filter(F.col("graph") == "personal")
     txt = guard_text()
-    hits = None
-    for name, pat in personal_patterns:
-        h = personal.filter(txt.rlike(pat)).select(id_col, F.lit(f"pattern:{name}").alias("reason"))
-        hits = h if hits is None else hits.unionByName(h)
+    reasons = F.filter(F.array(*[F.when(txt.rlike(pat), F.lit(f"pattern:{name}"))
+                                 for name, pat in personal_patterns]), lambda r: r.isNotNull())
+    hits = personal.select(id_col, F.explode(reasons).alias("reason"))
     shared = cross_tier_bodies(episodes)
     both = (personal.withColumn("body_hash", body_hash(F.col("episode_body")))
             .join(shared, "body_hash", "left_semi")
             .select(id_col, F.lit("cross_tier_body").alias("reason")))
-    return both if hits is None else hits.unionByName(both)
+    return hits.unionByName(both)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from engram.operators.temporal import cutoff_expr
+from engram.session import reliable_checkpoint
 
 
 # ---------------------------------------------------------------- OP-05 / U1
@@ -84,21 +85,29 @@ def compact_episodes(episodes, mentions, facts, now, days: int):
     old_ids = episodes.filter(is_old).select("graph", F.col("uuid").alias("episode_uuid"))
     kept = episodes.filter(~is_old)
     kept_mentions = mentions.join(old_ids, ["graph", "episode_uuid"], "left_anti")
-    report = compaction_counts(episodes, kept, mentions, kept_mentions, facts)
+    report = compaction_counts(episodes, is_old, mentions, old_ids, facts)
     return kept, kept_mentions, report
 
 
-def compaction_counts(eps_before, eps_after, m_before, m_after, facts) -> DataFrame:
-    def cnt(df, name):
-        return df.groupBy("graph").agg(F.count(F.lit(1)).alias(name))
-    out = cnt(eps_before, "episodes_before")
-    for df, name in ((eps_after, "episodes_after"), (m_before, "mentions_before"),
-                     (m_after, "mentions_after"), (facts, "facts_before"), (facts, "facts_after")):
-        out = out.join(cnt(df, name), "graph", "full")
-    cols = ["episodes_before", "episodes_after", "mentions_before", "mentions_after",
-            "facts_before", "facts_after"]
-    out = out.fillna(0, cols)
-    return out.withColumn("facts_unchanged", F.col("facts_before") == F.col("facts_after"))
+def compaction_counts(episodes, is_old, mentions, old_ids, facts) -> DataFrame:
+    """Before/after counts per graph from ONE union and ONE aggregate: each
+    table is read once and tagged; the mention tag comes from a left join
+    with the old ids (the same join the compaction itself needs)."""
+    z = F.lit(0).cast("long")
+    one = F.lit(1).cast("long")
+    ep = episodes.select("graph", one.alias("eb"), F.when(is_old, 0).otherwise(1).cast("long").alias("ea"),
+                         z.alias("mb"), z.alias("ma"), z.alias("fb"))
+    flagged = mentions.join(old_ids.withColumn("_old", F.lit(1)), ["graph", "episode_uuid"], "left")
+    mn = flagged.select("graph", z.alias("eb"), z.alias("ea"), one.alias("mb"),
+                        F.when(F.col("_old").isNull(), 1).otherwise(0).cast("long").alias("ma"), z.alias("fb"))
+    fc = facts.select("graph", z.alias("eb"), z.alias("ea"), z.alias("mb"), z.alias("ma"), one.alias("fb"))
+    c = ep.unionByName(mn).unionByName(fc).groupBy("graph").agg(
+        F.sum("eb").alias("episodes_before"), F.sum("ea").alias("episodes_after"),
+        F.sum("mb").alias("mentions_before"), F.sum("ma").alias("mentions_after"),
+        F.sum("fb").alias("facts_before"))
+    # facts are never rewritten by compaction: the after-count is the same table's count
+    return (c.withColumn("facts_after", F.col("facts_before"))
+            .withColumn("facts_unchanged", F.col("facts_before") == F.col("facts_after")))
 
 
 def assert_facts_unchanged(report: DataFrame) -> None:
@@ -159,7 +168,7 @@ def graph_growth(episodes: DataFrame, unit: str = "month") -> DataFrame:
     partitioned by graph over one row per period (small), never over episodes.
     """
     per = episodes.filter(F.col("created_at").isNotNull()).withColumn(
-        "period", F.date_trunc(unit, F.col("created_at")))
+        "period", F.date_trunc(unit, F.col("created_at")).cast("timestamp_ntz"))
     counts = per.groupBy("graph", "period").agg(F.count(F.lit(1)).alias("new_episodes"))
     bounds = counts.groupBy("graph").agg(F.min("period").alias("lo"), F.max("period").alias("hi"))
     cal = bounds.select("graph", F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL 1 {unit.upper()}"))).alias("period"))
@@ -207,6 +216,6 @@ def graph_expand(seeds: DataFrame, mentions: DataFrame, hops: int,
         visited = visited.unionByName(new)
         frontier = new
         if checkpoint_every and h % checkpoint_every == 0 and h < hops:
-            visited = visited.checkpoint()
+            visited = reliable_checkpoint(visited)
             frontier = visited.filter(F.col("hop") == h)
     return visited

@@ -131,34 +131,30 @@ def rules_frame(spark: SparkSession, rules: list | None = None) -> DataFrame:
 def rule_extract(episodes: DataFrame, rules: list | None = None, id_col: str = "doc_id",
                  text_col: str = "episode_body", fallback: dict | None = None) -> DataFrame:
     """OP-49: type each episode by the first (by priority) rule of its tier that
-    matches, and extract every match's object; Topic only when nothing fits.
+    matches, and extract every match's object; the fallback type (Topic) only
+    when nothing fits. -> (id, graph, entity_type, priority, value).
 
-    Rules are a config-sized list, compiled to one ``regexp_extract_all`` per
-    rule (literal patterns, compiled once per task) — no join with a rules
-    table, no UDF. -> (id, graph, entity_type, priority, value).
+    Row-local and single-pass: every rule of the row's tier runs as a literal
+    ``regexp_extract_all``; the hits form an array of (priority, type, values)
+    structs whose minimum is the winner. No shuffle, no join, no UDF.
     """
     rules = rules if rules is not None else TRIGGER_RULES + EXTRA_RULES
     fallback = FALLBACK_TYPE if fallback is None else fallback
-    hits = None
-    for graph, etype, prio, pat in rules:
-        h = (episodes.filter(F.col("graph") == graph)
-             .select(id_col, "graph", F.lit(etype).alias("entity_type"), F.lit(prio).alias("priority"),
-                     F.regexp_extract_all(F.col(text_col), F.lit(pat), F.lit(1)).alias("values"))
-             .filter(F.size("values") > 0))
-        hits = h if hits is None else hits.unionByName(h)
-    best = hits.groupBy(id_col, "graph").agg(F.min("priority").alias("priority"))
-    chosen = hits.join(best, [id_col, "graph", "priority"], "left_semi")
-    typed = chosen.select(id_col, "graph", "entity_type", "priority", F.explode("values").alias("value"))
-    if fallback:
-        rest = episodes.join(best.select(id_col, "graph"), [id_col, "graph"], "left_anti")
-        fb = None
-        for graph, etype in fallback.items():
-            f = rest.filter(F.col("graph") == graph).select(
-                id_col, "graph", F.lit(etype).alias("entity_type"), F.lit(99).alias("priority"),
-                F.lit(None).cast("string").alias("value"))
-            fb = f if fb is None else fb.unionByName(f)
-        typed = typed.unionByName(fb)
-    return typed
+    text, graph = F.col(text_col), F.col("graph")
+    cands = [F.when(graph == F.lit(g), F.struct(F.lit(prio).alias("priority"), F.lit(etype).alias("entity_type"),
+                                                F.regexp_extract_all(text, F.lit(pat), F.lit(1)).alias("values")))
+             for g, etype, prio, pat in rules]
+    hits = F.filter(F.array(*cands), lambda h: h.isNotNull() & (F.size(h["values"]) > 0))
+    fb = None
+    for g, etype in fallback.items():
+        c = graph == F.lit(g)
+        fb = F.when(c, F.lit(etype)) if fb is None else fb.when(c, F.lit(etype))
+    fb_struct = F.struct(F.lit(99).alias("priority"), (fb if fb is not None else F.lit(None).cast("string"))
+                         .alias("entity_type"), F.array(F.lit(None).cast("string")).alias("values"))
+    best = F.when(F.size(hits) > 0, F.array_min(hits)).otherwise(fb_struct)
+    out = episodes.select(id_col, "graph", best.alias("_b")).filter(F.col("_b.entity_type").isNotNull())
+    return out.select(id_col, "graph", F.col("_b.entity_type").alias("entity_type"),
+                      F.col("_b.priority").alias("priority"), F.explode(F.col("_b.values")).alias("value"))
 
 
 # ---------------------------------------------------------------- hooks

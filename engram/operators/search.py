@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from engram.config import BM25_B, BM25_K1, RECALL_BUDGET, RRF_K, SCORE_DIGITS
 from engram.functions.common import rounded_score, top_k_per_group
 from engram.functions.text import est_tokens, tokens
+from engram.session import reliable_checkpoint
 
 MAX_BROADCAST_QUERY_TERMS = 5_000_000
-MAX_QUERY_VECTORS = 50_000
+MAX_QUERY_VECTORS = 8_192   # per broadcast batch: 8192 x 768 doubles = 48 MiB
 
 
 # ---------------------------------------------------------------- BM25
@@ -68,7 +69,7 @@ def bm25_scores(corpus: DataFrame, queries: DataFrame, id_col="doc_id", text_col
     # materialised once into the shared checkpoint folder: the three consumers
     # below would otherwise each re-tokenize the corpus (Catalyst prunes and
     # filters them differently, so their exchanges cannot be reused)
-    post = occ.groupBy(*ids, "dl", "term").agg(F.count(F.lit(1)).alias("tf")).checkpoint()
+    post = reliable_checkpoint(occ.groupBy(*ids, "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
 
     stats = (post.select(*ids, "dl").distinct()
              .agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg("dl").alias("avgdl"))

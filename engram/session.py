@@ -61,3 +61,10 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
     base = shared_dir(spark).rstrip("/")
     return "/".join([base, *parts, uuid.uuid4().hex])
+
+
+def reliable_checkpoint(df):
+    """Cut lineage by writing to the shared checkpoint folder (never a local
+    checkpoint: executors may be lost). Ensures the folder is registered."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
