@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from engram.config import CONTRADICTIONS_LIMIT
 from engram.functions.common import ntz
+from engram.session import reliable_checkpoint
 
 FACT_KEYS = ["graph", "subject", "relation"]
 
@@ -33,35 +34,43 @@ def resolve_supersession(observations: DataFrame, keys: list[str] | None = None,
     keys = keys or FACT_KEYS
     order = [F.col("valid_at"), F.col("uuid")]
     obs = observations.filter(F.col("valid_at").isNotNull()).withColumn(
-        "_bk", F.date_trunc(bucket, F.col("valid_at")))
+        "_bk", F.date_trunc(bucket, F.col("valid_at")).cast("timestamp_ntz"))
     part = keys + ["_bk"]
-
-    # 1) previous value, inside the bucket
     w_in = Window.partitionBy(*part).orderBy(*order)
-    obs = (obs.withColumn("_prev", F.lag("value").over(w_in))
-              .withColumn("_is_first", F.row_number().over(w_in) == 1))
-    # last value of each bucket, then the previous bucket's last value
-    last_in_bucket = obs.groupBy(*part).agg(
-        F.max_by("value", F.struct(*order)).alias("_last_val"))
-    prev_bucket = last_in_bucket.withColumn(
-        "_prev_bucket_val",
-        F.lag("_last_val").over(Window.partitionBy(*keys).orderBy("_bk"))
-    ).select(*part, "_prev_bucket_val")
-    obs = obs.join(prev_bucket, part, "left").withColumn(
-        "_prev", F.when(F.col("_is_first"), F.col("_prev_bucket_val")).otherwise(F.col("_prev")))
-    starts = obs.filter(~F.col("_prev").eqNullSafe(F.col("value"))).drop(
-        "_prev", "_is_first", "_prev_bucket_val")
-
-    # 2) next run start, inside the bucket, stitched across buckets
-    starts = starts.withColumn("_next", F.lead("valid_at").over(w_in))
-    first_start = starts.groupBy(*part).agg(F.min("valid_at").alias("_first_va"))
-    next_bucket = first_start.withColumn(
-        "_next_bucket_va",
-        F.lead("_first_va").over(Window.partitionBy(*keys).orderBy("_bk"))
-    ).select(*part, "_next_bucket_va")
-    facts = starts.join(next_bucket, part, "left").withColumn(
-        "invalid_at", F.coalesce(F.col("_next"), F.col("_next_bucket_va")))
-    return facts.drop("_bk", "_next", "_next_bucket_va")
+
+    # Pass 1 — the one full sort: in-bucket change flags and bucket ends.
+    # Written once to the shared checkpoint folder so the bucket summary below
+    # reads it instead of re-running the window.
+    p1 = reliable_checkpoint(
+        obs.withColumn("_chg", ~F.lag("value").over(w_in).eqNullSafe(F.col("value")))
+           .withColumn("_is_first", F.row_number().over(w_in) == 1)
+           .withColumn("_is_last", F.lead("valid_at").over(w_in).isNull()))
+
+    # Bucket summary — one row per (key, bucket); windows here are per key over
+    # its buckets only, never over its observations.
+    firsts = p1.filter("_is_first").select(*part, F.col("value").alias("_first_val"),
+                                           F.col("valid_at").alias("_first_va"))
+    lasts = p1.filter("_is_last").select(*part, F.col("value").alias("_last_val"))
+    chg = p1.filter(F.col("_chg") & ~F.col("_is_first")).groupBy(*part).agg(
+        F.min("valid_at").alias("_first_chg_va"))
+    wk = Window.partitionBy(*keys).orderBy("_bk")
+    summary = (firsts.join(lasts, part).join(chg, part, "left")
+               .withColumn("_prev_last", F.lag("_last_val").over(wk))
+               .withColumn("_first_opens", ~F.col("_first_val").eqNullSafe(F.col("_prev_last")))
+               .withColumn("_first_start_va", F.when(F.col("_first_opens"), F.col("_first_va"))
+                           .otherwise(F.col("_first_chg_va")))
+               .withColumn("_next_start_va", F.first("_first_start_va", ignorenulls=True).over(
+                   wk.rowsBetween(1, Window.unboundedFollowing)))
+               .select(*part, "_first_opens", "_next_start_va"))
+
+    # Pass 2 — run starts (the first row of a bucket opens a run iff its value
+    # differs from the previous bucket's last value), then the next start: the
+    # next start inside the bucket, else the first start of a later bucket.
+    starts = (p1.join(summary, part, "left")
+              .filter(F.when(F.col("_is_first"), F.col("_first_opens")).otherwise(F.col("_chg")))
+              .withColumn("_next", F.lead("valid_at").over(w_in)))
+    facts = starts.withColumn("invalid_at", F.coalesce(F.col("_next"), F.col("_next_start_va")))
+    return facts.drop("_bk", "_chg", "_is_first", "_is_last", "_first_opens", "_next_start_va", "_next")
 
 
 def current_facts(facts: DataFrame) -> DataFrame:
