@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 INF = math.inf
-SUMMARY_SCHEMA = "group_id string, _bk timestamp_ntz, s double, lo double, hi double"
-ENTRY_SCHEMA = "group_id string, _bk timestamp_ntz, entry long"
+SUMMARY_SCHEMA = "_g string, _bk timestamp_ntz, s double, lo double, hi double"
+ENTRY_SCHEMA = "_g string, _bk timestamp_ntz, entry long"
 DECISION_SCHEMA = ("group_id string, event_id long, ts timestamp_ntz, kind string, "
                    "pending_before long, decision string, reason string")
 
@@ -72,15 +72,21 @@ def queue_admission(events: DataFrame, cap: int, bucket: str = "day",
     """
     spark = events.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # non-nullable internal keys: a null group is its own group and a null time
+    # sorts first, so no event is dropped (and no IS NOT NULL filter is inferred)
     ev = events.select("group_id", "ts", "event_id", "kind").withColumn(
-        "_bk", F.date_trunc(bucket, F.col("ts")).cast("timestamp_ntz"))
-    sorted_ev = (ev.repartition(n, "group_id", "_bk")
-                 .sortWithinPartitions("group_id", "_bk", "ts", "event_id"))
+        "_g", F.coalesce(F.col("group_id"), F.lit("\u0000"))).withColumn(
+        "_bk", F.coalesce(F.date_trunc(bucket, F.col("ts")).cast("timestamp_ntz"),
+                          F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
+    # one hash exchange on (group, bucket), read by both full passes (identical
+    # subtrees, so Spark reuses the shuffle output instead of shuffling twice)
+    shuffled = ev.repartition(n, "_g", "_bk")
+    sorted_ev = shuffled.sortWithinPartitions("_g", "_bk", "ts", "event_id")
 
     def summarise(batches):
         cur, f = None, None
         out_g, out_b, out_s, out_l, out_h = [], [], [], [], []
-        for pdf, keys in _runs(batches, ["group_id", "_bk"]):
+        for pdf, keys in _runs(batches, ["_g", "_bk"]):
             for key, k in zip(keys, pdf["kind"].to_numpy()):
                 if key != cur:
                     if cur is not None:
@@ -92,38 +98,39 @@ def queue_admission(events: DataFrame, cap: int, bucket: str = "day",
             out_g.append(cur[0]); out_b.append(cur[1])
             out_s.append(f[0]); out_l.append(f[1]); out_h.append(f[2])
         if out_g:
-            yield pd.DataFrame({"group_id": out_g, "_bk": out_b, "s": out_s, "lo": out_l, "hi": out_h})
+            yield pd.DataFrame({"_g": out_g, "_bk": out_b, "s": out_s, "lo": out_l, "hi": out_h})
 
     summaries = sorted_ev.mapInPandas(summarise, SUMMARY_SCHEMA)
 
     def entries(batches):
         cur, x = None, 0.0
         out_g, out_b, out_e = [], [], []
-        for pdf, keys in _runs(batches, ["group_id"]):
+        for pdf, keys in _runs(batches, ["_g"]):
             for (g,), b, s_, lo, hi in zip(keys, pdf["_bk"], pdf["s"], pdf["lo"], pdf["hi"]):
                 if g != cur:
                     cur, x = g, 0.0
                 out_g.append(g); out_b.append(b); out_e.append(int(x))
                 x = _apply((s_, lo, hi), x)
         if out_g:
-            yield pd.DataFrame({"group_id": out_g, "_bk": out_b, "entry": out_e})
+            yield pd.DataFrame({"_g": out_g, "_bk": out_b, "entry": out_e})
 
     # one row per (group, bucket): this fold runs over a short list per group
-    entry = (summaries.repartition(n, "group_id").sortWithinPartitions("group_id", "_bk")
+    entry = (summaries.repartition(n, "_g").sortWithinPartitions("_g", "_bk")
              .mapInPandas(entries, ENTRY_SCHEMA))
 
     def replay(batches):
         cur, p = None, 0
-        for pdf, keys in _runs(batches, ["group_id", "_bk"]):
+        for pdf, keys in _runs(batches, ["_g", "_bk"]):
             before, decision, reason = [], [], []
-            for key, k, e in zip(keys, pdf["kind"].to_numpy(), pdf["entry"].to_numpy()):
+            groups = pdf["group_id"].to_numpy()
+            for key, k, e, g in zip(keys, pdf["kind"].to_numpy(), pdf["entry"].to_numpy(), groups):
                 if key != cur:
                     cur, p = key, int(e)
                 before.append(p)
                 if k == "add":
                     if cap and p >= cap:
                         decision.append("rejected")
-                        reason.append(f"queue full for group {key[0]} ({cap} pending)")
+                        reason.append(f"queue full for group {g} ({cap} pending)")
                     else:
                         decision.append("accepted")
                         reason.append(None)
@@ -132,13 +139,14 @@ def queue_admission(events: DataFrame, cap: int, bucket: str = "day",
                     decision.append("done")
                     reason.append(None)
                     p = max(0, p - 1)
-            yield pd.DataFrame({"group_id": pdf["group_id"].to_numpy(), "event_id": pdf["event_id"].to_numpy(),
+            yield pd.DataFrame({"group_id": groups, "event_id": pdf["event_id"].to_numpy(),
                                 "ts": pdf["ts"].to_numpy(), "kind": pdf["kind"].to_numpy(),
                                 "pending_before": before, "decision": decision, "reason": reason})
 
-    joined = ev.join(entry, ["group_id", "_bk"])
-    return (joined.repartition(n, "group_id", "_bk")
-            .sortWithinPartitions("group_id", "_bk", "ts", "event_id")
+    # the join keeps the (group, bucket) hash partitioning of ``shuffled``
+    # (broadcast or shuffled entry side), so every slice stays in one task
+    joined = shuffled.join(entry, ["_g", "_bk"])
+    return (joined.sortWithinPartitions("_g", "_bk", "ts", "event_id")
             .mapInPandas(replay, DECISION_SCHEMA))
 
 
