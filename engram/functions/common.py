@@ -87,3 +87,21 @@ def size_bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def adaptive_bucket(df: DataFrame, keys: list[str], ts_col: str, coarse: str = "month",
+                    fine: str = "hour", hot_rows: int = 5_000_000) -> DataFrame:
+    """Add ``_bk``: a time bucket per row, coarse for ordinary keys and fine for
+    hot keys (more than ``hot_rows`` rows), so one task never sorts more than
+    about a fine bucket of a hot key.
+
+    Hot keys come from a partial-aggregate count (combined map-side); there
+    are at most total_rows / hot_rows of them, so AQE broadcasts that list at
+    run time. Every row of a key gets the same granularity, which keeps the
+    bucket order per key consistent for the stitching step.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    t = F.col(ts_col)
+    bk = F.when(F.col("_hot"), F.date_trunc(fine, t)).otherwise(F.date_trunc(coarse, t))
+    return df.join(hot, keys, "left").withColumn("_bk", bk.cast("timestamp_ntz")).drop("_hot")

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from engram.functions.common import adaptive_bucket
+
 INF = math.inf
 SUMMARY_SCHEMA = "_g string, _bk timestamp_ntz, s double, lo double, hi double"
 ENTRY_SCHEMA = "_g string, _bk timestamp_ntz, entry long"
@@ -60,7 +62,8 @@ def _runs(batches, key_cols):
 
 
 def queue_admission(events: DataFrame, cap: int, bucket: str = "day",
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, hot_bucket: str = "minute",
+                    hot_rows: int = 5_000_000) -> DataFrame:
     """Batch OP-46 over ``events(group_id, ts, event_id, kind)``; cap 0 = unbounded.
 
     Three passes, each a hash exchange on (group, bucket) followed by a sort
@@ -74,10 +77,11 @@ def queue_admission(events: DataFrame, cap: int, bucket: str = "day",
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # non-nullable internal keys: a null group is its own group and a null time
     # sorts first, so no event is dropped (and no IS NOT NULL filter is inferred)
+    # (a hot group — more than ``hot_rows`` events — is cut into finer buckets)
     ev = events.select("group_id", "ts", "event_id", "kind").withColumn(
-        "_g", F.coalesce(F.col("group_id"), F.lit("\u0000"))).withColumn(
-        "_bk", F.coalesce(F.date_trunc(bucket, F.col("ts")).cast("timestamp_ntz"),
-                          F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
+        "_g", F.coalesce(F.col("group_id"), F.lit("\u0000")))
+    ev = adaptive_bucket(ev, ["_g"], "ts", coarse=bucket, fine=hot_bucket, hot_rows=hot_rows)
+    ev = ev.withColumn("_bk", F.coalesce(F.col("_bk"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
     # one hash exchange on (group, bucket), read by both full passes (identical
     # subtrees, so Spark reuses the shuffle output instead of shuffling twice)
     shuffled = ev.repartition(n, "_g", "_bk")

@@ -10,14 +10,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from engram.config import CONTRADICTIONS_LIMIT
-from engram.functions.common import ntz
+from engram.functions.common import adaptive_bucket, ntz
 from engram.session import reliable_checkpoint
 
 FACT_KEYS = ["graph", "subject", "relation"]
 
 
 def resolve_supersession(observations: DataFrame, keys: list[str] | None = None,
-                         bucket: str = "month") -> DataFrame:
+                         bucket: str = "month", hot_bucket: str = "hour",
+                         hot_rows: int = 5_000_000) -> DataFrame:
     """Turn time-stamped observations into facts with validity intervals (OP-W3).
 
     For one (graph, subject, relation) ordered by (valid_at, uuid): consecutive
@@ -27,14 +28,15 @@ def resolve_supersession(observations: DataFrame, keys: list[str] | None = None,
     starts a new fact.
 
     Skew: a single subject may hold a large share of all rows, so the windows
-    are partitioned by (key, time bucket) instead of key alone, and the bucket
-    borders are stitched with per-bucket summaries (one row per key and bucket)
-    — no task ever sorts a whole hot key.
+    are partitioned by (key, time bucket) instead of key alone — monthly
+    buckets, hourly for keys with more than ``hot_rows`` rows — and the bucket
+    borders are stitched with per-bucket summaries (one row per key and bucket).
+    No task ever sorts a whole hot key.
     """
     keys = keys or FACT_KEYS
     order = [F.col("valid_at"), F.col("uuid")]
-    obs = observations.filter(F.col("valid_at").isNotNull()).withColumn(
-        "_bk", F.date_trunc(bucket, F.col("valid_at")).cast("timestamp_ntz"))
+    obs = adaptive_bucket(observations.filter(F.col("valid_at").isNotNull()), keys, "valid_at",
+                          coarse=bucket, fine=hot_bucket, hot_rows=hot_rows)
     part = keys + ["_bk"]
     w_in = Window.partitionBy(*part).orderBy(*order)
 

@@ -34,9 +34,11 @@ def test_admission_matches_loop_across_buckets(spark, cap):
     rows = [(rnd.choice("ab"), base + dt.timedelta(hours=rnd.randint(0, 24 * 20)), i,
              rnd.choice(["add", "add", "done"])) for i in range(800)]
     rows += [("a", base, 10_000, "add"), ("a", base, 10_001, "add")]  # equal timestamps
-    got = {r["event_id"]: (r["decision"], r["pending_before"])
-           for r in queue_admission(spark.createDataFrame(rows, EV), cap, bucket="day").collect()}
-    assert got == loop(rows, cap)
+    for hot_rows in (10**9, 300):  # 300: group "a" or "b" switches to minute buckets
+        got = {r["event_id"]: (r["decision"], r["pending_before"])
+               for r in queue_admission(spark.createDataFrame(rows, EV), cap, bucket="day",
+                                        hot_rows=hot_rows).collect()}
+        assert got == loop(rows, cap), hot_rows
 
 
 def test_admission_edges(spark):
