@@ -40,20 +40,25 @@ def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Colum
                     salt_col: Column | None = None) -> DataFrame:
     """Exact top-k per group that stays flat when one group holds most rows.
 
-    Phase 1 ranks inside (group, salt) and keeps k rows per salt
-    (``WindowGroupLimit`` prunes before the sort finishes); phase 2 ranks the
-    at most ``salt_buckets * k`` survivors of each group. The salt must be a
-    deterministic function of the row so retries see the same split.
+    For ``k`` up to the optimizer's window-group-limit threshold, a single
+    ``row_number() <= k`` window is enough: Spark plans a *partial*
+    WindowGroupLimit before the shuffle, so every map task ships at most k rows
+    per group and a hot group receives at most k x (map tasks) rows. Above the
+    threshold the limit is not inserted, so the work is split explicitly:
+    top-k inside (group, salt), then a merge of at most ``salt_buckets * k``
+    rows per group. The salt is a deterministic function of the row.
     """
+    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k <= threshold:
+        return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
     if salt_col is None:
         salt_col = F.xxhash64(*[F.col(c) for c in df.columns])
     salted = df.withColumn("_salt", F.pmod(salt_col, F.lit(salt_buckets)))
     w1 = Window.partitionBy(*group_cols, "_salt").orderBy(*order_cols)
     phase1 = (salted.withColumn("_r1", F.row_number().over(w1))
               .filter(F.col("_r1") <= k).drop("_r1", "_salt"))
-    w2 = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    return (phase1.withColumn(rank_col, F.row_number().over(w2))
-            .filter(F.col(rank_col) <= k))
+    return phase1.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
 def global_rank(df: DataFrame, order_cols: list[Column], rank_col: str = "ordinal",
