@@ -84,16 +84,6 @@ def global_rank(df: DataFrame, order_cols: list[Column], rank_col: str = "ordina
             .drop("_mid", "_pid", "_off", "_start"))
 
 
-def size_bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a side only when its row count is proven small.
-
-    The count runs on the (small) side before planning the join; beyond the
-    bound the side is returned unhinted and Spark/AQE choose a shuffle join.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def adaptive_bucket(df: DataFrame, keys: list[str], ts_col: str, coarse: str = "month",
                     fine: str = "hour", hot_rows: int = 5_000_000) -> DataFrame:
     """Add ``_bk``: a time bucket per row, coarse for ordinary keys and fine for

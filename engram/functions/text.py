@@ -31,10 +31,6 @@ def py_strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WS_CHARS))
 
 
-def py_strip_sql(expr: str) -> str:
-    return f"regexp_replace({expr}, '^{WS_CLASS}+|{WS_CLASS}+\\\\z', '')"
-
-
 def is_blank(c: Column) -> Column:
     return F.length(py_strip(c)) == 0
 
