@@ -15,7 +15,6 @@ from engram.sources.tables import Tables
 NOW = "2001-08-01 00:00:00"
 DAYS = 426                      # cutoff 2000-06-01 00:00:00
 CUTOFF = "2000-06-01 00:00:00"
-CASCADE_MIN_QTY = 44
 GRAPHS = ["personal", "client", "archive"]   # 'archive' does not exist -> nulls
 NODE_TYPES = ["PROMO", "BUILDING"]
 SEED_NAME, SEED_BRAND = "hot gear", "Brand#3"
@@ -67,7 +66,7 @@ def q_compact_episodes(spark, d):
 
 
 CASCADE_CTE = f"""
-{EPISODES_CTE}, {mentions_cte(CASCADE_MIN_QTY)}, {FACTS_CTE},
+{EPISODES_CTE}, {mentions_cte()}, {FACTS_CTE},
 deleted AS (SELECT graph, uuid AS episode_uuid FROM episodes WHERE created_at < TIMESTAMP '{CUTOFF}')
 """
 
@@ -83,7 +82,7 @@ def q_cascade_entities(spark, d):
     t = Tables(spark, d)
     deleted = T.age_filter(derive.episodes(t), NOW, DAYS).select(
         "graph", F.col("uuid").alias("episode_uuid"))
-    ents, _ = G.remove_episode_cascade(deleted, derive.mentions(t, CASCADE_MIN_QTY), derive.facts(t))
+    ents, _ = G.remove_episode_cascade(deleted, derive.mentions(t), derive.facts(t))
     return ents
 
 
@@ -95,7 +94,7 @@ def q_cascade_facts(spark, d):
     t = Tables(spark, d)
     deleted = T.age_filter(derive.episodes(t), NOW, DAYS).select(
         "graph", F.col("uuid").alias("episode_uuid"))
-    _, facts = G.remove_episode_cascade(deleted, derive.mentions(t, CASCADE_MIN_QTY), derive.facts(t))
+    _, facts = G.remove_episode_cascade(deleted, derive.mentions(t), derive.facts(t))
     return facts.select("graph", "uuid", "subject")
 
 
@@ -169,7 +168,7 @@ def q_search_nodes_filter(spark, d):
 
 
 @register("graph_expand", sql=f"""
-WITH {mentions_cte(CASCADE_MIN_QTY)},
+WITH {mentions_cte()},
 seeds AS (SELECT DISTINCT CASE WHEN p_partkey % 2 = 0 THEN 'personal' ELSE 'client' END AS graph,
                  'entity' AS kind, p_partkey AS node, 0 AS hop
           FROM part WHERE p_name = '{SEED_NAME}' AND p_brand = '{SEED_BRAND}'),
@@ -186,7 +185,7 @@ def q_graph_expand(spark, d):
     t = Tables(spark, d)
     seeds = (t.part.filter((F.col("p_name") == SEED_NAME) & (F.col("p_brand") == SEED_BRAND))
              .select(tier_of_parity(F.col("p_partkey")).alias("graph"), F.col("p_partkey").alias("uuid")))
-    return G.graph_expand(seeds, derive.mentions(t, CASCADE_MIN_QTY), HOPS)
+    return G.graph_expand(seeds, derive.mentions(t), HOPS)
 
 
 @register("all_graphs", sql=f"""

@@ -137,3 +137,15 @@ def test_stats_unknown_graph_is_null(spark):
     assert (r["g"]["nodes"], r["g"]["edges"], r["g"]["episodes"]) == (2, 2, 1)
     assert r["nope"]["nodes"] is None
     _ = F
+
+
+def test_adaptive_bucket_splits_only_hot_keys(spark):
+    from engram.functions.common import adaptive_bucket
+
+    rows = [("hot", dt.datetime(2020, 1, 1) + dt.timedelta(minutes=7 * i)) for i in range(50)]
+    rows += [("cold", dt.datetime(2020, 1, 1, 5)), ("cold", dt.datetime(2020, 1, 20))]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz")
+    b = adaptive_bucket(df, ["k"], "t", coarse="month", fine="hour", hot_rows=10)
+    n = {r["k"]: r["n"] for r in b.groupBy("k").agg(F.countDistinct("_bk").alias("n")).collect()}
+    assert n == {"hot": 6, "cold": 1}
+    assert b.count() == len(rows)
