@@ -52,7 +52,8 @@ def q_attribute_coverage(spark, d):
     return O.attribute_coverage(typed, "entity_type", [f for f, _ in SIGNAL_FIELDS])
 
 
-def _rule_sql() -> str:
+def _rule_cte() -> str:
+    """CTEs ending in ``extracted(doc_id, graph, entity_type, priority, value)``."""
     from engram.plans.catalog_text import WR_CTE
 
     rules = O.TRIGGER_RULES + O.EXTRA_RULES
@@ -60,15 +61,40 @@ def _rule_sql() -> str:
         f"SELECT doc_id, graph, '{t}' AS entity_type, {p} AS priority, "
         f"regexp_extract_all(episode_body, '{pat.replace(chr(39), chr(39) * 2)}', 1) AS vals "
         f"FROM wr WHERE graph = '{g}'" for g, t, p, pat in rules)
-    return f"""WITH {WR_CTE},
+    return f"""{WR_CTE},
 hits AS (SELECT * FROM ({arms}) WHERE len(vals) > 0),
 best AS (SELECT doc_id, graph, min(priority) AS priority FROM hits GROUP BY doc_id, graph),
 chosen AS (SELECT h.doc_id, h.graph, h.entity_type, h.priority, unnest(h.vals) AS value
-           FROM hits h JOIN best b ON b.doc_id = h.doc_id AND b.graph = h.graph AND b.priority = h.priority)
-SELECT doc_id, graph, entity_type, priority, value FROM chosen
-UNION ALL
-SELECT doc_id, graph, 'Topic', 99, NULL FROM wr w
-WHERE graph = 'personal' AND NOT EXISTS (SELECT 1 FROM best b WHERE b.doc_id = w.doc_id AND b.graph = w.graph)"""
+           FROM hits h JOIN best b ON b.doc_id = h.doc_id AND b.graph = h.graph AND b.priority = h.priority),
+extracted AS (SELECT doc_id, graph, entity_type, priority, value FROM chosen
+  UNION ALL
+  SELECT doc_id, graph, 'Topic', 99, NULL FROM wr w
+  WHERE graph = 'personal' AND NOT EXISTS (SELECT 1 FROM best b WHERE b.doc_id = w.doc_id AND b.graph = w.graph))"""
+
+
+def _rule_sql() -> str:
+    return f"WITH {_rule_cte()} SELECT doc_id, graph, entity_type, priority, value FROM extracted"
+
+
+def _ontology_values_sql() -> str:
+    rows = ", ".join(f"('{g}', '{name}', {len(fields)})" for g, types in O.ONTOLOGY.items()
+                     for name, fields in types)
+    return f"ont AS (SELECT * FROM (VALUES {rows}) t(graph, entity_type, n_fields))"
+
+
+@register("ontology_load", sql=f"""WITH {_rule_cte()}, {_ontology_values_sql()},
+ext AS (SELECT graph, entity_type, count(DISTINCT doc_id) AS episodes FROM extracted GROUP BY ALL)
+SELECT o.graph, o.entity_type, o.n_fields, coalesce(e.episodes, 0) AS episodes
+FROM ont o LEFT JOIN ext e ON e.graph = o.graph AND e.entity_type = o.entity_type""")
+def q_ontology_load(spark, d):
+    """OP-03: the configured ontology (per tier) with how many episodes each type
+    was extracted from — the tiny ontology table is broadcast into the join."""
+    ont = O.ontology_frame(spark)
+    ext = (O.rule_extract(derive.write_requests(Tables(spark, d)))
+           .groupBy("graph", "entity_type").agg(F.countDistinct("doc_id").alias("episodes")))
+    return (ont.join(ext, ["graph", "entity_type"], "left")
+            .select("graph", "entity_type", F.size("fields").alias("n_fields"),
+                    F.coalesce(F.col("episodes"), F.lit(0)).alias("episodes")))
 
 
 @register("rule_extract", sql=_rule_sql())

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from engram.operators import admission as A
 from engram.operators.queue import queue_admission
 from engram.plans import derive
-from engram.plans.catalog_text import LINE_RE2, WR_CTE, WS, _norm_sql  # noqa: F401
+from engram.plans.catalog_text import LINE_RE2, MD_CTE, WR_CTE, WS, _norm_sql  # noqa: F401
 from engram.plans.registry import register
-from engram.sinks.snapshot import export_snapshot
+from engram.sinks.snapshot import append_episodes, export_snapshot, manifest, restore_snapshot
 from engram.session import scratch_path
 from engram.sources.tables import Tables, read_table
 from engram.streaming import pipelines as P
@@ -127,3 +127,40 @@ def q_snapshot_export(spark, d):
     root = scratch_path(spark, "snapshots")
     return export_snapshot({"episodes": derive.episodes(t), "entities": derive.entities(t)},
                            root, "snap")
+
+
+SNAP_SQL = """
+WITH e AS (SELECT CASE WHEN o_custkey % 2 = 0 THEN 'personal' ELSE 'client' END AS graph FROM orders),
+n AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN 'personal' ELSE 'client' END AS graph FROM part
+      UNION ALL SELECT CASE WHEN c_custkey % 2 = 0 THEN 'personal' ELSE 'client' END FROM customer)
+SELECT 'episodes' AS "table", graph, count(*) AS "rows" FROM e GROUP BY graph
+UNION ALL SELECT 'entities', graph, count(*) FROM n GROUP BY graph"""
+
+
+@register("snapshot_restore", sql=SNAP_SQL)
+def q_snapshot_restore(spark, d):
+    """OP-08: export, restore into a fresh live location (explicit confirm), and
+    recount what is live afterwards."""
+    t = Tables(spark, d)
+    root, live = scratch_path(spark, "snapshots"), scratch_path(spark, "live")
+    export_snapshot({"episodes": derive.episodes(t), "entities": derive.entities(t)}, root, "snap")
+    restore_snapshot(spark, root, "snap", live, confirm=True)
+    return manifest({n: spark.read.parquet(f"{live}/{n}") for n in ("episodes", "entities")})
+
+
+@register("episode_sink", sql=f"""WITH {MD_CTE}, {WR_CTE}
+SELECT c.rel_path, c.pos, CASE WHEN c.pos = 0 THEN c.rel_path ELSE c.rel_path || ' [' || CAST(c.pos + 1 AS VARCHAR) || ']' END AS name,
+       w.graph, w.effective_group_id AS group_id
+FROM chunks c JOIN wre w ON w.doc_id = c.doc_id""")
+def q_episode_sink(spark, d):
+    """OP-06: chunk episodes appended to the store (partitioned by tier and
+    group), read back from what was written."""
+    from engram.operators import chunking as C
+
+    t = Tables(spark, d)
+    req = A.effective_group(derive.write_requests(t)).select(
+        "doc_id", "graph", F.col("effective_group_id").alias("group_id"))
+    eps = C.episode_names(C.chunk_markdown(derive.markdown_texts(t).select("doc_id", "rel_path", "text")))
+    path = scratch_path(spark, "episodes")
+    append_episodes(eps.join(req, "doc_id"), path)
+    return spark.read.parquet(path).select("rel_path", "pos", "name", "graph", "group_id")
