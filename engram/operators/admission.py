@@ -120,9 +120,13 @@ def novel_memories(batch: DataFrame, store: DataFrame, key_cols: list[str],
     reduced before the shuffle instead of landing in one window partition.
     """
     b = batch.withColumn("text_key", body_hash(normalized(F.col("episode_body"))))
-    first = b.groupBy(*key_cols, "text_key").agg(
-        F.min(F.struct(*[F.col(c) for c in order_cols])).alias("_first"))
-    first = first.select(*key_cols, "text_key", *[F.col(f"_first.{c}").alias(c) for c in order_cols])
+    if len(order_cols) == 1:
+        # a fixed-width min is a HashAggregate (no sort-based fallback)
+        first = b.groupBy(*key_cols, "text_key").agg(F.min(order_cols[0]).alias(order_cols[0]))
+    else:
+        first = b.groupBy(*key_cols, "text_key").agg(
+            F.min(F.struct(*[F.col(c) for c in order_cols])).alias("_first"))
+        first = first.select(*key_cols, "text_key", *[F.col(f"_first.{c}").alias(c) for c in order_cols])
     s = store.select(*key_cols, body_hash(normalized(F.col("episode_body"))).alias("text_key")).distinct()
     return first.join(s, key_cols + ["text_key"], "left_anti")
 
