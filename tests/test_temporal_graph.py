@@ -149,3 +149,16 @@ def test_adaptive_bucket_splits_only_hot_keys(spark):
     n = {r["k"]: r["n"] for r in b.groupBy("k").agg(F.countDistinct("_bk").alias("n")).collect()}
     assert n == {"hot": 6, "cold": 1}
     assert b.count() == len(rows)
+
+
+def test_apply_compaction_writes_new_location(spark):
+    from engram.session import scratch_path
+
+    eps = spark.createDataFrame([("g", 1, dt.datetime(2000, 1, 1)), ("g", 2, dt.datetime(2021, 5, 1))],
+                                "graph string, uuid long, created_at timestamp_ntz")
+    men = spark.createDataFrame([("g", 1, 9), ("g", 2, 9)], "graph string, episode_uuid long, entity_uuid long")
+    facts = spark.createDataFrame([("g", 5, [1])], "graph string, uuid long, episodes array<long>")
+    root = scratch_path(spark, "compacted")
+    r = G.apply_compaction(eps, men, facts, "2021-06-01 00:00:00", 90, root).first()
+    assert (r["episodes_before"], r["episodes_after"], r["mentions_after"], r["facts_unchanged"]) == (2, 1, 1, True)
+    assert spark.read.parquet(f"{root}/episodes").count() == 1
