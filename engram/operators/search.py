@@ -71,17 +71,18 @@ def bm25_scores(corpus: DataFrame, queries: DataFrame, id_col="doc_id", text_col
     # filters them differently, so their exchanges cannot be reused)
     post = reliable_checkpoint(occ.groupBy(*ids, "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
 
-    stats = (post.select(*ids, "dl").distinct()
-             .agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg("dl").alias("avgdl"))
-             .withColumn("_one", F.lit(1)))
-    df_t = (post.filter(F.col("term").isNotNull()).groupBy("term")
-            .agg(F.count(F.lit(1)).alias("df")).withColumn("_one", F.lit(1)))
+    # corpus statistics: one aggregate row over the (materialised) postings,
+    # read back as two literals — no join with a one-row table
+    st = post.select(*ids, "dl").distinct().agg(
+        F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+    n_units, avgdl = float(st["n"]), float(st["avgdl"] or 0.0) or 1.0
+    df_t = post.filter(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     qterms = qtok.select("query_id", F.explode("_qt").alias("term"))
-    q_idf = (qterms.join(df_t, "term").join(F.broadcast(stats), "_one")
-             .withColumn("idf", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-             .select("query_id", "term", "idf", "avgdl"))
+    q_idf = (qterms.join(df_t, "term")
+             .withColumn("idf", F.log(1 + (F.lit(n_units) - F.col("df") + 0.5) / (F.col("df") + 0.5)))
+             .select("query_id", "term", "idf"))
     side = F.broadcast(q_idf) if n_vocab_bound <= MAX_BROADCAST_QUERY_TERMS else q_idf
-    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / F.col("avgdl"))
+    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl))
     contrib = F.col("idf") * F.col("tf") * F.lit(k1 + 1) / (F.col("tf") + norm)
     return (post.filter(F.col("term").isNotNull()).join(side, "term")
             .groupBy("query_id", *ids).agg(rounded_score(F.sum(contrib)).alias("score")))
