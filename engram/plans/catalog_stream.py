@@ -83,10 +83,11 @@ WITH lines AS (
   FROM events),
 typed AS (SELECT t, CASE regexp_extract(host, ':([^:]*)$', 1) WHEN '8000' THEN 'personal'
                         WHEN '8001' THEN 'client' ELSE '?' END AS tier,
-                 CAST(CAST(floor(status / 100) AS BIGINT) AS VARCHAR) || 'xx' AS klass
+                 CAST(CAST(floor(status / 100) AS BIGINT) AS VARCHAR) || 'xx' AS klass, status
           FROM lines WHERE t IS NOT NULL),
-w AS (SELECT (t // 3600) * 3600 AS window_start, tier, klass, count(*) AS requests FROM typed GROUP BY ALL)
-SELECT window_start, tier, klass, requests FROM w
+w AS (SELECT (t // 3600) * 3600 AS window_start, tier, klass, count(*) AS requests,
+             count(*) FILTER (WHERE status = 401) AS unauthorized FROM typed GROUP BY ALL)
+SELECT window_start, tier, klass, requests, unauthorized FROM w
 WHERE window_start + 3600 <= (SELECT max(t) FROM typed) - 600"""
 
 

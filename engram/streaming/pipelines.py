@@ -43,12 +43,21 @@ def activity_stream(lines: DataFrame, window: str = "1 hour", delay: str = "10 m
              .withColumn("tier", F.when(F.col("host").isNull(), F.lit("?"))
                          .otherwise(AC.tier_of_host(F.col("host"))))
              .withColumn("klass", AC.status_class(F.col("rec")))
+             .withColumn("status", F.try_variant_get(F.col("rec"), "$.status", "bigint"))
              .withColumn("event_time", F.timestamp_seconds(F.try_variant_get(F.col("rec"), "$.ts", "bigint")))
              .filter(F.col("event_time").isNotNull()))
     return (typed.withWatermark("event_time", delay)
             .groupBy(F.window("event_time", window), "tier", "klass")
-            .agg(F.count(F.lit(1)).alias("requests"))
-            .select(F.unix_seconds(F.col("window.start")).alias("window_start"), "tier", "klass", "requests"))
+            .agg(F.count(F.lit(1)).alias("requests"),
+                 F.count_if(F.col("status") == 401).alias("unauthorized"))
+            .select(F.unix_seconds(F.col("window.start")).alias("window_start"), "tier", "klass",
+                    "requests", "unauthorized"))
+
+
+def unauthorized_alerts(windows: DataFrame, min_unauthorized: int) -> DataFrame:
+    """401 alerts on closed activity windows (a row filter, works on the stream
+    output or on a batch of windows): wrong or missing bearer tokens."""
+    return windows.filter(F.col("unauthorized") >= min_unauthorized)
 
 
 def dedup_stream(requests: DataFrame, store: DataFrame, key_cols: list[str],

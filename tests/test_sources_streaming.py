@@ -108,3 +108,21 @@ def test_dedup_stream(spark):
     out = run_available_now(P.dedup_stream(file_stream(spark, src, df.schema), store, ["graph"])
                             .select("graph", "text_key"), "dtest")
     assert spark.read.parquet(out).count() == 1
+
+
+def test_activity_stream_and_alerts(spark):
+    from engram.session import scratch_path
+
+    src = scratch_path(spark, "logsrc")
+    base = 1704067200  # 2024-01-01 00:00:00 UTC
+    lines = [f'{{"ts": {base + 60 * i}, "request": {{"host": "h:8000"}}, "status": {401 if i % 3 == 0 else 200}}}'
+             for i in range(300)] + ["junk line"]
+    spark.createDataFrame([(x,) for x in lines], "line string").coalesce(1).write.text(src)
+    stream = spark.readStream.text(src).withColumnRenamed("value", "line")
+    out = run_available_now(P.activity_stream(stream, "1 hour", "10 minutes"), "acttest")
+    w = spark.read.parquet(out)
+    # 5 hours of traffic, the last hour is still open at the end (append mode)
+    assert w.select("window_start").distinct().count() == 4
+    r = w.filter("window_start = 1704067200 AND klass = '4xx'").first()
+    assert (r["requests"], r["unauthorized"]) == (20, 20)
+    assert P.unauthorized_alerts(w, 20).count() == 4
