@@ -3,8 +3,10 @@ activity windows, and check-first de-duplication."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from engram.operators import activity as AC
 from engram.operators import admission as A
@@ -12,16 +14,49 @@ from engram.operators.queue import stream_queue_admission
 from engram.functions.text import normalized
 
 
-def ingest_stream(requests: DataFrame, reject_patterns: dict) -> DataFrame:
-    """OP-45: guard -> effective group -> attribution on a stream of write
-    requests (backpressure, OP-46, sits between the last two when the queue's
-    add/done event stream is available: ``admission_stream``). Rows are kept
-    with ``accepted`` and a reason; the sink splits episodes from rejects."""
-    g = A.tier_guard(requests, reject_patterns)
-    g = A.effective_group(g)
+def ingest_stream(requests: DataFrame, reject_patterns: dict, caps: dict | None = None,
+                  order_col: str = "doc_id") -> DataFrame:
+    """OP-45: guard -> effective group -> backpressure -> attribution, in this
+    order, on a stream of write requests. Rows are kept with ``accepted`` and a
+    reason; the sink splits episodes from rejects.
+
+    Backpressure (``caps``: tier -> max pending, 0 = unbounded) is keyed state
+    per (tier, effective group): a write the guard already refused never
+    enters the queue. This stream carries no completion events, so pending
+    only grows here; with completions use ``admission_stream``. Per micro-batch
+    a key's rows are replayed in ``order_col`` order (bounded by the trigger
+    rate, ``maxFilesPerTrigger``)."""
+    g = A.effective_group(A.tier_guard(requests, reject_patterns))
+    if caps and any(caps.values()):
+        g = g.groupBy("graph", "effective_group_id").applyInPandasWithState(
+            _backpressure_fn(dict(caps), order_col), g.schema, "pending long", "append",
+            GroupStateTimeout.NoTimeout)
     return A.attribute_agent(g)
 
 
+def _backpressure_fn(caps: dict, order_col: str):
+    def fn(key, pdfs, state):
+        graph, group = key
+        cap = int(caps.get(graph, 0) or 0)
+        parts = list(pdfs)
+        if not parts:
+            return
+        pdf = pd.concat(parts, ignore_index=True).sort_values(order_col, kind="stable")
+        p = state.get[0] if state.exists else 0
+        acc = pdf["accepted"].to_numpy(dtype=bool).copy()
+        why = pdf["reject_reason"].to_numpy(dtype=object).copy()
+        for i in range(len(acc)):
+            if not acc[i]:
+                continue
+            if cap and p >= cap:
+                acc[i], why[i] = False, f"queue full for group {group} ({cap} pending)"
+            else:
+                p += 1
+        state.update((p,))
+        yield pdf.assign(accepted=acc, reject_reason=why)
+    return fn
+
+
 def episodes_sink(base: str):
     """foreachBatch writer: accepted rows -> episodes, others -> rejects (append,
     partitioned by tier and group; the epoch id makes a replay overwrite itself)."""

@@ -126,3 +126,24 @@ def test_activity_stream_and_alerts(spark):
     r = w.filter("window_start = 1704067200 AND klass = '4xx'").first()
     assert (r["requests"], r["unauthorized"]) == (20, 20)
     assert P.unauthorized_alerts(w, 20).count() == 4
+
+
+def test_ingest_stream_order_and_backpressure(spark):
+    from engram.session import scratch_path
+
+    src = scratch_path(spark, "wsrc")
+    rows = [(i, "client" if i < 6 else "personal", str(i), "body %d" % i, "text", "desc", "g", "a" if i % 2 else None)
+            for i in range(10)]
+    rows.append((10, "client", "10", "secret stuff", "text", "desc", "g", None))  # refused by the guard
+    schema = ("doc_id long, graph string, name string, episode_body string, source string, "
+              "source_description string, group_id string, agent_id string")
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(src)
+    stream = file_stream(spark, src, spark.read.parquet(src).schema)
+    flow = P.ingest_stream(stream, {"client": "secret"}, caps={"client": 2, "personal": 0})
+    out = run_available_now(flow, "ingtest")
+    got = {r["doc_id"]: (r["accepted"], r["reject_reason"], r["effective_source_description"])
+           for r in spark.read.parquet(out).collect()}
+    assert [d for d in range(11) if got[d][0]] == [0, 1, 6, 7, 8, 9]
+    assert got[2][1] == "queue full for group g (2 pending)"
+    assert got[10][1].startswith("tier guard")
+    assert got[1][2] == "[agent:a] desc" and got[0][2] == "desc"
