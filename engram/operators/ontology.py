@@ -80,18 +80,29 @@ def ontology_frame(spark: SparkSession, ontology: dict | None = None) -> DataFra
 
 
 def load_ontology_yaml(spark: SparkSession, path: str, graph: str) -> DataFrame:
-    """OP-03 from a config file with ``graphiti.entity_types`` (name, description,
-    optional fields). Unknown field types fall back to str."""
+    """OP-03 from a tier config file: the ``entity_types`` list (name,
+    description, optional typed fields), at the top level or inside one
+    section. Unknown field types fall back to str."""
     import yaml
 
     with open(path, encoding="utf-8") as fh:
         cfg = yaml.safe_load(fh) or {}
-    types = (cfg.get("graphiti") or {}).get("entity_types") or []
+    types = _entity_types(cfg)
     ont = {graph: [(t["name"], [(f["name"], f.get("type", "str") if f.get("type", "str") in SPARK_TYPES else "str")
                                 for f in (t.get("fields") or [])]) for t in types]}
     return ontology_frame(spark, ont)
 
 
+def _entity_types(cfg) -> list:
+    if isinstance(cfg, dict):
+        if isinstance(cfg.get("entity_types"), list):
+            return cfg["entity_types"]
+        for v in cfg.values():
+            if isinstance(v, dict) and isinstance(v.get("entity_types"), list):
+                return v["entity_types"]
+    return []
+
+
 def attribute_schema(fields: list[tuple[str, str]]) -> T.StructType:
     """OP-15: all-optional typed record; unknown type -> string."""
     return T.StructType([T.StructField(n, SPARK_TYPES.get(t, T.StringType()), True) for n, t in fields])

@@ -147,3 +147,14 @@ def test_ingest_stream_order_and_backpressure(spark):
     assert got[2][1] == "queue full for group g (2 pending)"
     assert got[10][1].startswith("tier guard")
     assert got[1][2] == "[agent:a] desc" and got[0][2] == "desc"
+
+
+def test_ontology_yaml_loader(spark):
+    p = tempfile.mkdtemp(prefix="ont-") + "/tier.yaml"
+    with open(p, "w") as f:
+        f.write("server: {port: 1}\nmemory:\n  entity_types:\n    - name: Decision\n      description: d\n"
+                "      fields:\n        - name: rationale\n        - name: score\n          type: float\n"
+                "        - name: when\n          type: date\n    - name: Topic\n      description: t\n")
+    rows = {r["entity_type"]: r["fields"] for r in O.load_ontology_yaml(spark, p, "personal").collect()}
+    assert [(x["name"], x["type"]) for x in rows["Decision"]] == [("rationale", "str"), ("score", "float"), ("when", "str")]
+    assert rows["Topic"] == []
