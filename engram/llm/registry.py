@@ -1,6 +1,6 @@
 """All queries of the subpackage: importing the operator modules fills the registry."""
 
-from engram.llm import bpe, decontaminate  # noqa: F401
+from engram.llm import bpe, decontaminate, near_dedup, pii, quality_rules, warc  # noqa: F401
 from engram.llm.common import QUERIES, SQL
 
 
