@@ -1,28 +1,53 @@
-"""Training-corpus pipeline over ``documents``: each stage's output is written as
-Parquet and reread as the next stage's input."""
+"""Training-corpus pipeline over ``documents``.
+
+Each stage takes what its predecessor kept, written as Parquet and reread; all but
+the last return the columns of ``documents``. Clean documents pass every stage:
+only rule failures, all but one of each near-duplicate group, and documents with
+benchmark passages go; personal data is replaced inside the texts that stay.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from engram.llm import bpe, decontaminate
+from engram.llm import bpe, decontaminate, near_dedup, pii, quality_rules
 from engram.llm.common import table, written
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and their language's perplexity band."""
+    return quality_rules.quality_rules(docs).filter("kept").select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each near-duplicate group (five-word
+    shingles, similarity 0.8 or more)."""
+    return near_dedup.near_duplicates(docs).filter("kept").select(*docs.columns)
+
+
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark passage."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), action="remove_documents")
 
 
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data and disclosing terms replaced by labels."""
+    d = pii.sanitise(docs).withColumn("text", F.col("sanitised"))
+    return d.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of what is left."""
     path, pattern = bpe.default_vocabulary()
     return bpe.digests(bpe.round_trip(docs, path, pattern, keep=["doc_id"]))
 
 
-STAGES = [("benchmark decontamination", clean_of_benchmark), ("byte-level BPE", encode)]
+STAGES = [("quality rules", good_quality), ("near duplicates", one_of_each_group),
+          ("benchmark decontamination", clean_of_benchmark), ("personal data", without_personal_data),
+          ("byte-level BPE", encode)]
 
-#: Perplexity bands, near-duplicate components and BPE ids are not SQL-expressible.
+#: Perplexity bands, similarity components and BPE ids are not SQL-expressible.
 ORACLE_SQL = None
 
 

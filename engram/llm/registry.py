@@ -1,6 +1,17 @@
 """All queries of the subpackage: importing the operator modules fills the registry."""
 
-from engram.llm import bpe, decontaminate, near_dedup, pii, quality_rules, warc  # noqa: F401
+from engram.llm import (  # noqa: F401
+    bpe,
+    decontaminate,
+    html_extract,
+    near_dedup,
+    pii,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    url_filter,
+    warc,
+)
 from engram.llm.common import QUERIES, SQL
 
 
