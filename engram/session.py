@@ -8,8 +8,11 @@ from ``spark.checkpoint.dir``; a private one is only made when it is unset
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -31,14 +34,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
+    ship_package(spark)
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when unset (tests, local runs) a
-    private folder is created and registered.
+    Read from ``spark.checkpoint.dir`` or from a checkpoint folder that is already
+    set. Only a local master (tests, one machine) may go without: it gets a private
+    folder that is removed when the process ends; a cluster must name one.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
@@ -47,14 +52,45 @@ def shared_dir(spark: SparkSession) -> str:
             d = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key raises
             d = None
+    if not d and sc.getCheckpointDir() is not None:
+        d = sc.getCheckpointDir()
+        spark.conf.set("spark.checkpoint.dir", d)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="engram-shared-")
+        atexit.register(shutil.rmtree, d, True)
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, once per application.
+
+    Spark's file server hands the archive to every executor, so task functions
+    can import the package wherever the driver was started and whether or not
+    it is installed on the nodes.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="engram-package-"), "engram.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared folder (never a machine-local temp dir)."""
     import uuid
