@@ -22,12 +22,23 @@ def eval_cases_from_items(items: DataFrame, min_len: int = 7, absent_needle: str
                         expect.alias("expect"))
 
 
+#: Result rows (queries x max facts) up to which they are broadcast to the texts.
+MAX_BROADCAST_RESULTS = 2_000_000
+
+
+def result_texts(results: DataFrame, texts: DataFrame) -> DataFrame:
+    """Text of each result row. The results are the small side (queries x max facts,
+    counted) and go to the texts, so corpus text never moves; a result table beyond
+    the bound joins by exchange."""
+    small = results.count() <= MAX_BROADCAST_RESULTS
+    return texts.select("doc_id", "text").join(F.broadcast(results) if small else results, "doc_id")
+
+
 def facts_text(results: DataFrame, texts: DataFrame) -> DataFrame:
     """OP-19: newline-joined, lower-cased result texts per query, in rank order.
     ``results``: (query_id, doc_id, rank), bounded by max_facts per query."""
-    j = results.join(texts.select("doc_id", "text"), "doc_id")
     ordered = F.array_sort(F.collect_list(F.struct("rank", "text")))
-    return j.groupBy("query_id").agg(
+    return result_texts(results, texts).groupBy("query_id").agg(
         F.lower(F.concat_ws("\n", F.transform(ordered, lambda s: s["text"]))).alias("haystack"))
 
 
@@ -41,8 +52,8 @@ def eval_match(cases: DataFrame, results: DataFrame, texts: DataFrame) -> DataFr
     """
     needles = cases.select("case_id", F.posexplode("expect").alias("needle_pos", "needle")).withColumn(
         "needle", F.lower("needle"))
-    res = (results.join(texts.select("doc_id", F.lower("text").alias("ltext")), "doc_id")
-           .select(F.col("query_id").alias("case_id"), "ltext"))
+    res = (result_texts(results.select("query_id", "doc_id"), texts)
+           .select(F.col("query_id").alias("case_id"), F.lower("text").alias("ltext")))
     m = needles.join(res, "case_id", "left").withColumn(
         "_hit", F.coalesce(F.col("ltext").contains(F.col("needle")), F.lit(False)))
     return m.groupBy("case_id", "needle_pos", "needle").agg(F.bool_or("_hit").alias("hit"))
@@ -59,11 +70,3 @@ def eval_recall(cases: DataFrame, matches: DataFrame) -> DataFrame:
     return per_case.agg(F.sum(F.col("passed").cast("long")).alias("passed"),
                         F.count(F.lit(1)).alias("total")).withColumn(
         "ok", F.col("passed") == F.col("total"))
-
-
-def case_results(cases: DataFrame, matches: DataFrame) -> DataFrame:
-    """Per-case PASS/FAIL with the missing needles (bounded by the case's expect list)."""
-    miss = matches.filter(~F.col("hit")).groupBy("case_id").agg(
-        F.array_sort(F.collect_list("needle")).alias("missing"))
-    return (cases.select("case_id", "query").join(miss, "case_id", "left")
-            .withColumn("passed", F.col("missing").isNull()))

@@ -4,8 +4,9 @@ pluggable extractor/embedder hooks, attribute coverage, citation rate
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -210,25 +211,30 @@ def extractor_hook(episodes: DataFrame, extractor: Callable | None = None,
     return episodes.select("doc_id", "graph", "episode_body").mapInPandas(run, schema)
 
 
+@lru_cache(200_000)
+def term_slot(term: str, dim: int) -> tuple[int, float]:
+    """Dimension and sign of a term: the first two hex digits of its md5 choose the
+    dimension, the third the sign (any engine with md5 can repeat it)."""
+    h = hashlib.md5(term.encode()).hexdigest()
+    return int(h[:2], 16) % dim, 1.0 if h[2] < "8" else -1.0
+
+
 def hashing_embedder(dim: int = 64) -> Callable[[pd.Series], pd.Series]:
-    """A model-free default text->vector: feature-hashed term counts (crc32), L2-normalised."""
+    """A model-free default text->vector: signed hashed term counts (whole numbers, so
+    dot products are exact in any order; searches normalise)."""
     import regex
 
-    splitter = regex.compile(r"[^\p{L}\p{N}]+")
+    words = regex.compile(r"[\p{L}\p{N}]+").findall
 
     def embed(texts: pd.Series) -> pd.Series:
-        out = []
-        for t in texts:
-            v = np.zeros(dim, dtype=np.float32)
-            if t:
-                for tok in splitter.split(t.lower()):
-                    if tok:
-                        v[zlib.crc32(tok.encode("utf-8")) % dim] += 1.0
-                n = np.linalg.norm(v)
-                if n > 0:
-                    v /= n
-            out.append(v.tolist())
-        return pd.Series(out)
+        found = [words(t.lower()) if t else [] for t in texts]
+        kinds = {w: term_slot(w, dim) for w in set().union(*found)}
+        out = np.zeros((len(found), dim), np.float32)
+        for row, terms in zip(out, found):
+            if terms:
+                at, sign = zip(*map(kinds.__getitem__, terms))
+                row += np.bincount(at, sign, minlength=dim)
+        return pd.Series(list(out))
     return embed
 
 

@@ -1,16 +1,19 @@
-"""Hybrid retrieval: BM25 leg, vector leg, rank fusion, top-k, token budget
+"""Hybrid retrieval: BM25, vector and graph legs, rank fusion, top-k, token budget
 (OP-16, 29, 31, 32, 33, 34, W1, W2, U2).
 
+Tiers are isolated: units and queries carry a ``graph`` and every leg matches,
+counts and ranks inside it only; statistics (N, df, avgdl) are per graph.
+
 Scale notes
-- Postings carry the document length, so scoring never joins postings with a
-  per-document table; query terms (small, size-checked) are broadcast into the
-  postings scan and frequent terms cannot skew a shuffle.
-- Corpus statistics (N, avgdl) are one aggregate row read back as literals.
-- Top-k per query is two-phase (salted, then merged), so a query that matches
-  every document never funnels all of them into one task.
+- The lexical index (``postings``) is built once per corpus and kept
+  (``engram.operators.lexical``); a search reads the postings of its query terms.
+- Pruned postings are exchanged once, by unit id. Scores then add up inside the
+  task, and the per-query window's partial limit ships k rows a task, so the
+  (query, unit) pairs never cross the network.
+- Corpus statistics are one row a graph, read back as literals.
 - Exact vector search runs per partition with numpy over the (small,
-  size-bounded) query matrix and emits only k candidates per query and
-  partition; vectors never shuffle, only ids and scores do.
+  size-bounded) query matrix in blocks of a fixed byte budget and emits k
+  candidates per query and batch; vectors never shuffle, only ids and scores do.
 """
 
 from __future__ import annotations
@@ -23,10 +26,10 @@ from pyspark.sql import functions as F
 from engram.config import BM25_B, BM25_K1, RECALL_BUDGET, RRF_K, SCORE_DIGITS
 from engram.functions.common import rounded_score, top_k_per_group
 from engram.functions.text import est_tokens, tokens
-from engram.session import reliable_checkpoint
 
-MAX_BROADCAST_QUERY_TERMS = 5_000_000
+MAX_BROADCAST_QUERY_TERMS = 1_000_000   # rows of (query, graph, term): some 100 MB at most
 MAX_QUERY_VECTORS = 8_192   # per broadcast batch: 8192 x 768 doubles = 48 MiB
+VECTOR_BLOCK_BYTES = 32 << 20   # score matrix of one block of vectors
 
 
 # ---------------------------------------------------------------- BM25
@@ -34,69 +37,83 @@ def _ids(id_col) -> list[str]:
     return [id_col] if isinstance(id_col, str) else list(id_col)
 
 
+def _with_graph(df: DataFrame) -> DataFrame:
+    return df if "graph" in df.columns else df.withColumn("graph", F.lit(""))
+
+
 def postings(corpus: DataFrame, id_col="doc_id", text_col: str = "text") -> DataFrame:
-    """(ids..., dl, term, tf) from whole texts; built once, reusable."""
+    """(graph, ids..., dl, term, tf) from whole texts; a unit's null term carries its
+    length alone, so units without words count too. Built once, reusable."""
     ids = _ids(id_col)
-    toks = corpus.select(*ids, tokens(F.col(text_col)).alias("_t"))
-    return (toks.select(*ids, F.size("_t").alias("dl"), F.explode("_t").alias("term"))
-            .groupBy(*ids, "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
+    toks = _with_graph(corpus).select("graph", *ids, tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("_t"))
+    return (toks.select("graph", *ids, F.size("_t").alias("dl"),
+                        F.explode(F.concat("_t", F.array(F.lit(None).cast("string")))).alias("term"))
+            .groupBy("graph", *ids, "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def bm25_scores(corpus: DataFrame, queries: DataFrame, id_col="doc_id", text_col: str = "text",
-                k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
-    """BM25 of every (query, unit) sharing a term -> (query_id, ids..., score).
+def score_postings(post: DataFrame, queries: DataFrame, id_col="doc_id",
+                   k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
+    """BM25 of every (query, unit) of one graph sharing a term -> (query_id, ids..., score).
 
     idf = ln(1 + (N - df + 0.5) / (df + 0.5)); distinct query terms; the score
     is rounded to SCORE_DIGITS so ties are ties in every engine.
-
-    One pass over the corpus: tokens are matched against the (broadcast,
-    size-checked) query vocabulary *before* the shuffle, and every other token
-    of a unit collapses into one null-term row that still carries the unit's
-    length. Those pruned postings (query-term occurrences plus one row per
-    unit) are checkpointed once and feed the corpus statistics (N, avgdl), the
-    document frequencies and the scores; the full vocabulary never shuffles.
     """
     ids = _ids(id_col)
-    qtok = queries.select("query_id", F.array_distinct(tokens(F.col("text"))).alias("_qt"))
-    vocab = qtok.select(F.explode("_qt").alias("term")).distinct().withColumn("_q", F.lit(True))
-    n_vocab_bound = queries.select(F.size(tokens(F.col("text"))).alias("n")).agg(F.sum("n")).first()[0] or 0
-    vocab_side = F.broadcast(vocab) if n_vocab_bound <= MAX_BROADCAST_QUERY_TERMS else vocab
-
-    toks = corpus.select(*ids, tokens(F.col(text_col)).alias("_t"))
-    occ = toks.select(*ids, F.size("_t").alias("dl"), F.explode_outer("_t").alias("term"))
-    occ = occ.join(vocab_side, "term", "left").select(
-        *ids, "dl", F.when(F.col("_q"), F.col("term")).alias("term"))
-    # materialised once into the shared checkpoint folder: the three consumers
-    # below would otherwise each re-tokenize the corpus (Catalyst prunes and
-    # filters them differently, so their exchanges cannot be reused)
-    post = reliable_checkpoint(occ.groupBy(*ids, "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
-
-    # corpus statistics: one aggregate row over the (materialised) postings,
-    # read back as two literals — no join with a one-row table
-    st = post.select(*ids, "dl").distinct().agg(
-        F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-    n_units, avgdl = float(st["n"]), float(st["avgdl"] or 0.0) or 1.0
-    df_t = post.filter(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    qterms = qtok.select("query_id", F.explode("_qt").alias("term"))
-    q_idf = (qterms.join(df_t, "term")
-             .withColumn("idf", F.log(1 + (F.lit(n_units) - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-             .select("query_id", "term", "idf"))
-    side = F.broadcast(q_idf) if n_vocab_bound <= MAX_BROADCAST_QUERY_TERMS else q_idf
-    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl))
+    qterms = _with_graph(queries).select("query_id", "graph", F.explode(
+        F.array_distinct(tokens(F.coalesce(F.col("text"), F.lit(""))))).alias("term"))
+    small = qterms.count() <= MAX_BROADCAST_QUERY_TERMS
+    near = F.broadcast if small else (lambda df: df)
+    vocab = near(qterms.select("graph", "term").distinct())
+    stats = {r["graph"]: (float(r["n"]), float(r["avgdl"] or 0.0) or 1.0)
+             for r in post.filter(F.col("term").isNull()).groupBy("graph")
+             .agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).collect()}
+    if not stats:
+        return post.select(F.lit(0).cast("long").alias("query_id"), *ids, F.lit(0.0).alias("score")).limit(0)
+
+    def of_graph(i: int):
+        return F.element_at(F.create_map(*[F.lit(x) for g, v in stats.items() for x in (g, v[i])]), F.col("graph"))
+
+    df_t = (post.filter(F.col("term").isNotNull()).select("graph", "term").join(vocab, ["graph", "term"])
+            .groupBy("graph", "term").agg(F.count(F.lit(1)).alias("df")))
+    idf = (qterms.join(near(df_t), ["graph", "term"])
+           .withColumn("idf", F.log(1 + (of_graph(0) - F.col("df") + 0.5) / (F.col("df") + 0.5)))
+           .select("query_id", "graph", "term", "idf"))
+    # the one exchange: postings of query terms, by unit
+    hits = post.filter(F.col("term").isNotNull()).join(vocab, ["graph", "term"]).repartition(*ids)
+    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / of_graph(1))
     contrib = F.col("idf") * F.col("tf") * F.lit(k1 + 1) / (F.col("tf") + norm)
-    return (post.filter(F.col("term").isNotNull()).join(side, "term")
+    return (hits.join(near(idf), ["graph", "term"])
             .groupBy("query_id", *ids).agg(rounded_score(F.sum(contrib)).alias("score")))
 
 
-def bm25_search(corpus: DataFrame, queries: DataFrame, k: int, id_col: str = "doc_id",
-                text_col: str = "text", k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
-    """OP-31: top-k documents per query by BM25 -> (query_id, doc_id, score, rank)."""
-    scored = bm25_scores(corpus, queries, id_col, text_col, k1, b)
+def bm25_scores(corpus: DataFrame, queries: DataFrame, id_col="doc_id", text_col: str = "text",
+                k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
+    """Scores over a corpus that has no kept index."""
+    return score_postings(postings(corpus, id_col, text_col), queries, id_col, k1, b)
+
+
+def bm25_search(post: DataFrame, queries: DataFrame, k: int, id_col: str = "doc_id",
+                k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
+    """OP-31: top-k units per query by BM25 over an index -> (query_id, doc_id, score, rank)."""
+    scored = score_postings(post, queries, id_col, k1, b)
     if id_col != "doc_id":
         scored = scored.withColumnRenamed(id_col, "doc_id")
     return leg_rank(scored, k)
 
 
+def graph_leg(seeds: DataFrame, edges: DataFrame, depth: int) -> DataFrame:
+    """Graph expansion of a leg: units that share a node with a query's seeds.
+
+    ``seeds``: (query_id, doc_id, rank), bounded by queries x seeds; ``edges``: (graph,
+    doc_id, node). A unit scores 1 / the rank of its best seed. The bounded side is
+    broadcast twice; the edges are scanned, never shuffled."""
+    nodes = (edges.join(F.broadcast(seeds.select("query_id", "doc_id", "rank")), "doc_id")
+             .groupBy("query_id", "graph", "node").agg(F.min("rank").alias("rank")))
+    reached = (edges.join(F.broadcast(nodes), ["graph", "node"])
+               .groupBy("query_id", "doc_id").agg(rounded_score(1.0 / F.min("rank")).alias("score")))
+    return leg_rank(reached, depth)
+
+
 # ---------------------------------------------------------------- vectors
 def embedding_guard(vectors: DataFrame, dim: int, embedder: str | None = None,
                     embedder_col: str | None = None) -> DataFrame:
@@ -123,55 +140,67 @@ def label_centroids(vectors: DataFrame, label_col: str = "label") -> DataFrame:
                       vector_to_array("_m").alias("embedding"))
 
 
+def _block_top(v, ids, q_ids, q, qn, k: int):
+    """(query, unit, score) of the k best units of a block for every query (ties: lowest id)."""
+    vn = np.linalg.norm(v, axis=1)
+    vn[vn == 0] = np.nan
+    s = np.round((v @ q.T) / vn[:, None] / qn[None, :], SCORE_DIGITS)
+    s = np.where(np.isnan(s), -np.inf, s)
+    kk = min(k, len(ids))
+    kth = np.partition(s, len(ids) - kk, axis=0)[len(ids) - kk]
+    rows, cols, vals = [], [], []
+    for j in range(len(q_ids)):
+        at = np.flatnonzero((s[:, j] >= kth[j]) & np.isfinite(s[:, j]))
+        at = at[np.lexsort((ids[at], -s[at, j]))][:k]
+        rows.append(ids[at])
+        cols.append(np.full(len(at), q_ids[j]))
+        vals.append(s[at, j])
+    return pd.DataFrame({"query_id": np.concatenate(cols), "doc_id": np.concatenate(rows), "score": np.concatenate(vals)})
+
+
 def vector_search(vectors: DataFrame, queries: DataFrame, k: int,
                   id_col: str = "vec_id") -> DataFrame:
-    """OP-32: exact cosine top-k per query -> (query_id, doc_id, score, rank).
+    """OP-32: exact cosine top-k per query inside its graph -> (query_id, doc_id, score, rank).
 
-    The query table is bounded (checked) and shipped to every task; each
-    partition of vectors computes V·Qᵀ with numpy and keeps its k best per
-    query, then a per-query window merges ≤ k·partitions candidates.
+    The query table is bounded (checked) and shipped to every task; each Arrow
+    batch of vectors computes V·Qᵀ with numpy, block by block within a byte budget,
+    and keeps k rows per query, then a per-query window merges them.
     """
+    queries, vectors = _with_graph(queries), _with_graph(vectors)
     nq = queries.count()
     if nq > MAX_QUERY_VECTORS:
         # exact in bounded batches: every query is still scored against all vectors
-        qb = queries.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit((nq // MAX_QUERY_VECTORS) + 1)))
-        parts = [vector_search(vectors, qb.filter(F.col("_b") == i).drop("_b"), k, id_col)
-                 for i in range((nq // MAX_QUERY_VECTORS) + 1)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
+        n = nq // MAX_QUERY_VECTORS + 1
+        qb = queries.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(n)))
+        out = None
+        for i in range(n):
+            part = vector_search(vectors, qb.filter(F.col("_b") == i).drop("_b"), k, id_col)
+            out = part if out is None else out.unionByName(part)
         return out
-    qpdf = queries.select("query_id", "embedding").toPandas()
-    q_ids = qpdf["query_id"].to_numpy(dtype=np.int64)
-    q = np.vstack(qpdf["embedding"].map(lambda a: np.asarray(a, dtype=np.float64)).to_list()) \
-        if len(qpdf) else np.zeros((0, 1))
-    qn = np.linalg.norm(q, axis=1)
-    qn[qn == 0] = np.nan
-    bq = vectors.sparkSession.sparkContext.broadcast((q_ids, q, qn))
-    digits = SCORE_DIGITS
+    by_graph = {}
+    for r in queries.select("graph", "query_id", "embedding").collect():
+        by_graph.setdefault(r["graph"], []).append((r["query_id"], np.asarray(r["embedding"], np.float64)))
+    packed = {}
+    for g, rows in by_graph.items():
+        q = np.vstack([v for _, v in rows])
+        qn = np.linalg.norm(q, axis=1)
+        qn[qn == 0] = np.nan
+        packed[g] = (np.array([i for i, _ in rows], np.int64), q, qn)
+    bq = vectors.sparkSession.sparkContext.broadcast(packed)
 
     def score_partition(batches):
-        ids, qmat, qnorm = bq.value
         for pdf in batches:
-            if len(pdf) == 0 or len(ids) == 0:
-                continue
-            v = np.vstack(pdf["embedding"].map(lambda a: np.asarray(a, dtype=np.float64)).to_list())
-            vn = np.linalg.norm(v, axis=1)
-            vn[vn == 0] = np.nan
-            s = np.round((v @ qmat.T) / vn[:, None] / qnorm[None, :], digits)
-            s = np.where(np.isnan(s), -np.inf, s)
-            n = s.shape[0]
-            kk = min(k, n)
-            # k-th best score per query; every row tied with it is kept too,
-            # so the final (score desc, id) ranking stays exact
-            kth = np.partition(s, n - kk, axis=0)[n - kk]
-            rows, cols = np.nonzero((s >= kth[None, :]) & np.isfinite(s))
-            if len(rows):
-                yield pd.DataFrame({"query_id": ids[cols].astype(np.int64),
-                                    "doc_id": pdf["doc_id"].to_numpy()[rows].astype(np.int64),
-                                    "score": s[rows, cols].astype(np.float64)})
-
-    cands = vectors.select(F.col(id_col).cast("long").alias("doc_id"), "embedding").mapInPandas(
+            for g, part in pdf.groupby("graph", sort=False):
+                if g not in bq.value:
+                    continue
+                q_ids, q, qn = bq.value[g]
+                step = max(1, VECTOR_BLOCK_BYTES // (8 * max(1, len(q_ids))))
+                for at in range(0, len(part), step):
+                    block = part.iloc[at:at + step]
+                    v = np.vstack([np.asarray(a, np.float64) for a in block["embedding"]])
+                    yield _block_top(v, block["doc_id"].to_numpy(np.int64), q_ids, q, qn, k)
+
+    cands = vectors.select("graph", F.col(id_col).cast("long").alias("doc_id"), "embedding").mapInPandas(
         score_partition, "query_id long, doc_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
     return cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
@@ -228,12 +257,6 @@ def recall_budget(lines: DataFrame, budget: int = RECALL_BUDGET) -> DataFrame:
             .filter(F.col("used") <= budget))
 
 
-def recall_summary(kept: DataFrame) -> DataFrame:
-    """Kept count and used tokens per query (the '— n facts, ~u/budget —' line)."""
-    return kept.groupBy("query_id").agg(F.count(F.lit(1)).alias("kept"),
-                                        F.sum("cost").alias("used"))
-
-
 def best_unit_per_doc(unit_hits: DataFrame) -> DataFrame:
     """Collapse unit-level hits (e.g. chunks) to documents by their best score."""
     return unit_hits.groupBy("query_id", "doc_id").agg(F.max("score").alias("score"))

@@ -108,13 +108,22 @@ def q_extractor_hook(spark, d):
     return O.extractor_hook(derive.write_requests(Tables(spark, d)))
 
 
-@register("embedder_hook")
+@register("embedder_hook", sql=f"""
+WITH words AS (SELECT doc_id, md5(unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda t: length(t) > 0))) AS h
+               FROM documents),
+dims AS (SELECT doc_id, CAST('0x' || substr(h, 1, 2) AS INTEGER) % 64 AS dim,
+                sum(CASE WHEN substr(h, 3, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS x FROM words GROUP BY ALL)
+SELECT d.doc_id, 64 AS dim, round(sqrt(coalesce(sum(x * x), 0)), 6) AS norm,
+       CAST(coalesce(sum((v.dim + 1) * x), 0) AS BIGINT) AS checksum
+FROM documents d LEFT JOIN dims v ON v.doc_id = d.doc_id GROUP BY d.doc_id""")
 def q_embedder_hook(spark, d):
     docs = Tables(spark, d).documents.select("doc_id", "text")
     e = O.embedder_hook(docs, "text", dim=64)
     return e.select("doc_id", F.size("embedding").alias("dim"),
                     F.round(F.sqrt(F.aggregate("embedding", F.lit(0.0),
-                                               lambda acc, x: acc + x * x)), 6).alias("norm"))
+                                               lambda acc, x: acc + x * x)), 6).alias("norm"),
+                    F.expr("cast(aggregate(transform(embedding, (x, i) -> cast(x as double) * (i + 1)), 0D, "
+                           "(a, x) -> a + x) as bigint)").alias("checksum"))
 
 
 @register("citation_rate", sql=f"""

@@ -1,9 +1,9 @@
 """Registered queries: retrieval and evaluation
-(OP-04, 16, 19, 31, 32, 33, 34, 35, 42, W1, W2, U2).
+(OP-04, 16, 19, 29, 31, 32, 33, 34, 35, 42, W1, W2, U2).
 
-Corpus = documents; queries = every benchmark item. Two lexical legs are
-fused: whole-document BM25 and episode-level BM25 (markdown chunks, best chunk
-per document).
+Corpus = facts stated by documents (one per non-blank line); queries = every
+benchmark item, asked in one tier. Three legs are fused: BM25, cosine of hashed
+term vectors, and expansion of the best BM25 hits over their episodes.
 """
 
 from __future__ import annotations
@@ -12,38 +12,63 @@ from pyspark.sql import functions as F
 
 from engram.config import EVAL_MAX_FACTS, RECALL_BUDGET, RECALL_OVER_FETCH
 from engram.functions.text import is_blank, split_lines
-from engram.operators import chunking as C
 from engram.operators import evaluate as E
+from engram.operators import graph as G
+from engram.operators import lexical as LX
+from engram.operators import ontology as O
 from engram.operators import search as S
 from engram.plans import derive
-from engram.plans.catalog_text import LINE_RE2, MD_CTE, WS
+from engram.plans.catalog_text import LINE_RE2, WS
 from engram.plans.registry import register
+from engram.plans.sql_snippets import ENTITIES_CTE, TIER
 from engram.sources.tables import Tables
 
-DEPTH = 25          # per-leg depth before fusion
+DEPTH = 50          # per-leg depth before fusion; more than any k that is asked for
+SEEDS = 3           # lexical hits that the graph leg starts from
+NODES_K = 10
+NODE_TYPES = ["PROMO", "ECONOMY", "BUILDING"]
 VEC_K = 10
 VEC_DIM = 64        # the test vectors' dimension (768 in the reference config)
 
 
 # ---------------------------------------------------------------- Spark side
-def _queries(t):
-    return t.benchmark.select(F.col("item_id").alias("query_id"), "text")
+def _facts(spark, d):
+    """The fact store: made once per version of the documents."""
+    t = Tables(spark, d)
+    return LX.kept_table(spark, "facts", LX.version_of(t.documents), lambda: derive.line_facts(t))
 
 
-def _doc_leg(spark, d):
-    t = Tables(spark, d)
-    return S.bm25_search(t.documents.select("doc_id", "text"), _queries(t), DEPTH)
+def _index(spark, d):
+    return LX.lexical_index(spark, "facts", Tables(spark, d).documents, lambda: _facts(spark, d))
 
 
-def _episode_leg(spark, d):
-    t = Tables(spark, d)
-    chunks = C.chunk_markdown(derive.markdown_texts(t).select("doc_id", "text"))
-    chunk_scores = S.bm25_scores(chunks, _queries(t), ["doc_id", "pos"], "episode_body")
-    return S.leg_rank(S.best_unit_per_doc(chunk_scores), DEPTH)
+def _vectors(spark, d):
+    """Fact embeddings, made at write time by the embedder hook."""
+    return LX.kept_table(spark, "fact-vectors", LX.version_of(Tables(spark, d).documents), lambda: O.embedder_hook(
+        _facts(spark, d), "text", dim=VEC_DIM).select("graph", "doc_id", "embedding"))
+
+
+def _queries(spark, d):
+    return derive.fact_queries(Tables(spark, d))
+
+
+def _lexical_leg(spark, d):
+    return S.bm25_search(_index(spark, d), _queries(spark, d), DEPTH)
+
+
+def _vector_leg(spark, d):
+    asked = O.embedder_hook(_queries(spark, d), "text", dim=VEC_DIM)
+    return S.vector_search(_vectors(spark, d), asked, DEPTH, id_col="doc_id")
+
+
+def _graph_leg(spark, d, lexical):
+    edges = _facts(spark, d).select("graph", "doc_id", F.col("episode").alias("node"))
+    return S.graph_leg(lexical.filter(F.col("rank") <= SEEDS), edges, DEPTH)
 
 
 def _legs(spark, d):
-    return {"document": _doc_leg(spark, d), "episode": _episode_leg(spark, d)}
+    lexical = _lexical_leg(spark, d)
+    return {"lexical": lexical, "vector": _vector_leg(spark, d), "graph": _graph_leg(spark, d, lexical)}
 
 
 def _fused(spark, d, k):
@@ -56,78 +81,134 @@ def _tok_sql(x: str) -> str:
             "lambda t: length(t) > 0)")
 
 
-def bm25_sql(p: str, corpus: str, ids: list[str], text: str) -> str:
-    idl = ", ".join(ids)
-    pid = ", ".join(f"p.{c}" for c in ids)
+def bm25_sql(p: str, corpus: str, queries: str, depth: int) -> str:
+    """CTEs ``{p}_*`` up to ``{p}_leg`` over corpus(graph, fact_id, text), queries(query_id, graph, text)."""
+    return f"""
+{p}_tok AS (SELECT graph, fact_id, {_tok_sql('text')} AS toks FROM {corpus}),
+{p}_stats AS (SELECT graph, CAST(count(*) AS DOUBLE) AS n, avg(len(toks)) AS avgdl FROM {p}_tok GROUP BY graph),
+{p}_post AS (SELECT graph, fact_id, dl, term, count(*) AS tf
+             FROM (SELECT graph, fact_id, len(toks) AS dl, unnest(toks) AS term FROM {p}_tok) GROUP BY ALL),
+{p}_df AS (SELECT graph, term, count(*) AS df FROM {p}_post GROUP BY ALL),
+{p}_qt AS (SELECT DISTINCT query_id, graph, term FROM (SELECT query_id, graph, unnest({_tok_sql('text')}) AS term FROM {queries})),
+{p}_idf AS (SELECT q.query_id, q.graph, q.term, ln(1 + (s.n - d.df + 0.5) / (d.df + 0.5)) AS idf, s.avgdl
+            FROM {p}_qt q JOIN {p}_df d ON d.term = q.term AND d.graph = q.graph JOIN {p}_stats s ON s.graph = q.graph),
+{p}_scores AS (SELECT i.query_id, p.fact_id,
+                 round(sum(i.idf * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * p.dl / i.avgdl))), 9) AS score
+               FROM {p}_idf i JOIN {p}_post p ON p.term = i.term AND p.graph = i.graph GROUP BY ALL),
+{p}_leg AS (SELECT query_id, fact_id, score,
+              CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, fact_id) AS INTEGER) AS rank
+            FROM {p}_scores QUALIFY rank <= {depth})"""
+
+
+FACT_QUERIES_CTE = f"""
+fact_queries AS (SELECT item_id AS query_id, {TIER.format(k='item_id')} AS graph, text FROM benchmark)"""
+
+LINE_FACTS_CTE = f"""
+said AS (SELECT doc_id AS episode, source AS subject, {TIER.format(k="CAST(regexp_extract(source, '([0-9]+)', 1) AS BIGINT)")} AS graph,
+                regexp_split_to_array(text, '{LINE_RE2}') AS l FROM documents),
+line_facts AS (SELECT graph, subject, episode, episode * 1000000 + i AS fact_id, line AS text
+               FROM (SELECT graph, subject, episode, unnest(l) AS line, unnest(range(0, len(l))) AS i FROM said)
+               WHERE length(trim(line, {WS})) > 0)"""
+
+
+def _vector_sql(name: str, source: str, key: str) -> str:
     return f"""
-{p}_tok AS (SELECT {idl}, {_tok_sql(text)} AS toks FROM {corpus}),
-{p}_stats AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(len(toks)) AS avgdl FROM {p}_tok),
-{p}_post AS (SELECT {idl}, dl, term, count(*) AS tf
-             FROM (SELECT {idl}, len(toks) AS dl, unnest(toks) AS term FROM {p}_tok) GROUP BY ALL),
-{p}_df AS (SELECT term, count(*) AS df FROM {p}_post GROUP BY term),
-{p}_qt AS (SELECT DISTINCT query_id, term
-           FROM (SELECT item_id AS query_id, unnest({_tok_sql('text')}) AS term FROM benchmark)),
-{p}_idf AS (SELECT q.query_id, q.term, ln(1 + (s.n - d.df + 0.5) / (d.df + 0.5)) AS idf
-            FROM {p}_qt q JOIN {p}_df d ON d.term = q.term CROSS JOIN {p}_stats s),
-{p}_scores AS (SELECT i.query_id, {pid},
-                 round(sum(i.idf * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * p.dl / s.avgdl))), 9) AS score
-               FROM {p}_idf i JOIN {p}_post p ON p.term = i.term CROSS JOIN {p}_stats s
-               GROUP BY i.query_id, {pid})"""
+{name}_dims AS (SELECT graph, {key}, dim, sum(sign) AS x
+  FROM (SELECT graph, {key}, CAST('0x' || substr(h, 1, 2) AS INTEGER) % {VEC_DIM} AS dim,
+               CASE WHEN substr(h, 3, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS sign
+        FROM (SELECT graph, {key}, md5(term) AS h
+              FROM (SELECT graph, {key}, unnest({_tok_sql('text')}) AS term FROM {source}))) GROUP BY ALL),
+{name}_norm AS (SELECT graph, {key}, sqrt(sum(x * x)) AS norm FROM {name}_dims GROUP BY ALL HAVING sum(x * x) > 0)"""
 
 
 LEGS_CTE = f"""
-{MD_CTE},
-{bm25_sql('bd', 'documents', ['doc_id'], 'text')},
-{bm25_sql('be', 'chunks', ['doc_id', 'pos'], 'episode_body')},
-leg_document AS (SELECT query_id, doc_id, score,
-                   CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
-                 FROM bd_scores QUALIFY rank <= {DEPTH}),
-be_doc AS (SELECT query_id, doc_id, max(score) AS score FROM be_scores GROUP BY query_id, doc_id),
-leg_episode AS (SELECT query_id, doc_id, score,
-                  CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
-                FROM be_doc QUALIFY rank <= {DEPTH}),
-legs AS (SELECT 'document' AS leg, query_id, doc_id, rank FROM leg_document
-         UNION ALL SELECT 'episode', query_id, doc_id, rank FROM leg_episode),
-fused AS (SELECT query_id, doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS rrf
-          FROM legs GROUP BY query_id, doc_id)
+{FACT_QUERIES_CTE}, {LINE_FACTS_CTE},
+{bm25_sql('bm', 'line_facts', 'fact_queries', DEPTH)},
+{_vector_sql('fv', 'line_facts', 'fact_id')}, {_vector_sql('qv', 'fact_queries', 'query_id')},
+dots AS (SELECT q.query_id, f.fact_id, sum(q.x * f.x) AS dot
+         FROM qv_dims q JOIN fv_dims f ON f.graph = q.graph AND f.dim = q.dim GROUP BY ALL),
+leg_vector AS (SELECT q.query_id, f.fact_id, round(coalesce(d.dot, 0) / f.norm / q.norm, 9) AS score,
+                 CAST(row_number() OVER (PARTITION BY q.query_id
+                      ORDER BY round(coalesce(d.dot, 0) / f.norm / q.norm, 9) DESC, f.fact_id) AS INTEGER) AS rank
+               FROM qv_norm q JOIN fv_norm f ON f.graph = q.graph
+               LEFT JOIN dots d ON d.query_id = q.query_id AND d.fact_id = f.fact_id QUALIFY rank <= {DEPTH}),
+seen AS (SELECT b.query_id, f.graph, f.episode, min(b.rank) AS rank
+         FROM bm_leg b JOIN line_facts f ON f.fact_id = b.fact_id WHERE b.rank <= {SEEDS} GROUP BY ALL),
+reached AS (SELECT s.query_id, f.fact_id, round(1.0::DOUBLE / min(s.rank), 9) AS score
+            FROM seen s JOIN line_facts f ON f.graph = s.graph AND f.episode = s.episode GROUP BY ALL),
+leg_graph AS (SELECT query_id, fact_id, score,
+                CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, fact_id) AS INTEGER) AS rank
+              FROM reached QUALIFY rank <= {DEPTH}),
+legs AS (SELECT 'lexical' AS leg, query_id, fact_id, rank FROM bm_leg
+         UNION ALL SELECT 'vector', query_id, fact_id, rank FROM leg_vector
+         UNION ALL SELECT 'graph', query_id, fact_id, rank FROM leg_graph),
+fused AS (SELECT query_id, fact_id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS rrf
+          FROM legs GROUP BY query_id, fact_id)
 """
 
 
 def fused_top_sql(k: int, name: str = "top") -> str:
-    return f"""{name} AS (SELECT query_id, doc_id, rrf,
-         CAST(row_number() OVER (PARTITION BY query_id ORDER BY rrf DESC, doc_id) AS INTEGER) AS rank
+    return f"""{name} AS (SELECT query_id, fact_id, rrf,
+         CAST(row_number() OVER (PARTITION BY query_id ORDER BY rrf DESC, fact_id) AS INTEGER) AS rank
        FROM fused QUALIFY rank <= {k})"""
 
 
+def _ids(df, *cols):
+    return df.select("query_id", F.col("doc_id").alias("fact_id"), *cols)
+
+
 # ---------------------------------------------------------------- queries
-@register("bm25_search", sql=f"WITH {LEGS_CTE} SELECT query_id, doc_id, score, rank FROM leg_document")
+@register("bm25_search", sql=f"WITH {LEGS_CTE} SELECT query_id, fact_id, score, rank FROM bm_leg")
 def q_bm25_search(spark, d):
-    return _doc_leg(spark, d).select("query_id", "doc_id", "score", "rank")
+    return _ids(_lexical_leg(spark, d), "score", "rank")
 
 
-@register("leg_rank", sql=f"WITH {LEGS_CTE} SELECT query_id, doc_id, score, rank FROM leg_episode")
+@register("leg_rank", sql=f"WITH {LEGS_CTE} SELECT query_id, fact_id, score, rank FROM leg_graph")
 def q_leg_rank(spark, d):
-    return _episode_leg(spark, d).select("query_id", "doc_id", "score", "rank")
+    return _ids(_graph_leg(spark, d, _lexical_leg(spark, d)), "score", "rank")
+
 
+@register("fact_vector_search", sql=f"WITH {LEGS_CTE} SELECT query_id, fact_id, score, rank FROM leg_vector")
+def q_fact_vector_search(spark, d):
+    return _ids(_vector_leg(spark, d), "score", "rank")
 
-@register("leg_union", sql=f"WITH {LEGS_CTE} SELECT leg, query_id, doc_id, rank FROM legs")
+
+@register("leg_union", sql=f"WITH {LEGS_CTE} SELECT leg, query_id, fact_id, rank FROM legs")
 def q_leg_union(spark, d):
-    return S.leg_union(_legs(spark, d))
+    return _ids(S.leg_union(_legs(spark, d)), "leg", "rank")
 
 
-@register("hybrid_search", sql=f"WITH {LEGS_CTE}, {fused_top_sql(DEPTH)} SELECT * FROM top")
+@register("hybrid_search", sql=f"WITH {LEGS_CTE}, {fused_top_sql(RECALL_OVER_FETCH)} SELECT * FROM top")
 def q_hybrid_search(spark, d):
-    return S.rrf_fuse(_legs(spark, d), DEPTH).select("query_id", "doc_id", "rrf", "rank")
+    return _ids(S.rrf_fuse(_legs(spark, d), RECALL_OVER_FETCH), "rrf", "rank")
 
 
-@register("search_memory_facts", sql=f"WITH {LEGS_CTE}, {fused_top_sql(EVAL_MAX_FACTS)} SELECT * FROM top")
+@register("search_memory_facts", sql=f"""WITH {LEGS_CTE}, {fused_top_sql(EVAL_MAX_FACTS)}
+SELECT t.query_id, f.graph, t.fact_id, f.subject, f.episode, t.rrf, t.rank FROM top t JOIN line_facts f ON f.fact_id = t.fact_id""")
 def q_search_memory_facts(spark, d):
-    return _fused(spark, d, EVAL_MAX_FACTS).select("query_id", "doc_id", "rrf", "rank")
+    """Facts (subject, episode and tier included) for each query, in its tier."""
+    facts = _facts(spark, d).select("graph", "doc_id", "subject", "episode")
+    j = facts.join(F.broadcast(_fused(spark, d, EVAL_MAX_FACTS)), "doc_id")  # queries x max facts rows
+    return _ids(j, "graph", "subject", "episode", "rrf", "rank")
+
+
+@register("search_nodes", sql=f"""WITH {ENTITIES_CTE},
+typed AS (SELECT graph, uuid AS fact_id, name AS text FROM entities WHERE entity_type IN ({', '.join(map(repr, NODE_TYPES))})),
+node_queries AS (SELECT graph, min(uuid) AS query_id, name AS text FROM entities WHERE uuid > 0 GROUP BY graph, name),
+{bm25_sql('sn', 'typed', 'node_queries', NODES_K)}
+SELECT query_id, fact_id AS uuid, score, rank FROM sn_leg""")
+def q_search_nodes(spark, d):
+    """OP-29: every distinct part name, searched among the entities of some types in its tier."""
+    ents = derive.entities(Tables(spark, d))
+    queries = (ents.filter(F.col("uuid") > 0).groupBy("graph", F.col("name").alias("text"))
+               .agg(F.min("uuid").alias("query_id")))
+    typed = G.filter_entity_types(ents, NODE_TYPES).select("graph", F.col("uuid").alias("doc_id"), F.col("name").alias("text"))
+    return S.bm25_search(S.postings(typed), queries, NODES_K).select("query_id", F.col("doc_id").alias("uuid"), "score", "rank")
 
 
 @register("recall_budget", sql=f"""WITH {LEGS_CTE}, {fused_top_sql(RECALL_OVER_FETCH)},
 s AS (SELECT t.query_id, t.rank, regexp_split_to_array(d.text, '{LINE_RE2}') AS l
-      FROM top t JOIN documents d ON d.doc_id = t.doc_id),
+      FROM top t JOIN line_facts d ON d.fact_id = t.fact_id),
 u AS (SELECT query_id, rank, unnest(l) AS line, unnest(range(0, len(l))) AS line_no FROM s),
 c AS (SELECT query_id, rank, CAST(line_no AS INTEGER) AS line_no,
              CAST(greatest(1, length(line) // 4) AS BIGINT) AS cost
@@ -136,9 +217,7 @@ r AS (SELECT *, sum(cost) OVER (PARTITION BY query_id ORDER BY rank, line_no
                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS used FROM c)
 SELECT query_id, rank, line_no, cost, CAST(used AS BIGINT) AS used FROM r WHERE used <= {RECALL_BUDGET}""")
 def q_recall_budget(spark, d):
-    t = Tables(spark, d)
-    top = _fused(spark, d, RECALL_OVER_FETCH)
-    lines = (top.join(t.documents.select("doc_id", "text"), "doc_id")
+    lines = (E.result_texts(_fused(spark, d, RECALL_OVER_FETCH), _facts(spark, d))
              .select("query_id", "rank", F.posexplode(split_lines(F.col("text"))).alias("line_no", "line"))
              .filter(~is_blank(F.col("line"))))
     return S.recall_budget(lines, RECALL_BUDGET).select("query_id", "rank", "line_no", "cost",
@@ -170,11 +249,10 @@ def q_eval_case_load(spark, d):
 
 @register("facts_text", sql=f"""WITH {LEGS_CTE}, {fused_top_sql(EVAL_MAX_FACTS)},
 h AS (SELECT t.query_id, lower(string_agg(d.text, chr(10) ORDER BY t.rank)) AS haystack
-      FROM top t JOIN documents d ON d.doc_id = t.doc_id GROUP BY t.query_id)
+      FROM top t JOIN line_facts d ON d.fact_id = t.fact_id GROUP BY t.query_id)
 SELECT query_id, CAST(length(haystack) AS INTEGER) AS haystack_chars, sha256(haystack) AS haystack_sha256 FROM h""")
 def q_facts_text(spark, d):
-    t = Tables(spark, d)
-    h = E.facts_text(_fused(spark, d, EVAL_MAX_FACTS), t.documents)
+    h = E.facts_text(_fused(spark, d, EVAL_MAX_FACTS), _facts(spark, d))
     return h.select("query_id", F.length("haystack").alias("haystack_chars"),
                     F.sha2("haystack", 256).alias("haystack_sha256"))
 
@@ -182,15 +260,14 @@ def q_facts_text(spark, d):
 MATCH_SQL = f"""{EVAL_CTE}, {LEGS_CTE}, {fused_top_sql(EVAL_MAX_FACTS)},
 needles AS (SELECT case_id, CAST(pos - 1 AS INTEGER) AS needle_pos, lower(expect[pos]) AS needle
             FROM (SELECT case_id, expect, unnest(range(1, len(expect) + 1)) AS pos FROM cases)),
-res AS (SELECT t.query_id AS case_id, lower(d.text) AS ltext FROM top t JOIN documents d ON d.doc_id = t.doc_id),
+res AS (SELECT t.query_id AS case_id, lower(d.text) AS ltext FROM top t JOIN line_facts d ON d.fact_id = t.fact_id),
 matches AS (SELECT n.case_id, n.needle_pos, n.needle, bool_or(coalesce(contains(r.ltext, n.needle), false)) AS hit
             FROM needles n LEFT JOIN res r ON r.case_id = n.case_id GROUP BY ALL)
 """
 
 
 def _matches(spark, d):
-    t = Tables(spark, d)
-    return E.eval_match(_cases(spark, d), _fused(spark, d, EVAL_MAX_FACTS), t.documents)
+    return E.eval_match(_cases(spark, d), _fused(spark, d, EVAL_MAX_FACTS), _facts(spark, d))
 
 
 @register("eval_match", sql=f"WITH {MATCH_SQL} SELECT case_id, needle_pos, needle, hit FROM matches")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from engram.functions.common import tier_of_parity
+from engram.functions.text import is_blank, split_lines
 from engram.operators.temporal import resolve_supersession
 from engram.sources.tables import Tables
 
@@ -93,6 +94,22 @@ def markdown_texts(t: Tables) -> DataFrame:
     return d.select(F.col("doc_id"), rel.alias("rel_path"), text.alias("text"))
 
 
+def line_facts(t: Tables) -> DataFrame:
+    """Facts stated by documents: every non-blank line is a fact of its source (the
+    subject), said in its document (the episode); id = document * 1,000,000 + line."""
+    d = t.documents
+    num = F.regexp_extract(F.col("source"), r"(\d+)", 1).cast("long")
+    return (d.select(tier_of_parity(num).alias("graph"), F.col("source").alias("subject"), F.col("doc_id").alias("episode"),
+                     F.posexplode(split_lines(F.col("text"))).alias("line_no", "text"))
+            .filter(~is_blank(F.col("text")))
+            .withColumn("doc_id", F.col("episode") * 1_000_000 + F.col("line_no")))
+
+
+def fact_queries(t: Tables) -> DataFrame:
+    """Every benchmark item asks in one tier (by parity of its id)."""
+    return t.benchmark.select(F.col("item_id").alias("query_id"), tier_of_parity(F.col("item_id")).alias("graph"), "text")
+
+
 def write_requests(t: Tables) -> DataFrame:
     """add_memory calls made from documents."""
     return requests_from_documents(t.documents)

@@ -108,3 +108,51 @@ def test_eval_cases(spark):
                      spark.createDataFrame([(100, "B"), (101, "A")], "doc_id long, text string")).first()
     assert h["haystack"] == "a\nb"
     _ = F
+
+
+GRAPHED = "graph string, doc_id long, text string"
+
+
+def test_tiers_do_not_mix_and_count_apart(spark):
+    units = spark.createDataFrame([("a", 1, "apple pie"), ("a", 2, "plum"), ("b", 3, "apple tart apple"), ("b", 4, "")], GRAPHED)
+    qs = spark.createDataFrame([(1, "a", "apple"), (2, "b", "apple"), (3, "c", "apple")], "query_id long, graph string, text string")
+    alone = {g: {r["doc_id"]: r["score"] for r in S.bm25_scores(units.filter(F.col("graph") == g), qs.filter(F.col("graph") == g)).collect()}
+             for g in ("a", "b")}
+    both = {(r["query_id"], r["doc_id"]): r["score"] for r in S.bm25_scores(units, qs).collect()}
+    assert both == {(1, 1): alone["a"][1], (2, 3): alone["b"][3]}
+    edges = spark.createDataFrame([("a", 1, 7), ("a", 2, 7), ("b", 3, 7)], "graph string, doc_id long, node long")
+    seeds = spark.createDataFrame([(1, 1, 1)], HIT)
+    assert {r["doc_id"] for r in S.graph_leg(seeds, edges, 5).collect()} == {1, 2}
+    vecs = spark.createDataFrame([("a", 1, [1.0, 0.0]), ("b", 3, [1.0, 0.0])], "graph string, vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([(1, "a", [2.0, 0.1])], "query_id long, graph string, embedding array<double>")
+    assert [r["doc_id"] for r in S.vector_search(vecs, asked, 5).collect()] == [1]
+
+
+def test_a_leg_changes_the_ranking(spark):
+    a = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], HIT)
+    b = spark.createDataFrame([(1, 11, 1)], HIT)
+    one = [r["doc_id"] for r in S.rrf_fuse({"a": a}, 5).orderBy("rank").collect()]
+    two = [r["doc_id"] for r in S.rrf_fuse({"a": a, "b": b}, 5).orderBy("rank").collect()]
+    assert one == [10, 11] and two == [11, 10]
+
+
+def test_scoring_exchanges_only_postings(spark):
+    post = S.postings(spark.createDataFrame([(i, f"w{i % 5} w{i % 3}") for i in range(50)], "doc_id long, text string"))
+    qs = spark.createDataFrame([(1, "w1 w2")], "query_id long, text string")
+    plan = S.score_postings(post, qs)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(query_id" not in plan
+
+
+def test_index_is_kept_and_leaves_nothing_behind(spark, tmp_path):
+    from engram.operators import lexical as LX
+
+    spark.createDataFrame([(1, "a b"), (2, "b c")], "doc_id long, text string").write.parquet(f"{tmp_path}/d.parquet")
+    src = spark.read.parquet(f"{tmp_path}/d.parquet")
+    made = []
+
+    def units():
+        made.append(1)
+        return src
+    one = LX.lexical_index(spark, "t", src, units)
+    two = LX.lexical_index(spark, "t", src, units)
+    assert made == [1] and one.inputFiles() == two.inputFiles() and one.count() == 6
