@@ -90,13 +90,15 @@ def adaptive_bucket(df: DataFrame, keys: list[str], ts_col: str, coarse: str = "
     hot keys (more than ``hot_rows`` rows), so one task never sorts more than
     about a fine bucket of a hot key.
 
-    Hot keys come from a partial-aggregate count (combined map-side); there
-    are at most total_rows / hot_rows of them, so AQE broadcasts that list at
-    run time. Every row of a key gets the same granularity, which keeps the
+    Hot keys come from a partial-aggregate count (combined map-side). There are
+    at most total_rows / hot_rows of them (200,000 for 10^12 rows), so that list is
+    broadcast and the data are not exchanged by the very key that is hot. Every row of a key gets the same granularity, which keeps the
     bucket order per key consistent for the stitching step.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    k = F.struct(*keys)  # structs compare null fields as equal: a null key part loses no row
+    counts = df.groupBy(k.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > hot_rows).select("_k", F.lit(True).alias("_hot"))
     t = F.col(ts_col)
     bk = F.when(F.col("_hot"), F.date_trunc(fine, t)).otherwise(F.date_trunc(coarse, t))
-    return df.join(hot, keys, "left").withColumn("_bk", bk.cast("timestamp_ntz")).drop("_hot")
+    return (df.withColumn("_k", k).join(F.broadcast(hot), "_k", "left")
+            .withColumn("_bk", bk.cast("timestamp_ntz")).drop("_hot", "_k"))

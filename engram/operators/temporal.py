@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from engram.config import CONTRADICTIONS_LIMIT
 from engram.functions.common import adaptive_bucket, ntz
-from engram.session import reliable_checkpoint
 
 FACT_KEYS = ["graph", "subject", "relation"]
 
@@ -31,48 +30,55 @@ def resolve_supersession(observations: DataFrame, keys: list[str] | None = None,
     are partitioned by (key, time bucket) instead of key alone — monthly
     buckets, hourly for keys with more than ``hot_rows`` rows — and the bucket
     borders are stitched with per-bucket summaries (one row per key and bucket).
-    No task ever sorts a whole hot key.
+    No task ever sorts a whole hot key. Nothing is written in between, so the
+    result is lazy.
+
+    Null key parts are equal to each other (a subject that is null has one
+    history); observations without ``valid_at`` are no facts and are returned by
+    :func:`undated_observations`.
     """
     keys = keys or FACT_KEYS
-    order = [F.col("valid_at"), F.col("uuid")]
     obs = adaptive_bucket(observations.filter(F.col("valid_at").isNotNull()), keys, "valid_at",
                           coarse=bucket, fine=hot_bucket, hot_rows=hot_rows)
-    part = keys + ["_bk"]
-    w_in = Window.partitionBy(*part).orderBy(*order)
-
-    # Pass 1 — the one full sort: in-bucket change flags and bucket ends.
-    # Written once to the shared checkpoint folder so the bucket summary below
-    # reads it instead of re-running the window.
-    p1 = reliable_checkpoint(
-        obs.withColumn("_chg", ~F.lag("value").over(w_in).eqNullSafe(F.col("value")))
-           .withColumn("_is_first", F.row_number().over(w_in) == 1)
-           .withColumn("_is_last", F.lead("valid_at").over(w_in).isNull()))
-
-    # Bucket summary — one row per (key, bucket); windows here are per key over
-    # its buckets only, never over its observations.
-    firsts = p1.filter("_is_first").select(*part, F.col("value").alias("_first_val"),
-                                           F.col("valid_at").alias("_first_va"))
-    lasts = p1.filter("_is_last").select(*part, F.col("value").alias("_last_val"))
-    chg = p1.filter(F.col("_chg") & ~F.col("_is_first")).groupBy(*part).agg(
-        F.min("valid_at").alias("_first_chg_va"))
-    wk = Window.partitionBy(*keys).orderBy("_bk")
-    summary = (firsts.join(lasts, part).join(chg, part, "left")
-               .withColumn("_prev_last", F.lag("_last_val").over(wk))
-               .withColumn("_first_opens", ~F.col("_first_val").eqNullSafe(F.col("_prev_last")))
-               .withColumn("_first_start_va", F.when(F.col("_first_opens"), F.col("_first_va"))
-                           .otherwise(F.col("_first_chg_va")))
-               .withColumn("_next_start_va", F.first("_first_start_va", ignorenulls=True).over(
-                   wk.rowsBetween(1, Window.unboundedFollowing)))
-               .select(*part, "_first_opens", "_next_start_va"))
-
-    # Pass 2 — run starts (the first row of a bucket opens a run iff its value
-    # differs from the previous bucket's last value), then the next start: the
-    # next start inside the bucket, else the first start of a later bucket.
-    starts = (p1.join(summary, part, "left")
-              .filter(F.when(F.col("_is_first"), F.col("_first_opens")).otherwise(F.col("_chg")))
-              .withColumn("_next", F.lead("valid_at").over(w_in)))
-    facts = starts.withColumn("invalid_at", F.coalesce(F.col("_next"), F.col("_next_start_va")))
-    return facts.drop("_bk", "_chg", "_is_first", "_is_last", "_first_opens", "_next_start_va", "_next")
+    # one never-null key column: rows with a null key part keep their own history
+    obs = obs.withColumn("_k", F.struct(*keys))
+    part = ["_k", "_bk"]
+    w_in = Window.partitionBy(*part).orderBy("valid_at", "uuid")
+
+    # The one full exchange: change flags and the next change inside the bucket.
+    p1 = (obs.withColumn("_is_first", F.row_number().over(w_in) == 1)
+          .withColumn("_chg", ~F.col("_is_first") & ~F.lag("value").over(w_in).eqNullSafe(F.col("value")))
+          .withColumn("_next_in", F.first(F.when(F.col("_chg"), F.col("valid_at")), ignorenulls=True).over(
+              w_in.rowsBetween(1, Window.unboundedFollowing))))
+
+    # One row per (key, bucket) in one aggregate over the same partitioning; the
+    # windows here run per key over its buckets only, never over observations.
+    at = F.struct("valid_at", "uuid")
+    wk = Window.partitionBy("_k").orderBy("_bk")
+    summary = (p1.groupBy(*part).agg(
+        F.min_by("value", at).alias("_first_val"), F.min("valid_at").alias("_first_va"),
+        F.max_by("value", at).alias("_last_val"),
+        F.min(F.when(F.col("_chg"), F.col("valid_at"))).alias("_first_chg_va"))
+        .withColumn("_is_first_bk", F.row_number().over(wk) == 1)
+        .withColumn("_first_opens", F.col("_is_first_bk")
+                    | ~F.col("_first_val").eqNullSafe(F.lag("_last_val").over(wk)))
+        .withColumn("_first_start_va", F.when(F.col("_first_opens"), F.col("_first_va"))
+                    .otherwise(F.col("_first_chg_va")))
+        .withColumn("_next_start_va", F.first("_first_start_va", ignorenulls=True).over(
+            wk.rowsBetween(1, Window.unboundedFollowing)))
+        .select(*part, "_first_opens", "_next_start_va"))
+
+    # A run starts at the first row of a bucket if its value differs from the
+    # previous bucket's last one, and at every change; it ends at the next start
+    # inside the bucket, else at the first start of a later bucket.
+    starts = p1.join(summary, part).filter(F.when(F.col("_is_first"), F.col("_first_opens")).otherwise(F.col("_chg")))
+    return (starts.withColumn("invalid_at", F.coalesce("_next_in", "_next_start_va"))
+            .drop("_k", "_bk", "_chg", "_is_first", "_next_in", "_first_opens", "_next_start_va"))
+
+
+def undated_observations(observations: DataFrame) -> DataFrame:
+    """What :func:`resolve_supersession` cannot place in time: rows without ``valid_at``."""
+    return observations.filter(F.col("valid_at").isNull()).withColumn("reject_reason", F.lit("no valid_at"))
 
 
 def current_facts(facts: DataFrame) -> DataFrame:

@@ -10,7 +10,9 @@ from engram.sources.tables import Tables
 N_LINES = 2000
 ORDER = ["event_ts", "event_id"]
 
-LOG_CTE = f"""
+def log_cte(lines: str) -> str:
+    """Parsed and typed requests of ``lines`` (the CTE ``log`` or its ``tail``)."""
+    return f"""
 log AS (SELECT event_id, ts AS event_ts,
           CASE WHEN event_type = 'signup' THEN 'INFO signup user ' || CAST(user_id AS VARCHAR)
                ELSE CAST(json_object('ts', CAST(floor(epoch(ts)) AS BIGINT),
@@ -19,7 +21,7 @@ log AS (SELECT event_id, ts AS event_ts,
           END AS line
         FROM events),
 tail AS (SELECT * FROM log ORDER BY event_ts DESC, event_id DESC LIMIT {N_LINES}),
-parsed AS (SELECT event_id, line FROM tail WHERE starts_with(trim(line), '{{') AND json_valid(trim(line))),
+parsed AS (SELECT event_id, line FROM {lines} WHERE starts_with(trim(line), '{{') AND json_valid(trim(line))),
 typed AS (SELECT event_id, line, host,
             CASE CASE WHEN contains(host, ':') THEN regexp_extract(host, ':([^:]*)$', 1) ELSE '' END
                  WHEN '8000' THEN 'personal' WHEN '8001' THEN 'client' ELSE '?' END AS tier,
@@ -32,12 +34,16 @@ typed AS (SELECT event_id, line, host,
 """
 
 
+LOG_CTE, WHOLE_CTE = log_cte("tail"), log_cte("log")
+
+
 def _lines(spark, d):
     return derive.access_log(Tables(spark, d))
 
 
 def _typed(spark, d):
-    return AC.typed_requests(_lines(spark, d), ORDER, N_LINES)
+    """The whole log; the tail is a feature of the report alone."""
+    return AC.typed_requests(_lines(spark, d))
 
 
 @register("tail_n", sql=f"WITH {LOG_CTE} SELECT event_id, line FROM tail")
@@ -50,12 +56,12 @@ def q_access_log_scan(spark, d):
     return AC.parse_access_log(AC.tail_lines(_lines(spark, d), ORDER, N_LINES)).select("event_id", "line")
 
 
-@register("tier_of_host", sql=f"WITH {LOG_CTE} SELECT event_id, host, tier FROM typed")
+@register("tier_of_host", sql=f"WITH {WHOLE_CTE} SELECT event_id, host, tier FROM typed")
 def q_tier_of_host(spark, d):
     return _typed(spark, d).select("event_id", "host", "tier")
 
 
-@register("status_class", sql=f"WITH {LOG_CTE} SELECT event_id, status, klass FROM typed")
+@register("status_class", sql=f"WITH {WHOLE_CTE} SELECT event_id, status, klass FROM typed")
 def q_status_class(spark, d):
     return _typed(spark, d).select("event_id", "status", "klass")
 
@@ -64,10 +70,10 @@ def q_status_class(spark, d):
 g AS (SELECT tier, klass, count(*) AS requests FROM typed GROUP BY tier, klass)
 SELECT tier, klass, requests, CAST(sum(requests) OVER () AS BIGINT) AS total FROM g""")
 def q_activity_report(spark, d):
-    return AC.activity_report(_typed(spark, d))
+    return AC.activity_report(AC.typed_requests(_lines(spark, d), ORDER, N_LINES))
 
 
-@register("unauthorized_rate", sql=f"""WITH {LOG_CTE}
+@register("unauthorized_rate", sql=f"""WITH {WHOLE_CTE}
 SELECT tier, count(*) AS requests, count(*) FILTER (WHERE status = 401) AS unauthorized,
        avg(CASE WHEN status = 401 THEN 1.0 ELSE 0.0 END)::DOUBLE AS rate
 FROM typed GROUP BY tier""")

@@ -10,6 +10,7 @@ from engram.operators import temporal as T
 from engram.plans import derive
 from engram.plans.registry import register
 from engram.plans.sql_snippets import ENTITIES_CTE, EPISODES_CTE, FACTS_CTE, mentions_cte
+from engram.session import scratch_path
 from engram.sources.tables import Tables
 
 NOW = "2001-08-01 00:00:00"
@@ -55,14 +56,17 @@ c1 AS (SELECT graph, count(*) AS episodes_before FROM episodes GROUP BY graph),
 c2 AS (SELECT graph, count(*) AS episodes_after FROM kept GROUP BY graph),
 c3 AS (SELECT graph, count(*) AS mentions_before FROM mentions GROUP BY graph),
 c4 AS (SELECT graph, count(*) AS mentions_after FROM km GROUP BY graph),
-c5 AS (SELECT graph, count(*) AS facts_before FROM facts GROUP BY graph)
+c5 AS (SELECT graph, count(*) AS facts_before FROM facts GROUP BY graph),
+c6 AS (SELECT graph, count(*) AS facts_after FROM facts GROUP BY graph)
 SELECT graph, episodes_before, episodes_after, mentions_before, mentions_after,
-       facts_before, facts_before AS facts_after, true AS facts_unchanged
-FROM c1 JOIN c2 USING (graph) JOIN c3 USING (graph) JOIN c4 USING (graph) JOIN c5 USING (graph)""")
+       facts_before, facts_after, facts_before = facts_after AS facts_unchanged
+FROM c1 JOIN c2 USING (graph) JOIN c3 USING (graph) JOIN c4 USING (graph) JOIN c5 USING (graph) JOIN c6 USING (graph)""")
 def q_compact_episodes(spark, d):
+    """Applied for real: facts are a live table, counted before and again after the write."""
     t = Tables(spark, d)
-    _, _, report = G.compact_episodes(derive.episodes(t), derive.mentions(t), derive.facts(t), NOW, DAYS)
-    return report
+    live, root = scratch_path(spark, "live", "facts"), scratch_path(spark, "compacted")
+    derive.facts(t).select("graph", "uuid").write.parquet(live)
+    return G.apply_compaction(derive.episodes(t), derive.mentions(t), lambda: spark.read.parquet(live), NOW, DAYS, root)
 
 
 CASCADE_CTE = f"""

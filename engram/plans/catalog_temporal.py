@@ -53,7 +53,7 @@ SELECT uuid, fact, valid_at AS valid_from, invalid_at AS invalidated
 FROM facts WHERE invalid_at IS NOT NULL AND graph = 'personal'
 ORDER BY invalid_at DESC, uuid ASC LIMIT 25""")
 def q_contradictions(spark, d):
-    return T.contradictions(derive.facts(Tables(spark, d)), graph="personal", limit=25)
+    return T.contradictions(derive.facts(Tables(spark, d), graph="personal"), graph="personal", limit=25)
 
 
 @register("facts_as_of_table", sql=f"""

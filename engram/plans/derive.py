@@ -74,9 +74,11 @@ def priority_observations(t: Tables) -> DataFrame:
     )
 
 
-def facts(t: Tables) -> DataFrame:
-    """Facts: runs of equal priority per customer, closed by the next run."""
-    f = resolve_supersession(priority_observations(t))
+def facts(t: Tables, graph: str | None = None) -> DataFrame:
+    """Facts: runs of equal priority per customer, closed by the next run. ``graph``
+    keeps one tier's observations before anything is resolved (it is a key part)."""
+    obs = priority_observations(t)
+    f = resolve_supersession(obs if graph is None else obs.filter(F.col("graph") == graph))
     return f.withColumn("fact", F.concat(
         F.lit("customer "), F.col("subject").cast("string"),
         F.lit(" has priority "), F.col("value")))
