@@ -53,6 +53,12 @@ def attribute_agent(df: DataFrame) -> DataFrame:
                          F.when(has_agent, attributed).otherwise(F.col("source_description")))
 
 
+def unicode_pattern(pat: str) -> str:
+    """The pattern with Unicode classes and case rules, as Python's ``re`` has them
+    (without it ``(?i)señal`` lets "SEÑAL" through)."""
+    return "(?U)" + pat
+
+
 def guard_text() -> Column:
     """What the guard searches: name, raw description and body, newline-joined."""
     return F.concat_ws("\n", *[F.coalesce(F.col(c), F.lit(""))
@@ -71,7 +77,7 @@ def tier_guard(df: DataFrame, reject_patterns: dict, tier_col: str = "graph") ->
     for tier, pat in reject_patterns.items():
         if not pat:
             continue
-        cond = (F.col(tier_col) == F.lit(tier)) & txt.rlike(pat)
+        cond = (F.col(tier_col) == F.lit(tier)) & txt.rlike(unicode_pattern(pat))
         hit = cond if hit is None else (hit | cond)
     hit = F.coalesce(hit, F.lit(False)) if hit is not None else F.lit(False)
     return (df.withColumn("accepted", ~hit)
@@ -84,7 +90,7 @@ def write_hygiene(df: DataFrame, text_col: str = "episode_body",
     rules = rules or HYGIENE_RULES
     label = None
     for name, pat in rules:
-        cond = F.col(text_col).rlike(pat)
+        cond = F.col(text_col).rlike(unicode_pattern(pat))
         label = F.when(cond, F.lit(name)) if label is None else label.when(cond, F.lit(name))
     return (df.withColumn("hygiene_label", label)
               .withColumn("verdict", F.when(F.col("hygiene_label").isNull(), F.lit("store"))
@@ -162,7 +168,7 @@ def tier_leak_audit(episodes: DataFrame, personal_patterns: list[tuple[str, str]
     intersection (distinct hashes on both sides, combined map-side)."""
     personal = episodes.filter(F.col("graph") == "personal")
     txt = guard_text()
-    reasons = F.filter(F.array(*[F.when(txt.rlike(pat), F.lit(f"pattern:{name}"))
+    reasons = F.filter(F.array(*[F.when(txt.rlike(unicode_pattern(pat)), F.lit(f"pattern:{name}"))
                                  for name, pat in personal_patterns]), lambda r: r.isNotNull())
     hits = personal.select(id_col, F.explode(reasons).alias("reason"))
     shared = cross_tier_bodies(episodes)

@@ -56,3 +56,10 @@ def test_novelty_keeps_first_and_skips_store(spark):
     store = spark.createDataFrame([("g", "NEW")], "graph string, episode_body string")
     got = sorted(r["doc_id"] for r in A.novel_memories(batch, store, ["graph"], ["doc_id"]).collect())
     assert got == [1]
+
+
+def test_guard_folds_case_beyond_ascii(spark):
+    df = spark.createDataFrame([(1, "personal", "SEÑAL"), (2, "personal", "nada")], "doc_id long, graph string, episode_body string")
+    df = df.selectExpr("*", "'' as name", "'' as source_description")
+    out = {r["doc_id"]: r["accepted"] for r in A.tier_guard(df, {"personal": r"(?i)señal"}).collect()}
+    assert out == {1: False, 2: True}
