@@ -9,7 +9,14 @@ from engram.operators.queue import queue_admission
 from engram.plans import derive
 from engram.plans.catalog_text import LINE_RE2, MD_CTE, WR_CTE, WS, _norm_sql  # noqa: F401
 from engram.plans.registry import register
-from engram.sinks.snapshot import append_episodes, export_snapshot, manifest, restore_snapshot
+from engram.plans.sql_snippets import ENTITIES_CTE, EPISODES_CTE, FACTS_CTE, mentions_cte
+from engram.sinks.snapshot import (
+    append_episodes,
+    export_snapshot,
+    manifest,
+    read_episodes,
+    restore_snapshot,
+)
 from engram.session import scratch_path
 from engram.sources.tables import Tables, read_table
 from engram.streaming import pipelines as P
@@ -60,10 +67,10 @@ def q_stream_queue_admission(spark, d):
 
 
 @register("stream_ingest", sql=f"""WITH {WR_CTE}
-SELECT doc_id, graph, effective_group_id, effective_source_description FROM wre
-WHERE NOT coalesce(graph = 'personal' AND regexp_matches(
+SELECT doc_id, graph, effective_group_id, effective_source_description,
+       NOT coalesce(graph = 'personal' AND regexp_matches(
   coalesce(name, '') || chr(10) || coalesce(source_description, '') || chr(10) || coalesce(episode_body, ''),
-  '{A.LICENSE_PATTERN}'), false)""")
+  '{A.LICENSE_PATTERN}'), false) AS stored FROM wre""")
 def q_stream_ingest(spark, d):
     schema = read_table(spark, d, "documents").schema
     docs = file_stream(spark, f"{d.rstrip('/')}/documents*.parquet", schema)
@@ -71,8 +78,9 @@ def q_stream_ingest(spark, d):
                            {"personal": A.LICENSE_PATTERN, "client": None})
     base = scratch_path(spark, "ingest")
     run_foreach_batch(flow, "ingest", P.episodes_sink(base))
-    return spark.read.parquet(f"{base}/episodes").select(
-        "doc_id", "graph", "effective_group_id", "effective_source_description")
+    kept, refused = (spark.read.parquet(f"{base}/{name}").select(
+        "doc_id", "graph", "effective_group_id", "effective_source_description") for name in ("episodes", "rejects"))
+    return kept.withColumn("stored", F.lit(True)).unionByName(refused.withColumn("stored", F.lit(False)))
 
 
 ACT_SQL = """
@@ -111,42 +119,43 @@ def q_stream_dedup(spark, d):
     store = Tables(spark, d).benchmark.select(
         F.lit("personal").alias("graph"), F.lit("personal").alias("effective_group_id"),
         F.col("text").alias("episode_body"))
-    flow = P.dedup_stream(req, store, ["graph", "effective_group_id"]).select(
+    # one write a second; keys are forgotten two days of event time after their last sight
+    req = req.withColumn("event_time", F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id")))
+    flow = P.dedup_stream(req, store, ["graph", "effective_group_id"], "event_time", "2 days").select(
         "graph", "effective_group_id", "text_key")
     out = run_available_now(flow, "dedup")
     return spark.read.parquet(out)
 
 
-@register("snapshot_export", sql="""
-WITH e AS (SELECT CASE WHEN o_custkey % 2 = 0 THEN 'personal' ELSE 'client' END AS graph FROM orders),
-n AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN 'personal' ELSE 'client' END AS graph FROM part
-      UNION ALL SELECT CASE WHEN c_custkey % 2 = 0 THEN 'personal' ELSE 'client' END FROM customer)
-SELECT 'episodes' AS "table", graph, count(*) AS "rows" FROM e GROUP BY graph
-UNION ALL SELECT 'entities', graph, count(*) FROM n GROUP BY graph""")
-def q_snapshot_export(spark, d):
-    t = Tables(spark, d)
-    root = scratch_path(spark, "snapshots")
-    return export_snapshot({"episodes": derive.episodes(t), "entities": derive.entities(t)},
-                           root, "snap")
+SNAP_SQL = f"""
+WITH {EPISODES_CTE}, {ENTITIES_CTE}, {mentions_cte()}, {FACTS_CTE}
+SELECT 'episodes' AS "table", graph, count(*) AS "rows" FROM episodes GROUP BY graph
+UNION ALL SELECT 'entities', graph, count(*) FROM entities GROUP BY graph
+UNION ALL SELECT 'mentions', graph, count(*) FROM mentions GROUP BY graph
+UNION ALL SELECT 'facts', graph, count(*) FROM facts GROUP BY graph"""
+
 
+def _graph_tables(t):
+    return {"episodes": derive.episodes(t), "entities": derive.entities(t),
+            "mentions": derive.mentions(t), "facts": derive.facts(t)}
 
-SNAP_SQL = """
-WITH e AS (SELECT CASE WHEN o_custkey % 2 = 0 THEN 'personal' ELSE 'client' END AS graph FROM orders),
-n AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN 'personal' ELSE 'client' END AS graph FROM part
-      UNION ALL SELECT CASE WHEN c_custkey % 2 = 0 THEN 'personal' ELSE 'client' END FROM customer)
-SELECT 'episodes' AS "table", graph, count(*) AS "rows" FROM e GROUP BY graph
-UNION ALL SELECT 'entities', graph, count(*) FROM n GROUP BY graph"""
+
+@register("snapshot_export", sql=SNAP_SQL)
+def q_snapshot_export(spark, d):
+    root = scratch_path(spark, "snapshots")
+    return export_snapshot(_graph_tables(Tables(spark, d)), root, "snap").select("table", "graph", "rows")
 
 
 @register("snapshot_restore", sql=SNAP_SQL)
 def q_snapshot_restore(spark, d):
     """OP-08: export, restore into a fresh live location (explicit confirm), and
     recount what is live afterwards."""
-    t = Tables(spark, d)
+    tables = _graph_tables(Tables(spark, d))
     root, live = scratch_path(spark, "snapshots"), scratch_path(spark, "live")
-    export_snapshot({"episodes": derive.episodes(t), "entities": derive.entities(t)}, root, "snap")
+    export_snapshot(tables, root, "snap")
     restore_snapshot(spark, root, "snap", live, confirm=True)
-    return manifest({n: spark.read.parquet(f"{live}/{n}") for n in ("episodes", "entities")})
+    return manifest({n: spark.read.schema(df.schema).parquet(f"{live}/{n}") for n, df in tables.items()}
+                    ).select("table", "graph", "rows")
 
 
 @register("episode_sink", sql=f"""WITH {MD_CTE}, {WR_CTE}
@@ -163,5 +172,6 @@ def q_episode_sink(spark, d):
         "doc_id", "graph", F.col("effective_group_id").alias("group_id"))
     eps = C.episode_names(C.chunk_markdown(derive.markdown_texts(t).select("doc_id", "rel_path", "text")))
     path = scratch_path(spark, "episodes")
-    append_episodes(eps.join(req, "doc_id"), path)
-    return spark.read.parquet(path).select("rel_path", "pos", "name", "graph", "group_id")
+    stored = eps.join(req, "doc_id")
+    append_episodes(stored, path)
+    return read_episodes(spark, path, stored.schema).select("rel_path", "pos", "name", "graph", "group_id")

@@ -2,35 +2,62 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from engram.operators.admission import effective_group
+from engram.session import scratch_path
+
+GROUP_COLS = ["graph", "group_id"]
 
 
 def append_episodes(episodes: DataFrame, path: str) -> None:
-    """OP-06: append episodes partitioned by tier and group (group may be null:
-    Spark writes it as the default partition)."""
-    episodes.write.mode("append").partitionBy("graph", "group_id").parquet(path)
+    """OP-06: append episodes partitioned by tier and effective group (a null or empty
+    group is its tier's default). Rows are dealt by group and salted by row, so a
+    group makes a few files and a hot group is not one task."""
+    e = effective_group(episodes).withColumn("group_id", F.col("effective_group_id")).drop("effective_group_id")
+    salt = F.pmod(F.xxhash64(*[c for c in e.columns if c not in GROUP_COLS]), F.lit(8))
+    (e.select(*[c for c in e.columns if c not in GROUP_COLS], *GROUP_COLS)
+     .repartition(*GROUP_COLS, salt).write.mode("append").partitionBy(*GROUP_COLS).parquet(path))
+
+
+def read_episodes(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Stored episodes with the types they were written with: partition values are not
+    guessed, so a group called "007" stays text."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def manifest(tables: dict[str, DataFrame]) -> DataFrame:
-    """Row counts per (table, graph) — the snapshot's self-check."""
+    """Row count and content hash per (table, graph) — the snapshot's self-check. The
+    hash is a sum over rows, so it does not depend on their order."""
     out = None
     for name, df in tables.items():
-        m = df.groupBy("graph").agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("table"), "graph", "rows")
+        row = F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")
+        m = df.groupBy("graph").agg(F.count(F.lit(1)).alias("rows"), F.sum(row).alias("content")).select(
+            F.lit(name).alias("table"), "graph", "rows", F.col("content").cast("string").alias("content"))
         out = m if out is None else out.unionByName(m)
     return out
 
 
+def _same(a: DataFrame, b: DataFrame) -> bool:
+    """Do two manifests name the same rows?"""
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
 def export_snapshot(tables: dict[str, DataFrame], root: str, stamp: str) -> DataFrame:
-    """OP-07: write every table (partitioned by graph) under ``root/stamp/`` plus
-    a manifest computed from what was written; returns the manifest."""
+    """OP-07: write every table under ``root/stamp/`` with its schema and a manifest
+    computed from what was written; returns the manifest. Empty tables are kept."""
     base = f"{root.rstrip('/')}/{stamp}"
     spark = next(iter(tables.values())).sparkSession
     for name, df in tables.items():
-        df.write.mode("errorifexists").partitionBy("graph").parquet(f"{base}/{name}")
-    written = {name: spark.read.parquet(f"{base}/{name}") for name in tables}
-    manifest(written).coalesce(1).write.mode("errorifexists").parquet(f"{base}/_manifest")
+        df.write.mode("errorifexists").parquet(f"{base}/{name}")
+    schemas = [(name, df.schema.json()) for name, df in tables.items()]
+    spark.createDataFrame(schemas, "table string, schema string").write.parquet(f"{base}/_schemas")
+    manifest({name: spark.read.schema(df.schema).parquet(f"{base}/{name}") for name, df in tables.items()}
+             ).write.mode("errorifexists").parquet(f"{base}/_manifest")
     return spark.read.parquet(f"{base}/_manifest")
 
 
@@ -38,21 +65,29 @@ def restore_snapshot(spark: SparkSession, root: str, stamp: str, target: str,
                      confirm: bool = False) -> DataFrame:
     """OP-08: *replace* the live tables under ``target`` with the snapshot's.
 
-    Refuses without ``confirm=True`` or when the snapshot is missing; checks
-    the manifest counts before overwriting anything."""
+    Refuses without ``confirm=True`` or when the snapshot is missing. The snapshot is
+    checked against its manifest (counts and content), copied beside the live tables
+    and checked again; only then is every live table overwritten from that copy, a
+    table that is empty in the snapshot included. A failure before the last step
+    leaves live data untouched; after it, the same call can be repeated."""
     if not confirm:
         raise PermissionError("restore replaces live data; pass confirm=True")
     base = f"{root.rstrip('/')}/{stamp}"
     try:
         man = spark.read.parquet(f"{base}/_manifest")
+        schemas = {r["table"]: StructType.fromJson(json.loads(r["schema"]))
+                   for r in spark.read.parquet(f"{base}/_schemas").collect()}  # a handful of names
     except Exception as e:  # noqa: BLE001
         raise FileNotFoundError(f"no such snapshot: {base}") from e
-    names = [r["table"] for r in man.select("table").distinct().collect()]  # a handful of names
-    snap = {n: spark.read.parquet(f"{base}/{n}") for n in names}
-    check = manifest(snap).join(man.withColumnRenamed("rows", "expected"), ["table", "graph"], "full")
-    bad = check.filter(~F.col("rows").eqNullSafe(F.col("expected"))).limit(1).count()
-    if bad:
+    snap = {n: spark.read.schema(s).parquet(f"{base}/{n}") for n, s in schemas.items()}
+    if not _same(manifest(snap), man):
         raise RuntimeError("snapshot does not match its manifest; nothing restored")
+    stage = scratch_path(spark, "restore")
     for n, df in snap.items():
-        df.write.mode("overwrite").partitionBy("graph").parquet(f"{target.rstrip('/')}/{n}")
+        df.write.parquet(f"{stage}/{n}")
+    staged = {n: spark.read.schema(s).parquet(f"{stage}/{n}") for n, s in schemas.items()}
+    if not _same(manifest(staged), man):
+        raise RuntimeError("the staged copy does not match the manifest; nothing restored")
+    for n, df in staged.items():
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{target.rstrip('/')}/{n}")
     return man

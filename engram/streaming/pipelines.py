@@ -58,14 +58,17 @@ def _backpressure_fn(caps: dict, order_col: str):
 
 
 def episodes_sink(base: str):
-    """foreachBatch writer: accepted rows -> episodes, others -> rejects (append,
-    partitioned by tier and group; the epoch id makes a replay overwrite itself)."""
+    """foreachBatch writer: accepted rows -> episodes, others -> rejects, partitioned by
+    epoch and tier. Every epoch has its own folder that a replay overwrites, so a batch
+    that is delivered twice is stored once; the batch is evaluated once."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.withColumn("_epoch", F.lit(epoch_id))
-        (batch.filter("accepted").drop("accepted", "reject_reason")
-         .write.mode("append").partitionBy("graph", "_epoch").parquet(f"{base}/episodes"))
-        (batch.filter(~F.col("accepted"))
-         .write.mode("append").partitionBy("graph", "_epoch").parquet(f"{base}/rejects"))
+        batch = batch.persist()
+        try:
+            for name, rows in (("episodes", batch.filter("accepted").drop("accepted", "reject_reason")),
+                               ("rejects", batch.filter(~F.col("accepted")))):
+                rows.write.mode("overwrite").partitionBy("graph").parquet(f"{base}/{name}/epoch={epoch_id}")
+        finally:
+            batch.unpersist()
     return write
 
 
