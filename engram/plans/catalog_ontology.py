@@ -5,9 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from engram.operators import admission as A
 from engram.operators import ontology as O
+from engram.operators import temporal as T
 from engram.plans import derive
+from engram.plans.catalog_text import WR_CTE
 from engram.plans.registry import register
+from engram.plans.sql_snippets import TIER
 from engram.sources.tables import Tables
 
 SIGNAL_FIELDS = [("k", "int"), ("weight", "float"), ("flag", "bool"), ("label", "str")]
@@ -15,17 +19,25 @@ MARKER = "from"
 
 
 def _signals(spark, d):
-    """Typed payloads from events: k is declared int; weight is declared float but
-    carries text (mistyped -> null); extra is undeclared (ignored)."""
+    """Typed payloads from events: k is declared int; weight is declared float and
+    carries text for sign-ups (mistyped -> null); flag and label are given by some
+    events; extra is undeclared (ignored)."""
     e = Tables(spark, d).events
-    payload = F.concat(F.lit('{"k": '), F.get_json_object("props", "$.k"), F.lit(', "weight": "'),
-                       F.col("event_type"), F.lit('", "extra": '), F.col("user_id").cast("string"), F.lit("}"))
+    kind = F.col("event_type")
+    payload = F.concat(F.lit('{"k": '), F.get_json_object("props", "$.k"), F.lit(', "weight": '),
+                       F.when(kind == "signup", F.lit('"heavy"')).otherwise(F.concat((F.col("user_id") % 8).cast("string"), F.lit(".5"))),
+                       F.when(kind == "click", F.lit(', "flag": true')).when(kind == "view", F.lit(', "flag": false')).otherwise(F.lit("")),
+                       F.when(kind == "error", F.concat(F.lit(', "label": "'), kind, F.lit('"'))).otherwise(F.lit("")),
+                       F.lit(', "extra": '), F.col("user_id").cast("string"), F.lit("}"))
     return e.select("event_id", payload.alias("payload"))
 
 
 SIGNAL_CTE = """
-sig AS (SELECT event_id, '{"k": ' || CAST(json_extract(props, '$.k') AS VARCHAR) || ', "weight": "' || event_type
-               || '", "extra": ' || CAST(user_id AS VARCHAR) || '}' AS payload FROM events),
+sig AS (SELECT event_id, '{"k": ' || CAST(json_extract(props, '$.k') AS VARCHAR) || ', "weight": '
+               || CASE WHEN event_type = 'signup' THEN '"heavy"' ELSE CAST(user_id % 8 AS VARCHAR) || '.5' END
+               || CASE event_type WHEN 'click' THEN ', "flag": true' WHEN 'view' THEN ', "flag": false' ELSE '' END
+               || CASE WHEN event_type = 'error' THEN ', "label": "error"' ELSE '' END
+               || ', "extra": ' || CAST(user_id AS VARCHAR) || '}' AS payload FROM events),
 typed AS (SELECT event_id, TRY_CAST(json_extract_string(payload, '$.k') AS BIGINT) AS k,
                  TRY_CAST(json_extract_string(payload, '$.weight') AS DOUBLE) AS weight,
                  TRY_CAST(json_extract_string(payload, '$.flag') AS BOOLEAN) AS flag,
@@ -52,17 +64,29 @@ def q_attribute_coverage(spark, d):
     return O.attribute_coverage(typed, "entity_type", [f for f, _ in SIGNAL_FIELDS])
 
 
-def _rule_cte() -> str:
-    """CTEs ending in ``extracted(doc_id, graph, entity_type, priority, value)``."""
-    from engram.plans.catalog_text import WR_CTE
+SPOKEN_GUARD = {"personal": "(?i)PLAN 3", "client": "feature 2"}
+SPOKEN_CTE = f"""
+spoken AS (SELECT event_id AS doc_id, user_id AS subject, ts AS valid_at, {TIER.format(k='user_id')} AS graph,
+  event_type AS name, 'event' AS source_description,
+  CASE event_type WHEN 'purchase' THEN 'I want product ' || k WHEN 'view' THEN 'we decided to keep plan ' || k
+                  WHEN 'click' THEN 'they want feature ' || k WHEN 'error' THEN 'The portal must have retry ' || k
+                  ELSE 'Talk about ' || event_type END AS episode_body
+  FROM (SELECT *, coalesce(CAST(json_extract_string(props, '$.k') AS VARCHAR), 'none') AS k FROM events)),
+wr AS (SELECT * FROM spoken WHERE NOT (graph = 'personal' AND regexp_matches(name || chr(10) || source_description || chr(10) || episode_body, '{SPOKEN_GUARD["personal"]}')
+                                   OR graph = 'client' AND regexp_matches(name || chr(10) || source_description || chr(10) || episode_body, '{SPOKEN_GUARD["client"]}')))"""
+
 
-    rules = O.TRIGGER_RULES + O.EXTRA_RULES
-    arms = " UNION ALL ".join(
+def _rule_arms() -> str:
+    return " UNION ALL ".join(
         f"SELECT doc_id, graph, '{t}' AS entity_type, {p} AS priority, "
         f"regexp_extract_all(episode_body, '{pat.replace(chr(39), chr(39) * 2)}', 1) AS vals "
-        f"FROM wr WHERE graph = '{g}'" for g, t, p, pat in rules)
-    return f"""{WR_CTE},
-hits AS (SELECT * FROM ({arms}) WHERE len(vals) > 0),
+        f"FROM wr WHERE graph = '{g}'" for g, t, p, pat in O.TRIGGER_RULES + O.EXTRA_RULES)
+
+
+def _rule_cte(wr_cte: str = WR_CTE) -> str:
+    """CTEs ending in ``extracted(doc_id, graph, entity_type, priority, value)``."""
+    return f"""{wr_cte},
+hits AS (SELECT * FROM ({_rule_arms()}) WHERE len(vals) > 0),
 best AS (SELECT doc_id, graph, min(priority) AS priority FROM hits GROUP BY doc_id, graph),
 chosen AS (SELECT h.doc_id, h.graph, h.entity_type, h.priority, unnest(h.vals) AS value
            FROM hits h JOIN best b ON b.doc_id = h.doc_id AND b.graph = h.graph AND b.priority = h.priority),
@@ -103,7 +127,35 @@ def q_rule_extract(spark, d):
         "doc_id", "graph", "entity_type", "priority", "value")
 
 
-@register("extractor_hook")
+def _heard(spark, d):
+    """Spoken statements that pass the tier guard."""
+    return A.tier_guard(derive.spoken_requests(Tables(spark, d)), SPOKEN_GUARD).filter("accepted")
+
+
+@register("rule_extract_spoken", sql=f"WITH {_rule_cte(SPOKEN_CTE)} SELECT doc_id, graph, entity_type, priority, value FROM extracted")
+def q_rule_extract_spoken(spark, d):
+    """OP-49 on statements that speak the stated trigger phrases."""
+    return O.rule_extract(_heard(spark, d)).select("doc_id", "graph", "entity_type", "priority", "value")
+
+
+@register("facts_from_text", sql=f"""WITH {_rule_cte(SPOKEN_CTE)},
+obs AS (SELECT w.graph, w.subject, e.entity_type AS relation, e.value, w.valid_at, w.doc_id AS uuid,
+               lag(e.value) OVER k AS prev, row_number() OVER k AS n
+        FROM extracted e JOIN wr w ON w.doc_id = e.doc_id
+        WINDOW k AS (PARTITION BY w.graph, w.subject, e.entity_type ORDER BY w.valid_at, w.doc_id)),
+runs AS (SELECT * FROM obs WHERE n = 1 OR prev IS DISTINCT FROM value)
+SELECT graph, subject, relation, value, uuid, valid_at,
+       lead(valid_at) OVER (PARTITION BY graph, subject, relation ORDER BY valid_at, uuid) AS invalid_at FROM runs""")
+def q_facts_from_text(spark, d):
+    """The write path down to facts: statement -> guard -> extraction -> supersession."""
+    heard = _heard(spark, d)
+    obs = (O.rule_extract(heard).join(heard.select("doc_id", "subject", "valid_at"), "doc_id")
+           .select("graph", "subject", F.col("entity_type").alias("relation"), "value", F.col("doc_id").alias("uuid"), "valid_at"))
+    return T.resolve_supersession(obs).select("graph", "subject", "relation", "value", "uuid", "valid_at", "invalid_at")
+
+
+@register("extractor_hook", sql=f"""WITH {WR_CTE}
+SELECT doc_id, graph, entity_type, unnest(vals) AS value FROM ({_rule_arms()}) WHERE len(vals) > 0""")
 def q_extractor_hook(spark, d):
     return O.extractor_hook(derive.write_requests(Tables(spark, d)))
 

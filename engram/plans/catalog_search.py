@@ -286,13 +286,17 @@ def q_eval_recall(spark, d):
 
 # ---------------------------------------------------------------- vectors
 @register("embedding_guard", sql=f"""
+WITH mixed AS (SELECT vec_id, CASE WHEN label % 4 = 1 THEN embedding[1:32] WHEN label % 4 <> 3 THEN embedding END AS embedding FROM embeddings)
 SELECT vec_id, CASE WHEN embedding IS NULL THEN 'missing vector'
                     WHEN len(embedding) <> {VEC_DIM} THEN 'dimension ' || CAST(len(embedding) AS VARCHAR) || ' != {VEC_DIM}'
                END AS reject_reason,
        embedding IS NOT NULL AND len(embedding) = {VEC_DIM} AS accepted
-FROM embeddings""")
+FROM mixed""")
 def q_embedding_guard(spark, d):
-    return S.embedding_guard(Tables(spark, d).embeddings, VEC_DIM).select("vec_id", "reject_reason", "accepted")
+    """A store that mixes embedders: some labels' vectors are half as long, some are missing."""
+    e, kind = Tables(spark, d).embeddings, F.col("label") % 4
+    mixed = e.withColumn("embedding", F.when(kind == 1, F.slice("embedding", 1, 32)).when(kind != 3, F.col("embedding")))
+    return S.embedding_guard(mixed, VEC_DIM).select("vec_id", "reject_reason", "accepted")
 
 
 @register("vector_search", sql=f"""

@@ -134,6 +134,21 @@ def requests_from_documents(d: DataFrame) -> DataFrame:
     )
 
 
+def spoken_requests(t: Tables) -> DataFrame:
+    """Short statements made from events, so that every trigger phrase is spoken: each
+    user says one sentence an event, in the tier of the user's parity."""
+    e = t.events
+    k = F.coalesce(F.get_json_object("props", "$.k"), F.lit("none"))
+    said = (F.when(F.col("event_type") == "purchase", F.concat(F.lit("I want product "), k))
+            .when(F.col("event_type") == "view", F.concat(F.lit("we decided to keep plan "), k))
+            .when(F.col("event_type") == "click", F.concat(F.lit("they want feature "), k))
+            .when(F.col("event_type") == "error", F.concat(F.lit("The portal must have retry "), k))
+            .otherwise(F.concat(F.lit("Talk about "), F.col("event_type"))))
+    return e.select(F.col("event_id").alias("doc_id"), F.col("user_id").alias("subject"), F.col("ts").alias("valid_at"),
+                    tier_of_parity(F.col("user_id")).alias("graph"), F.col("event_type").alias("name"),
+                    F.lit("event").alias("source_description"), said.alias("episode_body"))
+
+
 def access_log(t: Tables) -> DataFrame:
     """Gateway JSON access-log lines made from events, with their order key."""
     return log_lines_from_events(t.events)
