@@ -6,7 +6,6 @@ stated here once, in natural order, and imported everywhere else.
 
 # --- fixed values: ingest ---------------------------------------------------
 MAX_CHARS = 6000            # code points per episode slice
-HEADING_LEVELS = (1, 2)     # split before lines starting with "# " or "## "
 
 # --- fixed values: recall ---------------------------------------------------
 CHARS_PER_TOKEN = 4         # est_tokens = max(1, len // 4)
@@ -19,22 +18,15 @@ EVAL_MAX_FACTS = 10
 # --- fixed values: maintenance reports ---------------------------------------
 CONTRADICTIONS_LIMIT = 25
 ACTIVITY_LOG_LINES = 2000
-COMPACTION_DAYS = 90
 
 # --- fixed values: access log -------------------------------------------------
 # port -> tier; anything else (or no port) is "?"
 TIER_PORTS = {"8000": "personal", "8001": "client"}
 UNKNOWN = "?"
 
-# --- fixed values: embeddings --------------------------------------------------
-EMBEDDING_DIM = 768
-
 # --- tiers (our names) ---------------------------------------------------------
-TIERS = ("personal", "client")
 # default group of a tier = the tier's own graph name
 DEFAULT_GROUP = {"personal": "personal", "client": "client"}
-# queue cap per tier; 0 = unbounded
-MAX_QUEUE_SIZE = {"personal": 0, "client": 0}
 
 # --- retrieval choices (published defaults) ------------------------------------
 BM25_K1 = 1.2

@@ -217,32 +217,24 @@ def filter_entity_types(entities: DataFrame, entity_types: list[str] | None) ->
 
 
 # ---------------------------------------------------------------- OP-30
-def graph_expand(seeds: DataFrame, mentions: DataFrame, hops: int,
-                 checkpoint_every: int = 2) -> DataFrame:
+def graph_expand(seeds: DataFrame, mentions: DataFrame, hops: int) -> DataFrame:
     """OP-30: nodes within ``hops`` undirected steps of the seed entities.
 
-    The mention graph is bipartite (episode <-> entity). Each hop joins the
-    de-duplicated frontier with the edges, removes visited nodes
-    (``left_anti``) and keeps the first hop a node was reached at. Lineage is
-    cut with ``checkpoint()`` into the shared checkpoint folder every few hops.
-    Output: (graph, kind, node, hop) with hop 0 for the seeds.
+    The mention graph is bipartite (episode <-> entity) and the seeds are entities, so
+    odd hops reach episodes and even hops entities: each hop runs that one join. Edges
+    and every hop's new nodes are written to the shared checkpoint folder, so neither
+    is built twice. Output: (graph, kind, node, hop) with hop 0 for the seeds.
     """
-    edges = mentions.select("graph", "episode_uuid", "entity_uuid")
-    visited = seeds.select("graph", F.lit("entity").alias("kind"),
-                           F.col("uuid").alias("node"), F.lit(0).alias("hop")).distinct()
-    frontier = visited
+    edges = reliable_checkpoint(mentions.select("graph", "episode_uuid", "entity_uuid"))
+    frontier = seeds.select("graph", F.lit("entity").alias("kind"), F.col("uuid").alias("node"),
+                            F.lit(0).alias("hop")).distinct()
+    visited = frontier
     for h in range(1, hops + 1):
-        ent = frontier.filter(F.col("kind") == "entity").select("graph", F.col("node").alias("entity_uuid"))
-        epi = frontier.filter(F.col("kind") == "episode").select("graph", F.col("node").alias("episode_uuid"))
-        step = (edges.join(ent, ["graph", "entity_uuid"], "left_semi")
-                .select("graph", F.lit("episode").alias("kind"), F.col("episode_uuid").alias("node"))
-                .unionByName(edges.join(epi, ["graph", "episode_uuid"], "left_semi")
-                             .select("graph", F.lit("entity").alias("kind"), F.col("entity_uuid").alias("node")))
-                .distinct())
-        new = step.join(visited, ["graph", "kind", "node"], "left_anti").withColumn("hop", F.lit(h))
-        visited = visited.unionByName(new)
-        frontier = new
-        if checkpoint_every and h % checkpoint_every == 0 and h < hops:
-            visited = reliable_checkpoint(visited)
-            frontier = visited.filter(F.col("hop") == h)
+        here, there = ("entity", "episode") if h % 2 else ("episode", "entity")
+        step = (edges.join(frontier.select("graph", F.col("node").alias(f"{here}_uuid")), ["graph", f"{here}_uuid"], "left_semi")
+                .select("graph", F.lit(there).alias("kind"), F.col(f"{there}_uuid").alias("node")).distinct())
+        frontier = step.join(visited, ["graph", "kind", "node"], "left_anti").withColumn("hop", F.lit(h))
+        if h < hops:
+            frontier = reliable_checkpoint(frontier)
+        visited = visited.unionByName(frontier)
     return visited

@@ -72,12 +72,13 @@ SPARK_TYPES = {"str": T.StringType(), "int": T.LongType(), "float": T.DoubleType
 
 
 def ontology_frame(spark: SparkSession, ontology: dict | None = None) -> DataFrame:
-    """OP-03: (graph, entity_type, fields array<struct<name,type>>) — tiny, broadcast."""
-    ontology = ontology or ONTOLOGY
-    rows = [(g, name, [(f, t) for f, t in fields]) for g, types in ontology.items()
-            for name, fields in types]
-    return F.broadcast(spark.createDataFrame(
-        rows, "graph string, entity_type string, fields array<struct<name:string,type:string>>"))
+    """OP-03: (graph, entity_type, description, fields) — one row per declared type.
+    ``ontology``: graph -> [(name, fields[, description])], a field being (name, type[,
+    description]); what is not described is null."""
+    rows = [(g, name, (rest or (None,))[0], [(f, t, (d or (None,))[0]) for f, t, *d in fields])
+            for g, types in (ontology or ONTOLOGY).items() for name, fields, *rest in types]
+    return spark.createDataFrame(rows, "graph string, entity_type string, description string, "
+                                 "fields array<struct<name:string,type:string,description:string>>")
 
 
 def load_ontology_yaml(spark: SparkSession, path: str, graph: str) -> DataFrame:
@@ -89,8 +90,9 @@ def load_ontology_yaml(spark: SparkSession, path: str, graph: str) -> DataFrame:
     with open(path, encoding="utf-8") as fh:
         cfg = yaml.safe_load(fh) or {}
     types = _entity_types(cfg)
-    ont = {graph: [(t["name"], [(f["name"], f.get("type", "str") if f.get("type", "str") in SPARK_TYPES else "str")
-                                for f in (t.get("fields") or [])]) for t in types]}
+    ont = {graph: [(t["name"], [(f["name"], f.get("type", "str") if f.get("type", "str") in SPARK_TYPES else "str",
+                                 f.get("description")) for f in (t.get("fields") or [])], t.get("description"))
+                   for t in types]}
     return ontology_frame(spark, ont)
 
 
@@ -135,11 +137,6 @@ def attribute_coverage(df: DataFrame, type_col: str, fields: list[str]) -> DataF
         "fill_rate", F.col("filled") / F.col("total"))
 
 
-def rules_frame(spark: SparkSession, rules: list | None = None) -> DataFrame:
-    rules = rules if rules is not None else TRIGGER_RULES + EXTRA_RULES
-    return spark.createDataFrame(rules, "graph string, entity_type string, priority int, pattern string")
-
-
 def rule_extract(episodes: DataFrame, rules: list | None = None, id_col: str = "doc_id",
                  text_col: str = "episode_body", fallback: dict | None = None) -> DataFrame:
     """OP-49: type each episode by the first (by priority) rule of its tier that
@@ -259,10 +256,3 @@ def citation_rate(turns: DataFrame, marker: str, conv_col: str = "conv_id") -> D
         F.count(F.lit(1)).alias("assistant_turns"),
         F.count_if("_cites").alias("citing_turns")).withColumn(
         "rate", F.col("citing_turns") / F.col("assistant_turns"))
-
-
-def overall_citation_rate(per_conv: DataFrame) -> DataFrame:
-    return per_conv.agg(F.sum("citing_turns").alias("citing_turns"),
-                        F.sum("assistant_turns").alias("assistant_turns")).withColumn(
-        "rate", F.col("citing_turns") / F.col("assistant_turns"))
-

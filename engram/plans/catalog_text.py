@@ -176,15 +176,16 @@ def q_structured_episode(spark, d):
 @register("novel_memories", sql=f"""WITH {WR_CTE},
 b AS (SELECT graph, effective_group_id, sha256({_norm_sql('episode_body')}) AS text_key, doc_id FROM wre),
 f AS (SELECT graph, effective_group_id, text_key, min(doc_id) AS doc_id FROM b GROUP BY ALL),
-s AS (SELECT DISTINCT 'personal' AS graph, 'personal' AS effective_group_id,
-             sha256({_norm_sql('text')}) AS text_key FROM benchmark)
+s AS (SELECT DISTINCT graph, effective_group_id, sha256({_norm_sql("'  ' || episode_body || chr(10)")}) AS text_key
+      FROM wre WHERE group_id = 'project-de')
 SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.graph = f.graph
    AND s.effective_group_id = f.effective_group_id AND s.text_key = f.text_key)""")
 def q_novel_memories(spark, d):
-    t = Tables(spark, d)
+    """Check-first against a store that already holds one project's texts, with other
+    white space around them: the normalised text decides."""
     batch = _requests(spark, d)
-    store = t.benchmark.select(F.lit("personal").alias("graph"), F.lit("personal").alias("effective_group_id"),
-                               F.col("text").alias("episode_body"))
+    store = batch.filter(F.col("group_id") == "project-de").select(
+        "graph", "effective_group_id", F.concat(F.lit("  "), "episode_body", F.lit("\n")).alias("episode_body"))
     return A.novel_memories(batch, store, ["graph", "effective_group_id"], ["doc_id"])
 
 

@@ -22,7 +22,7 @@ def markdown_scan(spark: SparkSession, directory: str) -> DataFrame:
     text = F.regexp_replace(F.make_valid_utf8(F.col("content").cast("string")), "\r\n?", "\n")
     out = df.select(rel.alias("rel_path"), text.alias("text"))
     if out.limit(1).count() == 0:
-        raise FileNotFoundError(f"No .md files found under {directory}")
+        raise FileNotFoundError(f"{directory}: nothing to ingest, not one markdown file")
     return out
 
 
@@ -38,5 +38,5 @@ def load_eval_cases(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.schema("query string, expect array<string>").json(path)
     df = df.withColumn("expect", F.coalesce(F.col("expect"), F.array().cast("array<string>")))
     if df.limit(1).count() == 0:
-        raise ValueError(f"No queries in {path}")
+        raise ValueError(f"{path} holds no eval case")
     return df.withColumn("case_id", F.monotonically_increasing_id())
