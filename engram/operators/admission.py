@@ -22,6 +22,9 @@ HYGIENE_RULES = [  # (label, pattern), first match wins
     ("phone", r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}"),
     ("card_number", r"[0-9]{13,19}"),
 ]
+#: Literals of which every match of a pattern holds at least one: a plain substring
+#: search rules most texts out before the regex runs.
+NEEDED = {pat: needed for (_, pat), needed in zip(HYGIENE_RULES, (("=", ":"), ("@",), ("+",), ()))}
 AGENT_PREFIX = r"^\[agent:([^\]]+)\]"
 
 
@@ -59,6 +62,15 @@ def unicode_pattern(pat: str) -> str:
     return "(?U)" + pat
 
 
+def matches(text: Column, pat: str) -> Column:
+    """Does the pattern match anywhere? Same answer as the regex alone, cheaper."""
+    hit = text.rlike(unicode_pattern(pat))
+    some = None
+    for literal in NEEDED.get(pat, ()):
+        some = text.contains(literal) if some is None else some | text.contains(literal)
+    return hit if some is None else some & hit
+
+
 def guard_text() -> Column:
     """What the guard searches: name, raw description and body, newline-joined."""
     return F.concat_ws("\n", *[F.coalesce(F.col(c), F.lit(""))
@@ -77,7 +89,7 @@ def tier_guard(df: DataFrame, reject_patterns: dict, tier_col: str = "graph") ->
     for tier, pat in reject_patterns.items():
         if not pat:
             continue
-        cond = (F.col(tier_col) == F.lit(tier)) & txt.rlike(unicode_pattern(pat))
+        cond = (F.col(tier_col) == F.lit(tier)) & matches(txt, pat)
         hit = cond if hit is None else (hit | cond)
     hit = F.coalesce(hit, F.lit(False)) if hit is not None else F.lit(False)
     return (df.withColumn("accepted", ~hit)
@@ -90,7 +102,7 @@ def write_hygiene(df: DataFrame, text_col: str = "episode_body",
     rules = rules or HYGIENE_RULES
     label = None
     for name, pat in rules:
-        cond = F.col(text_col).rlike(unicode_pattern(pat))
+        cond = matches(F.col(text_col), pat)
         label = F.when(cond, F.lit(name)) if label is None else label.when(cond, F.lit(name))
     return (df.withColumn("hygiene_label", label)
               .withColumn("verdict", F.when(F.col("hygiene_label").isNull(), F.lit("store"))
@@ -168,7 +180,7 @@ def tier_leak_audit(episodes: DataFrame, personal_patterns: list[tuple[str, str]
     intersection (distinct hashes on both sides, combined map-side)."""
     personal = episodes.filter(F.col("graph") == "personal")
     txt = guard_text()
-    reasons = F.filter(F.array(*[F.when(txt.rlike(unicode_pattern(pat)), F.lit(f"pattern:{name}"))
+    reasons = F.filter(F.array(*[F.when(matches(txt, pat), F.lit(f"pattern:{name}"))
                                  for name, pat in personal_patterns]), lambda r: r.isNotNull())
     hits = personal.select(id_col, F.explode(reasons).alias("reason"))
     shared = cross_tier_bodies(episodes)
