@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from engram.session import scratch_path
+from engram.session import scratch_path, ship_package
 
 #: Rows handed to a row function at once: bounds a worker's memory.
 SLICE_ROWS = 512
@@ -29,6 +29,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -52,6 +53,7 @@ def by_row(df: DataFrame, inputs: list[str], outputs: str | T.StructType, make:
     as Arrow data untouched; a kept column named like an output column gives
     way to the output. Row order, repeated rows and nulls are kept.
     """
+    ship_package(df.sparkSession)
     if isinstance(outputs, str):
         outputs = T.StructType.fromDDL(outputs)
     names = set(outputs.fieldNames())
