@@ -13,10 +13,11 @@
    depth 5 with a probability of about 1e-7 for independent orders.)
 3. Pairs are judged by their signatures first (estimates under ``cut`` go: 4.5
    standard deviations below the threshold), then confirmed on the full sets of
-   the two texts, in rounds: every class tries its best pairs, linked classes merge,
-   and later rounds take only pairs that still cross components. Before the later
-   rounds every member of a large region that is not in the region's main component
-   is paired with all members outside its own component, so the chains lose no link.
+   the two texts: every class tries its two best pairs, linked classes merge, then all
+   pairs that still cross components are confirmed. Last, members of a large region
+   that are outside the region's main component meet all members of other components
+   in cells of two blocks (``stray_links``), so chains and hubs lose no link and no
+   list of all pairs is ever written.
 4. Components: min-label propagation with pointer jumping over the confirmed links;
    each round's table is written to the shared folder.
 
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 
 from engram.llm.common import by_row, query, table, written
 
-HASHES, TREES, DEPTH, BASE, SMALL = 128, 40, 8, 5, 8
+HASHES, TREES, DEPTH, BASE, SMALL, BLOCK = 128, 40, 8, 5, 8, 512
 _SEED = np.random.default_rng(20)
 _A = (_SEED.integers(1, 1 << 32, HASHES, dtype=np.uint64) | 1).astype(np.uint32)[:, None]
 _B = _SEED.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)[:, None]
@@ -222,24 +223,82 @@ def _crossing(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return j.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).drop("c_a", "c_b")
 
 
-def _strays(rows: DataFrame, reps: DataFrame, comp: DataFrame, threshold: float) -> DataFrame:
-    """In large regions: members outside the main component with all members of other components."""
+def _cells(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members of large regions that still hold several components, dealt into cells.
+
+    A region's members fall into blocks of about ``BLOCK``; a cell is a pair of blocks,
+    so any two members meet in exactly one cell and no cell grows with the region."""
     region = ["tree", "region"]
-    sized = reps.select("cls", F.col("n_shingles").alias("m"))
-    large = (rows.filter(F.col("n") > SMALL).join(comp, "cls", "left").join(sized, "cls")
-             .select(*region, "cls", F.coalesce("comp", "cls").alias("c"), "m"))
+    large = (rows.filter(F.col("n") > SMALL).join(comp, "cls", "left")
+             .select(*region, "n", "cls", F.coalesce("comp", "cls").alias("c")))
     main = (large.groupBy(*region, "c").agg(F.count(F.lit(1)).alias("k")).groupBy(*region)
             .agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1"))
-    split = large.join(main.select(*region, "main"), region)
-    x = split.filter(F.col("c") != F.col("main")).select(*region, F.col("cls").alias("x"), F.col("c").alias("c_x"), F.col("m").alias("m_x"))
-    y = split.select(*region, F.col("cls").alias("y"), F.col("c").alias("c_y"), F.col("m").alias("m_y"))
-    j = x.join(y, region).filter((F.col("c_x") != F.col("c_y"))
-                                 & (F.least("m_x", "m_y") >= F.greatest("m_x", "m_y") * (threshold - 1e-9)))
-    return j.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    blocks = F.ceil(F.col("n") / BLOCK)
+    m = (large.join(main, region).withColumn("blocks", blocks)
+         .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks"))))
+    m = m.withColumn("other", F.explode(F.expr("sequence(cast(0 as bigint), blocks - 1)")))
+    cell = F.xxhash64(*region, F.least("own", "other"), F.greatest("own", "other"))
+    return m.select(cell.alias("cell"), "cls", "c", "tree", "own", (F.col("own") == F.col("other")).alias("alone"),
+                    (F.col("c") != F.col("main")).alias("stray"))
+
+
+def stray_links(rows: DataFrame, reps: DataFrame, texts: DataFrame, comp: DataFrame, size: int, percent: int,
+                cut: float) -> DataFrame:
+    """``e, o``: links between members of a large region that are in different components.
+
+    A task walks its cells one by one: signatures are compared as matrices, pairs that
+    pass the estimate are confirmed on the full sets, and only links leave the task. A
+    pair that shares regions of several orders is judged in the first of them."""
+    members = (_cells(rows, comp).join(reps.select("cls", "sig", "n_shingles"), "cls").join(texts, "cls")
+               .repartition("cell").sortWithinPartitions("cell"))
+    n_cols = ["cell", "cls", "c", "tree", "own", "alone", "stray", "sig", "n_shingles", "text"]
+
+    def judged(rows_):
+        cls, c, tree, own, alone, stray, sig, n, text = zip(*rows_)
+        sigs = np.frombuffer(b"".join(sig), "<u2").reshape(len(sig), HASHES)
+        comps = np.unique(np.array([x.hex() for x in c]), return_inverse=True)[1]
+        n, own, held, t = np.array(n), np.array(own), {}, tree[0]
+        inner = alone[0]
+        for x in np.flatnonzero(stray).tolist():
+            ok = (comps != comps[x]) & (np.minimum(n, n[x]) * 100 >= np.maximum(n, n[x]) * percent)
+            if not inner:
+                ok &= own != own[x]  # pairs within a block meet in the block's own cell
+            y = np.flatnonzero(ok)
+            y = y[(sigs[y] == sigs[x]).mean(1) >= cut]
+            if not len(y):
+                continue
+            same = (sigs[y][:, _ORDERS[:t, :BASE]] == sigs[x][_ORDERS[:t, :BASE]]).all(2).any(1)
+            for k in y[~same].tolist():
+                if stray[k] and k < x:
+                    continue
+                for i in (x, k):
+                    if i not in held:
+                        held[i] = shingles(text[i], size)
+                both = len(np.intersect1d(held[x], held[k], assume_unique=True))
+                if 100 * both >= percent * (len(held[x]) + len(held[k]) - both):
+                    yield cls[x], cls[k]
+
+    def run(batches):
+        import pyarrow as pa
+
+        at, rows_ = None, []
+
+        def out():
+            links = list(judged(rows_)) if rows_ else []
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.binary()), pa.array([b for _, b in links], pa.binary())], names=["e", "o"])
+        for batch in batches:
+            for row in zip(*(batch.column(k).to_pylist() for k in range(len(n_cols)))):
+                if row[0] != at:
+                    yield out()
+                    at, rows_ = row[0], []
+                rows_.append(row[1:])
+        yield out()
+
+    return members.select(*n_cols).mapInArrow(run, "e binary, o binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80,
-                    keep: list[str] | None = None, rounds: tuple = (2, 8, None)) -> DataFrame:
+                    keep: list[str] | None = None) -> DataFrame:
     """Add ``n_shingles, component_id`` (smallest id reachable) and ``kept`` (the row
     that carries that id) to the columns in ``keep`` (default all)."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("n_shingles", "component_id", "kept", "cls")]
@@ -253,23 +312,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = written(estimated(candidates(rows), reps, cut, threshold), "pairs")
     used = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionAll(rows.filter(F.col("n") > SMALL).select("cls"))
     texts, comp = class_texts(narrow, reps, used, size), None
-    for k, limit in enumerate(rounds):
-        if k == 1:
-            more = estimated(_strays(rows, reps, comp, threshold), reps, cut, threshold)
-            pairs = written(_crossing(pairs, comp).unionAll(more).distinct(), "pairs")
-        elif k:
+    for limit in (2, None):  # the best pairs of every class, then whatever still crosses components
+        if comp is not None:
             pairs = written(_crossing(pairs, comp), "pairs")
-        if pairs.isEmpty():
-            break
         links = written(confirmed(written(_best(pairs, limit), "chosen"), texts, size, percent), "links")
         comp = _merge(comp, links)
-    smallest = reps
-    if comp is not None:
-        smallest = reps.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        low = smallest.groupBy("comp").agg(F.min("doc").alias("component_id"))
-        smallest = smallest.join(low, "comp")
-    else:
-        smallest = reps.withColumn("component_id", F.col("doc"))
+    comp = _merge(comp, written(stray_links(rows, reps, texts, comp, size, percent, cut), "links"))
+    smallest = reps.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    smallest = smallest.join(smallest.groupBy("comp").agg(F.min("doc").alias("component_id")), "comp")
     return _labelled(docs, smallest.select("cls", F.col("component_id").alias("_c")), id_col, text_col, size, keep)
 
 
