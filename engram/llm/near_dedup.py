@@ -43,7 +43,9 @@ from pyspark.sql import functions as F
 
 from engram.llm.common import by_row, query, table, written
 
-HASHES, TREES, DEPTH, BASE, SMALL, BLOCK = 128, 40, 8, 5, 8, 512
+HASHES, TREES, DEPTH, BASE, SMALL = 128, 40, 8, 5, 8
+#: Members and shingles of a block of a large region (a task holds two blocks at once).
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
 _SEED = np.random.default_rng(20)
 _A = (_SEED.integers(1, 1 << 32, HASHES, dtype=np.uint64) | 1).astype(np.uint32)[:, None]
 _B = _SEED.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)[:, None]
@@ -100,7 +102,8 @@ def signatures(docs: DataFrame, text_col: str, size: int, keep: list[str]) -> Da
 
 
 def forest(reps: DataFrame) -> DataFrame:
-    """``tree, region, key, cls, n``: rows of regions with at least two members."""
+    """``tree, region, key, cls, n_shingles, n, total``: rows of regions with at least two
+    members, and the region's members and shingles."""
     def make():
         def fn(sigs):
             rows = np.frombuffer(b"".join(sigs), "<u2").reshape(len(sigs), HASHES)[:, _ORDERS]
@@ -108,10 +111,11 @@ def forest(reps: DataFrame) -> DataFrame:
             return ([[flat[a:a + step] for a in range(k, k + TREES * step, step)]
                      for k in range(0, len(flat), TREES * step)],)
         return fn
-    keyed = by_row(reps, ["sig"], "keys array<binary>", make, keep=["cls"])
-    rows = (keyed.select("cls", F.posexplode("keys").alias("tree", "key")).withColumn("tree", F.col("tree").cast("tinyint"))
+    keyed = by_row(reps, ["sig"], "keys array<binary>", make, keep=["cls", "n_shingles"])
+    rows = (keyed.select("cls", "n_shingles", F.posexplode("keys").alias("tree", "key")).withColumn("tree", F.col("tree").cast("tinyint"))
             .withColumn("region", F.substring("key", 1, 2 * BASE)))
-    sizes = rows.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    sizes = (rows.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total"))
+             .filter("n > 1"))
     return rows.join(sizes, ["tree", "region"])
 
 
@@ -171,13 +175,14 @@ def _best(pairs: DataFrame, k: int | None) -> DataFrame:
 
 
 def class_texts(docs: DataFrame, reps: DataFrame, used: DataFrame, size: int) -> DataFrame:
-    """``cls, text``: one text of each class in ``used``; the corpus text moves once."""
-    wanted = reps.join(used.distinct(), "cls").select(F.col("cls"), F.col("doc").alias("w"))
-    picked = docs.join(wanted, docs["doc"].eqNullSafe(wanted["w"])).select("cls", "text")
+    """``cls, text, sig``: one text of each class in ``used``; the corpus text moves once."""
+    wanted = reps.join(used.distinct(), "cls").select("cls", "sig", F.col("doc").alias("w"))
+    picked = docs.join(wanted, docs["doc"].eqNullSafe(wanted["w"])).select("cls", "sig", "text")
     # a text stands for its class if its own set has the class's key (ids may repeat)
     own = by_row(picked, ["text"], "own binary",
                  lambda: lambda texts: ([_key(s) if len(s := shingles(t, size)) else None for t in texts],))
-    return written(own.filter(F.col("own") == F.col("cls")).groupBy("cls").agg(F.first("text").alias("text")), "texts")
+    return written(own.filter(F.col("own") == F.col("cls")).groupBy("cls")
+                   .agg(F.first("text").alias("text"), F.first("sig").alias("sig")), "texts")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -226,31 +231,30 @@ def _crossing(pairs: DataFrame, comp: DataFrame) -> DataFrame:
 def _cells(rows: DataFrame, comp: DataFrame) -> DataFrame:
     """Members of large regions that still hold several components, dealt into cells.
 
-    A region's members fall into blocks of about ``BLOCK``; a cell is a pair of blocks,
-    so any two members meet in exactly one cell and no cell grows with the region."""
+    A region's members fall into blocks of about ``BLOCK`` members and ``BLOCK_SHINGLES``
+    shingles at most; a cell is a pair of blocks, so any two members meet in exactly one
+    cell and no cell grows with the region."""
     region = ["tree", "region"]
     large = (rows.filter(F.col("n") > SMALL).join(comp, "cls", "left")
-             .select(*region, "n", "cls", F.coalesce("comp", "cls").alias("c")))
+             .select(*region, "n", "total", "cls", "n_shingles", F.coalesce("comp", "cls").alias("c")))
     main = (large.groupBy(*region, "c").agg(F.count(F.lit(1)).alias("k")).groupBy(*region)
             .agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1"))
-    blocks = F.ceil(F.col("n") / BLOCK)
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_SHINGLES))
     m = (large.join(main, region).withColumn("blocks", blocks)
          .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks"))))
     m = m.withColumn("other", F.explode(F.expr("sequence(cast(0 as bigint), blocks - 1)")))
     cell = F.xxhash64(*region, F.least("own", "other"), F.greatest("own", "other"))
-    return m.select(cell.alias("cell"), "cls", "c", "tree", "own", (F.col("own") == F.col("other")).alias("alone"),
+    return m.select(cell.alias("cell"), "cls", "n_shingles", "c", "tree", "own", (F.col("own") == F.col("other")).alias("alone"),
                     (F.col("c") != F.col("main")).alias("stray"))
 
 
-def stray_links(rows: DataFrame, reps: DataFrame, texts: DataFrame, comp: DataFrame, size: int, percent: int,
-                cut: float) -> DataFrame:
+def stray_links(rows: DataFrame, texts: DataFrame, comp: DataFrame, size: int, percent: int, cut: float) -> DataFrame:
     """``e, o``: links between members of a large region that are in different components.
 
     A task walks its cells one by one: signatures are compared as matrices, pairs that
     pass the estimate are confirmed on the full sets, and only links leave the task. A
     pair that shares regions of several orders is judged in the first of them."""
-    members = (_cells(rows, comp).join(reps.select("cls", "sig", "n_shingles"), "cls").join(texts, "cls")
-               .repartition("cell").sortWithinPartitions("cell"))
+    members = _cells(rows, comp).join(texts, "cls").repartition("cell").sortWithinPartitions("cell")
     n_cols = ["cell", "cls", "c", "tree", "own", "alone", "stray", "sig", "n_shingles", "text"]
 
     def judged(rows_):
@@ -317,7 +321,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = written(_crossing(pairs, comp), "pairs")
         links = written(confirmed(written(_best(pairs, limit), "chosen"), texts, size, percent), "links")
         comp = _merge(comp, links)
-    comp = _merge(comp, written(stray_links(rows, reps, texts, comp, size, percent, cut), "links"))
+    comp = _merge(comp, written(stray_links(rows, texts, comp, size, percent, cut), "links"))
     smallest = reps.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     smallest = smallest.join(smallest.groupBy("comp").agg(F.min("doc").alias("component_id")), "comp")
     return _labelled(docs, smallest.select("cls", F.col("component_id").alias("_c")), id_col, text_col, size, keep)
