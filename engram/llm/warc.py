@@ -143,8 +143,8 @@ def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFr
         kind, body = h.get("warc-type"), None
         stated = h.get("warc-payload-digest", "").removeprefix("sha1:") or None
         out = {"type": kind, "id": h.get("warc-record-id"), "concurrent_to": h.get("warc-concurrent-to"),
-               "refers_to": h.get("warc-refers-to-page"), "target": h.get("warc-target-uri"), "date": h.get("warc-date"),
-               "page": h.get("warc-page-number"), "payload_digest": stated}
+               "refers_to": h.get("warc-refers-to-page") or None, "target": h.get("warc-target-uri"), "date": h.get("warc-date"),
+               "page": h.get("warc-page-number") or None, "payload_digest": stated}
         if kind == "response":
             body = block.partition(b"\r\n\r\n")[2] if h.get("content-type", "").startswith("application/http") else block
             digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
@@ -193,14 +193,19 @@ def assemble(records: DataFrame) -> DataFrame:
     return g.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times")))).drop("_copy", "times")
 
 
+def digests(captures: DataFrame) -> DataFrame:
+    """One row per page of :func:`assemble`'s captures."""
+    r = F.col("response")
+    return captures.select(
+        r["page"].cast("bigint").alias("page_id"), r["payload_bytes"].alias("payload_bytes"),
+        r["payload_digest"].alias("payload_digest"), r["type"].alias("record_type"),
+        r["refers_to"].cast("bigint").alias("refers_to"), F.col("request.target").alias("target"),
+        F.col("metadata.fields").isNotNull().alias("has_metadata"))
+
+
 @query("op9_warc")
 def op9_warc(spark: SparkSession, data_dir: str) -> DataFrame:
     """Write all pages as archives, read them back, assemble, one row per page."""
     path = scratch_path(spark, "llm", "warc")
     write_archive(table(spark, data_dir, "pages"), path)
-    c = assemble(read_archive(spark, path, payload=False))
-    r = F.col("response")
-    return c.select(r["page"].cast("bigint").alias("page_id"), r["payload_bytes"].alias("payload_bytes"),
-                    r["payload_digest"].alias("payload_digest"), r["type"].alias("record_type"),
-                    r["refers_to"].cast("bigint").alias("refers_to"), F.col("request.target").alias("target"),
-                    F.col("metadata.fields").isNotNull().alias("has_metadata"))
+    return digests(assemble(read_archive(spark, path, payload=False)))

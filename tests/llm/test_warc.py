@@ -34,6 +34,8 @@ def test_round_trip(spark, min_bytes, per_file):
     got = sorted(((int(r.response.page) if r.response.page else None, r.response.payload_bytes, r.response.payload_digest, r.response.type,
                    int(r.response.refers_to) if r.response.refers_to else None) for r in rows), key=str)
     assert got == expected(ROWS, min_bytes)
+    flat = warc.digests(warc.assemble(warc.read_archive(spark, path, payload=False))).collect()
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in flat), key=str) == got
     bodies = {r.response.page: bytes(r.response.payload) for r in rows if r.response.type == "response"}
     assert bodies["5"].decode() == TRICK and bodies["6"].decode() == "é" * 70000
     assert all(r.response.digest_ok is not False and r.request is not None and r.metadata is not None for r in rows)
