@@ -136,8 +136,12 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     patterns = np.array([[int(c) for c in r["votes"]] for r in counted], int).reshape(len(counted), len(LABELLERS))
     _, post = em(patterns, np.array([r["n"] for r in counted], float)) if counted else (None, [])
     posterior = {r["votes"]: float(p) for r, p in zip(counted, post)}
-    # the bounded, documented sample that fits the scorer; the smallest hashes win, so it is spread evenly
-    sample = (lang.select(text_col, "_lang", F.xxhash64(id_col, text_col).alias("h")).orderBy("h").limit(sample_rows).collect())
+    # the bounded, documented sample that fits the scorer: the smallest hashes win, so it is spread
+    # evenly; a hash limit that lets a quarter more through keeps whole tables away from the driver
+    total = sum(r["n"] for r in counted)
+    limit = int(2 ** 63 * min(1.0, 1.25 * sample_rows / max(1, total))) - 1
+    sample = (lang.select(text_col, "_lang", F.shiftrightunsigned(F.xxhash64(id_col, text_col), 1).alias("h"))
+              .filter(F.col("h") <= limit).orderBy("h").limit(sample_rows).collect())
     held = [measures(r[0], r[1]) for r in sample]
     weights = fit_scorer([hashed(w, m) for w, m in held], np.array([posterior["".join(map(str, votes(m)))] for _, m in held]))
     bc = docs.sparkSession.sparkContext.broadcast((weights, posterior))
