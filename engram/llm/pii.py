@@ -6,15 +6,18 @@ A term t discloses an entity e as far as
 
     PMI(t; e) / IC(e) = 1 + log P(e | t) / -log P(e)
 
-with P(e) = documents with e / all documents and P(e | t) = distinct contexts of e
-with t / documents with t. Terms seen in at least ``support`` distinct contexts of
-an entity whose ratio reaches ``threshold`` become spans of kind ``term`` wherever
-they stand. All counts cover all documents. Copies of one context count once.
-
-Spark does the counting: contexts are rows (entity, context, term) summed by key
-with map-side combines; document counts of the candidate terms come from a second
-pass that ships only words whose checksum is set in a 2^24-bit map of the
-candidates (fixed size; the later join drops false hits). Disclosing terms are
+with P(e) = texts with e / all texts and P(e | t) = texts with t near e / texts with t.
+Terms seen near an entity in at least ``support`` texts whose ratio reaches
+``threshold`` become spans of kind ``term`` wherever they stand. Every count is of
+distinct texts and covers all documents: copies of a text count once everywhere, and
+a passage shared by different texts counts in each of them.
+
+Spark does the counting: contexts are rows (entity, text, term) summed by key
+with map-side combines. A term stands in at least as many texts as it has near any
+entity, so pairs whose ratio cannot reach the threshold even then go first (no
+result depends on it); text counts of the other terms come from a second pass that
+ships only words whose checksum is set in a 2^24-bit map of the candidates (fixed
+size; the later join drops false hits). Disclosing terms are
 applied in blocks of at most ``block_terms`` broadcast terms, each block one narrow
 pass, so any number of terms works.
 
@@ -30,7 +33,6 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -113,55 +115,67 @@ def _around(text: str, start: int, end: int, window: int) -> list[str]:
     return before + _TERM.findall(text[end:end + reach].lower())[:window]
 
 
-def contexts(docs: DataFrame, text_col: str, window: int) -> DataFrame:
-    """``doc, entity, context, terms``: one row per base span of every text."""
-    schema = pa.schema([("entity", pa.string()), ("doc", pa.int64()), ("context", pa.int64()), ("terms", pa.list_(pa.string()))])
+def _number(text: str) -> int:
+    """The 64-bit number of a text: equal for copies."""
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
+
 
-    def number(text: str) -> int:
-        return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
+def contexts(docs: DataFrame, text_col: str, window: int) -> DataFrame:
+    """``entity, doc, terms``: one row per base span of every text."""
+    schema = pa.schema([("entity", pa.string()), ("doc", pa.int64()), ("terms", pa.list_(pa.string()))])
 
     def run(batches):
         for batch in batches:
             rows = []
             for text in batch.column(0).to_pylist():
                 spans = base_spans(text)
-                doc = number(text) if spans else 0
+                doc = _number(text) if spans else 0
                 for s in spans:
-                    words = _around(text, s[0], s[2], window)
-                    rows.append((_entity(text, s), doc, number(" ".join(words)), sorted(set(words))))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows) if rows else [[]] * 4, schema)], schema=schema)
+                    rows.append((_entity(text, s), doc, sorted(set(_around(text, s[0], s[2], window)))))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows) if rows else [[]] * 3, schema)], schema=schema)
 
-    return docs.select(text_col).mapInArrow(run, "entity string, doc bigint, context bigint, terms array<string>")
+    return docs.select(text_col).mapInArrow(run, "entity string, doc bigint, terms array<string>")
 
 
 def _document_counts(docs: DataFrame, text_col: str, bitmap) -> DataFrame:
-    """``term, n``: documents with each word whose checksum is set in the bit map."""
-    schema = pa.schema([("term", pa.string()), ("n", pa.int64())])
+    """``term, n``: distinct texts with each word whose checksum is set in the bit map."""
+    schema = pa.schema([("term", pa.string()), ("doc", pa.int64())])
     mask = (1 << MAP_BITS) - 1
 
     def run(batches):
         bits, crc = bitmap.value, zlib.crc32
         for batch in batches:
-            n = Counter()
-            for text in batch.column(0).to_pylist():
+            terms, owners = [], []
+            for text in dict.fromkeys(batch.column(0).to_pylist()):
+                found = []
                 for w in set(_TERM.findall(text.lower())) if text else ():
                     k = crc(w.encode()) & mask
                     if bits[k >> 3] >> (k & 7) & 1:
-                        n[w] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], schema=schema)
+                        found.append(w)
+                if found:
+                    terms += found
+                    owners += [_number(text)] * len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(owners, pa.int64())], schema=schema)
 
-    return docs.select(text_col).mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    return docs.select(text_col).mapInArrow(run, "term string, doc bigint").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def disclosing_terms(docs: DataFrame, text_col: str = "text", window: int = 8, support: int = 3,
                      threshold: float = 0.9) -> DataFrame:
     """``term, ratio``: terms whose best PMI/IC over entities reaches ``threshold``."""
     ctx = written(contexts(docs, text_col, window), "contexts")
-    pairs = (ctx.select("entity", "context", F.explode("terms").alias("term")).distinct()
+    spark = docs.sparkSession
+    n_docs = docs.filter(F.col(text_col).isNotNull()).select(F.xxhash64(text_col)).distinct().count()
+
+    def ratio(n):
+        return 1 + F.log(F.least(F.lit(1.0), F.col("both") / n)) / F.greatest(F.log(n_docs / F.col("with_entity")), F.lit(1e-9))
+    pairs = (ctx.select("entity", "doc", F.explode("terms").alias("term")).distinct()
              .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= support))
     in_docs = ctx.select("entity", "doc").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
-    pairs = written(pairs.join(in_docs, "entity"), "pairs")
-    spark, n_docs = docs.sparkSession, docs.count()
+    near = (ctx.select("doc", F.explode("terms").alias("term")).distinct()
+            .groupBy("term").agg(F.count(F.lit(1)).alias("near")).filter(F.col("near") >= support))
+    pairs = pairs.join(in_docs, "entity").join(near, "term").filter(ratio(F.col("near")) >= threshold)
+    pairs = written(pairs.select("entity", "term", "both", "with_entity"), "pairs")
     on = pairs.select((F.crc32(F.col("term").cast("binary")) % (1 << MAP_BITS)).cast("int").alias("k")).distinct().toArrow()
     bits = np.zeros(1 << MAP_BITS >> 3, np.uint8)
     k = on.column("k").to_numpy()
@@ -169,8 +183,7 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", window: int = 8, s
         return pairs.select("term", F.lit(0.0).alias("ratio"))
     np.bitwise_or.at(bits, k >> 3, (1 << (k & 7)).astype(np.uint8))
     counts = _document_counts(docs, text_col, spark.sparkContext.broadcast(bits.tobytes()))
-    ratio = 1 + F.log(F.least(F.lit(1.0), F.col("both") / F.col("n"))) / F.greatest(F.log(n_docs / F.col("with_entity")), F.lit(1e-9))
-    return (pairs.join(counts, "term").groupBy("term").agg(F.max(ratio).alias("ratio"))
+    return (pairs.join(counts, "term").groupBy("term").agg(F.max(ratio(F.col("n"))).alias("ratio"))
             .filter(F.col("ratio") >= threshold))
 
 

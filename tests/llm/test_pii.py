@@ -59,6 +59,20 @@ def test_disclosing_terms(spark):
     assert not set(terms) & {"the", "er", "mail"}
 
 
+def test_shared_signatures_and_copies(spark):
+    """One block in different texts has the support of each; copies of a text change no ratio."""
+    r = random.Random(4)
+    plain = [(i, " ".join(words(r, 40))) for i in range(60)]
+    block = "kind regards from Vornquist Limmerhal to all at vq@mail.example.com or by post every day of week"
+    signed = [(100 + i, f"{' '.join(words(r, 20))} {block} {' '.join(words(r, 20))}") for i in range(6)]
+    once = {t.term: t.ratio for t in pii.disclosing_terms(docs_frame(spark, plain + signed)).collect()}
+    assert once["vornquist"] == pytest.approx(1.0) and "limmerhal" in once
+    copied = {t.term: t.ratio for t in pii.disclosing_terms(docs_frame(spark, plain + signed * 50)).collect()}
+    assert copied == pytest.approx(once)
+    apart = [(300 + i, f"{' '.join(words(r, 30))} Vornquist") for i in range(8)]  # in 14 texts, near the address in 6
+    assert "vornquist" not in {t.term for t in pii.disclosing_terms(docs_frame(spark, plain + signed + apart)).collect()}
+
+
 @pytest.mark.parametrize("block_terms", [1, 500_000])
 def test_sanitise(spark, block_terms):
     rows = corpus() + [(400 + i, t) for i, t in enumerate(TEXTS)] + [(100, "again a@b.co")]
