@@ -37,7 +37,7 @@ INSULTS = frozenset("idiot moron stupid scum trash pathetic worthless disgusting
 _SYMBOLS = b"#*$%&|<>{}[]\\^~="
 _UPPER, _LETTER = re.compile("[A-Z]+"), re.compile(r"[^\W\d_]+")
 LABELLERS = ("symbols", "capitals", "word_length", "bars", "repeated_lines", "repeated_words", "length", "function_words",
-             "exclamations", "insults", "insult_kinds")
+             "exclamations", "insults")
 GOOD, NONE, BAD = 0, 1, 2
 
 
@@ -52,13 +52,13 @@ def measures(text: str | None, lang: str | None) -> tuple[list[bytes], list[floa
     kinds = Counter(words)
     own = FUNCTION_WORDS.get(lang or "")
     function = sum(kinds[w.encode()] for w in own) / n if own else -1.0
-    insults = {w: v for w, v in kinds.items() if w.strip(b".,;:!?\"'()#*$%&").decode("utf-8", "ignore") in INSULTS}
+    insults = sum(v for w, v in kinds.items() if w.strip(b".,;:!?\"'()#*$%&").decode("utf-8", "ignore") in INSULTS)
     return words, [symbols / size, capitals / size, sum(map(len, words)) / n, raw.count(b"|") / n,
-                   1 - len(set(lines)) / max(1, len(lines)), 1 - len(kinds) / n, float(len(words)), function, raw.count(b"!!") / n, sum(insults.values()) / n, float(len(insults))]
+                   1 - len(set(lines)) / max(1, len(lines)), 1 - len(kinds) / n, float(len(words)), function, raw.count(b"!!") / n, insults / n]
 
 
 #: Bad above this share; most labellers have nothing to say below it.
-_BAD_ABOVE = {0: 0.03, 1: 0.3, 3: 0.05, 4: 0.3, 8: 0.05, 9: 0.0, 10: 0.5}
+_BAD_ABOVE = {0: 0.03, 1: 0.3, 3: 0.05, 4: 0.3, 8: 0.05, 9: 0.0}
 
 
 def votes(m: list[float]) -> list[int]:
@@ -74,24 +74,36 @@ def votes(m: list[float]) -> list[int]:
 def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500, accuracy: float = 0.8, prior: float = 0.8):
     """Accuracies of the labellers and posteriors (of good) of vote combinations.
 
-    A labeller that speaks is right with its accuracy, whichever class; silence says
-    nothing. Ten pseudo votes hold every accuracy near its start until data speak, and
-    accuracies stay between 0.6 and 0.98, so no labeller can turn its meaning round."""
-    says_good, says_bad = patterns == GOOD, patterns == BAD
-    spoken = ((says_good | says_bad) * counts[:, None]).sum(0)
-    vouches = says_good.any(0)
-    low, high = np.where(vouches, 0.55, 0.9), np.where(vouches, 0.7, 0.98)
-    acc, post = np.clip(np.full(patterns.shape[1], accuracy), low, high), np.zeros(len(counts))
+    A labeller that speaks is right with its accuracy, whichever class. One with both
+    votes speaks as often in either class, so its silence says nothing; one that only
+    objects (or only vouches) speaks more often where it is right, so its silence
+    counts a little. Accuracies compare the share of right votes in the one class with
+    the share of wrong votes in the other, so unequal classes do not bend them. The
+    start and ten pseudo votes hold every accuracy until data speak; accuracies stay
+    between 0.5 (says nothing) and 0.99."""
+    says = np.stack((patterns == GOOD, patterns == BAD)).astype(float)  # vote, pattern, labeller
+    total, mute = counts.sum(), 1 - says.sum(0)
+    spoken = (says * counts[:, None]).sum(1)
+    both, seen = (spoken > 0).all(0), spoken.sum(0)
+    rate = np.where(both, seen, 2 * spoken) / total
+    acc, post = np.full(patterns.shape[1], accuracy), np.zeros(len(counts))
     for _ in range(rounds):
-        weight = np.log(acc / (1 - acc))
-        odds = np.log(prior / (1 - prior)) + (says_good * weight).sum(1) - (says_bad * weight).sum(1)
-        new = 1 / (1 + np.exp(-odds))
+        odds = np.log(prior / (1 - prior))
+        for sign, right in ((1, np.stack((acc, 1 - acc))), (-1, np.stack((1 - acc, acc)))):
+            p = rate * right  # of either vote, in the class that is good (bad)
+            p = np.maximum(p * np.minimum(1, 0.999 / np.maximum(p.sum(0), 1e-12)), 1e-12)
+            silent = np.where(both, 0.0, np.log1p(-p.sum(0)))
+            odds = odds + sign * ((says * np.log(p)[:, None]).sum((0, 2)) + mute @ silent)
+        new = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
         done, post = np.abs(new - post).max() < 1e-9, new
         if done:
             break
-        right = ((says_good * post[:, None] + says_bad * (1 - post)[:, None]) * counts[:, None]).sum(0)
-        acc = np.clip((right + 10 * accuracy) / (spoken + 10), low, high)
-        prior = float(np.clip((post * counts).sum() / counts.sum(), 0.5, 0.8))
+        mass = np.stack((post * counts, (1 - post) * counts))
+        share = np.einsum("yp,vpj->yvj", mass, says) / np.maximum(mass.sum(1), 1e-9)[:, None, None]
+        right, wrong = share[0, 0] + share[1, 1], share[0, 1] + share[1, 0]
+        rate = np.where(both, seen / total, share.sum(0))
+        acc = np.clip((seen * right / np.maximum(right + wrong, 1e-12) + 10 * accuracy) / (seen + 10), 0.5, 0.99)
+        prior = float(np.clip((post * counts).sum() / total, 0.01, 0.99))
     return acc, post
 
 

@@ -81,6 +81,25 @@ def test_em_recovers_accuracies():
     assert np.mean(sure) > 0.85
 
 
+@pytest.mark.parametrize("true,objecting", [([0.95, 0.92, 0.97], 1), ([0.6, 0.95, 0.9, 0.85], 2), ([0.5, 0.95, 0.9, 0.85], 4)])
+def test_em_recovers_weak_and_strong_labellers(true, objecting):
+    r = np.random.default_rng(1)
+    n, k = 20000, len(true)
+    y = r.random(n) < 0.75
+    says = np.where(r.random((n, k)) < true, y[:, None], ~y[:, None])
+    votes = np.where(r.random((n, k)) < 0.8, np.where(says, c.GOOD, c.BAD), c.NONE)
+    votes[:, :objecting] = np.where(votes[:, :objecting] == c.GOOD, c.NONE, votes[:, :objecting])
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    acc, post = c.em(patterns, counts.astype(float))
+    assert acc == pytest.approx(true, abs=0.02)
+    assert (post * counts).sum() / n == pytest.approx(0.75, abs=0.02)
+
+
+def test_one_insult_is_one_vote():
+    spoken = c.votes(c.measures("the end of it is for that idiot " + "the sum of words in a text " * 3, "en")[1])
+    assert spoken.count(c.BAD) == 1 and len(spoken) == len(c.LABELLERS)
+
+
 def test_classifier(spark):
     r = random.Random(3)
     common = "the of and to in a is that for it".split()
