@@ -13,7 +13,9 @@ comment lists and footers, in many namings, also nested), a bound that does not
 depend on the data; its weights (some 100 kB) are broadcast.
 
 Defined results: a null or empty html, and a page without a main block, give an
-empty text. Scripts, styles, heads, comments and other raw content are no blocks;
+empty text. Scripts, styles, titles, comments and other raw content are no blocks; a
+head ends where something else than head content starts, and an unclosed drawing,
+object, select, template or noscript at the next block-level tag;
 character references are decoded once; white space inside a block becomes one
 blank; a line break element ends a block; unclosed and stray tags are accepted as
 browsers do for the common cases; pages are read whole; repeated rows give equal
@@ -38,11 +40,14 @@ PATH_DIM, WORD_DIM, MEASURES, HIDDEN = 512, 32, 7, 16
 TRAIN_PAGES, EPOCHS, SEED = 1200, 10, 11
 #: HTML element classes (fixed values of the standard).
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe noframes noembed xmp svg math object head select".split())
+RAW = frozenset("script style noscript template textarea title iframe noframes noembed xmp svg math object select".split())
+#: Raw elements whose content is markup: without an end tag they end at the next block.
+MARKUP = frozenset("noscript template svg math object select".split())
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
                   "figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p "
                   "pre section summary table tbody td tfoot th thead tr ul br".split())
 CLOSES_P = BLOCK - {"br", "button", "body", "html"}
+_NEXT_BLOCK = re.compile(f"</?(?:{'|'.join(sorted(BLOCK - {'option', 'optgroup'}))})(?=[\\s/>])", re.I)
 _ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _TOKEN = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
@@ -74,6 +79,18 @@ def _end_of_tag(html: str, at: int) -> int:
     return -1
 
 
+def _ends(html: str, tag: str) -> dict[int, int]:
+    """End of each ``tag`` element by the start of its name; unclosed ones are missing."""
+    out, waiting = {}, []
+    for m in re.finditer(f"<(/?){tag}(?=[\\s/>])", html, re.I):
+        if not m[1]:
+            waiting.append(m.start() + 1)
+        elif waiting:
+            end = html.find(">", m.end())
+            out[waiting.pop()] = end + 1 if end >= 0 else len(html)
+    return out
+
+
 def blocks(html: str | None) -> list[tuple[tuple, str, float]]:
     """(path, text, share of the text inside links) of every leaf block of a page.
 
@@ -81,6 +98,7 @@ def blocks(html: str | None) -> list[tuple[tuple, str, float]]:
     out, text, linked = [], [], 0
     stack: list[tuple] = []
     path: tuple = ()
+    ends: dict[str, dict[int, int]] = {}
     pos, n = 0, len(html or "")
 
     def flush():
@@ -125,10 +143,20 @@ def blocks(html: str | None) -> list[tuple[tuple, str, float]]:
             flush_first = tag in ("select", "textarea", "object", "iframe")
             if flush_first:
                 flush()
-            stop = re.compile(f"</{tag}\\s*>|<body\\b" if tag == "head" else f"</{tag}\\s*>", re.I).search(html, pos)
             if html[end - 1] == "/" and tag in ("svg", "math"):
                 continue
-            pos = n if not stop else stop.start() if stop.group().lower().startswith("<body") else stop.end()
+            if tag in MARKUP:
+                if tag not in ends:
+                    ends[tag] = _ends(html, tag)
+                pos = ends[tag].get(lt + 1, 0)
+                if not pos:
+                    block = _NEXT_BLOCK.search(html, end)
+                    pos = block.start() if block else n
+                continue
+            stop = re.compile(f"</{tag}\\s*>", re.I).search(html, pos)
+            pos = stop.end() if stop else n
+            continue
+        if tag == "head":  # what it may hold is void or raw; anything else ends it
             continue
         if tag in BLOCK:
             flush()

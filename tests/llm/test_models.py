@@ -21,6 +21,15 @@ def test_blocks(html, want):
     assert [t for _, t, _ in x.blocks(html)] == want
 
 
+@pytest.mark.parametrize("html,want", [
+    ("<head><title>x</title><p>article<p>b", ["article", "b"]), ("<html><head><meta charset=u><style>p{}</style><div>a</div>", ["a"]),
+    ("<head><title>x</title></head><p>a", ["a"]), ("<div>a<svg><path d=x><text>t</div><p>b</p>", ["a", "b"]),
+    ("<p>a</p><svg><g><p>b</p><svg><g>t</g></svg><p>c", ["a", "b", "c"]), ("<svg><svg></svg>t</svg><p>a", ["a"]),
+    ("<p>a</p><object data=x><param name=y><p>b", ["a", "b"]), ("<p>a<select><option>o<p>b", ["a", "b"]), ("<p>a</p><svg>t", ["a"])])
+def test_blocks_of_omitted_and_unclosed_tags(html, want):
+    assert [t for _, t, _ in x.blocks(html)] == want
+
+
 def test_gradients():
     r = np.random.default_rng(0)
     net = x.Labeller()
