@@ -26,8 +26,10 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from functools import lru_cache
 from html import unescape
+from itertools import islice
 from zlib import crc32
 
 import numpy as np
@@ -38,6 +40,8 @@ from engram.llm.common import by_row, query, table
 
 PATH_DIM, WORD_DIM, MEASURES, HIDDEN = 512, 32, 7, 16
 TRAIN_PAGES, EPOCHS, SEED = 1200, 10, 11
+#: Open elements up to which a path names every one.
+DEEP = 256
 #: HTML element classes (fixed values of the standard).
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe noframes noembed xmp svg math object select".split())
@@ -49,6 +53,7 @@ BLOCK = frozenset("address article aside blockquote body button caption center d
 CLOSES_P = BLOCK - {"br", "button", "body", "html"}
 _NEXT_BLOCK = re.compile(f"</?(?:{'|'.join(sorted(BLOCK - {'option', 'optgroup'}))})(?=[\\s/>])", re.I)
 _ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_VALUE = re.compile(r""">|=\s*(?:["']|([^\s"'>][^\s>]*))""")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _TOKEN = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
@@ -59,23 +64,17 @@ def _words_of_attributes(attrs: str) -> tuple[str, ...]:
 
 
 def _end_of_tag(html: str, at: int) -> int:
-    """Index of the ``>`` that ends the tag at ``at`` (quoted ones do not count), or -1."""
-    end = html.find(">", at)
-    while end >= 0:
-        part = html[at:end]
-        open_quote = None
-        if '"' in part or "'" in part:
-            for c in part:
-                if open_quote is None and c in "\"'":
-                    open_quote = c
-                elif c == open_quote:
-                    open_quote = None
-        if open_quote is None:
-            return end
-        close = html.find(open_quote, end)
-        if close < 0 or close - at > 4096:
-            return end
-        end = html.find(">", close)
+    """Index of the ``>`` that ends the tag at ``at`` (those in attribute values do not
+    count, unless the quote never closes), or -1."""
+    while m := _VALUE.search(html, at):
+        if m.group() == ">":
+            return m.start()
+        at = m.end()
+        if m.group()[-1] in "\"'" and not m[1]:
+            close = html.find(m.group()[-1], at)
+            if close < 0:
+                return html.find(">", at)
+            at = close + 1
     return -1
 
 
@@ -94,19 +93,30 @@ def _ends(html: str, tag: str) -> dict[int, int]:
 def blocks(html: str | None) -> list[tuple[tuple, str, float]]:
     """(path, text, share of the text inside links) of every leaf block of a page.
 
-    The path is a tuple of (tag, attribute words) of the open elements."""
+    The path is a tuple of (tag, attribute words) of the open elements; of more than
+    ``DEEP`` it holds the kinds in order of opening and the innermost ones."""
     out, text, linked = [], [], 0
     stack: list[tuple] = []
-    path: tuple = ()
+    kinds: dict[tuple, int] = {}
+    opened: Counter = Counter()
     ends: dict[str, dict[int, int]] = {}
     pos, n = 0, len(html or "")
 
+    def close(k):
+        for e in stack[k:]:
+            opened[e[0]] -= 1
+            kinds[e] -= 1
+            if not kinds[e]:
+                del kinds[e]
+        del stack[k:]
+
     def flush():
         nonlocal text, linked
         if text:
             raw = "".join(text)
             body = " ".join(unescape(raw).split())
             if body:
+                path = tuple(stack) if len(stack) <= DEEP else (*islice(kinds, DEEP), *stack[-DEEP:])
                 out.append((path, body, min(1.0, linked / max(1, len(raw)))))
             text, linked = [], 0
 
@@ -163,16 +173,15 @@ def blocks(html: str | None) -> list[tuple[tuple, str, float]]:
         if tag in VOID:
             continue
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
+            for k in range(len(stack) - 1, -1, -1) if opened[tag] else ():
                 if stack[k][0] == tag:
-                    del stack[k:]
+                    close(k)
                     break
-            path = tuple(stack)
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and opened["p"]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == "p":
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k][0] in CLOSES_P:
                     break
@@ -180,13 +189,13 @@ def blocks(html: str | None) -> list[tuple[tuple, str, float]]:
             same = ("dd", "dt") if tag[0] == "d" else ("td", "th") if tag in ("td", "th") else (tag,)
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] in same:
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k][0] in ("ul", "ol", "dl", "table", "tr", "select", "menu"):
                     break
-        if len(stack) < 256:
-            stack.append((tag, _words_of_attributes(html[m.end():end]) if end > m.end() else ()))
-        path = tuple(stack)
+        stack.append((tag, _words_of_attributes(html[m.end():end]) if end > m.end() else ()))
+        opened[tag] += 1
+        kinds[stack[-1]] = kinds.get(stack[-1], 0) + 1
     flush()
     return out
 

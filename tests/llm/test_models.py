@@ -30,6 +30,21 @@ def test_blocks_of_omitted_and_unclosed_tags(html, want):
     assert [t for _, t, _ in x.blocks(html)] == want
 
 
+def test_deep_pages_keep_their_paths():
+    page = "<div class=main>" + "<span>" * 400 + "<footer class=foot>" + "<font>" * 400 + "a<br>b</footer><p>c</p></div><p>d"
+    got = {t: {w for _, words in path for w in words} | {tag for tag, _ in path} for path, t, _ in x.blocks(page)}
+    assert got["a"] == got["b"] == {"div", "main", "span", "footer", "foot", "font"}
+    assert got["c"] == {"div", "main", "span", "p"} and got["d"] == {"p"}
+    assert len(x.blocks("<b>" * 50000 + "x<br>" * 50000 + "</i>" * 50000)) == 50000
+
+
+@pytest.mark.parametrize("tag,want", [
+    (f"<p data-x='{'a > b ' * 2000}'>q", ["q"]), (f'<p a=b srcdoc = "{"<i>w</i> " * 2000}">q</p>', ["q"]), ("<p title=it's>q</p>'<p>r", ["q", "'", "r"]),
+    ("<p title='open>q", ["q"]), ("<a href=x?y=\"z>q</a><p>\"r", ["q", "\"r"]), ("<p a= >q", ["q"])])
+def test_attribute_values_end_at_their_quote(tag, want):
+    assert [t for _, t, _ in x.blocks(tag)] == want
+
+
 def test_gradients():
     r = np.random.default_rng(0)
     net = x.Labeller()
