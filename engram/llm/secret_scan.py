@@ -1,7 +1,10 @@
 """Secret scans: candidate strings judged by a random forest.
 
 A candidate is a run of ``[A-Za-z0-9+/=_-]``, 16 characters or more, that holds a
-digit and a letter. Its features: length, rate of changes between character
+digit and a letter, or the value after a secret's name and an assignment sign, of
+any length and characters: up to the closing quote on its line, or else unbroken
+(less a comma or semicolon at its end). A value and another run inside it are judged
+apart, so their spans may overlap. Its features: length, rate of changes between character
 classes, share of each class, entropy, distinct characters, dictionary coverage
 (share of letters that stand in letter runs which are words of the dictionary or
 look like words by their vowels), whether a path-like or code-like source, and
@@ -41,20 +44,24 @@ PLAIN_WORDS = frozenset("commit sha hash digest checksum md5 sha1 sha256 id uuid
                         "image data file path version build ref integrity nonce example sample".split())
 DICTIONARY = frozenset("the and for with file data image page index main test user name path code list item text home "
                        "docs core lib src module version release config default static public".split())
+_ASSIGNED = re.compile(rf"(?:{'|'.join(sorted(SECRET_WORDS))})(?![A-Za-z])[A-Za-z0-9_-]{{0,40}}[\"']?[ \t]{{0,8}}(?::=|=>|[=:])(?!=)[ \t]{{0,8}}"
+                       r"""(?:"([^"\n]+)"|'([^'\n]+)'|["']?([^\s"',;](?:[^\s"']*[^\s"',;])?))""", re.I)
 FINDINGS, TREES, DEPTH = 3000, 30, 8
 
 
 def candidates(text: str | None) -> list[tuple[int, int]]:
-    """Spans of candidate strings of a whole text."""
-    return [m.span() for m in _RUN.finditer(text)
-            if _DIGIT.search(m.group()) and _LETTER.search(m.group())] if text else []
+    """Spans of candidate strings of a whole text, each once, by start."""
+    if not text:
+        return []
+    runs = {m.span() for m in _RUN.finditer(text) if _DIGIT.search(m.group()) and _LETTER.search(m.group())}
+    return sorted(runs.union(m.span(m.lastindex) for m in _ASSIGNED.finditer(text)))
 
 
 def features(text: str, start: int, end: int, source: str) -> list[float]:
     s = text[start:end]
     n = len(s)
     kinds = ["d" if c.isdigit() else "l" if c.islower() else "u" if c.isupper() else "o" for c in s]
-    changes = sum(a != b for a, b in zip(kinds, kinds[1:])) / (n - 1)
+    changes = sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, n - 1)
     counts = [s.count(c) for c in set(s)]
     entropy = -sum(c / n * math.log2(c / n) for c in counts)
     covered = sum(len(r) for r in _LETTERS.findall(s)
@@ -100,6 +107,31 @@ def labelled_findings(n: int = FINDINGS, seed: int = 5) -> list[tuple[str, int,
         after = r.choice(['"', "'", " ", "\n", ", "]) + word()
         source = r.choice(["src0", "web", "config.py", "app/settings.env", "docs/readme.md"])
         out.append((before + value + after, len(before), len(before) + len(value), source, label))
+    return out + assigned_findings(n // 3, seed + 1)
+
+
+def assigned_findings(n: int, seed: int) -> list[tuple[str, int, int, str, int]]:
+    """Labelled values after a secret's name: short and odd passwords, letters or digits
+    only, against prose, code, placeholders and empty values."""
+    r = random.Random(seed)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    every = lower + lower.upper() + digits
+    plain = ["none", "null", "true", "false", "required", "string", "str", "getenv", "your_password", "changeme", "<password>",
+             "${PASSWORD}", "self.password", "args.token", "the", "a", "see", "next", "public", "x", "{{", "******"]
+    out = []
+    for i in range(n):
+        label = i % 2
+        if label:
+            value = r.choice(["".join(r.choices(every + "!@#$%^&*?.", k=r.randint(8, 24))), "".join(r.choices(every, k=r.randint(8, 15))),
+                              "".join(r.choices(lower, k=r.randint(12, 30))), "".join(r.choices(digits, k=r.randint(8, 24))),
+                              r.choice(["p@ss", "s3cr", "adm1n", "l0g"]) + r.choice("!?#$") + "".join(r.choices(lower, k=4)) + r.choice(digits)])
+        else:
+            value = r.choice(plain)
+        name = r.choice(sorted(SECRET_WORDS))
+        name = r.choice([name, name.upper(), "db_" + name, name.title()])
+        lead, after = r.choice([(f'{name} = "', '"'), (f"{name}: ", " "), (f"{name}=", " "), (f'"{name}": "', '"'), (f"{name} = '", "'")])
+        before = " ".join("".join(r.choices(lower, k=r.randint(2, 8))) for _ in range(r.randint(0, 6))) + " " + lead
+        out.append((before + value + after + "\nnext", len(before), len(before) + len(value), r.choice(["src0", "web", "config.py", "app/settings.env"]), label))
     return out
 
 

@@ -146,6 +146,19 @@ def test_forest_on_held_out_findings():
     assert np.mean((p >= 0.5) == np.array([y for *_, y in rows], bool)) >= 0.95
 
 
+def test_assigned_values_are_scored():
+    for text, value in (('password = "p@ss!word2" x', "p@ss!word2"), ("db_password: hunter2xK9 end", "hunter2xK9"), ("API token='qzvkxwpjrtmbhd'", "qzvkxwpjrtmbhd"),
+                        ('"secret": "7391840265" ,', "7391840265"), ("PASSWD=Xk4!vQ9z\n", "Xk4!vQ9z")):
+        assert [text[a:b] for a, b in s.candidates(text)] == [value]
+    assert s.candidates("a password is needed, the key to it == x") == [] and s.candidates("token = ") == []
+    key = "24be64439e3e49cf46b2d7c90f3602a3"
+    assert [x[0] for x in s.candidates(f'token: "Bearer {key}"')] == [8, 15] and s.candidates(f"key={key},")[-1] == (4, 36)
+    rows = s.assigned_findings(400, seed=98)
+    assert all((a, b) in s.candidates(t) for t, a, b, *_ in rows)
+    p = s.train().predict(np.array([s.features(t, a, b, src) for t, a, b, src, _ in rows]))
+    assert np.mean((p >= 0.5) == np.array([y for *_, y in rows], bool)) >= 0.9
+
+
 def test_secrets(spark):
     key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
     rows = [(1, f'x token = "{key}" y'), (2, f"commit {key} done"), (3, None), (4, ""), (5, "4785380592391141 averyveryverylongword"),
