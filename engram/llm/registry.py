@@ -9,6 +9,7 @@ from engram.llm import (  # noqa: F401
     quality_classifier,
     quality_rules,
     secret_scan,
+    spelling,
     url_filter,
     warc,
 )
