@@ -3,6 +3,7 @@
 from engram.llm import (  # noqa: F401
     bpe,
     decontaminate,
+    hard_negatives,
     html_extract,
     near_dedup,
     pii,
@@ -11,6 +12,7 @@ from engram.llm import (  # noqa: F401
     secret_scan,
     spelling,
     url_filter,
+    vptree,
     warc,
 )
 from engram.llm.common import QUERIES, SQL
