@@ -26,23 +26,27 @@ def eval_cases_from_items(items: DataFrame, min_len: int = 7, absent_needle: str
 MAX_BROADCAST_RESULTS = 2_000_000
 
 
-def result_texts(results: DataFrame, texts: DataFrame) -> DataFrame:
-    """Text of each result row. The results are the small side (queries x max facts,
-    counted) and go to the texts, so corpus text never moves; a result table beyond
-    the bound joins by exchange."""
-    small = results.count() <= MAX_BROADCAST_RESULTS
-    return texts.select("doc_id", "text").join(F.broadcast(results) if small else results, "doc_id")
+def result_rows(results: DataFrame, units: DataFrame, at_most: int) -> DataFrame:
+    """Result rows with the columns of their units. The results are the small side
+    (``at_most`` = queries x max facts, known without running the search) and go to the
+    units, so the corpus never moves; beyond the bound both sides are exchanged."""
+    return units.join(F.broadcast(results) if at_most <= MAX_BROADCAST_RESULTS else results, "doc_id")
 
 
-def facts_text(results: DataFrame, texts: DataFrame) -> DataFrame:
+def result_texts(results: DataFrame, texts: DataFrame, at_most: int) -> DataFrame:
+    """Text of each result row."""
+    return result_rows(results, texts.select("doc_id", "text"), at_most)
+
+
+def facts_text(results: DataFrame, texts: DataFrame, at_most: int) -> DataFrame:
     """OP-19: newline-joined, lower-cased result texts per query, in rank order.
     ``results``: (query_id, doc_id, rank), bounded by max_facts per query."""
     ordered = F.array_sort(F.collect_list(F.struct("rank", "text")))
-    return result_texts(results, texts).groupBy("query_id").agg(
+    return result_texts(results, texts, at_most).groupBy("query_id").agg(
         F.lower(F.concat_ws("\n", F.transform(ordered, lambda s: s["text"]))).alias("haystack"))
 
 
-def eval_match(cases: DataFrame, results: DataFrame, texts: DataFrame) -> DataFrame:
+def eval_match(cases: DataFrame, results: DataFrame, texts: DataFrame, at_most: int) -> DataFrame:
     """OP-35: is each expected needle contained in the query's haystack?
 
     Needles never contain a newline, so "in the joined haystack" equals "in
@@ -52,7 +56,7 @@ def eval_match(cases: DataFrame, results: DataFrame, texts: DataFrame) -> DataFr
     """
     needles = cases.select("case_id", F.posexplode("expect").alias("needle_pos", "needle")).withColumn(
         "needle", F.lower("needle"))
-    res = (result_texts(results.select("query_id", "doc_id"), texts)
+    res = (result_texts(results.select("query_id", "doc_id"), texts, at_most)
            .select(F.col("query_id").alias("case_id"), F.lower("text").alias("ltext")))
     m = needles.join(res, "case_id", "left").withColumn(
         "_hit", F.coalesce(F.col("ltext").contains(F.col("needle")), F.lit(False)))

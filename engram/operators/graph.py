@@ -1,5 +1,5 @@
-"""Graph maintenance and traversal: compaction, cascade delete, provenance,
-stats, growth, label scans, entity-type filter, k-hop expansion."""
+"""Graph maintenance: compaction, cascade delete, provenance,
+stats, growth, label scans, entity-type filter (traversal is in ``traverse``)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from engram.operators.temporal import cutoff_expr
-from engram.session import reliable_checkpoint
 
 
 # ---------------------------------------------------------------- OP-05 / U1
@@ -214,27 +213,3 @@ def filter_entity_types(entities: DataFrame, entity_types: list[str] | None) ->
     if not entity_types:
         return entities
     return entities.filter(F.col("entity_type").isin(list(entity_types)))
-
-
-# ---------------------------------------------------------------- OP-30
-def graph_expand(seeds: DataFrame, mentions: DataFrame, hops: int) -> DataFrame:
-    """OP-30: nodes within ``hops`` undirected steps of the seed entities.
-
-    The mention graph is bipartite (episode <-> entity) and the seeds are entities, so
-    odd hops reach episodes and even hops entities: each hop runs that one join. Edges
-    and every hop's new nodes are written to the shared checkpoint folder, so neither
-    is built twice. Output: (graph, kind, node, hop) with hop 0 for the seeds.
-    """
-    edges = reliable_checkpoint(mentions.select("graph", "episode_uuid", "entity_uuid"))
-    frontier = seeds.select("graph", F.lit("entity").alias("kind"), F.col("uuid").alias("node"),
-                            F.lit(0).alias("hop")).distinct()
-    visited = frontier
-    for h in range(1, hops + 1):
-        here, there = ("entity", "episode") if h % 2 else ("episode", "entity")
-        step = (edges.join(frontier.select("graph", F.col("node").alias(f"{here}_uuid")), ["graph", f"{here}_uuid"], "left_semi")
-                .select("graph", F.lit(there).alias("kind"), F.col(f"{there}_uuid").alias("node")).distinct())
-        frontier = step.join(visited, ["graph", "kind", "node"], "left_anti").withColumn("hop", F.lit(h))
-        if h < hops:
-            frontier = reliable_checkpoint(frontier)
-        visited = visited.unionByName(frontier)
-    return visited

@@ -101,17 +101,10 @@ def bm25_search(post: DataFrame, queries: DataFrame, k: int, id_col: str = "doc_
     return leg_rank(scored, k)
 
 
-def graph_leg(seeds: DataFrame, edges: DataFrame, depth: int) -> DataFrame:
-    """Graph expansion of a leg: units that share a node with a query's seeds.
-
-    ``seeds``: (query_id, doc_id, rank), bounded by queries x seeds; ``edges``: (graph,
-    doc_id, node). A unit scores 1 / the rank of its best seed. The bounded side is
-    broadcast twice; the edges are scanned, never shuffled."""
-    nodes = (edges.join(F.broadcast(seeds.select("query_id", "doc_id", "rank")), "doc_id")
-             .groupBy("query_id", "graph", "node").agg(F.min("rank").alias("rank")))
-    reached = (edges.join(F.broadcast(nodes), ["graph", "node"])
-               .groupBy("query_id", "doc_id").agg(rounded_score(1.0 / F.min("rank")).alias("score")))
-    return leg_rank(reached, depth)
+def scoped(units: DataFrame, group_ids: list[str] | None) -> DataFrame:
+    """Units of the given namespaces (``group_id``); none given: all of them. Applied before a
+    leg counts or ranks, so statistics and ranks are those of the scope."""
+    return units.filter(F.col("group_id").isin(list(group_ids))) if group_ids else units
 
 
 # ---------------------------------------------------------------- vectors

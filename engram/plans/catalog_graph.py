@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from engram.functions.common import tier_of_parity
 from engram.operators import graph as G
 from engram.operators import temporal as T
+from engram.operators import traverse as TR
 from engram.plans import derive
 from engram.plans.registry import register
-from engram.plans.sql_snippets import ENTITIES_CTE, EPISODES_CTE, FACTS_CTE, mentions_cte
+from engram.plans.sql_snippets import ENTITIES_CTE, EPISODES_CTE, FACTS_CTE, PURCHASES_CTE, mentions_cte
 from engram.session import scratch_path
 from engram.sources.tables import Tables
 
@@ -102,6 +103,22 @@ def q_cascade_facts(spark, d):
     return facts.select("graph", "uuid", "subject")
 
 
+@register("cascade_purchases", sql=f"""
+WITH {CASCADE_CTE}, {PURCHASES_CTE},
+per AS (SELECT m.graph, m.entity_uuid, count(*) AS n, count(d.episode_uuid) AS nd
+        FROM mentions m LEFT JOIN deleted d ON d.graph = m.graph AND d.episode_uuid = m.episode_uuid GROUP BY m.graph, m.entity_uuid),
+gone AS (SELECT graph, entity_uuid AS uuid FROM per WHERE n = nd AND nd > 0)
+SELECT p.graph, p.uuid, p.source_uuid, p.target_uuid FROM purchases p
+WHERE EXISTS (SELECT 1 FROM deleted d WHERE d.graph = p.graph AND d.episode_uuid = p.episode)
+   OR EXISTS (SELECT 1 FROM gone g WHERE g.graph = p.graph AND g.uuid IN (p.source_uuid, p.target_uuid))""")
+def q_cascade_purchases(spark, d):
+    """OP-27 with endpoints: facts that touch a deleted entity go with it."""
+    t = Tables(spark, d)
+    deleted = T.age_filter(derive.episodes(t), NOW, DAYS).select("graph", F.col("uuid").alias("episode_uuid"))
+    _, facts = G.remove_episode_cascade(deleted, derive.mentions(t), derive.purchases(t), ("source_uuid", "target_uuid"))
+    return facts.select("graph", "uuid", "source_uuid", "target_uuid")
+
+
 @register("dangling_provenance", sql=f"""
 WITH {EPISODES_CTE}, {FACTS_CTE},
 kept AS (SELECT graph, uuid FROM episodes WHERE NOT coalesce(created_at < TIMESTAMP '{CUTOFF}', false)),
@@ -143,12 +160,13 @@ def q_graph_scan(spark, d):
     return G.graph_scan(derive.episodes(t), derive.entities(t), derive.mentions(t), derive.facts(t))
 
 
-@register("graph_growth", sql=f"""
+def _growth_sql(unit: str) -> str:
+    return f"""
 WITH {EPISODES_CTE},
-counts AS (SELECT graph, date_trunc('month', created_at) AS period, count(*) AS new_episodes
+counts AS (SELECT graph, date_trunc('{unit}', created_at) AS period, count(*) AS new_episodes
            FROM episodes WHERE created_at IS NOT NULL GROUP BY ALL),
 bounds AS (SELECT graph, min(period) AS lo, max(period) AS hi FROM counts GROUP BY graph),
-cal AS (SELECT graph, unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS period FROM bounds),
+cal AS (SELECT graph, unnest(generate_series(lo, hi, INTERVAL 1 {unit})) AS period FROM bounds),
 filled AS (SELECT c.graph, c.period, coalesce(n.new_episodes, 0) AS new_episodes
            FROM cal c LEFT JOIN counts n ON n.graph = c.graph AND n.period = c.period),
 cum AS (SELECT *, CAST(sum(new_episodes) OVER (PARTITION BY graph ORDER BY period
@@ -157,11 +175,19 @@ cum AS (SELECT *, CAST(sum(new_episodes) OVER (PARTITION BY graph ORDER BY perio
 SELECT graph, period, new_episodes, total_episodes,
        CAST(total_episodes - lag(total_episodes) OVER (PARTITION BY graph ORDER BY period) AS BIGINT) AS delta,
        new_episodes = 0 AS is_flat
-FROM cum""")
+FROM cum"""
+
+
+@register("graph_growth", sql=_growth_sql("month"))
 def q_graph_growth(spark, d):
     return G.graph_growth(derive.episodes(Tables(spark, d)), unit="month")
 
 
+@register("graph_growth_daily", sql=_growth_sql("day"))
+def q_graph_growth_daily(spark, d):
+    return G.graph_growth(derive.episodes(Tables(spark, d)), unit="day")
+
+
 @register("search_nodes_filter", sql=f"""
 WITH {ENTITIES_CTE}
 SELECT graph, uuid, name, entity_type FROM entities
@@ -172,24 +198,25 @@ def q_search_nodes_filter(spark, d):
 
 
 @register("graph_expand", sql=f"""
-WITH {mentions_cte()},
-seeds AS (SELECT DISTINCT CASE WHEN p_partkey % 2 = 0 THEN 'personal' ELSE 'client' END AS graph,
-                 'entity' AS kind, p_partkey AS node, 0 AS hop
-          FROM part WHERE p_name = '{SEED_NAME}' AND p_brand = '{SEED_BRAND}'),
-h1 AS (SELECT DISTINCT m.graph, 'episode' AS kind, m.episode_uuid AS node, 1 AS hop
-       FROM mentions m JOIN seeds s ON s.graph = m.graph AND s.node = m.entity_uuid),
-h2 AS (SELECT DISTINCT m.graph, 'entity' AS kind, m.entity_uuid AS node, 2 AS hop
-       FROM mentions m JOIN h1 ON h1.graph = m.graph AND h1.node = m.episode_uuid
-       WHERE NOT EXISTS (SELECT 1 FROM seeds s WHERE s.graph = m.graph AND s.node = m.entity_uuid)),
-h3 AS (SELECT DISTINCT m.graph, 'episode' AS kind, m.episode_uuid AS node, 3 AS hop
-       FROM mentions m JOIN h2 ON h2.graph = m.graph AND h2.node = m.entity_uuid
-       WHERE NOT EXISTS (SELECT 1 FROM h1 WHERE h1.graph = m.graph AND h1.node = m.episode_uuid))
-SELECT * FROM seeds UNION ALL SELECT * FROM h1 UNION ALL SELECT * FROM h2 UNION ALL SELECT * FROM h3""")
+WITH RECURSIVE {mentions_cte()}, {PURCHASES_CTE},
+one_way AS (SELECT graph, 'episode' AS kind, episode_uuid AS node, 'entity' AS to_kind, entity_uuid AS to_node FROM mentions
+            UNION ALL SELECT graph, 'entity', source_uuid, 'entity', target_uuid FROM purchases),
+edges AS (SELECT * FROM one_way UNION ALL SELECT graph, to_kind, to_node, kind, node FROM one_way),
+walk AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN 'personal' ELSE 'client' END AS graph, 'entity' AS kind, p_partkey AS node, 0 AS hop
+         FROM part WHERE p_name = '{SEED_NAME}' AND p_brand = '{SEED_BRAND}'
+         UNION
+         SELECT e.graph, e.to_kind, e.to_node, w.hop + 1 FROM walk w
+         JOIN edges e ON e.graph = w.graph AND e.kind = w.kind AND e.node = w.node WHERE w.hop < {HOPS})
+SELECT graph, kind, node, min(hop) AS hop FROM walk GROUP BY graph, kind, node""")
 def q_graph_expand(spark, d):
+    """Over mentions and facts: without the purchases, no customer would be reached."""
     t = Tables(spark, d)
     seeds = (t.part.filter((F.col("p_name") == SEED_NAME) & (F.col("p_brand") == SEED_BRAND))
-             .select(tier_of_parity(F.col("p_partkey")).alias("graph"), F.col("p_partkey").alias("uuid")))
-    return G.graph_expand(seeds, derive.mentions(t), HOPS)
+             .select(tier_of_parity(F.col("p_partkey")).alias("graph"), F.lit("entity").alias("kind"), F.col("p_partkey").alias("node")))
+    store = TR.store_edges(TR.typed_edges(derive.mentions(t), derive.purchases(t)))
+    out = TR.graph_expand(seeds, store, HOPS)
+    TR.drop_edges(spark, store)     # every hop is written by now
+    return out
 
 
 @register("all_graphs", sql=f"""

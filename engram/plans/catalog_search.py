@@ -3,7 +3,8 @@
 
 Corpus = facts stated by documents (one per non-blank line); queries = every
 benchmark item, asked in one tier. Three legs are fused: BM25, cosine of hashed
-term vectors, and expansion of the best BM25 hits over their episodes.
+term vectors, and traversal from the entities of the best BM25 hits. Recall may be
+scoped to namespaces (``group_id``).
 """
 
 from __future__ import annotations
@@ -17,16 +18,19 @@ from engram.operators import graph as G
 from engram.operators import lexical as LX
 from engram.operators import ontology as O
 from engram.operators import search as S
+from engram.operators import traverse as TR
 from engram.plans import derive
 from engram.plans.catalog_text import LINE_RE2, WS
 from engram.plans.registry import register
 from engram.plans.sql_snippets import ENTITIES_CTE, TIER
+from engram.session import scratch_path
 from engram.sources.tables import Tables
 
 DEPTH = 50          # per-leg depth before fusion; more than any k that is asked for
 SEEDS = 3           # lexical hits that the graph leg starts from
 NODES_K = 10
 NODE_TYPES = ["PROMO", "ECONOMY", "BUILDING"]
+GROUPS = ["project-en", "project-de"]
 VEC_K = 10
 VEC_DIM = 64        # the test vectors' dimension (768 in the reference config)
 
@@ -35,44 +39,65 @@ VEC_DIM = 64        # the test vectors' dimension (768 in the reference config)
 def _facts(spark, d):
     """The fact store: made once per version of the documents."""
     t = Tables(spark, d)
-    return LX.kept_table(spark, "facts", LX.version_of(t.documents), lambda: derive.line_facts(t))
+    return LX.kept_table(spark, "facts", t.documents, lambda: derive.line_facts(t))
 
 
 def _index(spark, d):
-    return LX.lexical_index(spark, "facts", Tables(spark, d).documents, lambda: _facts(spark, d))
+    return LX.lexical_index(spark, "facts", Tables(spark, d).documents, lambda: _facts(spark, d), ["doc_id", "group_id"])
 
 
 def _vectors(spark, d):
     """Fact embeddings, made at write time by the embedder hook."""
-    return LX.kept_table(spark, "fact-vectors", LX.version_of(Tables(spark, d).documents), lambda: O.embedder_hook(
-        _facts(spark, d), "text", dim=VEC_DIM).select("graph", "doc_id", "embedding"))
+    return LX.kept_table(spark, "fact-vectors", Tables(spark, d).documents, lambda: O.embedder_hook(
+        _facts(spark, d), "text", dim=VEC_DIM).select("graph", "group_id", "doc_id", "embedding"))
+
+
+def _edges(spark, d, groups=None):
+    """The facts of a scope as edges, their links and the first facts of every node."""
+    facts = S.scoped(_facts(spark, d), groups).select("graph", "doc_id", "episode", F.col("subject").alias("source"), F.col("topic").alias("target"))
+    docs, scope = Tables(spark, d).documents, "" if groups is None else "-" + "+".join(sorted(groups))
+    return (facts, LX.kept_table(spark, f"fact-links{scope}", docs, lambda: TR.fact_links(facts).sortWithinPartitions("graph", "node")),
+            LX.kept_table(spark, f"fact-reach{scope}", docs, lambda: TR.fact_reach(facts, DEPTH).sortWithinPartitions("graph", "node")))
 
 
 def _queries(spark, d):
     return derive.fact_queries(Tables(spark, d))
 
 
-def _lexical_leg(spark, d):
-    return S.bm25_search(_index(spark, d), _queries(spark, d), DEPTH)
+def _at_most(spark, d, k):
+    """Result rows of a search, known before it runs."""
+    return _queries(spark, d).count() * k
+
 
+def _lexical_leg(spark, d, groups=None):
+    """Written once: it is a leg of its own and the seed of the graph leg."""
+    leg = S.bm25_search(S.scoped(_index(spark, d), groups), _queries(spark, d), DEPTH)
+    path = scratch_path(spark, "lexical-leg")
+    leg.write.parquet(path)
+    return spark.read.schema(leg.schema).parquet(path)
 
-def _vector_leg(spark, d):
+
+def _vector_leg(spark, d, groups=None):
     asked = O.embedder_hook(_queries(spark, d), "text", dim=VEC_DIM)
-    return S.vector_search(_vectors(spark, d), asked, DEPTH, id_col="doc_id")
+    return S.vector_search(S.scoped(_vectors(spark, d), groups), asked, DEPTH, id_col="doc_id")
 
 
-def _graph_leg(spark, d, lexical):
-    edges = _facts(spark, d).select("graph", "doc_id", F.col("episode").alias("node"))
-    return S.graph_leg(lexical.filter(F.col("rank") <= SEEDS), edges, DEPTH)
+def _graph_leg(spark, d, lexical, groups=None):
+    facts, links, reach = _edges(spark, d, groups)
+    return TR.entity_leg(lexical.filter(F.col("rank") <= SEEDS), facts, links, reach, DEPTH, _at_most(spark, d, SEEDS))
 
 
-def _legs(spark, d):
-    lexical = _lexical_leg(spark, d)
-    return {"lexical": lexical, "vector": _vector_leg(spark, d), "graph": _graph_leg(spark, d, lexical)}
+def _legs(spark, d, groups=None):
+    lexical = _lexical_leg(spark, d, groups)
+    return {"lexical": lexical, "vector": _vector_leg(spark, d, groups), "graph": _graph_leg(spark, d, lexical, groups)}
 
 
-def _fused(spark, d, k):
-    return S.search_memory_facts(_legs(spark, d), k)
+def _fused(spark, d, k, groups=None):
+    """The fused top-k, written once: reports read it as often as they like."""
+    top = S.search_memory_facts(_legs(spark, d, groups), k)
+    path = scratch_path(spark, "fused")
+    top.write.parquet(path)
+    return spark.read.schema(top.schema).parquet(path)
 
 
 # ---------------------------------------------------------------- SQL side
@@ -103,12 +128,18 @@ def bm25_sql(p: str, corpus: str, queries: str, depth: int) -> str:
 FACT_QUERIES_CTE = f"""
 fact_queries AS (SELECT item_id AS query_id, {TIER.format(k='item_id')} AS graph, text FROM benchmark)"""
 
+_LONGEST = "list_max(list_transform(tk, lambda t: length(t)))"
+
 LINE_FACTS_CTE = f"""
-said AS (SELECT doc_id AS episode, source AS subject, {TIER.format(k="CAST(regexp_extract(source, '([0-9]+)', 1) AS BIGINT)")} AS graph,
+said AS (SELECT doc_id AS episode, source AS subject, lang, {TIER.format(k="CAST(regexp_extract(source, '([0-9]+)', 1) AS BIGINT)")} AS graph,
                 regexp_split_to_array(text, '{LINE_RE2}') AS l FROM documents),
-line_facts AS (SELECT graph, subject, episode, episode * 1000000 + i AS fact_id, line AS text
-               FROM (SELECT graph, subject, episode, unnest(l) AS line, unnest(range(0, len(l))) AS i FROM said)
-               WHERE length(trim(line, {WS})) > 0)"""
+all_facts AS (SELECT graph, subject, episode, coalesce(CASE WHEN episode % 3 = 2 THEN 'project-' || lang END, graph) AS group_id,
+                episode * {derive.LINES} + i AS fact_id, line AS text,
+                tk[list_position(list_transform(tk, lambda t: length(t)), {_LONGEST})] AS topic
+              FROM (SELECT *, {_tok_sql('line')} AS tk
+                    FROM (SELECT graph, subject, episode, lang, unnest(l) AS line, unnest(range(0, len(l))) AS i FROM said))
+              WHERE length(trim(line, {WS})) > 0),
+line_facts AS (SELECT * FROM all_facts WHERE true)"""
 
 
 def _vector_sql(name: str, source: str, key: str) -> str:
@@ -132,10 +163,17 @@ leg_vector AS (SELECT q.query_id, f.fact_id, round(coalesce(d.dot, 0) / f.norm /
                       ORDER BY round(coalesce(d.dot, 0) / f.norm / q.norm, 9) DESC, f.fact_id) AS INTEGER) AS rank
                FROM qv_norm q JOIN fv_norm f ON f.graph = q.graph
                LEFT JOIN dots d ON d.query_id = q.query_id AND d.fact_id = f.fact_id QUALIFY rank <= {DEPTH}),
-seen AS (SELECT b.query_id, f.graph, f.episode, min(b.rank) AS rank
-         FROM bm_leg b JOIN line_facts f ON f.fact_id = b.fact_id WHERE b.rank <= {SEEDS} GROUP BY ALL),
-reached AS (SELECT s.query_id, f.fact_id, round(1.0::DOUBLE / min(s.rank), 9) AS score
-            FROM seen s JOIN line_facts f ON f.graph = s.graph AND f.episode = s.episode GROUP BY ALL),
+hung AS (SELECT graph, fact_id, unnest(['entity:' || subject, 'entity:' || topic, 'episode:' || CAST(episode AS VARCHAR)]) AS node FROM line_facts),
+pairs AS (SELECT DISTINCT a.graph, a.node, b.node AS other FROM hung a JOIN hung b ON b.graph = a.graph AND b.fact_id = a.fact_id
+          WHERE a.node <> b.node),
+seed_nodes AS (SELECT b.query_id, h.graph, h.node, min(b.rank) AS rank FROM bm_leg b JOIN hung h ON h.fact_id = b.fact_id
+               WHERE b.rank <= {SEEDS} AND h.node LIKE 'entity:%' GROUP BY ALL),
+starts AS (SELECT DISTINCT graph, node FROM seed_nodes),
+around AS (SELECT s.graph, s.node, 0 AS hop, h.fact_id FROM starts s JOIN hung h ON h.graph = s.graph AND h.node = s.node
+           UNION SELECT s.graph, s.node, 1, h.fact_id FROM starts s JOIN pairs p ON p.graph = s.graph AND p.node = s.node
+                 JOIN hung h ON h.graph = p.graph AND h.node = p.other),
+reached AS (SELECT s.query_id, a.fact_id, round(1.0::DOUBLE / min(s.rank + a.hop), 9) AS score
+            FROM seed_nodes s JOIN around a ON a.graph = s.graph AND a.node = s.node GROUP BY ALL),
 leg_graph AS (SELECT query_id, fact_id, score,
                 CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, fact_id) AS INTEGER) AS rank
               FROM reached QUALIFY rank <= {DEPTH}),
@@ -188,8 +226,20 @@ SELECT t.query_id, f.graph, t.fact_id, f.subject, f.episode, t.rrf, t.rank FROM
 def q_search_memory_facts(spark, d):
     """Facts (subject, episode and tier included) for each query, in its tier."""
     facts = _facts(spark, d).select("graph", "doc_id", "subject", "episode")
-    j = facts.join(F.broadcast(_fused(spark, d, EVAL_MAX_FACTS)), "doc_id")  # queries x max facts rows
-    return _ids(j, "graph", "subject", "episode", "rrf", "rank")
+    found = E.result_rows(_fused(spark, d, EVAL_MAX_FACTS), facts, _at_most(spark, d, EVAL_MAX_FACTS))
+    return _ids(found, "graph", "subject", "episode", "rrf", "rank")
+
+
+_IN_GROUPS = "group_id IN (" + ", ".join(map(repr, GROUPS)) + ")"
+
+
+@register("search_memory_facts_scoped", sql=f"""WITH {LEGS_CTE.replace("FROM all_facts WHERE true", "FROM all_facts WHERE " + _IN_GROUPS)}, {fused_top_sql(EVAL_MAX_FACTS)}
+SELECT t.query_id, f.graph, f.group_id, t.fact_id, f.topic, t.rrf, t.rank FROM top t JOIN line_facts f ON f.fact_id = t.fact_id""")
+def q_search_memory_facts_scoped(spark, d):
+    """Recall inside some namespaces: every leg counts, ranks and walks in the scope alone."""
+    facts = S.scoped(_facts(spark, d), GROUPS).select("graph", "group_id", "doc_id", "topic")
+    found = E.result_rows(_fused(spark, d, EVAL_MAX_FACTS, GROUPS), facts, _at_most(spark, d, EVAL_MAX_FACTS))
+    return _ids(found, "graph", "group_id", "topic", "rrf", "rank")
 
 
 @register("search_nodes", sql=f"""WITH {ENTITIES_CTE},
@@ -217,7 +267,7 @@ r AS (SELECT *, sum(cost) OVER (PARTITION BY query_id ORDER BY rank, line_no
                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS used FROM c)
 SELECT query_id, rank, line_no, cost, CAST(used AS BIGINT) AS used FROM r WHERE used <= {RECALL_BUDGET}""")
 def q_recall_budget(spark, d):
-    lines = (E.result_texts(_fused(spark, d, RECALL_OVER_FETCH), _facts(spark, d))
+    lines = (E.result_texts(_fused(spark, d, RECALL_OVER_FETCH), _facts(spark, d), _at_most(spark, d, RECALL_OVER_FETCH))
              .select("query_id", "rank", F.posexplode(split_lines(F.col("text"))).alias("line_no", "line"))
              .filter(~is_blank(F.col("line"))))
     return S.recall_budget(lines, RECALL_BUDGET).select("query_id", "rank", "line_no", "cost",
@@ -252,7 +302,7 @@ h AS (SELECT t.query_id, lower(string_agg(d.text, chr(10) ORDER BY t.rank)) AS h
       FROM top t JOIN line_facts d ON d.fact_id = t.fact_id GROUP BY t.query_id)
 SELECT query_id, CAST(length(haystack) AS INTEGER) AS haystack_chars, sha256(haystack) AS haystack_sha256 FROM h""")
 def q_facts_text(spark, d):
-    h = E.facts_text(_fused(spark, d, EVAL_MAX_FACTS), _facts(spark, d))
+    h = E.facts_text(_fused(spark, d, EVAL_MAX_FACTS), _facts(spark, d), _at_most(spark, d, EVAL_MAX_FACTS))
     return h.select("query_id", F.length("haystack").alias("haystack_chars"),
                     F.sha2("haystack", 256).alias("haystack_sha256"))
 
@@ -267,7 +317,7 @@ matches AS (SELECT n.case_id, n.needle_pos, n.needle, bool_or(coalesce(contains(
 
 
 def _matches(spark, d):
-    return E.eval_match(_cases(spark, d), _fused(spark, d, EVAL_MAX_FACTS), _facts(spark, d))
+    return E.eval_match(_cases(spark, d), _fused(spark, d, EVAL_MAX_FACTS), _facts(spark, d), _at_most(spark, d, EVAL_MAX_FACTS))
 
 
 @register("eval_match", sql=f"WITH {MATCH_SQL} SELECT case_id, needle_pos, needle, hit FROM matches")

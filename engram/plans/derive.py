@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from engram.functions.common import tier_of_parity
-from engram.functions.text import is_blank, split_lines
+from engram.functions.text import is_blank, split_lines, tokens
 from engram.operators.temporal import resolve_supersession
 from engram.sources.tables import Tables
 
@@ -84,6 +84,21 @@ def facts(t: Tables, graph: str | None = None) -> DataFrame:
         F.lit(" has priority "), F.col("value")))
 
 
+def purchases(t: Tables) -> DataFrame:
+    """Facts that relate two entities: a customer bought a part, first stated by the order
+    with the smallest (date, key), in the order's graph."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    li = t.lineitem.select("l_orderkey", "l_partkey")
+    first = F.min(F.struct(F.col("o_orderdate").alias("valid_at"), F.col("o_orderkey").alias("episode")))
+    return (li.join(o, li["l_orderkey"] == o["o_orderkey"]).groupBy("o_custkey", "l_partkey").agg(first.alias("f"))
+            .select(tier_of_parity(F.col("o_custkey")).alias("graph"),
+                    F.concat_ws("-", "o_custkey", "l_partkey").alias("uuid"),
+                    (-F.col("o_custkey")).alias("source_uuid"), F.col("l_partkey").alias("target_uuid"),
+                    F.col("f.valid_at").alias("valid_at"), F.array("f.episode").alias("episodes"),
+                    F.concat(F.lit("customer "), F.col("o_custkey").cast("string"), F.lit(" bought part "),
+                             F.col("l_partkey").cast("string")).alias("fact")))
+
+
 def markdown_texts(t: Tables) -> DataFrame:
     """Markdown files made from documents: a title heading, the first 200
     characters, a '## body' heading, then the rest."""
@@ -96,15 +111,26 @@ def markdown_texts(t: Tables) -> DataFrame:
     return d.select(F.col("doc_id"), rel.alias("rel_path"), text.alias("text"))
 
 
+LINES = 1 << 24      # lines of a document that fact ids have room for
+
+
 def line_facts(t: Tables) -> DataFrame:
-    """Facts stated by documents: every non-blank line is a fact of its source (the
-    subject), said in its document (the episode); id = document * 1,000,000 + line."""
+    """Facts stated by documents: every non-blank line is a fact that relates its document's
+    source (the subject) to its longest word (the topic), said in the document (the episode),
+    in the namespace that the document was written to. id = document * 2^24 + line; a
+    document with more lines is refused, so ids never meet."""
     d = t.documents
     num = F.regexp_extract(F.col("source"), r"(\d+)", 1).cast("long")
-    return (d.select(tier_of_parity(num).alias("graph"), F.col("source").alias("subject"), F.col("doc_id").alias("episode"),
+    graph = tier_of_parity(num)
+    toks = tokens(F.col("text"))
+    sizes = F.transform(toks, F.length)
+    line = F.when(F.col("line_no") < LINES, F.col("line_no")).otherwise(F.raise_error(F.lit("a document has more than 2^24 lines")))
+    return (d.select(graph.alias("graph"), F.col("source").alias("subject"), F.col("doc_id").alias("episode"),
+                     F.coalesce(F.when(F.col("doc_id") % 3 == 2, F.concat(F.lit("project-"), F.col("lang"))), graph).alias("group_id"),
                      F.posexplode(split_lines(F.col("text"))).alias("line_no", "text"))
             .filter(~is_blank(F.col("text")))
-            .withColumn("doc_id", F.col("episode") * 1_000_000 + F.col("line_no")))
+            .withColumn("topic", F.when(F.size(toks) > 0, F.element_at(toks, F.array_position(sizes, F.array_max(sizes)).cast("int"))))
+            .withColumn("doc_id", F.col("episode") * LINES + line))
 
 
 def fact_queries(t: Tables) -> DataFrame:

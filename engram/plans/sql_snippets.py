@@ -42,3 +42,12 @@ def mentions_cte(min_quantity: float | None = None, name: str = "mentions") -> s
         FROM lineitem {where}) p
   JOIN orders o ON o.o_orderkey = p.episode_uuid)
 """
+
+
+PURCHASES_CTE = f"""
+purchases AS (
+  SELECT {TIER.format(k='o_custkey')} AS graph, CAST(o_custkey AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) AS uuid,
+         -o_custkey AS source_uuid, l_partkey AS target_uuid, o_orderdate AS valid_at, o_orderkey AS episode
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  QUALIFY row_number() OVER (PARTITION BY o_custkey, l_partkey ORDER BY o_orderdate NULLS FIRST, o_orderkey) = 1)
+"""

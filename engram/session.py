@@ -91,12 +91,31 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+_ROOTS: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh path under the shared folder (never a machine-local temp dir)."""
+    """A fresh path under the shared folder (never a machine-local temp dir). All of them
+    lie in one folder of the application, which Spark's file system removes when the
+    application ends; ``drop_path`` removes one earlier."""
     import uuid
 
-    base = shared_dir(spark).rstrip("/")
-    return "/".join([base, *parts, uuid.uuid4().hex])
+    app = spark.sparkContext.applicationId
+    if app not in _ROOTS:
+        root = f"{shared_dir(spark).rstrip('/')}/engram-{app}-{uuid.uuid4().hex[:8]}"
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        _ROOTS[app] = root
+    return "/".join([_ROOTS[app], *parts, uuid.uuid4().hex])
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a table or folder that the library wrote, wherever the shared folder is."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def reliable_checkpoint(df):

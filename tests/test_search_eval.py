@@ -1,7 +1,9 @@
 """Fusion, budget, vector top-k, BM25 and eval edge cases (OP-31..35, 42, W1, W2)."""
 
 import math
+import os
 import random
+import shutil
 
 import numpy as np
 import pytest
@@ -97,7 +99,7 @@ def test_eval_cases(spark):
                                   "case_id long, query string, expect array<string>")
     res = spark.createDataFrame([(2, 100, 1), (1, 100, 1)], HIT)
     texts = spark.createDataFrame([(100, "An APPLE a day")], "doc_id long, text string")
-    m = E.eval_match(cases, res, texts)
+    m = E.eval_match(cases, res, texts, 20)
     hits = {(r["case_id"], r["needle"]): r["hit"] for r in m.collect()}
     assert hits == {(2, "apple"): True, (2, "kiwi"): False, (3, "x"): False}
     r = E.eval_recall(cases, m).first()
@@ -105,7 +107,7 @@ def test_eval_cases(spark):
     with pytest.raises(ValueError):
         E.eval_recall(cases.limit(0), m)
     h = E.facts_text(spark.createDataFrame([(1, 100, 2), (1, 101, 1)], HIT),
-                     spark.createDataFrame([(100, "B"), (101, "A")], "doc_id long, text string")).first()
+                     spark.createDataFrame([(100, "B"), (101, "A")], "doc_id long, text string"), 2).first()
     assert h["haystack"] == "a\nb"
     _ = F
 
@@ -120,9 +122,6 @@ def test_tiers_do_not_mix_and_count_apart(spark):
              for g in ("a", "b")}
     both = {(r["query_id"], r["doc_id"]): r["score"] for r in S.bm25_scores(units, qs).collect()}
     assert both == {(1, 1): alone["a"][1], (2, 3): alone["b"][3]}
-    edges = spark.createDataFrame([("a", 1, 7), ("a", 2, 7), ("b", 3, 7)], "graph string, doc_id long, node long")
-    seeds = spark.createDataFrame([(1, 1, 1)], HIT)
-    assert {r["doc_id"] for r in S.graph_leg(seeds, edges, 5).collect()} == {1, 2}
     vecs = spark.createDataFrame([("a", 1, [1.0, 0.0]), ("b", 3, [1.0, 0.0])], "graph string, vec_id long, embedding array<double>")
     asked = spark.createDataFrame([(1, "a", [2.0, 0.1])], "query_id long, graph string, embedding array<double>")
     assert [r["doc_id"] for r in S.vector_search(vecs, asked, 5).collect()] == [1]
@@ -143,16 +142,40 @@ def test_scoring_exchanges_only_postings(spark):
     assert "hashpartitioning(query_id" not in plan
 
 
-def test_index_is_kept_and_leaves_nothing_behind(spark, tmp_path):
+def test_index_is_kept_until_its_files_change(spark, tmp_path):
     from engram.operators import lexical as LX
+    from engram.session import drop_path
 
-    spark.createDataFrame([(1, "a b"), (2, "b c")], "doc_id long, text string").write.parquet(f"{tmp_path}/d.parquet")
-    src = spark.read.parquet(f"{tmp_path}/d.parquet")
-    made = []
+    at, made = f"{tmp_path}/d.parquet", []
 
-    def units():
-        made.append(1)
-        return src
-    one = LX.lexical_index(spark, "t", src, units)
-    two = LX.lexical_index(spark, "t", src, units)
+    def write(rows):
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.mode("overwrite").parquet(f"{tmp_path}/new")
+        part = next(f for f in os.listdir(f"{tmp_path}/new") if f.endswith(".parquet"))
+        os.makedirs(at, exist_ok=True)
+        shutil.copyfile(f"{tmp_path}/new/{part}", f"{at}/same-name.parquet")
+
+    def index():
+        src = spark.read.parquet(at)
+        return LX.lexical_index(spark, "t", src, lambda: made.append(1) or src)
+
+    write([(1, "a b"), (2, "b c")])
+    one, two = index(), index()
     assert made == [1] and one.inputFiles() == two.inputFiles() and one.count() == 6
+    write([(1, "a z"), (2, "b c"), (3, "zz")])        # the same file name, other content
+    q = spark.createDataFrame([(1, "zz")], "query_id long, text string")
+    assert [r["doc_id"] for r in S.bm25_search(index(), q, 5).collect()] == [3] and made == [1, 1]
+    assert not any(os.path.exists(f.removeprefix("file:")) for f in one.inputFiles())   # the old version is gone
+    LX.drop_kept(spark)
+    index()
+    assert made == [1, 1, 1]
+    drop_path(spark, f"{tmp_path}/nothing-there")
+
+
+def test_scope_counts_and_ranks_alone(spark):
+    units = spark.createDataFrame([(1, "x", "apple pie"), (2, "y", "apple"), (3, "x", "plum"), (4, None, "apple")],
+                                  "doc_id long, group_id string, text string")
+    q = spark.createDataFrame([(1, "apple")], "query_id long, text string")
+    post = S.postings(units, ["doc_id", "group_id"])
+    alone = S.bm25_search(S.postings(units.filter("group_id = 'x'")), q, 5).collect()
+    assert S.bm25_search(S.scoped(post, ["x"]), q, 5).collect() == alone and [r["doc_id"] for r in alone] == [1]
+    assert S.bm25_search(S.scoped(post, None), q, 5).count() == S.bm25_search(S.scoped(post, []), q, 5).count() == 3

@@ -115,14 +115,6 @@ def test_compaction_keeps_facts_and_is_idempotent(spark):
     assert G.dangling_provenance(facts, kept).first()["n_dangling"] == 1
 
 
-def test_graph_expand_hops(spark):
-    men = spark.createDataFrame([("g", 1, 10), ("g", 1, 11), ("g", 2, 11), ("g", 2, 12), ("g", 3, 13)],
-                                "graph string, episode_uuid long, entity_uuid long")
-    seeds = spark.createDataFrame([("g", 10)], "graph string, uuid long")
-    got = {(r["kind"], r["node"]): r["hop"] for r in G.graph_expand(seeds, men, 4).collect()}
-    assert got == {("entity", 10): 0, ("episode", 1): 1, ("entity", 11): 2, ("episode", 2): 3, ("entity", 12): 4}
-
-
 def test_growth_fills_silent_periods(spark):
     eps = spark.createDataFrame([("g", dt.datetime(2020, 1, 5)), ("g", dt.datetime(2020, 3, 5))],
                                 "graph string, created_at timestamp_ntz")
