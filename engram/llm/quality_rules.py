@@ -1,22 +1,24 @@
 """Quality rules: base text statistics and language-specific perplexity bands.
 
-The language model is a modified Kneser-Ney model over symbol 4-grams, one per
-language. A symbol is one of 64 classes of characters (white space, a-z without
-case, digits, punctuation classes, letters beyond ASCII folded into 31 classes),
-so a language has at most 64^4 distinct 4-grams whatever the corpus size: the
-counts cover every character of every text, are summed by Spark, and the model
-has a proven bound. Each language's model is stored as a sorted array of 64-bit
-n-gram hashes beside an array of log probabilities and back-off weights; scoring
+The language model is a modified Kneser-Ney model over symbol 5-grams, one per
+language. A symbol is one of 128 classes of characters: letters a-z and A-Z apart (so
+the model knows how sentences begin), digits, the marks that end or join words each,
+blanks, line ends, and 64 classes that other letters and signs are spread over. Counts
+cover every character of every text and are summed by Spark; what they hold grows with
+the kinds of 5-grams in the corpus. Each language's model is stored as a sorted array of
+64-bit n-gram hashes beside an array of log probabilities and back-off weights; scoring
 looks up the distinct n-grams of a block of text by binary search. Models are
-broadcast in blocks of languages of at most ``block_entries`` entries.
+broadcast in blocks of languages of at most ``block_entries`` entries (or one language).
 
 Bands: per language, the median of the mean negative log probability and the
 quartile distance, from a whole-corpus histogram of texts that pass the base
-rules. A text is rejected beyond ``spread`` quartile distances (at least
-``least`` nats) plus ``noise / sqrt(symbols)``, above or below.
+rules. A text is rejected beyond so many quartile distances (at least so many nats) plus
+``noise / sqrt(symbols)``; odd texts lie above, where the band is narrow (``upper``),
+monotonous ones below, where clean texts spread further (``lower``). Words of a text put
+in another order cost about 0.2 nats a symbol and fall out above.
 
 Defined results: null or empty text: no words, base rule fails, no perplexity; a
-null language is a language of its own; repeated rows are judged alike; texts are
+null language is a language of its own, apart from the empty one; repeated rows are judged alike; texts are
 read whole in pieces; an empty table gives an empty result; a language whose texts
 all fail the base rules has no band and rejects nothing further. Columns named
 like an added column give way to it.
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 
 from engram.llm.common import by_row, query, table, written
 
-ORDER, BITS, CLASSES = 4, 6, 64
+ORDER, BITS, CLASSES = 5, 7, 128
 PIECE, BLOCK = 1 << 19, 1 << 20
 SPACE = " \t\n\r\x0b\x0c"
 _SYMBOLS = b"#*$%&|<>"
@@ -44,33 +46,29 @@ ADDED = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigin
 def symbol_classes() -> np.ndarray:
     """Class of every code point."""
     cp = np.arange(0x110000, dtype=np.uint64)
-    out = (33 + (cp * np.uint64(2654435761) >> np.uint64(20)) % np.uint64(31)).astype(np.uint8)
-    out[:128] = 31
-    out[:32] = 32
+    out = (64 + (cp * np.uint64(2654435761) >> np.uint64(20)) % np.uint64(64)).astype(np.uint8)
+    out[:128] = 63
+    out[:32] = 62
     for c in SPACE:
-        out[ord(c)] = 0
+        out[ord(c)] = 0 if c in " \t" else 1
     for k in range(26):
-        out[65 + k] = out[97 + k] = 1 + k
-    out[48:58] = 27
-    for c, k in ((".", 28), (",", 29)):
-        out[ord(c)] = k
-    for c in _SYMBOLS:
-        out[c] = 30
-    lower = np.arange(0xDF, 0x100)
-    out[lower] = 33 + (lower - 0xDF) % 31
-    out[lower[1:] - 32] = out[lower[1:]]
+        out[97 + k], out[65 + k] = 2 + k, 28 + k
+    out[48:58] = 54
+    for k, c in enumerate(".,;:!?-"):
+        out[ord(c)] = 55 + k
     return out
 
 
 def gram_blocks(texts: list[str | None], classes: np.ndarray):
-    """Yield (4-gram codes, part of each code, row of each part) for blocks of text.
+    """Yield (n-gram codes, part of each code, row of each part) for blocks of text.
 
-    Each text starts with three blanks of context; long texts come in pieces that
-    carry the three characters before them."""
+    Each text starts with line ends as context; long texts come in pieces that carry the
+    characters before them."""
+    lead = ORDER - 1
     parts, rows, size = [], [], 0
     for row, text in enumerate(texts):
         for at in range(0, len(text or ""), PIECE):
-            parts.append((text[at - 3:at] if at else "   ") + text[at:at + PIECE])
+            parts.append((text[at - lead:at] if at else "\n" * lead) + text[at:at + PIECE])
             rows.append(row)
             size += len(parts[-1])
             if size >= BLOCK:
@@ -81,20 +79,29 @@ def gram_blocks(texts: list[str | None], classes: np.ndarray):
 
 
 def _codes(parts: list[str], classes: np.ndarray):
-    s = classes[np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)].astype(np.int32)
-    lens = np.array([len(p) for p in parts])
-    code = s[:-3] << 18 | s[1:-2] << 12 | s[2:-1] << 6 | s[3:]
+    s = classes[np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)].astype(np.int64)
+    lens, n = np.array([len(p) for p in parts]), len(s) - ORDER + 1
+    code = np.zeros(n, np.int64)
+    for k in range(ORDER):
+        code <<= BITS
+        code |= s[k:n + k]
     keep = np.ones(len(s), bool)
     ends = np.cumsum(lens)
-    for k in (1, 2, 3):
+    for k in range(1, ORDER):
         keep[ends - k] = False
-    return code[keep[:-3]], np.repeat(np.arange(len(parts)), lens - 3)
+    return code[keep[:n]], np.repeat(np.arange(len(parts)), lens - ORDER + 1)
+
+
+def language(lang_col: str) -> F.Column:
+    """The language as a key: null is one of its own."""
+    return F.coalesce(F.col(lang_col).cast("string"), F.lit("\0"))
 
 
 def count_grams(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """``lang, code, n`` over all texts: distinct 4-grams per slice of rows, summed by Spark."""
-    src = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.col(text_col).alias("text"))
-    schema = pa.schema([("lang", pa.string()), ("code", pa.int32()), ("n", pa.int64())])
+    """``lang, code, n`` over all texts: distinct n-grams per slice of rows, summed by Spark."""
+    src = docs.select(language(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    schema = pa.schema([("lang", pa.string()), ("code", pa.int64()), ("n", pa.int64())])
+    top = ORDER * BITS
 
     def run(batches):
         classes = symbol_classes()
@@ -104,20 +111,20 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                 names, which = np.unique(np.array(part.column(0).to_pylist(), object), return_inverse=True)
                 total: dict[int, list] = {}
                 for (codes, owner), rows in gram_blocks(part.column(1).to_pylist(), classes):
-                    keys, n = np.unique(which[rows][owner].astype(np.int64) << 32 | codes, return_counts=True)
+                    keys, n = np.unique(which[rows][owner].astype(np.int64) << top | codes, return_counts=True)
                     total.setdefault(0, []).append((keys, n))
                 if total:
                     keys, back = np.unique(np.concatenate([k for k, _ in total[0]]), return_inverse=True)
                     n = np.bincount(back, np.concatenate([c for _, c in total[0]])).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(names[keys >> 32], pa.string()),
-                                                      pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(n)], schema=schema)
+                    yield pa.RecordBatch.from_arrays([pa.array(names[keys >> top], pa.string()),
+                                                      pa.array(keys & ((1 << top) - 1)), pa.array(n)], schema=schema)
 
-    return src.mapInArrow(run, "lang string, code int, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    return src.mapInArrow(run, "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
 def gram_hash(order: int, code: np.ndarray) -> np.ndarray:
-    """One-to-one 64-bit mix of (kind, code): kinds 1-4 are n-grams, 17-19 contexts."""
-    x = code.astype(np.uint64) | np.uint64(order << 32)
+    """One-to-one 64-bit mix of (kind, code): kinds up to ORDER are n-grams, from 17 on contexts."""
+    x = code.astype(np.uint64) | np.uint64(order << 48)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return (x ^ (x >> np.uint64(31))).astype(np.uint64)
@@ -126,7 +133,7 @@ def gram_hash(order: int, code: np.ndarray) -> np.ndarray:
 def kneser_ney(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes and values (log p of seen n-grams, log back-off of contexts).
 
-    4-grams seen once are left out: the only text that has one would vouch for itself."""
+    The longest n-grams seen once are left out: the only text that has one would vouch for itself."""
     at = np.argsort(codes)
     grams, c = {ORDER: codes[at].astype(np.int64)}, {ORDER: counts[at].astype(np.float64)}
     for k in range(ORDER - 1, 0, -1):  # continuation counts: kinds of left neighbours
@@ -165,7 +172,7 @@ def kneser_ney(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def fit_models(grams: DataFrame) -> DataFrame:
-    """``lang, hash, value`` of each language (a group has at most 64^4 rows)."""
+    """``lang, hash, value`` of each language, fitted on its distinct n-grams."""
     def fit(key, pdf):
         import pandas as pd
 
@@ -187,7 +194,7 @@ class Model:
         return np.where(self.hashes[pos] == h, self.values[pos].astype(np.float64), missing)
 
     def log_p(self, code: np.ndarray) -> np.ndarray:
-        """Log p of the last symbol of each 4-gram, backing off where it is unseen."""
+        """Log p of the last symbol of each n-gram, backing off where it is unseen."""
         out, weight = np.full(len(code), np.nan), np.zeros(len(code))
         todo = np.arange(len(code))
         for k in range(ORDER, 0, -1):
@@ -221,7 +228,7 @@ def base_stats(text: str | None) -> tuple[int, int, int, int, int]:
     return n, len(text) - blank, len(raw) - len(raw.translate(None, _SYMBOLS)), len(lines) - len(set(lines)), covered
 
 
-def _score(docs: DataFrame, text_col: str, lang_col: str, bc, keep: list[str]) -> DataFrame:
+def _score(docs: DataFrame, text_col: str, lang_col: str, bc, keep: list[str], key: str) -> DataFrame:
     def make():
         models, classes = bc.value, symbol_classes()
 
@@ -230,7 +237,7 @@ def _score(docs: DataFrame, text_col: str, lang_col: str, bc, keep: list[str]) -
             total, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
             for lang in set(langs):
                 mine = [i for i, x in enumerate(langs) if x == lang]
-                model = models[lang or ""] if (lang or "") in models else None
+                model = models.get(lang)
                 if model is None:
                     continue
                 for (codes, owner), rows in gram_blocks([texts[i] for i in mine], classes):
@@ -243,8 +250,7 @@ def _score(docs: DataFrame, text_col: str, lang_col: str, bc, keep: list[str]) -
             ppl = [round(-t / k, 6) if k else None for t, k in zip(total.tolist(), n.tolist())]
             return (*map(list, zip(*base)), n.tolist(), ppl) if base else ([],) * 7
         return fn
-    d = docs.withColumn("_lang", F.coalesce(F.col(lang_col).cast("string"), F.lit("")))
-    return by_row(d, [text_col, "_lang"], ADDED, make, keep=[*keep, "_lang"], slice_rows=1024)
+    return by_row(docs.withColumn(key, language(lang_col)), [text_col, key], ADDED, make, keep=[*keep, key], slice_rows=1024)
 
 
 def language_blocks(models: DataFrame, block_entries: int) -> list[list[str]]:
@@ -267,43 +273,56 @@ def load_models(models: DataFrame, langs: list[str]) -> dict[str, Model]:
     return {name: Model(h[index == k], v[index == k]) for k, name in enumerate(names)}
 
 
-def bands(scored: DataFrame, spread: float, least: float) -> DataFrame:
-    """``_lang, _middle, _width`` from an exact histogram (steps of 0.001 nats)."""
+def bands(scored: DataFrame, key: str, upper: tuple[float, float], lower: tuple[float, float]) -> DataFrame:
+    """``key, middle, above, below`` from an exact histogram (steps of 0.001 nats)."""
     hist = (scored.filter(~F.col("base_failed") & F.col("log_ppl").isNotNull())
-            .groupBy("_lang", F.floor(F.col("log_ppl") * 1000).alias("bin")).agg(F.count(F.lit(1)).alias("n")))
-    upto = Window.partitionBy("_lang").orderBy("bin")
-    cum = hist.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(Window.partitionBy("_lang")))
-    q = cum.groupBy("_lang").agg(*[F.min(F.when(F.col("upto") >= F.col("all") * f, F.col("bin"))).alias(name)
-                                   for name, f in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))])
-    return q.select("_lang", ((F.col("q2") + 0.5) / 1000).alias("_middle"),
-                    F.greatest((F.col("q3") - F.col("q1")) / 1000 * spread, F.lit(least)).alias("_width"))
+            .groupBy(F.col(key).alias("lang"), F.floor(F.col("log_ppl") * 1000).alias("bin")).agg(F.count(F.lit(1)).alias("n")))
+    upto = Window.partitionBy("lang").orderBy("bin")
+    cum = hist.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(Window.partitionBy("lang")))
+    q = cum.groupBy("lang").agg(*[F.min(F.when(F.col("upto") >= F.col("all") * f, F.col("bin"))).alias(name)
+                                  for name, f in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))])
+    apart = (F.col("q3") - F.col("q1")) / 1000
+    return q.select(F.col("lang").alias(key), F.struct(((F.col("q2") + 0.5) / 1000).alias("middle"),
+                                                       F.greatest(apart * upper[0], F.lit(upper[1])).alias("above"),
+                                                       F.greatest(apart * lower[0], F.lit(lower[1])).alias("below")).alias(key + "_band"))
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None,
-                  spread: float = 8.0, least: float = 0.25, noise: float = 8.0,
+                  upper: tuple[float, float] = (1.5, 0.05), lower: tuple[float, float] = (8.0, 0.25), noise: float = 2.5,
                   block_entries: int = 4_000_000) -> DataFrame:
     """Add base statistics, ``n_scored``, ``log_ppl`` (nats a symbol), ``band_low``,
-    ``band_high``, ``base_failed`` and ``kept`` to the columns in ``keep`` (all)."""
+    ``band_high``, ``base_failed`` and ``kept`` to the columns in ``keep`` (all).
+
+    ``upper``, ``lower``: quartile distances from the median to the band's ends, and the
+    nats that are allowed at least."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in
             ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_scored", "log_ppl",
-             "band_low", "band_high", "base_failed", "kept", "_lang", "_middle", "_width")]
+             "band_low", "band_high", "base_failed", "kept")]
+    key = "lang_key"
+    while any(c.startswith(key) for c in docs.columns):
+        key += "_"
     models = written(fit_models(count_grams(docs, text_col, lang_col)), "perplexity")
-    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(""))
+    lang = language(lang_col)
     blocks, scored, before = language_blocks(models, block_entries), None, []
     for k, langs in enumerate(blocks):
         # the last pass also takes languages without a single character
         last = k == len(blocks) - 1
         mine = docs if last and not before else docs.filter(~lang.isin(before) if last else lang.isin(langs))
         bc = docs.sparkSession.sparkContext.broadcast(load_models(models, langs) if langs else {})
-        part = _score(mine, text_col, lang_col, bc, keep)
+        part = _score(mine, text_col, lang_col, bc, keep, key)
+        if len(blocks) > 1:     # one block of models at a time
+            part = written(part, "scored-pass")
+            bc.destroy()
         scored, before = part if scored is None else scored.unionAll(part), before + langs
     scored = written(scored.withColumn("base_failed", (F.col("n_words") < 50)
                                        | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))), "scored")
-    out = scored.join(F.broadcast(bands(scored, spread, least)), "_lang", "left")
-    margin = F.col("_width") + noise / F.sqrt(F.greatest("n_scored", F.lit(1)))
-    out = (out.withColumn("band_low", F.col("_middle") - margin).withColumn("band_high", F.col("_middle") + margin))
+    band = key + "_band"
+    out = scored.join(F.broadcast(bands(scored, key, upper, lower)), key, "left")
+    margin = noise / F.sqrt(F.greatest("n_scored", F.lit(1)))
+    out = (out.withColumn("band_low", F.col(band)["middle"] - F.col(band)["below"] - margin)
+           .withColumn("band_high", F.col(band)["middle"] + F.col(band)["above"] + margin))
     inside = F.coalesce(F.col("log_ppl").between(F.col("band_low"), F.col("band_high")), F.lit(True))
-    return out.withColumn("kept", ~F.col("base_failed") & inside).drop("_lang", "_middle", "_width")
+    return out.withColumn("kept", ~F.col("base_failed") & inside).drop(key, band)
 
 
 @query("op6_quality_rules")
