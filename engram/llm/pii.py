@@ -1,7 +1,9 @@
 """Personal data: base patterns plus information-theoretic sanitisation.
 
 Base spans (e-mail, IPv4, card with Luhn check, phone) are the protected
-entities. Around each, the words within ``window`` words form a context.
+entities, at several grains: the value itself and what it belongs to (an address's domain,
+an IP's network, the leading digits of a number). Around each, the ``window`` whole words
+on either side form a context, however long they are and whatever stands between.
 A term t discloses an entity e as far as
 
     PMI(t; e) / IC(e) = 1 + log P(e | t) / -log P(e)
@@ -18,8 +20,9 @@ entity, so pairs whose ratio cannot reach the threshold even then go first (no
 result depends on it); text counts of the other terms come from a second pass that
 ships only words whose checksum is set in a 2^24-bit map of the candidates (fixed
 size; the later join drops false hits). Disclosing terms are
-applied in blocks of at most ``block_terms`` broadcast terms, each block one narrow
-pass, so any number of terms works.
+applied in blocks of at most ``block_terms`` broadcast terms, each block one narrow pass;
+a pass that is not the last is written out and its terms are released before the next one,
+so a worker holds one block however many there are.
 
 Defined results: a null or empty text has no span and stays as it is; a number
 in several kinds gives a span of each; overlapping spans are replaced as one, by
@@ -33,6 +36,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -102,17 +106,25 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _entity(text: str, span) -> str:
+def _entities(text: str, span) -> list[str]:
+    """The value and what it belongs to."""
     start, kind, end = span
-    value = text[start:end].lower() if kind == 0 else "".join(map(str, _digits(text[start:end]))) if kind > 1 else text[start:end]
-    return f"{KINDS[kind]}:{value}"
+    value = text[start:end]
+    if kind == 0:
+        value = value.lower()
+        wider = value[value.index("@"):]
+    elif kind == 1:
+        wider = value[:value.rindex(".")]
+    else:
+        value = "".join(map(str, _digits(value)))
+        wider = value[:6] if kind == 2 else value[:-4]
+    return [f"{KINDS[kind]}:{value}", f"{KINDS[kind]} of:{wider}"]
 
 
-def _around(text: str, start: int, end: int, window: int) -> list[str]:
-    """Up to ``window`` words on each side (looking no further than 40 characters a word)."""
-    reach = 40 * window
-    before = _TERM.findall(text[max(0, start - reach):start].lower())[-window:]
-    return before + _TERM.findall(text[end:end + reach].lower())[:window]
+def _around(terms: list, starts: list[int], ends: list[int], start: int, end: int, window: int) -> list[str]:
+    """The ``window`` terms that end before the span and those that start after it."""
+    a, b = bisect_right(ends, start), bisect_left(starts, end)
+    return terms[max(0, a - window):a] + terms[b:b + window]
 
 
 def _number(text: str) -> int:
@@ -121,7 +133,7 @@ def _number(text: str) -> int:
 
 
 def contexts(docs: DataFrame, text_col: str, window: int) -> DataFrame:
-    """``entity, doc, terms``: one row per base span of every text."""
+    """``entity, doc, terms``: a row per base span and grain of every text."""
     schema = pa.schema([("entity", pa.string()), ("doc", pa.int64()), ("terms", pa.list_(pa.string()))])
 
     def run(batches):
@@ -129,9 +141,14 @@ def contexts(docs: DataFrame, text_col: str, window: int) -> DataFrame:
             rows = []
             for text in batch.column(0).to_pylist():
                 spans = base_spans(text)
-                doc = _number(text) if spans else 0
+                if not spans:
+                    continue
+                doc, found = _number(text), list(_TERM.finditer(text))
+                words = [m.group().lower() for m in found]
+                starts, ends = [m.start() for m in found], [m.end() for m in found]
                 for s in spans:
-                    rows.append((_entity(text, s), doc, sorted(set(_around(text, s[0], s[2], window)))))
+                    near = sorted(set(_around(words, starts, ends, s[0], s[2], window)))
+                    rows += [(e, doc, near) for e in _entities(text, s)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows) if rows else [[]] * 3, schema)], schema=schema)
 
     return docs.select(text_col).mapInArrow(run, "entity string, doc bigint, terms array<string>")
@@ -245,7 +262,11 @@ def sanitise(docs: DataFrame, text_col: str = "text", window: int = 8, support:
     d = docs.select(*dict.fromkeys([*kept, text_col])).withColumn("spans", F.lit(None).cast(SPANS))
     for k in range(n):
         block = frozenset(r["term"] for r in terms.filter(F.pmod(F.xxhash64("term"), F.lit(n)) == k).collect())
-        d = _apply(d, text_col, docs.sparkSession.sparkContext.broadcast(block), k == 0, k == n - 1)
+        held = docs.sparkSession.sparkContext.broadcast(block)
+        d = _apply(d, text_col, held, k == 0, k == n - 1)
+        if k < n - 1:
+            d = written(d, "pii-pass")
+            held.destroy()
     return d.select(*kept, "spans", "sanitised")
 
 

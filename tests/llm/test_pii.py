@@ -93,3 +93,76 @@ def test_sanitise(spark, block_terms):
 def test_empty_table(spark):
     assert pii.sanitise(docs_frame(spark, [(1, "a")]).limit(0)).collect() == []
     assert [r.sanitised for r in pii.sanitise(docs_frame(spark, [(1, "a")])).collect()] == ["a"]
+
+
+def test_contexts_are_whole_words_at_any_distance(spark):
+    gap, long = " 1234 " * 300, "w" * 500
+    text = f"alpha beta {long}{gap}bob@firm.org{gap}gamma delta{'x' * 400} éa@x.org"
+    rows = pii.contexts(docs_frame(spark, [(1, text)]), "text", 3).collect()
+    by = {r.entity: r.terms for r in rows}
+    assert by["email:bob@firm.org"] == sorted(["alpha", "beta", long, "gamma", "delta" + "x" * 400, "org"])
+    assert by["email of:@firm.org"] == by["email:bob@firm.org"] and "email:a@x.org" in by
+
+
+def test_terms_that_disclose_a_domain(spark):
+    """The name of a firm stands only beside its addresses, all different: no single value
+    is seen often enough, their domain is."""
+    docs = [(i, f"Write to Zorblatt support: user{i}@zorblatt.org or call later number {i}") for i in range(6)]
+    docs += [(100 + i, f"plain words or support call later number user{i}@mail{i}.net") for i in range(40)]
+    docs += [(200, "zorblatt was mentioned")]
+    out = {r.doc_id: r for r in pii.sanitise(docs_frame(spark, docs)).collect()}
+    assert all("[TERM]" in out[i].sanitised and "Zorblatt" not in out[i].sanitised for i in range(6))
+    assert out[200].sanitised == "[TERM] was mentioned"
+    assert all(s.kind != "term" for i in range(40) for s in out[100 + i].spans)
+
+
+def slow_terms(texts, window=8, support=3, threshold=0.9):
+    """Every count by hand over distinct texts."""
+    import math
+    import re
+
+    texts = [t for t in dict.fromkeys(texts) if t is not None]
+    near, words = {}, {}
+    for t in texts:
+        terms = [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^\W\d_]{3,}", t)]
+        for w in {w for *_, w in terms}:
+            words.setdefault(w, set()).add(t)
+        for s in pii.base_spans(t):
+            ctx = [w for a, b, w in terms if b <= s[0]][-window:] + [w for a, b, w in terms if a >= s[2]][:window]
+            for e in pii._entities(t, s):
+                near.setdefault(e, {})
+                for w in set(ctx) | {""}:
+                    near[e].setdefault(w, set()).add(t)
+    best = {}
+    for e, ctx in near.items():
+        ic = math.log(len(texts) / len(ctx[""])) or 1e-9
+        for w, with_both in ctx.items():
+            if w and len(with_both) >= support:
+                best[w] = max(best.get(w, -9), 1 + math.log(min(1, len(with_both) / len(words[w]))) / max(ic, 1e-9))
+    return {w: r for w, r in best.items() if r >= threshold}
+
+
+def test_term_selection_by_hand(spark):
+    import random
+
+    r = random.Random(4)
+    vocab = ["".join(r.choices("abcdefgh", k=4)) for _ in range(60)]
+    firms = {f"firm{k}.org": "".join(r.choices("xyzuvw", k=5)) for k in range(5)}
+    docs = []
+    for i in range(250):
+        t = r.choices(vocab, k=20)
+        if r.random() < 0.5:
+            d = r.choice(list(firms))
+            at = r.randrange(20)
+            t[at:at] = [firms[d], f"u{r.randrange(30)}@{d}"] if r.random() < 0.95 else [f"u{i}@{d}"]
+        docs.append((i, " ".join(t)))
+    docs += [(500, docs[3][1]), (501, docs[3][1]), (502, None)]
+    got = {x.term: x.ratio for x in pii.disclosing_terms(docs_frame(spark, docs)).collect()}
+    want = slow_terms([t for _, t in docs])
+    assert got.keys() == want.keys() and len(got) >= 3 and all(abs(got[w] - want[w]) < 1e-9 for w in got)
+
+
+def test_blocks_of_terms_give_equal_spans(spark):
+    docs = docs_frame(spark, [(i, f"text {i} zork{'abcdefg'[i % 7]} beside u{i % 7}@x{i % 7}.org ends") for i in range(35)])
+    a, b = (sorted(map(str, pii.sanitise(docs, support=2, block_terms=n).collect())) for n in (10, 1))
+    assert a == b and "term" in str(a)
