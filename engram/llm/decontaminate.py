@@ -4,12 +4,14 @@ Normalisation: A-Z lower-cased, words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``
 letters and digits plus everything beyond ASCII). A window is ``size`` consecutive
 words of an item; a shorter item that has words is one window of its own length.
 
-Training texts are scanned in one narrow pass: words become vocabulary numbers
-(-1 for words no item uses), windows free of -1 get a rolling hash, hashes found
-in the sorted set are verified word by word, and verified windows mark their
-words. Nothing is shuffled. The broadcast set is bounded by ``block_bytes`` of
-item text: a larger benchmark is split by item hash into blocks, each scanned by
-its own pass over the same rows, and the passes' hits are merged per row.
+Training texts are scanned in one narrow pass: words become 64-bit hashes, windows whose
+words all occur in items get a rolling hash, hashes found in the sorted set are verified
+against the items' words themselves, and verified windows mark their words. Nothing is
+shuffled. The set is kept in flat arrays (the items' normalised text, where its words
+start, sorted window hashes with their places), some 4 bytes a byte of item text. It is
+bounded by ``block_bytes`` of item text: a larger benchmark is split by item hash into
+blocks, scanned one after another; each pass but the last is written out and its set
+released before the next, so a worker holds one block however many there are.
 
 Defined results: a null, empty or wordless text has no words and no hits; items
 with a null or wordless text have no window; a null item id counts as the empty id; repeated items and documents each
@@ -20,13 +22,13 @@ columns named like an added column give way to it.
 from __future__ import annotations
 
 import re
-from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from engram.llm.common import by_row, query, table
+from engram.llm.common import by_row, query, table, written
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 _NOT_WORD = bytes(32 if b < 0x30 or 0x39 < b < 0x61 or 0x7a < b < 0x80 else b for b in range(256))
@@ -40,46 +42,81 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class WindowSet:
-    """Windows of a block of items: word numbers, sorted hashes, exact windows."""
+    """Windows of a block of items in flat arrays: the normalised words of all items as one
+    text, the place of each word, and per window length the sorted hashes with the number
+    of the word each window starts at."""
 
     def __init__(self, items: list[tuple[str, str | None]], size: int):
-        self.vocab: dict[bytes, int] = {}
-        self.exact: dict[tuple, set] = {}
+        self.names, parts, lengths, first = [], [], [], [0]
         for item, text in items:
             words = words_of(text)
-            for w in words:
-                self.vocab.setdefault(w, len(self.vocab) + 1)
-            n = min(size, len(words))
-            for i in range(len(words) - n + 1 if n else 0):
-                self.exact.setdefault(tuple(words[i:i + n]), set()).add(item)
-        by_len: dict[int, list] = {}
-        for win in self.exact:
-            by_len.setdefault(len(win), []).append([self.vocab[w] for w in win])
-        self.hashes = {n: np.unique(self._hash(np.array(rows, np.int64).T)) for n, rows in by_len.items()}
+            if words:
+                self.names.append(item)
+                parts.append(b" ".join(words))
+                lengths.append(np.fromiter(map(len, words), np.int32, len(words)))
+                first.append(first[-1] + len(words))
+        self.text, self.first = b" ".join(parts), np.array(first, np.int64)
+        n = int(self.first[-1])
+        self.at = np.zeros(n + 1, np.int64)
+        if n:
+            np.cumsum(np.concatenate(lengths) + 1, out=self.at[1:])
+        self.at = self.at.astype(np.int32 if len(self.text) < 2 ** 31 - 2 else np.int64)
+        h = np.fromiter(map(xxh3_64_intdigest, self.text.split()), np.uint64, n)
+        self.vocab, self.windows = np.unique(h), {}
+        counts = np.diff(self.first)
+        for length in np.unique(np.minimum(counts, size)).tolist():
+            mine = counts >= size if length == size else counts == length
+            start = np.concatenate([np.arange(a, a + c - length + 1) for a, c in zip(self.first[:-1][mine], counts[mine])])
+            key = self._hash([h[start + k] for k in range(length)])
+            order = np.argsort(key, kind="stable")
+            self.windows[length] = key[order], start[order].astype(np.int32 if n < 2 ** 31 else np.int64)
+        self._known: dict[tuple, frozenset] = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"_known": {}}
+
+    def __bool__(self) -> bool:
+        return bool(self.names)
 
     @staticmethod
     def _hash(columns) -> np.ndarray:
         h = np.zeros(len(columns[0]), np.uint64)
         for c in columns:
-            h = (h + c.astype(np.uint64)) * _MULT
+            h = (h + c) * _MULT
             h ^= h >> np.uint64(29)
         return h
 
+    def _items(self, key: int, length: int, window: bytes) -> frozenset:
+        """Items that hold the window, word by word. Answers are kept while they are few."""
+        found = self._known.get((length, window))
+        if found is None:
+            keys, start = self.windows[length]
+            lo, hi = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+            places = [p for p in start[lo:hi].tolist() if self.text[self.at[p]:self.at[p + length] - 1] == window]
+            found = frozenset(self.names[i] for i in np.searchsorted(self.first, places, "right") - 1) if places else frozenset()
+            if len(self._known) >= 10_000:
+                self._known.clear()
+            self._known[length, window] = found
+        return found
+
     def scan(self, words: list[bytes]):
         """Yield (start, length, items) of each verified window in ``words``."""
         n = len(words)
-        ids = np.fromiter(map(self.vocab.get, words, repeat(-1)), np.int64, n)
-        unknown = np.concatenate(([0], np.cumsum(ids < 0)))
-        for size, hashes in self.hashes.items():
+        if not n or not self:
+            return
+        h = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, n)
+        known = self.vocab[np.minimum(np.searchsorted(self.vocab, h), len(self.vocab) - 1)] == h
+        unknown = np.concatenate(([0], np.cumsum(~known)))
+        for size, (keys, _) in self.windows.items():
             if size > n:
                 continue
             at = np.flatnonzero(unknown[size:] == unknown[:n - size + 1])
             if not len(at):
                 continue
-            h = self._hash([ids[at + k] for k in range(size)])
-            pos = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            for i in at[hashes[pos] == h].tolist():
-                items = self.exact.get(tuple(words[i:i + size]))
+            key = self._hash([h[at + k] for k in range(size)])
+            hit = keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key
+            for i, k in zip(at[hit].tolist(), key[hit]):
+                items = self._items(k, size, b" ".join(words[i:i + size]))
                 if items:
                     yield i, size, items
 
@@ -138,7 +175,7 @@ def window_blocks(bench: DataFrame, item_col: str, text_col: str, size: int,
     for k in range(n):
         rows = b.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == k).collect() if n > 1 else b.collect()
         ws = WindowSet([(r["item"], r["text"]) for r in rows], size)
-        if ws.exact:
+        if ws:
             yield ws
 
 
@@ -157,8 +194,13 @@ def decontaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", ite
     d = (base.withColumn("_n", F.lit(None).cast("bigint")).withColumn("_hit", F.lit(None).cast("array<int>"))
          .withColumn("_items", F.lit(None).cast("array<string>")))
     sc, first = docs.sparkSession.sparkContext, True
+    held = None
     for ws in window_blocks(bench, item_col, bench_text_col, size, block_bytes):
-        d, first = _scan_pass(d, text_col, sc.broadcast(ws), first), False
+        if held is not None:
+            d = written(d, "benchmark-pass")
+            held.destroy()
+        held = sc.broadcast(ws)
+        d, first = _scan_pass(d, text_col, held, first), False
     if first:
         d = _scan_pass(d, text_col, sc.broadcast(WindowSet([], size)), True)
     if action == "remove_documents":

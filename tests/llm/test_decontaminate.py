@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from engram.llm.decontaminate import WORD, decontaminate, words_of
+from engram.llm.decontaminate import WORD, WindowSet, decontaminate, words_of
 from tests.llm.helpers import docs_frame, words
 
 BENCH = "item_id bigint, text string"
@@ -71,3 +71,14 @@ def test_empty_tables(spark):
     out = decontaminate(docs_frame(spark, [(1, "a b c")]), none).collect()
     assert [(r.n_words, r.n_hit, r.contaminated) for r in out] == [(3, 0, False)]
     assert decontaminate(docs_frame(spark, [(1, "a")]).limit(0), none).collect() == []
+
+
+def test_windows_take_little_memory():
+    import pickle
+
+    r = random.Random(1)
+    items = [(str(i), " ".join(words(r, 60))) for i in range(4000)]
+    size = sum(len(t.encode()) for _, t in items)
+    assert len(pickle.dumps(WindowSet(items, 10))) < 6 * size
+    same = WindowSet([(str(i), "one two three") for i in range(3000)], 10)
+    assert [len(x[2]) for x in same.scan(words_of("zero one two three four"))] == [3000]
