@@ -57,6 +57,8 @@ _VALUE = re.compile(r""">|=\s*(?:["']|([^\s"'>][^\s>]*))""")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _TOKEN = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
+#: Comments: complete when empty (``<!-->``, ``<!--->``), else up to their end; an open one takes the rest.
+_EMPTY_COMMENT, _COMMENT_END = re.compile("<!--(?:-?>)"), re.compile("--!?>")
 
 @lru_cache(4096)
 def _words_of_attributes(attrs: str) -> tuple[str, ...]:
@@ -132,8 +134,14 @@ def blocks(html: str | None) -> list[tuple[tuple, str, float]]:
             break
         nxt = html[lt + 1:lt + 2]
         if nxt == "!" or nxt == "?":
-            end = html.find("-->", lt + 4) + 2 if html.startswith("<!--", lt) else html.find(">", lt)
-            pos = end + 1 if end > lt else n
+            if empty := _EMPTY_COMMENT.match(html, lt):
+                pos = empty.end()
+            elif html.startswith("<!--", lt):
+                end = _COMMENT_END.search(html, lt + 4)
+                pos = end.end() if end else n
+            else:
+                end = html.find(">", lt)
+                pos = end + 1 if end >= 0 else n
             continue
         closing = nxt == "/"
         m = _NAME.match(html, lt + 1 + closing)

@@ -44,7 +44,10 @@ PLAIN_WORDS = frozenset("commit sha hash digest checksum md5 sha1 sha256 id uuid
                         "image data file path version build ref integrity nonce example sample".split())
 DICTIONARY = frozenset("the and for with file data image page index main test user name path code list item text home "
                        "docs core lib src module version release config default static public".split())
-_ASSIGNED = re.compile(rf"(?:{'|'.join(sorted(SECRET_WORDS))})(?![A-Za-z])[A-Za-z0-9_-]{{0,40}}[\"']?[ \t]{{0,8}}(?::=|=>|[=:])(?!=)[ \t]{{0,8}}"
+#: An identifier that holds a secret's name, an assignment sign and a value. It starts where
+#: the identifier starts and gives nothing back, so long runs are read once.
+_NAMED = f"(?:{'|'.join(sorted(SECRET_WORDS))})(?![A-Za-z])"
+_ASSIGNED = re.compile(rf"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]*?{_NAMED})[A-Za-z0-9_-]++[\"']?[ \t]*+(?::=|=>|[=:])(?!=)[ \t]*+"
                        r"""(?:"([^"\n]+)"|'([^'\n]+)'|["']?([^\s"',;](?:[^\s"']*[^\s"',;])?))""", re.I)
 FINDINGS, TREES, DEPTH = 3000, 30, 8
 

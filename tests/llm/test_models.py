@@ -168,3 +168,19 @@ def test_secrets(spark):
     assert spans[1] == [(11, 51)] and spans[2] == [] and spans[6] == [(22, 54)]
     assert out[3].n_candidates == out[4].n_candidates == out[5].n_candidates == 0 and out[7].n_candidates == 1
     assert s.scan(docs_frame(spark, rows).limit(0)).collect() == []
+
+
+def test_empty_and_open_comments():
+    text = lambda h: [b[1] for b in x.blocks(h)]
+    assert text("<p>a</p><!--><p>b</p>") == ["a", "b"] and text("<p>a</p><!---><p>b</p>") == ["a", "b"]
+    assert text("<!-- a") == [] and text("<p>a</p><!-- b <p>c</p>") == ["a"] and text("<!doctype html><p>a") == ["a"]
+    assert text("<!----><p>a</p><!-- x --!><p>b</p><!--x-->c") == ["a", "b", "c"] and text("a <! x> b <!") == ["a b"]
+
+
+def test_assigned_values_at_any_distance():
+    found = lambda t: [t[a:b] for a, b in s.candidates(t)]
+    assert found('password            = "hunter2!x"') == ["hunter2!x"]
+    assert found("db_password_" + "x" * 60 + ' = "hunter2!x"') == ["hunter2!x"]
+    assert found("passwords = abc") == [] and found("my.token=>'a b'") == ["a b"] and found("a = token = q9") == ["q9"]
+    assert found("key-" * 200_000) == []                 # read once, not once per start
+    assert found("token" + " " * 300_000 + "x") == []
