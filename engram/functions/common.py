@@ -13,7 +13,7 @@ from engram.config import SCORE_DIGITS
 def ntz(value) -> Column:
     """A TIMESTAMP_NTZ literal (data timestamps are NTZ; never mix with LTZ)."""
     if isinstance(value, _dt.datetime):
-        value = value.strftime("%Y-%m-%d %H:%M:%S")
+        value = value.strftime("%Y-%m-%d %H:%M:%S.%f" if value.microsecond else "%Y-%m-%d %H:%M:%S")
     elif isinstance(value, _dt.date):
         value = value.strftime("%Y-%m-%d 00:00:00")
     return F.expr(f"TIMESTAMP_NTZ '{value}'")

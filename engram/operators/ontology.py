@@ -49,22 +49,35 @@ ONTOLOGY = {
 #   client Requirement:  "must have X", "X is required", "needs to Y"
 #   client Decision:     "we decided X", "agreed to Y", "ruled out Z"
 # Preference is checked first; Topic is used only when nothing else fits.
-TRIGGER_RULES = [  # (graph, entity_type, priority, pattern capturing the object)
-    ("personal", "Preference", 1,
-     r"(?i)(?:i (?:want|like|prefer|use|avoid|dislike)|i don't want|is better than|go with|skip) ([^.\n]+)"),
-    ("personal", "Decision", 2, r"(?i)(?:we decided to|going with|ruled out) ([^.\n]+)"),
-    ("client", "Preference", 1, r"(?i)(?:they want|the client prefers|avoid) ([^.\n]+)"),
-    ("client", "Requirement", 2, r"(?i)(?:must have|is required|needs to) ([^.\n]+)"),
-    ("client", "Decision", 3, r"(?i)(?:we decided|agreed to|ruled out) ([^.\n]+)"),
+# A phrase starts at a word's start, whatever stands before it; the object stands on the
+# side the description names it; polarity is -1 where the phrase turns something down.
+# (The classes are written out so that Java, RE2 and Python read them alike.)
+_AT = "(?:^|[^A-Za-z0-9_\u00c0-\u024f])"
+_END = "(?:$|[^A-Za-z0-9_\u00c0-\u024f])"
+_NOT = "don['\u2019]t"
+_REST = "([^.\\n]+)"
+_BEFORE = "(?:^|[.\\n])[ \\t]*([^ \\t.\\n][^.\\n]*?)"
+TRIGGER_RULES = [  # (graph, entity_type, priority, pattern capturing the object, polarity)
+    ("personal", "Preference", 1, rf"(?i){_AT}(?:i (?:want|like|prefer|use)|go with) {_REST}", 1),
+    ("personal", "Preference", 1, rf"(?i){_AT}(?:i {_NOT} want|i (?:avoid|dislike)|skip) {_REST}", -1),
+    ("personal", "Preference", 1, rf"(?i){_BEFORE} is better than [^.\n]", 1),
+    ("personal", "Decision", 2, rf"(?i){_AT}(?:we decided to|going with) {_REST}", 1),
+    ("personal", "Decision", 2, rf"(?i){_AT}ruled out {_REST}", -1),
+    ("client", "Preference", 1, rf"(?i){_AT}(?:they want|the client prefers) {_REST}", 1),
+    ("client", "Preference", 1, rf"(?i){_AT}avoid {_REST}", -1),
+    ("client", "Requirement", 2, rf"(?i){_AT}(?:must have|needs to) {_REST}", 1),
+    ("client", "Requirement", 2, rf"(?i){_BEFORE} is required{_END}", 1),
+    ("client", "Decision", 3, rf"(?i){_AT}(?:we decided|agreed to) {_REST}", 1),
+    ("client", "Decision", 3, rf"(?i){_AT}ruled out {_REST}", -1),
 ]
 FALLBACK_TYPE = {"personal": "Topic"}
 
 # Our own additional rules (not from the reference): referenced licences are
 # Resources, e-mail domains are Organizations.
 EXTRA_RULES = [
-    ("personal", "Resource", 5, r"(?i)(?:licensed|released) under (?:the )?([^.,\n]+)"),
-    ("personal", "Organization", 6, r"@([A-Za-z0-9.-]+\.[A-Za-z]{2,})"),
-    ("client", "Stakeholder", 6, r"@([A-Za-z0-9.-]+\.[A-Za-z]{2,})"),
+    ("personal", "Resource", 5, r"(?i)(?:licensed|released) under (?:the )?([^.,\n]+)", 1),
+    ("personal", "Organization", 6, r"@([A-Za-z0-9.-]+\.[A-Za-z]{2,})", 1),
+    ("client", "Stakeholder", 6, r"@([A-Za-z0-9.-]+\.[A-Za-z]{2,})", 1),
 ]
 
 SPARK_TYPES = {"str": T.StringType(), "int": T.LongType(), "float": T.DoubleType(),
@@ -138,32 +151,34 @@ def attribute_coverage(df: DataFrame, type_col: str, fields: list[str]) -> DataF
 
 
 def rule_extract(episodes: DataFrame, rules: list | None = None, id_col: str = "doc_id",
-                 text_col: str = "episode_body", fallback: dict | None = None) -> DataFrame:
-    """OP-49: type each episode by the first (by priority) rule of its tier that
-    matches, and extract every match's object; the fallback type (Topic) only
-    when nothing fits. -> (id, graph, entity_type, priority, value).
+                 text_col: str = "episode_body", fallback: dict | None = None, keep: tuple = ()) -> DataFrame:
+    """OP-49: type each episode by the first priority of its tier with a match, and extract
+    the objects of all rules of that priority; the fallback type (Topic) only when nothing
+    fits. -> (id, graph, keep..., entity_type, priority, value, polarity).
 
     Row-local and single-pass: every rule of the row's tier runs as a literal
-    ``regexp_extract_all``; the hits form an array of (priority, type, values)
-    structs whose minimum is the winner. No shuffle, no join, no UDF.
-    """
+    ``regexp_extract_all``; the hits form an array of (priority, type, polarity, values)
+    structs, of which those of the smallest priority stay. No shuffle, no join, no UDF;
+    other columns that are wanted later pass through (``keep``)."""
     rules = rules if rules is not None else TRIGGER_RULES + EXTRA_RULES
     fallback = FALLBACK_TYPE if fallback is None else fallback
     text, graph = F.col(text_col), F.col("graph")
-    cands = [F.when(graph == F.lit(g), F.struct(F.lit(prio).alias("priority"), F.lit(etype).alias("entity_type"),
+    cands = [F.when(graph == F.lit(g), F.struct(F.lit(prio).alias("priority"), F.lit(etype).alias("entity_type"), F.lit(sign).alias("polarity"),
                                                 F.regexp_extract_all(text, F.lit(pat), F.lit(1)).alias("values")))
-             for g, etype, prio, pat in rules]
+             for g, etype, prio, pat, sign in rules]
     hits = F.filter(F.array(*cands), lambda h: h.isNotNull() & (F.size(h["values"]) > 0))
     fb = None
     for g, etype in fallback.items():
         c = graph == F.lit(g)
         fb = F.when(c, F.lit(etype)) if fb is None else fb.when(c, F.lit(etype))
-    fb_struct = F.struct(F.lit(99).alias("priority"), (fb if fb is not None else F.lit(None).cast("string"))
-                         .alias("entity_type"), F.array(F.lit(None).cast("string")).alias("values"))
-    best = F.when(F.size(hits) > 0, F.array_min(hits)).otherwise(fb_struct)
-    out = episodes.select(id_col, "graph", best.alias("_b")).filter(F.col("_b.entity_type").isNotNull())
-    return out.select(id_col, "graph", F.col("_b.entity_type").alias("entity_type"),
-                      F.col("_b.priority").alias("priority"), F.explode(F.col("_b.values")).alias("value"))
+    fb_hit = F.struct(F.lit(99).alias("priority"), (fb if fb is not None else F.lit(None).cast("string")).alias("entity_type"),
+                      F.lit(0).alias("polarity"), F.array(F.lit(None).cast("string")).alias("values"))
+    out = (episodes.select(id_col, "graph", *keep, hits.alias("_h"))
+           .withColumn("_h", F.when(F.size("_h") > 0, F.filter("_h", lambda h: h["priority"] == F.array_min("_h")["priority"]))
+                       .otherwise(F.array(fb_hit)))
+           .select(id_col, "graph", *keep, F.explode("_h").alias("_h")).filter(F.col("_h.entity_type").isNotNull()))
+    return out.select(id_col, "graph", *keep, F.col("_h.entity_type").alias("entity_type"), F.col("_h.priority").alias("priority"),
+                      F.explode(F.col("_h.values")).alias("value"), F.col("_h.polarity").alias("polarity"))
 
 
 # ---------------------------------------------------------------- hooks
@@ -176,7 +191,7 @@ def regex_extractor(rules: list | None = None) -> Callable[[pd.DataFrame], pd.Da
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for graph, etype, _prio, pat in rules:
+        for graph, etype, _prio, pat, _sign in rules:
             sub = pdf[pdf["graph"] == graph]
             if sub.empty:
                 continue
@@ -208,6 +223,61 @@ def extractor_hook(episodes: DataFrame, extractor: Callable | None = None,
     return episodes.select("doc_id", "graph", "episode_body").mapInPandas(run, schema)
 
 
+GRAPH_SCHEMA = ("entities array<struct<name:string,entity_type:string>>, "
+                "facts array<struct<source:string,source_type:string,relation:string,target:string,target_type:string,fact:string>>")
+
+
+def statement_extractor(rules: list | None = None, speaker_type: dict | None = None) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A model-free default for ``extract_graph``: who speaks is an entity, what the tier's
+    rules capture is one, and each capture is a fact about the speaker, whose relation is
+    the capture's type ("not" before it where the phrase turns something down)."""
+    import re
+
+    rules = rules if rules is not None else TRIGGER_RULES
+    by_tier: dict[str, list] = {}
+    for graph, etype, prio, pat, sign in sorted(rules, key=lambda r: r[2]):
+        by_tier.setdefault(graph, []).append((prio, etype, re.compile(pat), sign))
+    kinds = speaker_type or {"personal": "Person", "client": "Stakeholder"}
+
+    def one(graph, speaker, body):
+        if speaker is None:
+            return [], []
+        kind = kinds.get(graph, "Person")
+        entities, facts, best = [{"name": speaker, "entity_type": kind}], [], None
+        for prio, etype, pat, sign in by_tier.get(graph, ()):
+            if best is not None and prio > best:
+                break
+            for m in pat.finditer(body or ""):
+                best, value = prio, m[1].strip()
+                if value:
+                    entities.append({"name": value, "entity_type": etype})
+                    relation = etype.lower() if sign > 0 else "not " + etype.lower()
+                    facts.append({"source": speaker, "source_type": kind, "relation": relation, "target": value, "target_type": etype,
+                                  "fact": f"{speaker} {relation} {value}"})
+        return entities, facts
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = [one(*row) for row in zip(pdf["graph"], pdf["speaker"], pdf["episode_body"])]
+        return pdf.drop(columns=["speaker", "episode_body"]).assign(entities=[e for e, _ in found], facts=[f for _, f in found])
+    return fn
+
+
+def extract_graph(episodes: DataFrame, extractor: Callable | None = None, keep: tuple = ("doc_id", "graph", "valid_at")) -> DataFrame:
+    """OP-50: a user extractor over Arrow batches returns ``(entities[], facts[])`` for every
+    episode. ``extractor()`` is called once per Python worker and must return a function that
+    takes a frame with ``keep``, ``speaker`` and ``episode_body`` and gives back ``keep`` plus the
+    two nested columns; an episode without findings has empty lists."""
+    factory = extractor or statement_extractor
+    src = episodes.select(*keep, "speaker", "episode_body")
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in src.schema if f.name in keep), GRAPH_SCHEMA])
+
+    def run(batches):
+        fn = factory()
+        for pdf in batches:
+            yield fn(pdf)
+    return src.mapInPandas(run, schema)
+
+
 @lru_cache(200_000)
 def term_slot(term: str, dim: int) -> tuple[int, float]:
     """Dimension and sign of a term: the first two hex digits of its md5 choose the
@@ -248,6 +318,13 @@ def embedder_hook(df: DataFrame, text_col: str, factory: Callable | None = None,
     return df.withColumn("embedding", embed(F.col(text_col)))
 
 
+def overall_citation_rate(per_conversation: DataFrame) -> DataFrame:
+    """OP-44c over all conversations: one row, from the per-conversation counts."""
+    return per_conversation.agg(F.count(F.lit(1)).alias("conversations"), F.sum("assistant_turns").alias("assistant_turns"),
+                                F.sum("citing_turns").alias("citing_turns"),
+                                (F.sum("citing_turns") / F.sum("assistant_turns")).alias("rate"))
+
+
 def citation_rate(turns: DataFrame, marker: str, conv_col: str = "conv_id") -> DataFrame:
     """OP-44c: share of assistant turns that cite memory (contain the marker)."""
     a = turns.filter(F.col("role") == "assistant").withColumn(

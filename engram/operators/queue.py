@@ -24,7 +24,8 @@ from engram.functions.common import adaptive_bucket
 
 INF = math.inf
 SUMMARY_SCHEMA = "_g string, _bk timestamp_ntz, s double, lo double, hi double"
-ENTRY_SCHEMA = "_g string, _bk timestamp_ntz, entry long"
+ENTRY_SCHEMA = "_g string, _bk timestamp_ntz, entry long, after long"
+PENDING_SCHEMA = "queue string, pending long"
 DECISION_SCHEMA = ("group_id string, event_id long, ts timestamp_ntz, kind string, "
                    "pending_before long, decision string, reason string")
 
@@ -73,13 +74,33 @@ def queue_admission(events: DataFrame, cap: int, bucket: str = "day",
     3. replay each slice from its entry state.
     -> (group_id, event_id, ts, kind, pending_before, decision, reason).
     """
+    return _passes(events, cap, None, bucket, num_partitions, hot_bucket, hot_rows, lambda df: df)[0]
+
+
+def admit(events: DataFrame, cap: int, pending: DataFrame | None, keep, bucket: str = "day", num_partitions: int | None = None,
+          hot_bucket: str = "minute", hot_rows: int = 5_000_000) -> tuple[DataFrame, DataFrame]:
+    """OP-46 over one batch of a stream: (decisions, pending items a queue afterwards).
+
+    ``pending`` (queue, pending) is what earlier batches left, ``keep(df)`` writes a small
+    table and reads it back (entry states, one row a queue and bucket: both results use
+    them). Events may name their ``queue`` (default: the group) and their own ``cap``. No
+    task holds a queue's batch: slices are folded as they stream past."""
+    decisions, entry = _passes(events, cap, pending, bucket, num_partitions, hot_bucket, hot_rows, keep)
+    after = entry.groupBy(F.col("_g").alias("queue")).agg(F.max_by("after", "_bk").alias("pending"))
+    if pending is not None:
+        after = after.unionByName(pending.join(after.select("queue"), "queue", "left_anti"))
+    return decisions, after
+
+
+def _passes(events, cap, pending, bucket, num_partitions, hot_bucket, hot_rows, keep) -> tuple[DataFrame, DataFrame]:
     spark = events.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # non-nullable internal keys: a null group is its own group and a null time
     # sorts first, so no event is dropped (and no IS NOT NULL filter is inferred)
     # (a hot group — more than ``hot_rows`` events — is cut into finer buckets)
-    ev = events.select("group_id", "ts", "event_id", "kind").withColumn(
-        "_g", F.coalesce(F.col("group_id"), F.lit("\u0000")))
+    own = F.col("queue") if "queue" in events.columns else F.col("group_id")
+    ev = events.select("group_id", "ts", "event_id", "kind", F.coalesce(own, F.lit("\u0000")).alias("_g"),
+                       (F.col("cap") if "cap" in events.columns else F.lit(cap)).cast("long").alias("cap"))
     ev = adaptive_bucket(ev, ["_g"], "ts", coarse=bucket, fine=hot_bucket, hot_rows=hot_rows)
     ev = ev.withColumn("_bk", F.coalesce(F.col("_bk"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
     # one hash exchange on (group, bucket), read by both full passes (identical
@@ -91,13 +112,13 @@ def queue_admission(events: DataFrame, cap: int, bucket: str = "day",
         cur, f = None, None
         out_g, out_b, out_s, out_l, out_h = [], [], [], [], []
         for pdf, keys in _runs(batches, ["_g", "_bk"]):
-            for key, k in zip(keys, pdf["kind"].to_numpy()):
+            for key, k, most in zip(keys, pdf["kind"].to_numpy(), pdf["cap"].to_numpy()):
                 if key != cur:
                     if cur is not None:
                         out_g.append(cur[0]); out_b.append(cur[1])
                         out_s.append(f[0]); out_l.append(f[1]); out_h.append(f[2])
                     cur, f = key, (0.0, -INF, INF)
-                f = _compose(f, _step(k, cap))
+                f = _compose(f, _step(k, int(most)))
         if cur is not None:
             out_g.append(cur[0]); out_b.append(cur[1])
             out_s.append(f[0]); out_l.append(f[1]); out_h.append(f[2])
@@ -105,36 +126,40 @@ def queue_admission(events: DataFrame, cap: int, bucket: str = "day",
             yield pd.DataFrame({"_g": out_g, "_bk": out_b, "s": out_s, "lo": out_l, "hi": out_h})
 
     summaries = sorted_ev.mapInPandas(summarise, SUMMARY_SCHEMA)
+    if pending is None:
+        summaries = summaries.withColumn("start", F.lit(0.0))
+    else:
+        summaries = summaries.join(pending.select(F.col("queue").alias("_g"), F.col("pending").cast("double").alias("start")), "_g", "left").fillna(0.0, ["start"])
 
     def entries(batches):
         cur, x = None, 0.0
-        out_g, out_b, out_e = [], [], []
         for pdf, keys in _runs(batches, ["_g"]):
-            for (g,), b, s_, lo, hi in zip(keys, pdf["_bk"], pdf["s"], pdf["lo"], pdf["hi"]):
+            out_e, out_a = [], []
+            for (g,), s_, lo, hi, start in zip(keys, pdf["s"], pdf["lo"], pdf["hi"], pdf["start"]):
                 if g != cur:
-                    cur, x = g, 0.0
-                out_g.append(g); out_b.append(b); out_e.append(int(x))
+                    cur, x = g, start
+                out_e.append(int(x))
                 x = _apply((s_, lo, hi), x)
-        if out_g:
-            yield pd.DataFrame({"_g": out_g, "_bk": out_b, "entry": out_e})
+                out_a.append(int(x))
+            yield pd.DataFrame({"_g": pdf["_g"], "_bk": pdf["_bk"], "entry": out_e, "after": out_a})
 
     # one row per (group, bucket): this fold runs over a short list per group
-    entry = (summaries.repartition(n, "_g").sortWithinPartitions("_g", "_bk")
-             .mapInPandas(entries, ENTRY_SCHEMA))
+    entry = keep(summaries.repartition(n, "_g").sortWithinPartitions("_g", "_bk")
+                 .mapInPandas(entries, ENTRY_SCHEMA))
 
     def replay(batches):
         cur, p = None, 0
         for pdf, keys in _runs(batches, ["_g", "_bk"]):
             before, decision, reason = [], [], []
             groups = pdf["group_id"].to_numpy()
-            for key, k, e, g in zip(keys, pdf["kind"].to_numpy(), pdf["entry"].to_numpy(), groups):
+            for key, k, e, g, most in zip(keys, pdf["kind"].to_numpy(), pdf["entry"].to_numpy(), groups, pdf["cap"].to_numpy()):
                 if key != cur:
                     cur, p = key, int(e)
                 before.append(p)
                 if k == "add":
-                    if cap and p >= cap:
+                    if most and p >= most:
                         decision.append("rejected")
-                        reason.append(f"queue full for group {g} ({cap} pending)")
+                        reason.append(f"queue full for group {g} ({most} pending)")
                     else:
                         decision.append("accepted")
                         reason.append(None)
@@ -149,52 +174,5 @@ def queue_admission(events: DataFrame, cap: int, bucket: str = "day",
 
     # the join keeps the (group, bucket) hash partitioning of ``shuffled``
     # (broadcast or shuffled entry side), so every slice stays in one task
-    joined = shuffled.join(entry, ["_g", "_bk"])
-    return (joined.sortWithinPartitions("_g", "_bk", "ts", "event_id")
-            .mapInPandas(replay, DECISION_SCHEMA))
-
-
-# ---------------------------------------------------------------- streaming
-STATE_SCHEMA = "pending long"
-
-
-def admission_state_fn(cap: int):
-    """State function for ``applyInPandasWithState`` keyed by group_id: the state
-    is one counter; rows of a micro-batch are replayed in (ts, event_id) order."""
-
-    def fn(key, pdfs, state):
-        p = state.get[0] if state.exists else 0
-        parts = list(pdfs)
-        if not parts:
-            return
-        pdf = pd.concat(parts, ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
-        g = key[0]
-        before, decision, reason = [], [], []
-        for k in pdf["kind"].to_numpy():
-            before.append(p)
-            if k == "add":
-                if cap and p >= cap:
-                    decision.append("rejected")
-                    reason.append(f"queue full for group {g} ({cap} pending)")
-                else:
-                    decision.append("accepted")
-                    reason.append(None)
-                    p += 1
-            else:
-                decision.append("done")
-                reason.append(None)
-                p = max(0, p - 1)
-        state.update((p,))
-        yield pd.DataFrame({"group_id": pdf["group_id"].to_numpy(), "event_id": pdf["event_id"].to_numpy(),
-                            "ts": pdf["ts"].to_numpy(), "kind": pdf["kind"].to_numpy(),
-                            "pending_before": before, "decision": decision, "reason": reason})
-    return fn
-
-
-def stream_queue_admission(stream: DataFrame, cap: int) -> DataFrame:
-    """Streaming OP-46: keyed state per group; order holds when input arrives in
-    time order (within a micro-batch rows are sorted per key)."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    return stream.select("group_id", "ts", "event_id", "kind").groupBy("group_id").applyInPandasWithState(
-        admission_state_fn(cap), DECISION_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    joined = shuffled.join(entry.drop("after"), ["_g", "_bk"])
+    return joined.sortWithinPartitions("_g", "_bk", "ts", "event_id").mapInPandas(replay, DECISION_SCHEMA), entry

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from engram.operators import admission as A
 from engram.operators import ontology as O
+from engram.operators import resolve as RS
 from engram.operators import temporal as T
 from engram.plans import derive
 from engram.plans.catalog_text import WR_CTE
@@ -76,11 +77,11 @@ wr AS (SELECT * FROM spoken WHERE NOT (graph = 'personal' AND regexp_matches(nam
                                    OR graph = 'client' AND regexp_matches(name || chr(10) || source_description || chr(10) || episode_body, '{SPOKEN_GUARD["client"]}')))"""
 
 
-def _rule_arms() -> str:
+def _rule_arms(rules: list | None = None) -> str:
     return " UNION ALL ".join(
-        f"SELECT doc_id, graph, '{t}' AS entity_type, {p} AS priority, "
+        f"SELECT doc_id, graph, '{t}' AS entity_type, {p} AS priority, {sign} AS polarity, "
         f"regexp_extract_all(episode_body, '{pat.replace(chr(39), chr(39) * 2)}', 1) AS vals "
-        f"FROM wr WHERE graph = '{g}'" for g, t, p, pat in O.TRIGGER_RULES + O.EXTRA_RULES)
+        f"FROM wr WHERE graph = '{g}'" for g, t, p, pat, sign in rules or O.TRIGGER_RULES + O.EXTRA_RULES)
 
 
 def _rule_cte(wr_cte: str = WR_CTE) -> str:
@@ -88,16 +89,16 @@ def _rule_cte(wr_cte: str = WR_CTE) -> str:
     return f"""{wr_cte},
 hits AS (SELECT * FROM ({_rule_arms()}) WHERE len(vals) > 0),
 best AS (SELECT doc_id, graph, min(priority) AS priority FROM hits GROUP BY doc_id, graph),
-chosen AS (SELECT h.doc_id, h.graph, h.entity_type, h.priority, unnest(h.vals) AS value
+chosen AS (SELECT h.doc_id, h.graph, h.entity_type, h.priority, h.polarity, unnest(h.vals) AS value
            FROM hits h JOIN best b ON b.doc_id = h.doc_id AND b.graph = h.graph AND b.priority = h.priority),
-extracted AS (SELECT doc_id, graph, entity_type, priority, value FROM chosen
+extracted AS (SELECT doc_id, graph, entity_type, priority, value, polarity FROM chosen
   UNION ALL
-  SELECT doc_id, graph, 'Topic', 99, NULL FROM wr w
+  SELECT doc_id, graph, 'Topic', 99, NULL, 0 FROM wr w
   WHERE graph = 'personal' AND NOT EXISTS (SELECT 1 FROM best b WHERE b.doc_id = w.doc_id AND b.graph = w.graph))"""
 
 
 def _rule_sql() -> str:
-    return f"WITH {_rule_cte()} SELECT doc_id, graph, entity_type, priority, value FROM extracted"
+    return f"WITH {_rule_cte()} SELECT doc_id, graph, entity_type, priority, value, polarity FROM extracted"
 
 
 def _ontology_values_sql() -> str:
@@ -124,7 +125,7 @@ def q_ontology_load(spark, d):
 @register("rule_extract", sql=_rule_sql())
 def q_rule_extract(spark, d):
     return O.rule_extract(derive.write_requests(Tables(spark, d))).select(
-        "doc_id", "graph", "entity_type", "priority", "value")
+        "doc_id", "graph", "entity_type", "priority", "value", "polarity")
 
 
 def _heard(spark, d):
@@ -132,10 +133,10 @@ def _heard(spark, d):
     return A.tier_guard(derive.spoken_requests(Tables(spark, d)), SPOKEN_GUARD).filter("accepted")
 
 
-@register("rule_extract_spoken", sql=f"WITH {_rule_cte(SPOKEN_CTE)} SELECT doc_id, graph, entity_type, priority, value FROM extracted")
+@register("rule_extract_spoken", sql=f"WITH {_rule_cte(SPOKEN_CTE)} SELECT doc_id, graph, entity_type, priority, value, polarity FROM extracted")
 def q_rule_extract_spoken(spark, d):
     """OP-49 on statements that speak the stated trigger phrases."""
-    return O.rule_extract(_heard(spark, d)).select("doc_id", "graph", "entity_type", "priority", "value")
+    return O.rule_extract(_heard(spark, d)).select("doc_id", "graph", "entity_type", "priority", "value", "polarity")
 
 
 @register("facts_from_text", sql=f"""WITH {_rule_cte(SPOKEN_CTE)},
@@ -148,12 +149,81 @@ SELECT graph, subject, relation, value, uuid, valid_at,
        lead(valid_at) OVER (PARTITION BY graph, subject, relation ORDER BY valid_at, uuid) AS invalid_at FROM runs""")
 def q_facts_from_text(spark, d):
     """The write path down to facts: statement -> guard -> extraction -> supersession."""
-    heard = _heard(spark, d)
-    obs = (O.rule_extract(heard).join(heard.select("doc_id", "subject", "valid_at"), "doc_id")
+    obs = (O.rule_extract(_heard(spark, d), keep=("subject", "valid_at"))
            .select("graph", "subject", F.col("entity_type").alias("relation"), "value", F.col("doc_id").alias("uuid"), "valid_at"))
     return T.resolve_supersession(obs).select("graph", "subject", "relation", "value", "uuid", "valid_at", "invalid_at")
 
 
+def _way(noun: str) -> str:
+    odd = noun[:2] + noun[1] + noun[2:]
+    return (f"CASE event_id % 7 WHEN 1 THEN '{noun.upper()}-' || k WHEN 2 THEN '{odd} ' || k WHEN 3 THEN '{noun.title()}  ' || k "
+            f"ELSE '{noun} ' || k END")
+
+
+_PLAIN = r"trim(regexp_replace(lower({x}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+GRAPH_CTE = f"""
+wr AS (SELECT event_id AS doc_id, ts AS valid_at, {TIER.format(k='user_id')} AS graph,
+         CASE event_id % 7 WHEN 4 THEN 'USER-' || CAST(user_id AS VARCHAR) WHEN 5 THEN '  user ' || CAST(user_id AS VARCHAR)
+                           ELSE 'user ' || CAST(user_id AS VARCHAR) END AS speaker,
+         CASE event_type WHEN 'purchase' THEN 'I want ' || {_way('product')}
+           WHEN 'view' THEN 'Today we decided to keep ' || {_way('subscription')} || '. Nothing else'
+           WHEN 'click' THEN 'So they want ' || {_way('feature')} WHEN 'error' THEN {_way('retry policy')} || ' is required.'
+           ELSE 'ruled out ' || {_way('channel')} END AS episode_body
+       FROM (SELECT *, coalesce(CAST(json_extract_string(props, '$.k') AS VARCHAR), 'none') AS k FROM events)),
+hits AS (SELECT * FROM ({_rule_arms(O.TRIGGER_RULES)}) WHERE len(vals) > 0),
+best AS (SELECT doc_id, min(priority) AS priority FROM hits GROUP BY doc_id),
+caught AS (SELECT h.doc_id, h.graph, h.entity_type, h.polarity, unnest(h.vals) AS value
+           FROM hits h JOIN best b ON b.doc_id = h.doc_id AND b.priority = h.priority),
+said AS (SELECT doc_id, graph, CASE graph WHEN 'personal' THEN 'Person' ELSE 'Stakeholder' END AS entity_type, {_PLAIN.format(x='speaker')} AS name FROM wr
+         UNION ALL SELECT doc_id, graph, entity_type, {_PLAIN.format(x='value')} FROM caught),
+named AS (SELECT graph, entity_type, name, count(*) AS n, regexp_replace(name, '\P{{L}}+', '', 'g') AS letters, regexp_replace(name, '\P{{N}}+', '', 'g') AS digits
+          FROM said WHERE name <> '' GROUP BY ALL),
+alike AS (SELECT a.graph, a.entity_type, a.name AS a, b.name AS b FROM named a JOIN named b
+          ON a.graph = b.graph AND a.entity_type = b.entity_type AND a.digits = b.digits
+          WHERE CASE WHEN least(length(a.letters), length(b.letters)) >= 5 THEN levenshtein(a.letters, b.letters) <= 1 ELSE a.letters = b.letters END),
+reach AS (SELECT graph, entity_type, a, b FROM alike
+          UNION SELECT r.graph, r.entity_type, r.a, l.b FROM reach r JOIN alike l ON l.graph = r.graph AND l.entity_type = r.entity_type AND l.a = r.b),
+rooted AS (SELECT graph, entity_type, a AS name, min(b) AS root FROM reach GROUP BY ALL),
+known AS (SELECT r.graph, r.entity_type, r.name, r.root, n.n,
+            substr(sha256(r.graph || '|' || r.entity_type || '|' || r.root), 1, 16) AS uuid
+          FROM rooted r JOIN named n ON n.graph = r.graph AND n.entity_type = r.entity_type AND n.name = r.name),
+entities AS (SELECT graph, uuid, name, entity_type FROM known
+             QUALIFY row_number() OVER (PARTITION BY graph, entity_type, root ORDER BY n DESC, name) = 1),
+mentions AS (SELECT DISTINCT s.graph, s.doc_id AS episode_uuid, k.uuid AS entity_uuid
+             FROM said s JOIN known k ON k.graph = s.graph AND k.entity_type = s.entity_type AND k.name = s.name),
+obs AS (SELECT DISTINCT c.graph, s.uuid AS subject, CASE WHEN c.polarity > 0 THEN lower(c.entity_type) ELSE 'not ' || lower(c.entity_type) END AS relation,
+          v.uuid AS value, c.doc_id AS uuid, w.valid_at
+        FROM caught c JOIN wr w ON w.doc_id = c.doc_id
+        JOIN known s ON s.graph = c.graph AND s.entity_type = CASE c.graph WHEN 'personal' THEN 'Person' ELSE 'Stakeholder' END AND s.name = {_PLAIN.format(x='w.speaker')}
+        JOIN known v ON v.graph = c.graph AND v.entity_type = c.entity_type AND v.name = {_PLAIN.format(x='c.value')}),
+runs AS (SELECT *, lag(value) OVER k AS prev, row_number() OVER k AS i FROM obs
+         WINDOW k AS (PARTITION BY graph, subject, relation ORDER BY valid_at, uuid)),
+kept AS (SELECT * FROM runs WHERE i = 1 OR prev IS DISTINCT FROM value)"""
+
+
+def _extracted(spark, d):
+    return RS.graph_tables(O.extract_graph(derive.statements(Tables(spark, d))))
+
+
+@register("extracted_entities", sql=f"WITH RECURSIVE {GRAPH_CTE} SELECT graph, uuid, name, entity_type FROM entities")
+def q_extracted_entities(spark, d):
+    """OP-50: the entities behind all the names that statements hold."""
+    return _extracted(spark, d)[0]
+
+
+@register("extracted_mentions", sql=f"WITH RECURSIVE {GRAPH_CTE} SELECT graph, episode_uuid, entity_uuid FROM mentions")
+def q_extracted_mentions(spark, d):
+    return _extracted(spark, d)[1]
+
+
+@register("extracted_facts", sql=f"""WITH RECURSIVE {GRAPH_CTE}
+SELECT graph, subject, relation, value, uuid, valid_at,
+       lead(valid_at) OVER (PARTITION BY graph, subject, relation ORDER BY valid_at, uuid) AS invalid_at FROM kept""")
+def q_extracted_facts(spark, d):
+    """Text to facts between entities: extraction, resolution, supersession."""
+    return T.resolve_supersession(_extracted(spark, d)[2]).select("graph", "subject", "relation", "value", "uuid", "valid_at", "invalid_at")
+
+
 @register("extractor_hook", sql=f"""WITH {WR_CTE}
 SELECT doc_id, graph, entity_type, unnest(vals) AS value FROM ({_rule_arms()}) WHERE len(vals) > 0""")
 def q_extractor_hook(spark, d):
@@ -185,3 +255,12 @@ SELECT conv_id, count(*) AS assistant_turns,
 FROM conversations WHERE role = 'assistant' GROUP BY conv_id""")
 def q_citation_rate(spark, d):
     return O.citation_rate(Tables(spark, d).conversations, MARKER)
+
+
+@register("citation_rate_overall", sql=f"""
+SELECT count(DISTINCT conv_id) AS conversations, count(*) AS assistant_turns,
+       count(*) FILTER (WHERE coalesce(contains(lower(text), '{MARKER}'), false)) AS citing_turns,
+       count(*) FILTER (WHERE coalesce(contains(lower(text), '{MARKER}'), false)) / count(*) AS rate
+FROM conversations WHERE role = 'assistant'""")
+def q_citation_rate_overall(spark, d):
+    return O.overall_citation_rate(O.citation_rate(Tables(spark, d).conversations, MARKER))

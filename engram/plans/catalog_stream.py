@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from engram.functions.common import ntz
 from engram.operators import admission as A
 from engram.operators.queue import queue_admission
 from engram.plans import derive
@@ -20,7 +21,7 @@ from engram.sinks.snapshot import (
 from engram.session import scratch_path
 from engram.sources.tables import Tables, read_table
 from engram.streaming import pipelines as P
-from engram.streaming.runner import file_stream, run_available_now, run_foreach_batch
+from engram.streaming.runner import file_stream, run_available_now, run_in_parts
 
 CAP = 3
 
@@ -59,28 +60,38 @@ def _events_stream(spark, d):
 
 @register("stream_queue_admission", sql=QUEUE_SQL)
 def q_stream_queue_admission(spark, d):
-    ev = _events_stream(spark, d).select(
-        F.col("user_id").cast("string").alias("group_id"), "ts", "event_id",
-        F.when(F.col("event_type") == "purchase", F.lit("done")).otherwise(F.lit("add")).alias("kind"))
-    out = run_available_now(P.admission_stream(ev, CAP), "queue_admission")
-    return spark.read.parquet(out).select(*OUT)
+    """Three stretches of time, one after the other, through a resumed stream."""
+    base, ev = scratch_path(spark, "admission"), derive.queue_events(Tables(spark, d))
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).head()
+    cuts = [ntz(lo + (hi - lo) * k / 3) for k in (1, 2)] if lo else []
+    parts = [F.col("ts") < cuts[0], (F.col("ts") >= cuts[0]) & (F.col("ts") < cuts[1]), F.col("ts") >= cuts[1]] if cuts else [F.lit(True)]
+    run_in_parts(ev, "admission", parts, lambda s: s, P.admission_batches(base, CAP))
+    return spark.read.parquet(f"{base}/decisions").select(*OUT)
 
 
-@register("stream_ingest", sql=f"""WITH {WR_CTE}
-SELECT doc_id, graph, effective_group_id, effective_source_description,
-       NOT coalesce(graph = 'personal' AND regexp_matches(
+INGEST_CAPS = {"personal": 40, "client": 0}
+ARRIVALS = 4    # the requests arrive in this many parts, by doc_id
+
+
+@register("stream_ingest", sql=f"""WITH {WR_CTE},
+guarded AS (SELECT *, NOT coalesce(graph = 'personal' AND regexp_matches(
   coalesce(name, '') || chr(10) || coalesce(source_description, '') || chr(10) || coalesce(episode_body, ''),
-  '{A.LICENSE_PATTERN}'), false) AS stored FROM wre""")
+  '{A.LICENSE_PATTERN}'), false) AS passed FROM wre),
+queued AS (SELECT *, row_number() OVER (PARTITION BY graph, effective_group_id, passed ORDER BY doc_id % {ARRIVALS}, doc_id) AS place FROM guarded),
+judged AS (SELECT *, CASE WHEN NOT passed THEN 'tier guard: matches reject_pattern'
+                          WHEN graph = 'personal' AND place > {INGEST_CAPS['personal']}
+                          THEN 'queue full for group ' || effective_group_id || ' ({INGEST_CAPS['personal']} pending)' END AS reject_reason FROM queued)
+SELECT doc_id, graph, effective_group_id, effective_source_description, reject_reason, reject_reason IS NULL AS stored FROM judged""")
 def q_stream_ingest(spark, d):
-    schema = read_table(spark, d, "documents").schema
-    docs = file_stream(spark, f"{d.rstrip('/')}/documents*.parquet", schema)
-    flow = P.ingest_stream(derive.requests_from_documents(docs),
-                           {"personal": A.LICENSE_PATTERN, "client": None})
-    base = scratch_path(spark, "ingest")
-    run_foreach_batch(flow, "ingest", P.episodes_sink(base))
-    kept, refused = (spark.read.parquet(f"{base}/{name}").select(
-        "doc_id", "graph", "effective_group_id", "effective_source_description") for name in ("episodes", "rejects"))
-    return kept.withColumn("stored", F.lit(True)).unionByName(refused.withColumn("stored", F.lit(False)))
+    """Guard, group, backpressure and attribution over several micro-batches; the counts of
+    the queues are carried from one to the next."""
+    requests, base = derive.write_requests(Tables(spark, d)), scratch_path(spark, "ingest")
+    run_in_parts(requests, "ingest", [F.col("doc_id") % ARRIVALS == k for k in range(ARRIVALS)],
+                 lambda s: P.ingest_stream(s, {"personal": A.LICENSE_PATTERN, "client": None}), P.ingest_batches(base, INGEST_CAPS))
+    cols = ["doc_id", "graph", "effective_group_id", "effective_source_description"]
+    kept = spark.read.parquet(f"{base}/episodes").select(*cols, F.lit(None).cast("string").alias("reject_reason"))
+    refused = spark.read.parquet(f"{base}/rejects").select(*cols, "reject_reason")
+    return kept.unionByName(refused).withColumn("stored", F.col("reject_reason").isNull())
 
 
 ACT_SQL = """

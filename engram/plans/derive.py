@@ -133,6 +133,36 @@ def line_facts(t: Tables) -> DataFrame:
             .withColumn("doc_id", F.col("episode") * LINES + line))
 
 
+TOPIC_TYPES = {"personal": "Topic", "client": "SystemComponent"}
+
+
+def fact_entities(facts: DataFrame) -> DataFrame:
+    """(graph, fact_id, entity_type, name): the two entities each line fact relates, its source
+    (an organization) and its topic."""
+    topic = F.when(F.col("graph") == "personal", F.lit(TOPIC_TYPES["personal"])).otherwise(F.lit(TOPIC_TYPES["client"]))
+    both = F.array(F.struct(F.lit("Organization").alias("entity_type"), F.col("subject").alias("name")),
+                   F.struct(topic.alias("entity_type"), F.col("topic").alias("name")))
+    return facts.select("graph", F.col("doc_id").alias("fact_id"), F.explode(both).alias("e")).select(
+        "graph", "fact_id", "e.entity_type", "e.name").filter("name is not null")
+
+
+def node_ids(named: DataFrame) -> DataFrame:
+    """(graph, entity_type, name, doc_id): an id per entity, twice its first fact's id, plus one
+    for topics (a fact is the first of one source and one topic at most)."""
+    return (named.groupBy("graph", "entity_type", "name").agg(F.min("fact_id").alias("first"))
+            .select("graph", "entity_type", "name", (2 * F.col("first") + F.when(F.col("entity_type") == "Organization", 0).otherwise(1)).alias("doc_id")))
+
+
+def node_queries(t: Tables) -> DataFrame:
+    """Every benchmark item asks for an entity: its two first words of seven letters or more,
+    the first with its third letter left out."""
+    words = F.filter(tokens(F.col("text")), lambda w: F.length(w) >= 7)
+    first = F.get(words, 0)
+    misspelt = F.concat(F.substr(first, F.lit(1), F.lit(2)), F.substr(first, F.lit(4)))
+    return t.benchmark.select(F.col("item_id").alias("query_id"), tier_of_parity(F.col("item_id")).alias("graph"),
+                              F.concat_ws(" ", misspelt, F.get(words, 1)).alias("text"))
+
+
 def fact_queries(t: Tables) -> DataFrame:
     """Every benchmark item asks in one tier (by parity of its id)."""
     return t.benchmark.select(F.col("item_id").alias("query_id"), tier_of_parity(F.col("item_id")).alias("graph"), "text")
@@ -175,6 +205,28 @@ def spoken_requests(t: Tables) -> DataFrame:
                     F.lit("event").alias("source_description"), said.alias("episode_body"))
 
 
+def statements(t: Tables) -> DataFrame:
+    """Statements with a named speaker, names written in several ways: blanks, dashes, capitals
+    and one letter too many, so that resolving them is needed. One statement an event."""
+    e = t.events
+    k = F.coalesce(F.get_json_object("props", "$.k"), F.lit("none"))
+    way = F.col("event_id") % 7
+
+    def named(noun: str) -> F.Column:
+        odd = noun[:2] + noun[1] + noun[2:]
+        return (F.when(way == 1, F.concat(F.lit(noun.upper() + "-"), k)).when(way == 2, F.concat(F.lit(odd + " "), k))
+                .when(way == 3, F.concat(F.lit(noun.title() + "  "), k)).otherwise(F.concat(F.lit(noun + " "), k)))
+    said = (F.when(F.col("event_type") == "purchase", F.concat(F.lit("I want "), named("product")))
+            .when(F.col("event_type") == "view", F.concat(F.lit("Today we decided to keep "), named("subscription"), F.lit(". Nothing else")))
+            .when(F.col("event_type") == "click", F.concat(F.lit("So they want "), named("feature")))
+            .when(F.col("event_type") == "error", F.concat(named("retry policy"), F.lit(" is required.")))
+            .otherwise(F.concat(F.lit("ruled out "), named("channel"))))
+    who = F.col("user_id").cast("string")
+    speaker = F.when(way == 4, F.concat(F.lit("USER-"), who)).when(way == 5, F.concat(F.lit("  user "), who)).otherwise(F.concat(F.lit("user "), who))
+    return e.select(F.col("event_id").alias("doc_id"), F.col("ts").alias("valid_at"), tier_of_parity(F.col("user_id")).alias("graph"),
+                    speaker.alias("speaker"), said.alias("episode_body"))
+
+
 def access_log(t: Tables) -> DataFrame:
     """Gateway JSON access-log lines made from events, with their order key."""
     return log_lines_from_events(t.events)

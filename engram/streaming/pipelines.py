@@ -3,58 +3,98 @@ activity windows, and check-first de-duplication."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
+from engram.functions.text import normalized
 from engram.operators import activity as AC
 from engram.operators import admission as A
-from engram.operators.queue import stream_queue_admission
-from engram.functions.text import normalized
+from engram.operators.queue import PENDING_SCHEMA, admit
+from engram.session import drop_path
+
+
+def ingest_stream(requests: DataFrame, reject_patterns: dict) -> DataFrame:
+    """OP-45, the row-local steps before the queue: guard -> effective group. Rows are kept
+    with ``accepted`` and a reason. ``ingest_batches`` takes it from there."""
+    return A.effective_group(A.tier_guard(requests, reject_patterns))
+
+
+def _small(spark, path: str):
+    def keep(df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    return keep
+
 
+def _left_before(spark, base: str, epoch: int) -> DataFrame:
+    """Pending items a queue after the epoch before; every epoch writes its own folder."""
+    if epoch == 0:
+        return spark.createDataFrame([], PENDING_SCHEMA)
+    return spark.read.schema(PENDING_SCHEMA).parquet(f"{base}/pending/epoch={epoch - 1}")
 
-def ingest_stream(requests: DataFrame, reject_patterns: dict, caps: dict | None = None,
-                  order_col: str = "doc_id") -> DataFrame:
-    """OP-45: guard -> effective group -> backpressure -> attribution, in this
-    order, on a stream of write requests. Rows are kept with ``accepted`` and a
-    reason; the sink splits episodes from rejects.
-
-    Backpressure (``caps``: tier -> max pending, 0 = unbounded) is keyed state
-    per (tier, effective group): a write the guard already refused never
-    enters the queue. This stream carries no completion events, so pending
-    only grows here; with completions use ``admission_stream``. Per micro-batch
-    a key's rows are replayed in ``order_col`` order (bounded by the trigger
-    rate, ``maxFilesPerTrigger``)."""
-    g = A.effective_group(A.tier_guard(requests, reject_patterns))
-    if caps and any(caps.values()):
-        g = g.groupBy("graph", "effective_group_id").applyInPandasWithState(
-            _backpressure_fn(dict(caps), order_col), g.schema, "pending long", "append",
-            GroupStateTimeout.NoTimeout)
-    return A.attribute_agent(g)
-
-
-def _backpressure_fn(caps: dict, order_col: str):
-    def fn(key, pdfs, state):
-        graph, group = key
-        cap = int(caps.get(graph, 0) or 0)
-        parts = list(pdfs)
-        if not parts:
-            return
-        pdf = pd.concat(parts, ignore_index=True).sort_values(order_col, kind="stable")
-        p = state.get[0] if state.exists else 0
-        acc = pdf["accepted"].to_numpy(dtype=bool).copy()
-        why = pdf["reject_reason"].to_numpy(dtype=object).copy()
-        for i in range(len(acc)):
-            if not acc[i]:
-                continue
-            if cap and p >= cap:
-                acc[i], why[i] = False, f"queue full for group {group} ({cap} pending)"
+
+def _remember(after: DataFrame, base: str, epoch: int) -> None:
+    """The state of a stream: written per epoch, so a replayed epoch starts from the same
+    counts; the epoch before last is no longer needed."""
+    after.write.mode("overwrite").parquet(f"{base}/pending/epoch={epoch}")
+    if epoch > 1:
+        drop_path(after.sparkSession, f"{base}/pending/epoch={epoch - 2}")
+
+
+def ingest_batches(base: str, caps: dict | None = None, order_col: str = "doc_id"):
+    """OP-45, the rest, as a ``foreachBatch`` writer: backpressure -> attribution -> episodes
+    and rejects, each in a folder of its epoch.
+
+    ``caps``: tier -> pending items a (tier, group) queue may hold, 0 or missing =
+    unbounded. A write that the guard refused never enters the queue. Only ids enter the
+    admission passes (bodies stay where they are and meet the refusals at the end), a hot
+    group is cut into slices of ``order_col`` like any other, and counts are carried from
+    epoch to epoch in the shared folder. This stream has no completion events, so pending only
+    grows; rows of one queue with equal order values are admitted or refused together."""
+    sink, caps = episodes_sink(base), {t: c for t, c in (caps or {}).items() if c}
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            queue = F.concat_ws("\u001f", "graph", "effective_group_id")
+            if caps:
+                most = F.lit(0)
+                for tier, c in caps.items():
+                    most = F.when(F.col("graph") == tier, F.lit(c)).otherwise(most)
+                events = batch.filter(F.col("accepted")).select(
+                    F.col("effective_group_id").alias("group_id"), queue.alias("queue"), most.alias("cap"), F.lit("add").alias("kind"),
+                    F.col(order_col).cast("long").alias("event_id"), F.timestamp_seconds(F.col(order_col)).cast("timestamp_ntz").alias("ts"))
+                decisions, after = admit(events.filter("cap > 0"), 0, _left_before(spark, base, epoch_id), _small(spark, f"{base}/entries"))
+                full = (decisions.filter("decision = 'rejected'").join(events.select("event_id", "group_id", "queue").distinct(), ["event_id", "group_id"])
+                        .select(F.col("queue").alias("q"), F.col("event_id").alias("at"), "reason").distinct())
+                batch_out = batch.join(full, queue.eqNullSafe(F.col("q")) & (F.col(order_col) == F.col("at")) & F.col("accepted"), "left")
+                batch_out = (batch_out.withColumn("accepted", F.col("accepted") & F.col("reason").isNull())
+                             .withColumn("reject_reason", F.coalesce("reject_reason", "reason")).drop("q", "at", "reason"))
             else:
-                p += 1
-        state.update((p,))
-        yield pdf.assign(accepted=acc, reject_reason=why)
-    return fn
+                batch_out, after = batch, None
+            sink(A.attribute_agent(batch_out), epoch_id)
+            if after is not None:
+                _remember(after, base, epoch_id)
+        finally:
+            batch.unpersist()
+    return write
+
+
+def admission_batches(base: str, cap: int):
+    """OP-46 as a ``foreachBatch`` writer over add and done events: decisions per epoch, counts
+    carried from epoch to epoch. Right when events arrive in time order; inside a batch
+    they are ordered."""
+    def write(events: DataFrame, epoch_id: int) -> None:
+        spark = events.sparkSession
+        events = events.select("group_id", "ts", "event_id", "kind").persist()
+        try:
+            decisions, after = admit(events, cap, _left_before(spark, base, epoch_id), _small(spark, f"{base}/entries"))
+            decisions.write.mode("overwrite").parquet(f"{base}/decisions/epoch={epoch_id}")
+            _remember(after, base, epoch_id)
+        finally:
+            events.unpersist()
+    return write
 
 
 def episodes_sink(base: str):
@@ -111,8 +151,3 @@ def dedup_stream(requests: DataFrame, store: DataFrame, key_cols: list[str],
         s = s.dropDuplicates([*key_cols, "text_key"])
     st = store.select(*key_cols, A.body_hash(normalized(F.col("episode_body"))).alias("text_key")).distinct()
     return s.join(st, [*key_cols, "text_key"], "left_anti")
-
-
-def admission_stream(events: DataFrame, cap: int) -> DataFrame:
-    """OP-46 on a stream (keyed counter state per group)."""
-    return stream_queue_admission(events, cap)

@@ -38,13 +38,27 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append",
     return out
 
 
-def run_foreach_batch(df: DataFrame, name: str, fn) -> str:
-    """Run with ``foreachBatch(fn(batch_df, epoch_id))`` (idempotent writes by epoch)."""
+def run_foreach_batch(df: DataFrame, name: str, fn, checkpoint: str | None = None) -> str:
+    """Run with ``foreachBatch(fn(batch_df, epoch_id))`` (idempotent writes by epoch) over what
+    is there; returns the checkpoint. With the checkpoint of an earlier run it goes on where
+    that one ended."""
     spark = df.sparkSession
-    ckpt = scratch_path(spark, "streams", name, "checkpoint")
+    ckpt = checkpoint or scratch_path(spark, "streams", name, "checkpoint")
     q = (df.writeStream.foreachBatch(fn).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return ckpt
+
+
+def run_in_parts(df: DataFrame, name: str, parts: list, flow, fn, max_files_per_trigger: int = 1000) -> str:
+    """Feed a table to a stream part by part (conditions), as files that arrive one after the
+    other: each part is written to the source folder and the stream resumes from its
+    checkpoint, so every part is at least one micro-batch of its own."""
+    spark = df.sparkSession
+    src, ckpt = scratch_path(spark, "streams", name, "source"), None
+    for part in parts:
+        df.filter(part).write.mode("append").parquet(src)
+        ckpt = run_foreach_batch(flow(file_stream(spark, src, df.schema, max_files_per_trigger=max_files_per_trigger)), name, fn, ckpt)
+    return ckpt
