@@ -15,6 +15,8 @@ from engram.config import EVAL_MAX_FACTS, RECALL_BUDGET, RECALL_OVER_FETCH
 from engram.functions.text import is_blank, split_lines
 from engram.operators import evaluate as E
 from engram.operators import graph as G
+from engram.operators import impact as IM
+from engram.operators import ivf as IV
 from engram.operators import lexical as LX
 from engram.operators import nodes as ND
 from engram.operators import ontology as O
@@ -202,6 +204,36 @@ def q_bm25_search(spark, d):
     return _ids(_lexical_leg(spark, d), "score", "rank")
 
 
+def _impact(spark, d):
+    """Impact-ordered blocks of the fact index, made at write time."""
+    docs = Tables(spark, d).documents
+    # the lines of a document share a shard
+    blocks, stats = IM.impact_index(_index(spark, d), together=F.floor(F.col("doc_id") / derive.LINES))
+    return (LX.kept_table(spark, "fact-impacts", docs, lambda: blocks.sortWithinPartitions("graph", "term")),
+            LX.kept_table(spark, "fact-terms", docs, lambda: stats))
+
+
+@register("bm25_pruned", sql=f"WITH {LEGS_CTE} SELECT query_id, fact_id, score, rank FROM bm_leg WHERE rank <= {NODES_K}")
+def q_bm25_pruned(spark, d):
+    """The first ten of the lexical leg from the blocks that can hold them."""
+    return _ids(IM.bm25_pruned(*_impact(spark, d), _queries(spark, d), NODES_K), "score", "rank")
+
+
+IVF_CELLS, IVF_PROBES = 32, 12
+
+
+@register("vector_search_ivf", sql=f"""WITH {LEGS_CTE}
+SELECT count(DISTINCT query_id) AS queries, count(*) AS answers, true AS recall_ok FROM leg_vector WHERE rank <= {NODES_K}""")
+def q_vector_search_ivf(spark, d):
+    """OP-32 by cells: how many of the exact answers it finds (0.9 of them at least)."""
+    vectors = _vectors(spark, d).select("graph", "doc_id", "embedding")
+    asked = O.embedder_hook(_queries(spark, d), "text", dim=VEC_DIM)
+    path, centres = IV.build_index(vectors, IVF_CELLS, "doc_id")
+    found = IV.search(spark, path, centres, asked, NODES_K, IVF_PROBES)
+    exact = S.vector_search(vectors, asked, NODES_K, id_col="doc_id")
+    return IV.recall(found, exact).select("queries", "answers", (F.col("recall") >= 0.9).alias("recall_ok"))
+
+
 @register("leg_rank", sql=f"WITH {LEGS_CTE} SELECT query_id, fact_id, score, rank FROM leg_graph")
 def q_leg_rank(spark, d):
     return _ids(_graph_leg(spark, d, _lexical_leg(spark, d)), "score", "rank")

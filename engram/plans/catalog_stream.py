@@ -14,14 +14,17 @@ from engram.plans.sql_snippets import ENTITIES_CTE, EPISODES_CTE, FACTS_CTE, men
 from engram.sinks.snapshot import (
     append_episodes,
     export_snapshot,
+    live_path,
     manifest,
     read_episodes,
     restore_snapshot,
+    upsert_episodes,
 )
 from engram.session import scratch_path
+from engram.sources.access_log import log_stream
 from engram.sources.tables import Tables, read_table
 from engram.streaming import pipelines as P
-from engram.streaming.runner import file_stream, run_available_now, run_in_parts
+from engram.streaming.runner import file_stream, run_available_now, run_in_parts, run_resumed
 
 CAP = 3
 
@@ -165,7 +168,7 @@ def q_snapshot_restore(spark, d):
     root, live = scratch_path(spark, "snapshots"), scratch_path(spark, "live")
     export_snapshot(tables, root, "snap")
     restore_snapshot(spark, root, "snap", live, confirm=True)
-    return manifest({n: spark.read.schema(df.schema).parquet(f"{live}/{n}") for n, df in tables.items()}
+    return manifest({n: spark.read.schema(df.schema).parquet(live_path(spark, live, n)) for n, df in tables.items()}
                     ).select("table", "graph", "rows")
 
 
@@ -186,3 +189,44 @@ def q_episode_sink(spark, d):
     stored = eps.join(req, "doc_id")
     append_episodes(stored, path)
     return read_episodes(spark, path, stored.schema).select("rel_path", "pos", "name", "graph", "group_id")
+
+
+@register("episode_upsert", sql="""
+WITH w AS (SELECT doc_id AS uuid, lang AS name, 1 AS wave, doc_id AS seq FROM documents WHERE doc_id % 4 <> 0
+           UNION ALL SELECT doc_id, source, 2, doc_id FROM documents WHERE doc_id % 3 = 0
+           UNION ALL SELECT doc_id - doc_id % 10, 'again ' || CAST(doc_id AS VARCHAR), 2, doc_id + 1000000000 FROM documents WHERE doc_id % 5 = 1)
+SELECT uuid, name, wave FROM w QUALIFY row_number() OVER (PARTITION BY uuid ORDER BY wave DESC, seq DESC) = 1""")
+def q_episode_upsert(spark, d):
+    """OP-06 with repeated uuids: two batches, the second with stored and repeated ones."""
+    docs, path = Tables(spark, d).documents, scratch_path(spark, "upserted")
+    first = docs.filter("doc_id % 4 <> 0").select(F.col("doc_id").alias("uuid"), F.col("lang").alias("name"), F.lit(1).alias("wave"), F.col("doc_id").alias("seq"))
+    again = (docs.filter("doc_id % 3 = 0").selectExpr("doc_id AS uuid", "source AS name", "2 AS wave", "doc_id AS seq")
+             .unionByName(docs.filter("doc_id % 5 = 1").selectExpr("doc_id - doc_id % 10 AS uuid", "concat('again ', doc_id) AS name", "2 AS wave", "doc_id + 1000000000 AS seq")))
+    for batch in (first, again):
+        upsert_episodes(batch, path, ["seq"])
+    return spark.read.parquet(path).select("uuid", "name", "wave")
+
+
+ALERT_SQL = """
+WITH lines AS (SELECT CAST(floor(epoch(ts)) AS BIGINT) AS t, CASE (8000 + user_id % 3) WHEN 8000 THEN 'personal' WHEN 8001 THEN 'client' ELSE '?' END AS tier,
+                      event_type = 'error' AS bad FROM events WHERE event_type <> 'signup'),
+bad AS (SELECT tier, t, CASE WHEN t - lag(t) OVER (PARTITION BY tier ORDER BY t) < {gap} THEN 0 ELSE 1 END AS fresh FROM lines WHERE bad),
+runs AS (SELECT tier, t, sum(fresh) OVER (PARTITION BY tier ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM bad)
+SELECT tier, min(t) AS opened, max(t) AS last_seen, count(*) AS unauthorized FROM runs GROUP BY tier, run
+HAVING count(*) >= {least} AND max(t) + {gap} <= (SELECT max(t) FROM lines) - 600"""
+GAP, LEAST = 7200, 3
+
+
+@register("stream_alerts", sql=ALERT_SQL.format(gap=GAP, least=LEAST))
+def q_stream_alerts(spark, d):
+    """OP-47: 401 outages over log files that arrive one after the other, read as text."""
+    lines, src = derive.access_log(Tables(spark, d)), scratch_path(spark, "log")
+    lo, hi = lines.agg(F.min("event_ts"), F.max("event_ts")).head()
+    ckpt = out = None
+    parts = [F.lit(True)] if not lo else [(F.col("event_ts") >= ntz(lo + (hi - lo) * k / 3) if k else F.lit(True))
+                                          & (F.col("event_ts") < ntz(lo + (hi - lo) * (k + 1) / 3) if k < 2 else F.lit(True)) for k in range(3)]
+    for part in parts:
+        lines.filter(part).select("line").write.mode("append").text(src)
+        flow = P.unauthorized_outages(log_stream(spark, src), f"{GAP} seconds", LEAST, "10 minutes")
+        out, ckpt = run_resumed(flow, "alerts", out, ckpt)
+    return spark.read.parquet(out)

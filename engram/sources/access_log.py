@@ -16,3 +16,9 @@ def log_lines(spark: SparkSession, path: str) -> DataFrame:
     return (spark.read.text(path).select(
         F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block")).withColumn("seq", F.monotonically_increasing_id()))
+
+
+def log_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1000) -> DataFrame:
+    """The lines of log files as they arrive, with the file they stand in."""
+    return (spark.readStream.option("maxFilesPerTrigger", str(max_files_per_trigger)).text(path)
+            .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file")))

@@ -112,19 +112,23 @@ def episodes_sink(base: str):
     return write
 
 
-def activity_stream(lines: DataFrame, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    """OP-47: requests per (window, tier, status class) over a live log.
-    Event time is the record's ``ts`` (epoch seconds); late rows beyond the
-    watermark are dropped from counts; append mode emits closed windows."""
+def typed_stream(lines: DataFrame) -> DataFrame:
+    """Log lines as (tier, klass, status, event_time); lines without a time are left out.
+    Event time is the record's ``ts`` (epoch seconds)."""
     rec = AC.parse_access_log(lines)
-    typed = (rec.withColumn("host", AC.host_of(F.col("rec")))
-             .withColumn("tier", F.when(F.col("host").isNull(), F.lit("?"))
-                         .otherwise(AC.tier_of_host(F.col("host"))))
-             .withColumn("klass", AC.status_class(F.col("rec")))
-             .withColumn("status", F.try_variant_get(F.col("rec"), "$.status", "bigint"))
-             .withColumn("event_time", F.timestamp_seconds(F.try_variant_get(F.col("rec"), "$.ts", "bigint")))
-             .filter(F.col("event_time").isNotNull()))
-    return (typed.withWatermark("event_time", delay)
+    return (rec.withColumn("host", AC.host_of(F.col("rec")))
+            .withColumn("tier", F.when(F.col("host").isNull(), F.lit("?"))
+                        .otherwise(AC.tier_of_host(F.col("host"))))
+            .withColumn("klass", AC.status_class(F.col("rec")))
+            .withColumn("status", F.try_variant_get(F.col("rec"), "$.status", "bigint"))
+            .withColumn("event_time", F.timestamp_seconds(F.try_variant_get(F.col("rec"), "$.ts", "bigint")))
+            .filter(F.col("event_time").isNotNull()))
+
+
+def activity_stream(lines: DataFrame, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
+    """OP-47: requests per (window, tier, status class) over a live log. Late rows beyond
+    the watermark are dropped from counts; append mode emits closed windows."""
+    return (typed_stream(lines).withWatermark("event_time", delay)
             .groupBy(F.window("event_time", window), "tier", "klass")
             .agg(F.count(F.lit(1)).alias("requests"),
                  F.count_if(F.col("status") == 401).alias("unauthorized"))
@@ -132,6 +136,21 @@ def activity_stream(lines: DataFrame, window: str = "1 hour", delay: str = "10 m
                     "requests", "unauthorized"))
 
 
+def unauthorized_outages(lines: DataFrame, gap: str, least: int, delay: str = "10 minutes") -> DataFrame:
+    """One alert per tier and outage: a run of 401s with less than ``gap`` between them and at
+    least ``least`` of them, reported when it has ended (nothing for ``gap``, by event time).
+
+    A session window per tier holds one small row of state for each open outage, whatever
+    the number of requests, and is dropped when the watermark passes its end. The watermark
+    follows all requests, so an outage also ends while other requests go on."""
+    # the condition names the event time, so it stays above the watermark
+    bad = typed_stream(lines).withWatermark("event_time", delay).filter(F.when(F.col("status") == 401, F.col("event_time")).isNotNull())
+    return (bad.groupBy(F.session_window("event_time", gap), "tier")
+            .agg(F.count(F.lit(1)).alias("unauthorized"), F.min("event_time").alias("a"), F.max("event_time").alias("b"))
+            .filter(F.col("unauthorized") >= least)
+            .select("tier", F.unix_seconds("a").alias("opened"), F.unix_seconds("b").alias("last_seen"), "unauthorized"))
+
+
 def unauthorized_alerts(windows: DataFrame, min_unauthorized: int) -> DataFrame:
     """401 alerts on closed activity windows (a row filter, works on the stream
     output or on a batch of windows): wrong or missing bearer tokens."""

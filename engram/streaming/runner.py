@@ -24,9 +24,15 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append",
                       partition_by: list[str] | None = None) -> str:
     """Run a streaming query over everything available, into a parquet table;
     returns the table path."""
+    return run_resumed(df, name, None, None, mode, partition_by)[0]
+
+
+def run_resumed(df: DataFrame, name: str, out: str | None, checkpoint: str | None, mode: str = "append",
+                partition_by: list[str] | None = None) -> tuple[str, str]:
+    """The same, going on from an earlier run's (table, checkpoint); returns both."""
     spark = df.sparkSession
-    out = scratch_path(spark, "streams", name, "data")
-    ckpt = scratch_path(spark, "streams", name, "checkpoint")
+    out = out or scratch_path(spark, "streams", name, "data")
+    ckpt = checkpoint or scratch_path(spark, "streams", name, "checkpoint")
     w = (df.writeStream.format("parquet").outputMode(mode)
          .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True))
     if partition_by:
@@ -35,7 +41,7 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append",
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return out
+    return out, ckpt
 
 
 def run_foreach_batch(df: DataFrame, name: str, fn, checkpoint: str | None = None) -> str:

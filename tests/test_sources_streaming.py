@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from engram.operators import ontology as O
 from engram.operators.queue import queue_admission
-from engram.sinks.snapshot import append_episodes, export_snapshot, restore_snapshot
+from engram.sinks.snapshot import append_episodes, export_snapshot, live_path, restore_snapshot
 from engram.sources.markdown import load_eval_cases, markdown_scan
 from engram.streaming import pipelines as P
 from engram.streaming.runner import file_stream, run_available_now, run_foreach_batch, run_in_parts
@@ -43,7 +43,7 @@ def test_snapshot_round_trip(spark):
     with pytest.raises(FileNotFoundError):
         restore_snapshot(spark, root, "missing", target, confirm=True)
     restore_snapshot(spark, root, "s1", target, confirm=True)
-    assert spark.read.parquet(f"{target}/episodes").count() == 2
+    assert spark.read.parquet(live_path(spark, target, "episodes")).count() == 2
     sink = scratch_path(spark, "sink")
     append_episodes(eps, sink)
     append_episodes(eps, sink)
@@ -161,6 +161,28 @@ def test_activity_stream_and_alerts(spark):
     assert P.unauthorized_alerts(w, 20).count() == 4
 
 
+def test_one_alert_per_outage(spark):
+    """An outage is reported once, when it is over; other requests move time on."""
+    from engram.session import scratch_path
+    from engram.sources.access_log import log_stream
+    from engram.streaming.runner import run_resumed
+
+    base, src = 1704067200, scratch_path(spark, "outages")
+
+    def line(minute, status, port=8000):
+        return f'{{"ts": {base + 60 * minute}, "request": {{"host": "h:{port}"}}, "status": {status}}}'
+    first = [line(m, 401) for m in (0, 5, 9)] + [line(3, 401, 8001), line(20, 200), "junk"]
+    second = [line(12, 401), line(100, 200), line(101, 401), line(102, 401, 8001)]
+    third = [line(110, 401), line(118, 401), line(300, 200, 8001)]
+    out = ckpt = None
+    seen = []
+    for part in (first, second, third):
+        spark.createDataFrame([(x,) for x in part], "line string").coalesce(1).write.mode("append").text(src)
+        out, ckpt = run_resumed(P.unauthorized_outages(log_stream(spark, src), "15 minutes", 3, "5 minutes"), "outages", out, ckpt)
+        seen.append(sorted((r["tier"], (r["opened"] - base) // 60, (r["last_seen"] - base) // 60, r["unauthorized"]) for r in spark.read.parquet(out).collect()))
+    assert seen[0] == [] and seen[1] == [("personal", 0, 12, 4)] and seen[2] == [("personal", 0, 12, 4), ("personal", 101, 118, 3)]
+
+
 def test_ingest_stream_order_and_backpressure(spark):
     from engram.session import scratch_path
 
