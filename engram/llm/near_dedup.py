@@ -15,9 +15,11 @@
    standard deviations below the threshold), then confirmed on the full sets of
    the two texts: every class tries its two best pairs, linked classes merge, then all
    pairs that still cross components are confirmed. Last, members of a large region
-   that are outside the region's main component meet all members of other components
-   in cells of two blocks (``stray_links``), so chains and hubs lose no link and no
-   list of all pairs is ever written.
+   that are outside the region's main component, the strays, meet all members of other
+   components in cells of a block of members and a block of strays (``stray_links``), so
+   chains and hubs lose no link and no list of all pairs is ever written. Only strays are
+   copied to several blocks; cells compare signatures first, and texts travel only for
+   rows that have a pair above the estimate.
 4. Components: min-label propagation with pointer jumping over the confirmed links;
    each round's table is written to the shared folder.
 
@@ -43,13 +45,15 @@ from pyspark.sql import functions as F
 
 from engram.llm.common import by_row, query, table, written
 
-HASHES, TREES, DEPTH, BASE, SMALL = 128, 40, 8, 5, 8
+HASHES, TREES, DEPTH, BASE, SMALL = 200, 40, 8, 5, 8
 #: Members and shingles of a block of a large region (a task holds two blocks at once).
 BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
 _SEED = np.random.default_rng(20)
 _A = (_SEED.integers(1, 1 << 32, HASHES, dtype=np.uint64) | 1).astype(np.uint32)[:, None]
 _B = _SEED.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)[:, None]
-_ORDERS = np.array([_SEED.permutation(HASHES)[:DEPTH] for _ in range(TREES)])
+#: Orders share none of the minima that make their regions; the deeper ones come from others.
+_ORDERS = np.array([np.concatenate((own, _SEED.permutation(np.setdiff1d(np.arange(HASHES), own))[:DEPTH - BASE]))
+                    for own in _SEED.permutation(HASHES).reshape(TREES, BASE)])
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -229,76 +233,103 @@ def _crossing(pairs: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def _cells(rows: DataFrame, comp: DataFrame) -> DataFrame:
-    """Members of large regions that still hold several components, dealt into cells.
+    """Members and strays of large regions that still hold several components, by cell.
 
-    A region's members fall into blocks of about ``BLOCK`` members and ``BLOCK_SHINGLES``
-    shingles at most; a cell is a pair of blocks, so any two members meet in exactly one
-    cell and no cell grows with the region."""
+    Members fall into blocks of about ``BLOCK`` members and ``BLOCK_SHINGLES`` shingles at
+    most, strays into blocks of the same size; a cell is one of each. With few strays, a
+    member is in one cell and each stray in as many as the region has blocks."""
     region = ["tree", "region"]
     large = (rows.filter(F.col("n") > SMALL).join(comp, "cls", "left")
              .select(*region, "n", "total", "cls", "n_shingles", F.coalesce("comp", "cls").alias("c")))
     main = (large.groupBy(*region, "c").agg(F.count(F.lit(1)).alias("k")).groupBy(*region)
-            .agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1"))
+            .agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.sum("k").alias("all"), F.max("k").alias("most"), F.count(F.lit(1)).alias("comps"))
+            .filter("comps > 1"))
     blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_SHINGLES))
     m = (large.join(main, region).withColumn("blocks", blocks)
-         .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks"))))
-    m = m.withColumn("other", F.explode(F.expr("sequence(cast(0 as bigint), blocks - 1)")))
-    cell = F.xxhash64(*region, F.least("own", "other"), F.greatest("own", "other"))
-    return m.select(cell.alias("cell"), "cls", "n_shingles", "c", "tree", "own", (F.col("own") == F.col("other")).alias("alone"),
-                    (F.col("c") != F.col("main")).alias("stray"))
+         .withColumn("sets", F.ceil(F.col("blocks") * (F.col("all") - F.col("most")) / F.col("all")))
+         .withColumn("stray", F.col("c") != F.col("main")))
+    h = F.xxhash64("cls")
+    as_member = F.transform(F.expr("sequence(cast(0 as bigint), sets - 1)"),
+                            lambda x: F.struct(F.pmod(h, F.col("blocks")).alias("block"), x.alias("set"), F.lit(False).alias("asks")))
+    as_stray = F.transform(F.expr("sequence(cast(0 as bigint), blocks - 1)"),
+                           lambda x: F.struct(x.alias("block"), F.pmod(h, F.col("sets")).alias("set"), F.lit(True).alias("asks")))
+    m = m.withColumn("p", F.explode(F.when(F.col("stray"), F.concat(as_member, as_stray)).otherwise(as_member)))
+    return m.select(F.xxhash64(*region, "p.block", "p.set").alias("cell"), "cls", "n_shingles", "c", "tree", "stray", "p.asks")
+
+
+def _by_cell(batches):
+    """Arrow rows sorted by cell, one list of row tuples (without the cell) per cell."""
+    at, held = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[0] != at:
+                if held:
+                    yield at, held
+                at, held = row[0], []
+            held.append(row[1:])
+    if held:
+        yield at, held
+
+
+def _near_strays(cls, c, tree, stray, asks, sig, n, percent: int, cut: float):
+    """(asking row, rows it must be compared with) of a cell: other components, sizes that allow
+    a link, signatures that agree, no region shared in an earlier order. A pair of two
+    strays is judged by the one with the smaller key."""
+    sigs = np.frombuffer(b"".join(sig), "<u2").reshape(len(sig), HASHES)
+    comps = np.unique(np.array([x.hex() for x in c]), return_inverse=True)[1]
+    keys = np.unique(np.array([x.hex() for x in cls]), return_inverse=True)[1]
+    n, asks, stray, t = np.array(n), np.array(asks), np.array(stray), tree[0]
+    for x in np.flatnonzero(asks).tolist():
+        ok = ~asks & (comps != comps[x]) & (np.minimum(n, n[x]) * 100 >= np.maximum(n, n[x]) * percent) & ~(stray & (keys < keys[x]))
+        y = np.flatnonzero(ok)
+        y = y[(sigs[y] == sigs[x]).mean(1) >= cut]
+        if len(y):
+            same = (sigs[y][:, _ORDERS[:t, :BASE]] == sigs[x][_ORDERS[:t, :BASE]]).all(2).any(1)
+            if not same.all():
+                yield x, y[~same].tolist()
 
 
-def stray_links(rows: DataFrame, texts: DataFrame, comp: DataFrame, size: int, percent: int, cut: float) -> DataFrame:
+def stray_links(rows: DataFrame, reps: DataFrame, texts: DataFrame, comp: DataFrame, size: int, percent: int, cut: float) -> DataFrame:
     """``e, o``: links between members of a large region that are in different components.
 
-    A task walks its cells one by one: signatures are compared as matrices, pairs that
-    pass the estimate are confirmed on the full sets, and only links leave the task. A
-    pair that shares regions of several orders is judged in the first of them."""
-    members = _cells(rows, comp).join(texts, "cls").repartition("cell").sortWithinPartitions("cell")
-    n_cols = ["cell", "cls", "c", "tree", "own", "alone", "stray", "sig", "n_shingles", "text"]
-
-    def judged(rows_):
-        cls, c, tree, own, alone, stray, sig, n, text = zip(*rows_)
-        sigs = np.frombuffer(b"".join(sig), "<u2").reshape(len(sig), HASHES)
-        comps = np.unique(np.array([x.hex() for x in c]), return_inverse=True)[1]
-        n, own, held, t = np.array(n), np.array(own), {}, tree[0]
-        inner = alone[0]
-        for x in np.flatnonzero(stray).tolist():
-            ok = (comps != comps[x]) & (np.minimum(n, n[x]) * 100 >= np.maximum(n, n[x]) * percent)
-            if not inner:
-                ok &= own != own[x]  # pairs within a block meet in the block's own cell
-            y = np.flatnonzero(ok)
-            y = y[(sigs[y] == sigs[x]).mean(1) >= cut]
-            if not len(y):
-                continue
-            same = (sigs[y][:, _ORDERS[:t, :BASE]] == sigs[x][_ORDERS[:t, :BASE]]).all(2).any(1)
-            for k in y[~same].tolist():
-                if stray[k] and k < x:
-                    continue
-                for i in (x, k):
-                    if i not in held:
-                        held[i] = shingles(text[i], size)
-                both = len(np.intersect1d(held[x], held[k], assume_unique=True))
-                if 100 * both >= percent * (len(held[x]) + len(held[k]) - both):
-                    yield cls[x], cls[k]
-
-    def run(batches):
-        import pyarrow as pa
-
-        at, rows_ = None, []
-
-        def out():
-            links = list(judged(rows_)) if rows_ else []
-            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.binary()), pa.array([b for _, b in links], pa.binary())], names=["e", "o"])
-        for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(len(n_cols)))):
-                if row[0] != at:
-                    yield out()
-                    at, rows_ = row[0], []
-                rows_.append(row[1:])
-        yield out()
-
-    return members.select(*n_cols).mapInArrow(run, "e binary, o binary").distinct()
+    Twice by cell: first on signatures, which leaves the rows of pairs above the estimate, then
+    on the full sets of those rows; only links leave the second pass. A pair that shares
+    regions of several orders is judged in the first of them."""
+    import pyarrow as pa
+
+    names = ["cell", "cls", "c", "tree", "stray", "asks", "sig", "n_shingles"]
+    members = _cells(rows, comp).join(reps.select("cls", "sig"), "cls").select(*names)
+    schema = members.schema
+
+    def passing(batches):
+        types = pa.schema([("cell", pa.int64()), ("cls", pa.binary()), ("c", pa.binary()), ("tree", pa.int8()), ("stray", pa.bool_()),
+                           ("asks", pa.bool_()), ("sig", pa.binary()), ("n_shingles", pa.int64())])
+        for cell, held in _by_cell(batches):
+            pairs = list(_near_strays(*zip(*held), percent, cut))
+            if pairs:
+                used = sorted({x for x, _ in pairs}.union(*(y for _, y in pairs)))
+                yield pa.RecordBatch.from_arrays([pa.array([cell] * len(used), pa.int64())] + [
+                    pa.array([held[i][k] for i in used], types[k + 1].type) for k in range(len(names) - 1)], schema=types)
+
+    near = written(members.repartition("cell").sortWithinPartitions("cell").mapInArrow(passing, schema), "cells")
+
+    def judged(batches):
+        for _, held in _by_cell(batches):
+            cols = list(zip(*held))
+            cls, text, sets, links = cols[0], cols[-1], {}, []
+            for x, others in _near_strays(*cols[:-1], percent, cut):
+                for y in others:
+                    for i in (x, y):
+                        if cls[i] not in sets:
+                            sets[cls[i]] = shingles(text[i], size)
+                    a, b = sets[cls[x]], sets[cls[y]]
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    if 100 * both >= percent * (len(a) + len(b) - both):
+                        links.append((cls[x], cls[y]))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.binary()), pa.array([b for _, b in links], pa.binary())], names=["e", "o"])
+
+    return (near.join(texts.select("cls", "text"), "cls").select(*names, "text").repartition("cell").sortWithinPartitions("cell")
+            .mapInArrow(judged, "e binary, o binary").distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80,
@@ -321,7 +352,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = written(_crossing(pairs, comp), "pairs")
         links = written(confirmed(written(_best(pairs, limit), "chosen"), texts, size, percent), "links")
         comp = _merge(comp, links)
-    comp = _merge(comp, written(stray_links(rows, texts, comp, size, percent, cut), "links"))
+    comp = _merge(comp, written(stray_links(rows, reps, texts, comp, size, percent, cut), "links"))
     smallest = reps.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     smallest = smallest.join(smallest.groupBy("comp").agg(F.min("doc").alias("component_id")), "comp")
     return _labelled(docs, smallest.select("cls", F.col("component_id").alias("_c")), id_col, text_col, size, keep)

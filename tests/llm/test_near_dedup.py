@@ -91,3 +91,51 @@ def test_small_tables(spark):
     assert [(r.component_id, r.kept) for r in near_dedup.near_duplicates(docs_frame(spark, [(3, "a b c")])).collect()] == [(3, True)]
     long = [(1, "word " * 50000 + "end"), (2, "word " * 50000 + "end")]
     assert [r.component_id for r in near_dedup.near_duplicates(docs_frame(spark, long)).collect()] == [1, 1]
+
+
+def test_cells_find_every_link_of_large_regions(spark, monkeypatch):
+    """With every class a component of its own, and with one large component, cells of a few
+    members find all links between components of members that share a large region."""
+    import random
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from engram.llm import near_dedup as N
+    from tests.llm.helpers import docs_frame, words
+
+    monkeypatch.setattr(N, "BLOCK", 7)
+    r = random.Random(6)
+    base, docs = words(r, 90), []
+    for i in range(70):
+        w = list(base)
+        for _ in range(r.randint(0, 5)):
+            w[r.randrange(90)] = f"x{i}{r.randrange(9)}"
+        docs.append((i, " ".join(w)))
+    df = docs_frame(spark, docs).selectExpr("doc_id AS doc", "text")
+    reps = N.signatures(df, "text", 2, ["doc"]).groupBy("cls").agg(F.min("doc").alias("doc"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
+    rows = N.forest(reps)
+    texts = N.class_texts(df, reps, reps.select("cls"), 2)
+    sets = {bytes(x.cls): (set(N.shingles(x.text, 2).tolist()), x.sig) for x in texts.collect()}
+    keys = sorted(sets)
+    sig = np.array([np.frombuffer(sets[k][1], "<u2") for k in keys])
+    pairs, sizes = {}, {}
+    for t in range(N.TREES):
+        regions = {}
+        for i, row in enumerate(sig):
+            regions.setdefault(row[N._ORDERS[t, :N.BASE]].tobytes(), []).append(i)
+        for members in regions.values():
+            if len(members) > N.SMALL:
+                for i in members:
+                    for j in members:
+                        if i < j:
+                            pairs[i, j] = True
+                            sizes[len(members)] = True
+    jac = lambda a, b: len(a & b) / len(a | b)
+    linked = {(i, j) for i, j in pairs if jac(sets[keys[i]][0], sets[keys[j]][0]) >= 0.8}
+    assert max(sizes) > 3 * 7 and 50 < len(linked) < len(pairs)
+    for half in (0, len(keys) // 2):    # the first half is one component
+        comp = spark.createDataFrame([(bytearray(k), bytearray(keys[0] if i < half else k)) for i, k in enumerate(keys)], "cls binary, comp binary")
+        got = N.stray_links(rows, reps, texts, comp, 2, 80, 0.5).collect()
+        found = {tuple(sorted((keys.index(bytes(x.e)), keys.index(bytes(x.o))))) for x in got}
+        assert found == {(i, j) for i, j in linked if j >= half} and len(got) == len(found)
