@@ -50,7 +50,7 @@ SAMPLE_PER_CELL = 32
 SLACK = 1e-7                # chord distances of equal directions are off by up to 1e-8
 SPARE = 4                   # candidates kept beyond k + 1 until they are scored exactly
 #: Production setting of ``factor``; recall is measured in tests and README.
-FACTOR = 6.0
+FACTOR = 4.0
 
 
 # ---------------------------------------------------------------- trees
