@@ -42,6 +42,8 @@ PATH_DIM, WORD_DIM, MEASURES, HIDDEN = 512, 32, 7, 16
 TRAIN_PAGES, EPOCHS, SEED = 1200, 10, 11
 #: Open elements up to which a path names every one.
 DEEP = 256
+#: Blocks of a window, of a page that is read in windows, and of pages that are labelled together.
+WINDOW, LONG, TOGETHER = 2048, 4096, 16384
 #: HTML element classes (fixed values of the standard).
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe noframes noembed xmp svg math object select".split())
@@ -235,14 +237,16 @@ def word_vector(text: str) -> np.ndarray:
     return v / max(1, len(words))
 
 
-def inputs(page: list[tuple]) -> np.ndarray:
-    """Feature rows of a page's blocks."""
+def inputs(page: list[tuple], lo: int = 0, hi: int | None = None) -> np.ndarray:
+    """Feature rows of a page's blocks (of ``lo`` to ``hi``)."""
     n = len(page)
-    x = np.zeros((n, PATH_DIM + WORD_DIM + MEASURES), np.float32)
-    for i, (path, text, linked) in enumerate(page):
-        x[i, :PATH_DIM] = np.frombuffer(path_vector(path), np.float32)
-        x[i, PATH_DIM:PATH_DIM + WORD_DIM] = word_vector(text)
-        x[i, -MEASURES:] = (min(1.0, np.log1p(len(text)) / 8), linked, text[-1] in ".!?:;\"", i == 0, i == n - 1, text[:1] == "©", 1)
+    hi = n if hi is None else min(hi, n)
+    x = np.zeros((hi - lo, PATH_DIM + WORD_DIM + MEASURES), np.float32)
+    for k, (path, text, linked) in enumerate(page[lo:hi]):
+        i = lo + k
+        x[k, :PATH_DIM] = np.frombuffer(path_vector(path), np.float32)
+        x[k, PATH_DIM:PATH_DIM + WORD_DIM] = word_vector(text)
+        x[k, -MEASURES:] = (min(1.0, np.log1p(len(text)) / 8), linked, text[-1] in ".!?:;\"", i == 0, i == n - 1, text[:1] == "©", 1)
     return x
 
 
@@ -251,10 +255,11 @@ def _sig(x):
     return 1 / (1 + np.exp(-x))
 
 
-def _lstm(x, w, u, mask, keep=None):
-    """Hidden states (time, batch, HIDDEN); ``keep`` collects what training needs."""
+def _lstm(x, w, u, mask, keep=None, state=None):
+    """Hidden states (time, batch, HIDDEN); ``keep`` collects what training needs. ``state``
+    [h, c] goes on from an earlier window and is left as it is after this one."""
     t, b = x.shape[:2]
-    h, c = np.zeros((b, HIDDEN), x.dtype), np.zeros((b, HIDDEN), x.dtype)
+    h, c = state if state is not None else (np.zeros((b, HIDDEN), x.dtype), np.zeros((b, HIDDEN), x.dtype))
     out = np.zeros((t, b, HIDDEN), x.dtype)
     pre = x @ w
     for k in range(t):
@@ -268,6 +273,8 @@ def _lstm(x, w, u, mask, keep=None):
             keep.append((i, f, o, g, c, tc, h, m))
         c, h = m * c2 + (1 - m) * c, m * o * tc + (1 - m) * h
         out[k] = h
+    if state is not None:
+        state[:] = h, c
     return out
 
 
@@ -334,6 +341,25 @@ class Labeller:
             at = end
         return out
 
+    def label_long(self, page: list[tuple], window: int = WINDOW) -> np.ndarray:
+        """The same for one page of any length, from its blocks: features are made window by
+        window, once in each direction, and only the network's state and one number a
+        block are kept in between."""
+        n = len(page)
+        fw, fu, bw, bu, v, direct = self.p
+        score, zero = np.zeros(n, np.float32), lambda: [np.zeros((1, HIDDEN), np.float32) for _ in range(2)]
+        state, starts = zero(), range(0, n, window)
+        for lo in starts:
+            x = inputs(page, lo, lo + window)
+            h = _lstm(x[:, None], fw, fu, np.ones((len(x), 1), np.float32), None, state)
+            score[lo:lo + len(x)] = h[:, 0] @ v[:HIDDEN] + x @ direct
+        state = zero()
+        for lo in reversed(starts):
+            x = inputs(page, lo, lo + window)[::-1]
+            h = _lstm(x[:, None], bw, bu, np.ones((len(x), 1), np.float32), None, state)
+            score[lo:lo + len(x)] += (h[:, 0] @ v[HIDDEN:])[::-1]
+        return score > 0
+
     def fit(self, pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = EPOCHS, rate: float = 0.01) -> Labeller:
         r = np.random.default_rng(SEED)
         m1, m2, step = [np.zeros_like(p) for p in self.p], [np.zeros_like(p) for p in self.p], 0
@@ -473,10 +499,29 @@ def trained(n: int = TRAIN_PAGES) -> Labeller:
 
 
 def main_texts(htmls: list[str | None], model: Labeller) -> list[str]:
-    """Main text of each page."""
-    pages = [blocks(h) for h in htmls]
-    return ["\n".join(t for (_, t, _), keep in zip(page, marks) if keep)
-            for page, marks in zip(pages, model.label([inputs(p) for p in pages]))]
+    """Main text of each page. Features of ``TOGETHER`` blocks are held at most."""
+    out, group, size = [], [], 0
+
+    def add(page, marks):
+        out.append("\n".join(t for (_, t, _), keep in zip(page, marks) if keep))
+
+    def flush():
+        nonlocal group, size
+        for page, marks in zip(group, model.label([inputs(p) for p in group])):
+            add(page, marks)
+        group, size = [], 0
+
+    for html in htmls:
+        page = blocks(html)
+        if len(page) > LONG or size + len(page) > TOGETHER:
+            flush()
+        if len(page) > LONG:
+            add(page, model.label_long(page))
+        else:
+            group.append(page)
+            size += len(page)
+    flush()
+    return out
 
 
 def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text", model: Labeller | None = None,

@@ -184,3 +184,22 @@ def test_assigned_values_at_any_distance():
     assert found("passwords = abc") == [] and found("my.token=>'a b'") == ["a b"] and found("a = token = q9") == ["q9"]
     assert found("key-" * 200_000) == []                 # read once, not once per start
     assert found("token" + " " * 300_000 + "x") == []
+
+
+def test_long_pages_in_windows_get_the_same_labels():
+    import tracemalloc
+
+    model = x.trained(60)
+    r = random.Random(3)
+    page = [b for _ in range(60) for b in x.blocks(x.made_page(r)[0])]
+    whole = model.label([x.inputs(page)])[0]
+    assert len(page) > 500 and 0 < whole.sum() < len(page)
+    for window in (7, 64, 10 ** 6):
+        assert (model.label_long(page, window) == whole).all()
+    html = "<div class=article>" + "words of a line<br>" * 50_000 + "</div><p>end</p>"
+    small = ["<p>A sentence of the page.</p>"] * 3
+    tracemalloc.start()
+    texts = x.main_texts([small[0], html, None, *small], model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20 and len(texts) == 6 and texts[2] == "" and texts[0] == texts[3] == texts[5]
