@@ -5,7 +5,7 @@ record; request and metadata name the response in WARC-Concurrent-To. Of pages
 with equal payloads of at least ``min_bytes`` bytes the one with the largest id
 is the response, the others are revisits that refer to it. The records are SQL
 strings written by Spark's text writer whose line separator is the blank line
-that ends a WARC record, gzip-compressed and rolled at ``records_per_file``.
+that ends a WARC record, gzip-compressed and bounded by bytes (``file_bytes``).
 
 Reading: whole archive files go to tasks, which walk them record by record by
 Content-Length (payloads may contain anything, blank lines and record headers
@@ -75,9 +75,16 @@ def _record(kind: str, headers: list, block) -> F.Column:
 
 
 def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", payload_col: str = "html",
-                  min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", records_per_file: int = 30_000) -> None:
-    """Write one request, response or revisit, and metadata record per row below ``path``."""
+                  min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", file_bytes: int = 128 << 20) -> None:
+    """Write one request, response or revisit, and metadata record per row below ``path``.
+
+    Archives hold about ``file_bytes`` of payload at most (or one page): pages are written by
+    size class, so many to a file that the largest of the class still fit."""
     p = mark_revisits(pages, id_col, payload_col, min_bytes)
+    size = F.coalesce(F.octet_length("payload"), F.lit(0))
+    classes = [(0, file_bytes >> 11), (file_bytes >> 11, file_bytes >> 5), (file_bytes >> 5, 1 << 62)]
+    own = F.coalesce(F.octet_length(F.col(payload_col)), F.lit(0))
+    there = pages.agg(*[F.count_if((own >= lo) & (own < hi)).alias(f"c{k}") for k, (lo, hi) in enumerate(classes)]).head()
     page = F.coalesce(F.col("page").cast("string"), F.lit(""))
 
     def urn(kind: str, of=page):
@@ -104,8 +111,10 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", payload_
     metadata = _record("metadata", [("WARC-Record-ID", urn("metadata")), ("WARC-Concurrent-To", answer), *common,
                                     ("Content-Type", F.lit("application/warc-fields"))],
                        F.concat(F.lit("payload-bytes: "), F.octet_length("payload").cast("string"), F.lit("\r\n")))
-    (p.select(F.explode(F.array(request, response, metadata)).alias("value")).write
-     .option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path))
+    for k, (lo, hi) in enumerate(classes):
+        if there[f"c{k}"] or k == 0:
+            (p.filter((size >= lo) & (size < hi)).select(F.explode(F.array(request, response, metadata)).alias("value")).write.mode("append")
+             .option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", 3 * max(1, file_bytes // hi)).text(path))
 
 
 def records_of(stream):

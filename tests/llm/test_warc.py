@@ -25,11 +25,11 @@ def expected(rows, min_bytes=0):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("min_bytes,per_file", [(0, 30000), (5, 2)])
-def test_round_trip(spark, min_bytes, per_file):
+@pytest.mark.parametrize("min_bytes,file_bytes", [(0, 128 << 20), (5, 4096)])
+def test_round_trip(spark, min_bytes, file_bytes):
     path = scratch_path(spark, "warc-test")
     pages = spark.createDataFrame([(*r, "z") for r in ROWS], PAGES + ", digest string")
-    warc.write_archive(pages, path, min_bytes=min_bytes, records_per_file=per_file)
+    warc.write_archive(pages, path, min_bytes=min_bytes, file_bytes=file_bytes)
     rows = warc.assemble(warc.read_archive(spark, path)).collect()
     got = sorted(((int(r.response.page) if r.response.page else None, r.response.payload_bytes, r.response.payload_digest, r.response.type,
                    int(r.response.refers_to) if r.response.refers_to else None) for r in rows), key=str)
@@ -70,3 +70,14 @@ def test_cut_archive_raises():
     whole = _plain([({"WARC-Type": "metadata"}, b"0123456789")])
     with pytest.raises(ValueError):
         list(warc.records_of(io.BytesIO(whole[:-9])))
+
+
+def test_archives_are_bounded_by_bytes(spark):
+    import random
+
+    path, r = scratch_path(spark, "warc-test"), random.Random(2)
+    rows = [(i, "http://a", "".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=60_000))) for i in range(20)] + [(100 + i, "u", f"small {i}") for i in range(50)]
+    warc.write_archive(spark.createDataFrame(rows, PAGES).coalesce(1), path, file_bytes=200_000)
+    sizes = [x.length for x in spark.read.format("binaryFile").load(path).select("length").collect()]
+    assert max(sizes) < 200_000 and len(sizes) >= 7      # no file holds more than a few of the large pages
+    assert warc.assemble(warc.read_archive(spark, path, payload=False)).count() == 70
