@@ -181,6 +181,94 @@ def rule_extract(episodes: DataFrame, rules: list | None = None, id_col: str = "
                       F.explode(F.col("_h.values")).alias("value"), F.col("_h.polarity").alias("polarity"))
 
 
+# ---------------------------------------------------------------- rules as data
+MAX_RULES = 200_000         # rows of a rule table that are broadcast
+RULE_SCHEMA = "graph string, entity_type string, priority int, needles array<string>, pattern string, polarity int"
+
+
+def trigger_rule_table(spark: SparkSession) -> DataFrame:
+    """The literal rules as a table. ``needles``: lower-case texts of which every match holds at
+    least one (none: the rule is always tried)."""
+    needles = [["i want", "i like", "i prefer", "i use", "go with"], ["want", "i avoid", "i dislike", "skip"], ["is better than"],
+               ["we decided to", "going with"], ["ruled out"], ["they want", "the client prefers"], ["avoid"], ["must have", "needs to"],
+               ["is required"], ["we decided", "agreed to"], ["ruled out"]]
+    extra = [["licensed under", "released under"], ["@"], ["@"]]
+    rows = [(g, t, p, n, pat, sign) for (g, t, p, pat, sign), n in zip(TRIGGER_RULES + EXTRA_RULES, needles + extra, strict=True)]
+    return spark.createDataFrame(rows, RULE_SCHEMA)
+
+
+class RuleSet:
+    """A rule table compiled into one automaton over all needles; a text is read once to find
+    the rules that may match, and only their patterns run."""
+
+    def __init__(self, rows: list[tuple]):
+        import ahocorasick
+
+        self.rows, self.always, by_needle = rows, [], {}
+        for k, (_, _, _, needles, _, _) in enumerate(rows):
+            for n in needles or ():
+                by_needle.setdefault(n, []).append(k)
+            if not needles:
+                self.always.append(k)
+        self.automaton = ahocorasick.Automaton()
+        for n, rules in by_needle.items():
+            self.automaton.add_word(n, rules)
+        if by_needle:
+            self.automaton.make_automaton()
+        self.some, self.compiled = bool(by_needle), {}
+
+    def candidates(self, text: str) -> list[int]:
+        found = set(self.always)
+        if self.some:
+            for _, rules in self.automaton.iter(text.lower()):
+                found.update(rules)
+        return sorted(found, key=lambda k: (self.rows[k][2], k))
+
+    def extract(self, graph: str, text: str | None) -> list[tuple]:
+        """(type, priority, value, polarity) of every match of the first priority that has any."""
+        import re
+
+        out, best = [], None
+        for k in self.candidates(text or ""):
+            g, etype, prio, _, pattern, sign = self.rows[k]
+            if g != graph:
+                continue
+            if best is not None and prio > best:
+                break
+            if k not in self.compiled:
+                self.compiled[k] = re.compile(pattern)
+            for m in self.compiled[k].finditer(text or ""):
+                best = prio
+                out.append((etype, prio, m[1], sign))
+        return out
+
+
+def rule_extract_table(episodes: DataFrame, rules: DataFrame, id_col: str = "doc_id", text_col: str = "episode_body",
+                       fallback: dict | None = None) -> DataFrame:
+    """OP-49 with the rules in a table (``RULE_SCHEMA``), thousands of them: the rows of
+    :func:`rule_extract`. The table is counted, compiled once per worker and broadcast;
+    texts stay where they are."""
+    n = rules.count()
+    if n > MAX_RULES:
+        raise ValueError(f"{n} rules; at most {MAX_RULES} are broadcast")
+    fallback = FALLBACK_TYPE if fallback is None else fallback
+    held = episodes.sparkSession.sparkContext.broadcast([tuple(r) for r in rules.select(
+        "graph", "entity_type", "priority", "needles", "pattern", "polarity").collect()])
+
+    def run(batches):
+        compiled = RuleSet(held.value)
+        for pdf in batches:
+            rows = []
+            for i, g, text in zip(pdf[id_col], pdf["graph"], pdf[text_col]):
+                found = compiled.extract(g, text) or ([(fallback[g], 99, None, 0)] if g in fallback else [])
+                rows += [(i, g, *f) for f in found]
+            if rows:
+                yield pd.DataFrame(rows, columns=[id_col, "graph", "entity_type", "priority", "value", "polarity"])
+    kind = episodes.schema[id_col].dataType.simpleString()
+    return episodes.select(id_col, "graph", text_col).mapInPandas(
+        run, f"{id_col} {kind}, graph string, entity_type string, priority int, value string, polarity int")
+
+
 # ---------------------------------------------------------------- hooks
 EXTRACT_SCHEMA = "doc_id long, graph string, entity_type string, value string"
 

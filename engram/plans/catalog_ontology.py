@@ -139,6 +139,24 @@ def q_rule_extract_spoken(spark, d):
     return O.rule_extract(_heard(spark, d)).select("doc_id", "graph", "entity_type", "priority", "value", "polarity")
 
 
+WORD_RULE = "(?i)(?:^|[^A-Za-z0-9_\u00c0-\u024f])("      # a word of the benchmark, wherever one starts
+_MANY = _rule_cte().replace("hits AS (SELECT * FROM (", f"""many AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z\u00e0-\u024f]{{7,}}')) AS w FROM benchmark)),
+hits AS (SELECT * FROM (SELECT doc_id, graph, 'Topic' AS entity_type, 50 AS priority, 1 AS polarity,
+           regexp_extract_all(episode_body, '{WORD_RULE}' || w || ')', 1) AS vals FROM wr JOIN many ON contains(lower(episode_body), w)
+         UNION ALL """)
+
+
+@register("rule_extract_table", sql=f"WITH {_MANY} SELECT doc_id, graph, entity_type, priority, value, polarity FROM extracted")
+def q_rule_extract_table(spark, d):
+    """OP-49 from a rule table: the literal rules and one for every long benchmark word, a tier each."""
+    t = Tables(spark, d)
+    words = t.benchmark.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z\u00e0-\u024f]{7,}"), F.lit(0))).alias("w")).distinct()
+    tiers = F.explode(F.array(F.lit("personal"), F.lit("client"))).alias("graph")
+    named = words.select(tiers, "w").select("graph", F.lit("Topic").alias("entity_type"), F.lit(50).alias("priority"), F.array("w").alias("needles"),
+                                            F.concat(F.lit(WORD_RULE), "w", F.lit(")")).alias("pattern"), F.lit(1).alias("polarity"))
+    return O.rule_extract_table(derive.write_requests(t), O.trigger_rule_table(spark).unionByName(named))
+
+
 @register("facts_from_text", sql=f"""WITH {_rule_cte(SPOKEN_CTE)},
 obs AS (SELECT w.graph, w.subject, e.entity_type AS relation, e.value, w.valid_at, w.doc_id AS uuid,
                lag(e.value) OVER k AS prev, row_number() OVER k AS n

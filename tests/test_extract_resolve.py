@@ -52,6 +52,22 @@ def test_trigger_phrases_by_hand(spark):
         assert sorted(hooked[i], key=str) == sorted([w for w in want if w[1]], key=str), text
 
 
+def test_rules_from_a_table_give_the_rows_of_the_literal_form(spark):
+    df = spark.createDataFrame([(i, g, t) for i, (g, t, _) in enumerate(SPOKEN)] + [(900, "personal", None), (901, "other", "I want x"),
+                               (902, "client", "mail a@b.org, licensed under the MIT"), (903, "personal", "RELEASED UNDER GPL")],
+                               "doc_id long, graph string, episode_body string")
+    table = O.trigger_rule_table(spark)
+    key = lambda r: tuple(map(str, r))
+    want = sorted(map(key, O.rule_extract(df).collect()))
+    assert sorted(map(key, O.rule_extract_table(df, table).collect())) == want
+    many = spark.createDataFrame([("other", "Topic", 5, [f"word{i}"], f"(word{i})(?![0-9])", 1) for i in range(5000)]
+                                 + [("other", "Topic", 7, None, "(x)", 1)], O.RULE_SCHEMA)
+    rules = O.RuleSet([tuple(r) for r in many.collect()])
+    assert rules.extract("other", "a word17 and WORD18 word4999") == [("Topic", 5, "word17", 1), ("Topic", 5, "word4999", 1)]
+    assert rules.extract("other", "x") == [("Topic", 7, "x", 1)] and len(rules.compiled) < 12   # few patterns ever run
+    assert sorted(map(key, O.rule_extract_table(df, table.unionByName(many)).filter("graph <> 'other'").collect())) == [w for w in want if w[1] != "other"]
+
+
 def test_extractor_of_ones_own(spark):
     made = []
 
