@@ -76,7 +76,7 @@ def test_model_equals_the_textbook():
     classes = q.symbol_classes()
     codes = np.concatenate([c for (c, _), _ in q.gram_blocks(texts, classes)])
     kinds, n = np.unique(codes, return_counts=True)
-    model = q.Model(*q.kneser_ney(kinds, n))
+    model = q.Model(*map(np.concatenate, zip(*q.kneser_ney(kinds, n))))
     tup = lambda c: tuple(c >> q.BITS * k & q.CLASSES - 1 for k in range(q.ORDER - 1, -1, -1))
     p = slow_kneser_ney({tup(int(c)): int(v) for c, v in zip(kinds, n)})
     asked = np.concatenate((kinds[:300], np.random.default_rng(1).integers(0, 1 << q.ORDER * q.BITS, 300)))
@@ -86,6 +86,28 @@ def test_model_equals_the_textbook():
     assert abs(np.exp(every).sum() - 1) < 1e-4  # a distribution over the next symbol
 
 
+def test_parts_equal_the_whole_model():
+    """Parts fitted apart hold the same entries, and their sums are the whole model's."""
+    r = random.Random(6)
+    texts = [" ".join(words(r, 80)) + " Äö 12, x!" for _ in range(20)]
+    codes = np.concatenate([c for (c, _), _ in q.gram_blocks(texts, q.symbol_classes())])
+    kinds, n = np.unique(codes, return_counts=True)
+    whole = q.Model(*map(np.concatenate, zip(*q.kneser_ney(kinds, n))))
+    part = q.part_of(kinds, 7)
+    tallies = np.concatenate([q.tally(kinds[part == p], n[part == p]) for p in set(part.tolist())])
+    keys, back = np.unique(tallies[:, :2], axis=0, return_inverse=True)
+    tallied = np.column_stack((keys, np.bincount(back.ravel(), tallies[:, 2]).astype(np.int64)))
+    asked = np.concatenate((kinds, np.random.default_rng(1).integers(0, 1 << q.ORDER * q.BITS, 500)))
+    total, entries = np.zeros(len(asked)), 0
+    for held in ([0, 3], [1], [2, 4, 5, 6]):
+        found = [q.kneser_ney(kinds[part == p], n[part == p], tallied) for p in held if (part == p).any()]
+        arrays = [found[0][0], *[high for _, high in found]]
+        entries += sum(len(high[0]) for _, high in found)
+        total += q.Model(*map(np.concatenate, zip(*arrays)), 7, held).log_p(asked)
+    assert entries + len(found[0][0][0]) == len(whole.hashes)
+    assert np.abs(total - whole.log_p(asked)).max() < 1e-9
+
+
 def corpus():
     r = random.Random(8)
     rows = [(i, " ".join(words(r, r.randint(60, 200))), r.choice(["en", "de"])) for i in range(300)]
@@ -121,6 +143,15 @@ def test_blocks_give_equal_scores(spark):
     assert a == b
 
 
+def test_parts_give_equal_scores(spark):
+    """A language in many parts, a block each: the scores of one part."""
+    df = docs_frame(spark, corpus())
+    a, b = ({r.doc_id: (r.log_ppl, r.kept) for r in q.quality_rules(df, keep=["doc_id"], **kw).collect()}
+            for kw in ({}, {"part_grams": 700, "block_entries": 2500}))
+    assert a.keys() == b.keys() and all(a[k][1] == b[k][1] for k in a)
+    assert max(abs(a[k][0] - b[k][0]) for k in a if a[k][0] is not None) < 2e-6
+
+
 def test_empty_table(spark):
     assert q.quality_rules(docs_frame(spark, [(1, "a")]).limit(0)).collect() == []
     assert [r.kept for r in q.quality_rules(docs_frame(spark, [(1, None)])).collect()] == [False]
