@@ -216,7 +216,7 @@ def in_parts(grams: DataFrame, part_grams: int) -> DataFrame:
 def fit_models(grams: DataFrame, part_grams: int) -> DataFrame:
     """``lang, parts, part, hash, value``: the models in their parts; part -1 holds a
     language's single symbols and pairs."""
-    grams = written(in_parts(grams, part_grams), "grams")
+    grams = in_parts(written(grams, "grams"), part_grams)
     keys = ["lang", "parts", "part"]
 
     def count(key, pdf):
