@@ -93,3 +93,10 @@ def test_log_text_source_keeps_line_order(spark, tmp_path):
     lines = log_lines(spark, str(tmp_path))
     assert [r["line"] for r in lines.orderBy(*LINE_ORDER).collect()] == [f"line {i}" for i in range(1000)]
     assert {r["line"] for r in AC.tail_lines(lines, LINE_ORDER, 3).collect()} == {"line 997", "line 998", "line 999"}
+
+
+def test_nothing_may_follow_the_object(spark):
+    lines = ['{"status": 200}]', '{"status": 200}] {}', '{"status": 200} {}', '{"status": 200}, 0', '{"status": 200}}',
+             '{"status": 200, "status": 401}]', '{"status": 200, "status": 401}', ' {"status": 5} ', "{'status': 3}"]
+    got = AC.parse_access_log(spark.createDataFrame([(x,) for x in lines], "line string")).selectExpr("line", "to_json(rec) j")
+    assert {r.line: r.j for r in got.collect()} == {lines[6]: '{"status":401}', lines[7]: '{"status":5}'}
