@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from engram.operators.temporal import cutoff_expr
+from engram.session import reliable_checkpoint
+
+MAX_BROADCAST_ENTITIES = 1_000_000      # deleted entities that go to the facts
 
 
 # ---------------------------------------------------------------- OP-05 / U1
@@ -167,13 +170,19 @@ def remove_episode_cascade(deleted: DataFrame, mentions: DataFrame, facts: DataF
     ).select("graph", F.col("entity_uuid").alias("uuid"))
 
     first = facts.withColumn("episode_uuid", F.try_element_at("episodes", F.lit(1)))
-    gone_facts = first.join(deleted.select("graph", "episode_uuid"), ["graph", "episode_uuid"],
-                            "left_semi").drop("episode_uuid")
-    if fact_endpoints:
-        for end in fact_endpoints:
-            touch = facts.join(gone_entities.withColumnRenamed("uuid", end), ["graph", end], "left_semi")
-            gone_facts = gone_facts.unionByName(touch, allowMissingColumns=True)
-        gone_facts = gone_facts.dropDuplicates(["graph", "uuid"])
+    if fact_endpoints is None or not len(fact_endpoints):
+        gone_facts = first.join(deleted.select("graph", "episode_uuid"), ["graph", "episode_uuid"],
+                                "left_semi").drop("episode_uuid")
+        return gone_entities, gone_facts
+    # one pass over the facts: they are exchanged by episode, the deleted entities come to them
+    gone_entities = reliable_checkpoint(gone_entities)
+    near = F.broadcast if gone_entities.count() <= MAX_BROADCAST_ENTITIES else (lambda df: df)
+    hit, flags = first.join(deleted.select("graph", "episode_uuid", F.lit(True).alias("_ep")).distinct(), ["graph", "episode_uuid"], "left"), ["_ep"]
+    for end in fact_endpoints:
+        flags.append(f"_at_{end}")
+        hit = hit.join(near(gone_entities.select("graph", F.col("uuid").alias(end), F.lit(True).alias(flags[-1]))), ["graph", end], "left")
+    gone_facts = (hit.filter(F.coalesce(*flags, F.lit(False))).select(*facts.columns)
+                  .dropDuplicates(["graph", "uuid"]))
     return gone_entities, gone_facts
 
 

@@ -178,3 +178,17 @@ def test_supersession_plan_moves_data_twice_at_most(spark):
                                 "graph string, subject long, relation string, uuid long, value string, valid_at timestamp_ntz")
     plan = T.resolve_supersession(obs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(_k") <= 4 and "hashpartitioning(graph" not in plan
+
+
+def test_cascade_reads_the_facts_once(spark):
+    """Facts go by episode or by either end, once each, in one pass over them."""
+    deleted = spark.createDataFrame([("a", 1), ("a", 1)], "graph string, episode_uuid long")
+    mentions = spark.createDataFrame([("a", 1, 10), ("a", 2, 11), ("a", 1, 11), ("b", 1, 10)], "graph string, episode_uuid long, entity_uuid long")
+    facts = spark.createDataFrame([("a", "by episode", 11, 11, [1]), ("a", "by source", 10, 11, [2]), ("a", "by target", 11, 10, [2]), ("a", "by all", 10, 10, [1]),
+                                   ("a", "kept", 11, None, [2]), ("b", "other graph", 10, 10, [1]), ("a", "no episode", 11, 11, None)],
+                                  "graph string, uuid string, source_uuid long, target_uuid long, episodes array<long>")
+    ents, gone = G.remove_episode_cascade(deleted, mentions, facts.repartition(2), ("source_uuid", "target_uuid"))
+    assert [tuple(r) for r in ents.collect()] == [("a", 10)]
+    assert sorted(r["uuid"] for r in gone.collect()) == ["by all", "by episode", "by source", "by target"]
+    assert gone.columns == facts.columns
+    assert gone._jdf.queryExecution().optimizedPlan().toString().count("by episode") <= 1 and "Union" not in gone._jdf.queryExecution().optimizedPlan().toString()
