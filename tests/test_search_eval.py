@@ -179,3 +179,32 @@ def test_scope_counts_and_ranks_alone(spark):
     alone = S.bm25_search(S.postings(units.filter("group_id = 'x'")), q, 5).collect()
     assert S.bm25_search(S.scoped(post, ["x"]), q, 5).collect() == alone and [r["doc_id"] for r in alone] == [1]
     assert S.bm25_search(S.scoped(post, None), q, 5).count() == S.bm25_search(S.scoped(post, []), q, 5).count() == 3
+
+
+def test_units_are_scored_without_a_row_per_query_and_unit(spark):
+    """Units (ids twice, null and alike included) give the rows that postings give, and no plan
+    joins queries to postings."""
+    units = [("a" if i % 3 else "b", i, "g", " ".join(f"w{(i * j) % 11}" for j in range(1, 2 + i % 9))) for i in range(120)]
+    units += [("a", 5, "g", "w1 w1 w2"), ("a", 5, "h", "w3"), ("a", 7, "g", units[7][3]), ("b", 6, "g", ""), ("a", None, "g", "w1"), ("a", None, "h", "w1 w2")]
+    df = spark.createDataFrame(units, "graph string, doc_id long, group_id string, text string")
+    qs = spark.createDataFrame([(1, "a", "w1 w2 w3"), (2, "b", "w4"), (3, "a", "none"), (4, "a", "w5 w5 w1"), (4, "a", "w1"), (5, "c", "w1"), (6, "a", None)],
+                               "query_id long, graph string, text string")
+    ids = ["doc_id", "group_id"]
+    post, kept = S.postings(df, ids), S.unit_terms(df, ids)
+    plain = lambda df: sorted(map(str, df.withColumn("tf", F.expr("if(term is null, 1, tf)")).select(*post.columns).collect()))
+    assert plain(S.posting_rows(kept)) == plain(post)
+    for k in (1, 4, 500):
+        for groups in (None, ["g"]):
+            got = S.bm25_search(S.scoped(kept, groups), qs, k)
+            assert sorted(map(str, got.collect())) == sorted(map(str, S.bm25_search(S.scoped(post, groups), qs, k).collect()))
+    plan = S.bm25_search(S.unit_terms(df.filter("doc_id >= 8"), ids), qs, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Join" not in plan
+
+
+def test_best_units_over_blocks(spark, monkeypatch):
+    """Blocks of a few rows: ties to the smaller id whatever block it stands in."""
+    monkeypatch.setattr(S, "VECTOR_BLOCK_BYTES", 64)
+    vecs = spark.createDataFrame([("a", i, [float(i % 4), 1.0]) for i in range(60)] + [("a", 99, [0.0, 0.0])], "graph string, vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([(1, "a", [3.0, 1.0]), (2, "a", [0.0, 2.0])], "query_id long, graph string, embedding array<double>")
+    got = S.vector_search(vecs, asked, 3).orderBy("query_id", "rank").collect()
+    assert [(r["query_id"], r["doc_id"]) for r in got] == [(1, 3), (1, 7), (1, 11), (2, 0), (2, 4), (2, 8)]
