@@ -208,3 +208,29 @@ def test_best_units_over_blocks(spark, monkeypatch):
     asked = spark.createDataFrame([(1, "a", [3.0, 1.0]), (2, "a", [0.0, 2.0])], "query_id long, graph string, embedding array<double>")
     got = S.vector_search(vecs, asked, 3).orderBy("query_id", "rank").collect()
     assert [(r["query_id"], r["doc_id"]) for r in got] == [(1, 3), (1, 7), (1, 11), (2, 0), (2, 4), (2, 8)]
+
+
+def test_a_line_is_taken_apart_once(spark, tmp_path):
+    """Topic: the longest word, the first of equal ones; the words of a line are split once."""
+    from engram.plans import derive
+    from engram.sources.tables import Tables
+
+    rows = [(1, "a ccc bbb\n...\n\nx", "en", "src1"), (2, None, "en", "src2"), (3, "Zz zzz ZZZ", None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    facts = derive.line_facts(Tables(spark, str(tmp_path)))
+    assert sorted((r["doc_id"] % derive.LINES, r["topic"]) for r in facts.collect()) == [(0, "ccc"), (0, "zzz"), (1, None), (3, "x")]
+    assert facts.select("topic")._jdf.queryExecution().optimizedPlan().toString().count("split(lower") == 1
+
+
+def test_embedder_works_in_slices_of_text(monkeypatch):
+    import pandas as pd
+
+    from engram.operators import ontology as O
+
+    texts = pd.Series(["a b a", None, "", "c " * 50, "!", "b"] * 3)
+    whole = O.hashing_embedder(8)(texts)
+    monkeypatch.setattr(O, "EMBED_CHARS", 5)
+    sliced = O.hashing_embedder(8)(texts)
+    assert [list(v) for v in whole] == [list(v) for v in sliced] and str(sliced[0].dtype) == "float32"
+    (at, sign), = {O.term_slot("c", 8)}
+    assert sliced[3][at] == 50 * sign and not any(sliced[1]) and not any(sliced[4])
