@@ -87,3 +87,15 @@ def test_graph_leg_against_every_path(spark, depth):
         out = TR.entity_leg(s, f, TR.fact_links(f), TR.fact_reach(f, depth), depth, bound).collect()
         assert sorted((x.query_id, x.doc_id, x.score, x["rank"]) for x in out) == brute_leg(seeds, facts, depth)
     assert TR.entity_leg(s.limit(0), f, TR.fact_links(f), TR.fact_reach(f, depth), depth, 0).filter(F.lit(True)).count() == 0
+
+
+def test_a_small_frontier_goes_to_the_edges(spark):
+    r = random.Random(2)
+    men = [("a", r.randrange(40), r.randrange(60)) for _ in range(200)]
+    m, f = spark.createDataFrame(men, MEN), spark.createDataFrame([("a", 1, 2)], REL)
+    store = TR.store_edges(TR.typed_edges(m, f), hub_degree=7, buckets=5)
+    s = spark.createDataFrame([("a", "entity", 1), ("a", "entity", 5)], NODE)
+    sent = TR.step(s, store, small=True)
+    assert "BroadcastHashJoin" in sent._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, sent.collect())) == sorted(map(tuple, TR.step(s, store).collect()))
+    TR.drop_edges(spark, store)
