@@ -155,3 +155,18 @@ def test_names_by_letters_and_types(spark):
     facts = spark.createDataFrame([("g", 1, "T", [1.0, 2.0]), ("g", 1, "T", [0.5, -1.0]), ("g", 3, "T", [1.0, 0.0])],
                                   "graph string, doc_id long, entity_type string, embedding array<float>")
     assert {r.doc_id: r.embedding for r in ND.entity_vectors(facts).collect()} == {1: [1.5, 1.0], 3: [1.0, 0.0]}
+
+
+def test_names_by_row_give_the_rows_of_the_posting_lists(spark):
+    r = random.Random(6)
+    word = lambda: "".join(r.choices("abcé", k=r.randrange(1, 7)))
+    names = spark.createDataFrame([(r.choice("gh"), r.choice([i, i, 9, None]), "T", r.choice([word(), None])) for i in range(200)],
+                                  "graph string, doc_id long, entity_type string, name string")
+    asked = [(i, r.choice("ghx"), r.choice([word(), word() + " " + word(), None])) for i in range(30)]
+    q = spark.createDataFrame(asked + asked[:3], "query_id long, graph string, text string")
+    key = lambda df: sorted((x.query_id, x.rank, x.score, str(x.doc_id)) for x in df.collect())
+    rows = ND.gram_rows(names)
+    for depth in (3, 500):
+        got = ND.gram_leg(rows, q, depth)       # rows of (query, name) pairs were added up before
+        assert key(got) == key(ND.gram_leg(ND.gram_postings(names), q, depth))
+    assert "HashAggregate" not in ND.gram_leg(rows.localCheckpoint().filter("doc_id is not null"), q, 3)._jdf.queryExecution().executedPlan().toString()
