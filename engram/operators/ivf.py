@@ -10,53 +10,72 @@ The exact search stays the default; ``recall`` measures what this one loses.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from engram.operators import search as S
-from engram.session import scratch_path
+from engram.session import scratch_path, ship_package
 
 SAMPLE = 200_000        # vectors that the cells are fitted on
+HASHES = 1 << 30
 MAX_CELLS = 4_096
 
 
-def _unit(vec: F.Column) -> F.Column:
-    length = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    return F.transform(vec, lambda x: x.cast("double") / length)
+def _directions(vectors: DataFrame) -> DataFrame:
+    """The vectors (none of them zero) at length 1, dealt over all cores."""
+    spark = vectors.sparkSession
+    ship_package(spark)
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = S._matrix(batch.column("embedding"))
+                x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+                ends = pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, pa.array(x.ravel()))], names=["unit"])
+    return vectors.select("embedding").repartition(spark.sparkContext.defaultParallelism).mapInArrow(run, "unit array<double>")
 
 
 def fit_cells(vectors: DataFrame, cells: int, id_col: str = "vec_id", seed: int = 7) -> np.ndarray:
-    """Centres (rows) of at most ``cells`` cells, fitted by Spark on at most ``SAMPLE`` directions,
-    the first by a hash of their ids."""
+    """Centres (rows) of at most ``cells`` cells, fitted by Spark on about ``SAMPLE`` directions, those
+    with the lowest hashes of their ids. They are chosen row by row, so the sample stays in
+    the partitions that its vectors lie in."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     usable = vectors.filter(F.exists("embedding", lambda x: x != 0))
-    some = usable.orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE).select(array_to_vector(_unit(F.col("embedding"))).alias("features"))
+    n = usable.count()
+    if n > SAMPLE:
+        usable = usable.filter(F.pmod(F.xxhash64(id_col), F.lit(HASHES)) < int(HASHES * SAMPLE / n))
+    some = _directions(usable).select(array_to_vector("unit").alias("features"))
     model = KMeans(k=max(2, min(cells, MAX_CELLS)), seed=seed, maxIter=15).fit(some)
     return np.array(model.clusterCenters())
 
 
-def _nearest(rows: pd.Series, centres: np.ndarray, n: int) -> list[list[int]]:
+def _nearest(rows: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
     """The ``n`` nearest centres of each vector (ties: the lower number)."""
-    out = []
+    out = [np.zeros((0, min(n, len(centres))), np.int32)]
     for at in range(0, len(rows), 4096):
-        x = np.vstack([np.asarray(r, np.float64) for r in rows.iloc[at:at + 4096]])
+        x = rows[at:at + 4096]
         length = np.sqrt((x * x).sum(axis=1, keepdims=True))
         d = (centres * centres).sum(axis=1)[None, :] - 2 * (x / np.where(length > 0, length, 1)) @ centres.T
-        out += np.argsort(d, axis=1, kind="stable")[:, :n].tolist()
-    return out
+        out.append((np.argmin(d, axis=1)[:, None] if n == 1 else np.argsort(d, axis=1, kind="stable")[:, :n]).astype(np.int32))
+    return np.concatenate(out)
 
 
 def in_cells(df: DataFrame, centres: np.ndarray, n: int) -> DataFrame:
     """Rows with their ``n`` nearest cells, one row each (``cell``)."""
+    ship_package(df.sparkSession)
     held = df.sparkSession.sparkContext.broadcast(centres)     # MAX_CELLS rows at most
 
     def run(batches):
-        for pdf in batches:
-            yield pdf.assign(cells=_nearest(pdf["embedding"], held.value, n))
-    out = df.mapInPandas(run, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in df.schema), "cells array<int>"]))
+        for batch in batches:
+            if batch.num_rows:      # the vectors pass as they are
+                near = _nearest(S._matrix(batch.column("embedding")), held.value, n)
+                cells = pa.ListArray.from_arrays(pa.array(np.arange(len(near) + 1) * near.shape[1], pa.int32()), pa.array(near.ravel()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, cells], names=[*batch.schema.names, "cells"])
+    out = df.mapInArrow(run, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in df.schema), "cells array<int>"]))
     return out.withColumn("cell", F.explode("cells")).drop("cells")
 
 

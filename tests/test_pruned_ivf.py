@@ -58,3 +58,31 @@ def test_cells_find_most_and_all_of_them_everything(spark):
     every = IV.search(spark, path, cells, q, 10, len(cells))
     key = ["query_id", "doc_id", "score", "rank"]
     assert sorted(map(tuple, every.select(*key).collect())) == sorted(map(tuple, exact.select(*key).collect()))
+
+
+def test_blocks_are_cut_from_whole_units(spark):
+    r = random.Random(8)
+    units = [(r.choice("ab"), r.choice([i, i, 7, None]), " ".join(r.choices("abcdefgh", k=r.randrange(9)))) for i in range(300)]
+    qs = spark.createDataFrame([(q, r.choice("ab"), " ".join(r.choices("abcdefghx", k=3))) for q in range(12)] + [(50, "a", None)],
+                               "query_id long, graph string, text string")
+    corpus = spark.createDataFrame(units, "graph string, doc_id long, text string")
+    post = S.postings(corpus)
+    whole, stats = IM.impact_index(S.unit_terms(corpus), shard_units=16)       # took postings only, moved one by one
+    parts, stats2 = IM.impact_index(post, shard_units=16)
+    key = lambda rows: sorted((str(x.graph), x.shard, x.term, x.n, round(x.top, 9), sorted(zip([round(i, 9) for i in x.impacts], map(str, x.ids)))) for x in rows)
+    assert key(whole.collect()) == key(parts.collect())
+    assert sorted(map(tuple, stats.collect())) == sorted(map(tuple, stats2.select(*stats.columns).collect()))
+    want = sorted(map(str, S.bm25_search(post, qs, 4).select("query_id", "doc_id", "score", "rank").collect()))
+    assert sorted(map(str, IM.bm25_pruned(whole, stats, qs, 4, 2).select("query_id", "doc_id", "score", "rank").collect())) == want
+
+
+def test_the_sample_is_bounded_and_stays_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(IV, "SAMPLE", 500)
+    r = np.random.default_rng(1)
+    v = spark.createDataFrame([(i, r.normal(size=4).tolist()) for i in range(4000)], "vec_id long, embedding array<float>")
+    seen = []
+    whole = IV._directions
+    monkeypatch.setattr(IV, "_directions", lambda df: seen.append(whole(df)) or seen[-1])
+    assert IV.fit_cells(v, 8).shape == (8, 4)
+    assert 300 < seen[0].count() < 700 and seen[0].rdd.getNumPartitions() > 1        # one task held it all
+    assert all(abs(sum(x * x for x in row.unit) - 1) < 1e-9 for row in seen[0].collect())
